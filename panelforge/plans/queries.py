@@ -176,3 +176,244 @@ def q_scores_long(spark, sf_dir):
 def q_alphas_long(spark, sf_dir):
     _, _, al = _signals_all(spark, sf_dir)
     return al.withColumn("alpha", rnd("alpha"))
+
+
+# ================================================================ combination chain
+from panelforge.operators import portfolio as P  # noqa: E402
+from panelforge.operators import weights as Wt  # noqa: E402
+from panelforge.plans.combination import Chain  # noqa: E402
+
+_ALL = ["momentum", "reversal", "beta", "barra_reversal", "barra_momentum", "ivol"]
+_NAMES_SQL = ", ".join(f"('{n}')" for n in _ALL)
+_mu0 = 0.5 * (1e-5 ** 0.5) / (252 ** 0.5)
+_PRIOR = 1260 * _mu0 / 1e-5
+_Q252 = 1.0 - 2.0 / 253.0
+
+CHAIN_SQL = [
+    ("base", """SELECT date, barrid, predicted_beta, specific_risk / 100 AS specific_risk, market_cap,
+       market_cap / nullif(sum(market_cap) OVER (PARTITION BY date), 0) AS benchmark_weight
+FROM assets WHERE in_universe"""),
+    ("names", f"SELECT * FROM (VALUES {_NAMES_SQL}) t(signal_name)"),
+    ("opt", """SELECT b.date, b.barrid, b.predicted_beta, b.specific_risk, b.benchmark_weight, n.signal_name,
+       coalesce(a.alpha, 0.0) AS alpha
+FROM base b CROSS JOIN names n
+LEFT JOIN alphas a ON a.date = b.date AND a.barrid = b.barrid AND a.signal_name = n.signal_name"""),
+    ("aw2", """SELECT *, sum(iv) OVER g AS s11, sum(alpha * iv) OVER g AS s1a, sum(predicted_beta * iv) OVER g AS s1b,
+       sum(predicted_beta * predicted_beta * iv) OVER g AS sbb, sum(predicted_beta * alpha * iv) OVER g AS sba
+FROM (SELECT *, 1.0 / (specific_risk * specific_risk) AS iv FROM opt) x
+WINDOW g AS (PARTITION BY signal_name, date)"""),
+    ("aw3", """SELECT *, CASE WHEN signal_name = 'beta' THEN (alpha - s1a / nullif(s11, 0)) * iv
+       ELSE (alpha - (sbb * s1a - s1b * sba) / nullif(s11 * sbb - s1b * s1b, 0)
+             - (s11 * sba - s1b * s1a) / nullif(s11 * sbb - s1b * s1b, 0) * predicted_beta) * iv END AS raw
+FROM aw2"""),
+    ("aw", """SELECT date, barrid, signal_name,
+       CASE WHEN count(*) OVER (PARTITION BY signal_name, date) > (CASE WHEN signal_name = 'beta' THEN 1 ELSE 2 END)
+       THEN raw * (0.05 / nullif(sqrt(sum(raw * raw * specific_risk * specific_risk) OVER (PARTITION BY signal_name, date)), 0))
+       ELSE 0.0 END AS weight
+FROM aw3"""),
+    ("sr", """SELECT w.signal_name, w.date, coalesce(sum(r.ret * w.lw), 0.0) AS forward_return
+FROM (SELECT *, lag(weight) OVER (PARTITION BY signal_name, barrid ORDER BY date) AS lw FROM aw) w
+LEFT JOIN (SELECT date, barrid, "return" / 100 AS ret FROM assets) r ON w.date = r.date AND w.barrid = r.barrid
+GROUP BY w.signal_name, w.date"""),
+    ("sw_wide", """SELECT date, max(CASE WHEN signal_name = 'beta' THEN forward_return END) AS x1,
+       max(CASE WHEN signal_name = 'barra_reversal' THEN forward_return END) AS x2,
+       max(CASE WHEN signal_name = 'ivol' THEN forward_return END) AS x3
+FROM sr WHERE signal_name IN ('beta', 'barra_reversal', 'ivol') GROUP BY date"""),
+    ("sw_mom", """SELECT * FROM (
+  SELECT date, row_number() OVER (ORDER BY date) - 1 AS rn,
+       avg(x1) OVER p AS m1, avg(x2) OVER p AS m2, avg(x3) OVER p AS m3,
+       covar_samp(x1, x1) OVER p AS a, covar_samp(x1, x2) OVER p AS b, covar_samp(x1, x3) OVER p AS c,
+       covar_samp(x2, x2) OVER p AS d, covar_samp(x2, x3) OVER p AS e, covar_samp(x3, x3) OVER p AS f,
+       count(x1) OVER p AS n1, count(x2) OVER p AS n2, count(x3) OVER p AS n3,
+       sum(CASE WHEN x1 IS NULL OR x2 IS NULL OR x3 IS NULL THEN 1 ELSE 0 END) OVER p AS nbad
+  FROM sw_wide WINDOW p AS (ORDER BY date ROWS BETWEEN 1260 PRECEDING AND 1 PRECEDING)) t
+WHERE rn >= 1260"""),
+    ("sw_adj", """SELECT date, m1, m2, m3,
+       d * f - e * e AS A11, c * e - b * f AS A12, b * e - c * d AS A13,
+       a * f - c * c AS A22, b * c - a * e AS A23, a * d - b * b AS A33, a, b, c,
+       (n1 = 1260 AND n2 = 1260 AND n3 = 1260 AND nbad = 0) AS ok
+FROM sw_mom"""),
+    ("sw_raw", f"""SELECT date,
+       CASE WHEN ok THEN {_PRIOR!r} + 1260 * (A11 * m1 + A12 * m2 + A13 * m3) / nullif(a * A11 + b * A12 + c * A13, 0) END AS r1,
+       CASE WHEN ok THEN {_PRIOR!r} + 1260 * (A12 * m1 + A22 * m2 + A23 * m3) / nullif(a * A11 + b * A12 + c * A13, 0) END AS r2,
+       CASE WHEN ok THEN {_PRIOR!r} + 1260 * (A13 * m1 + A23 * m2 + A33 * m3) / nullif(a * A11 + b * A12 + c * A13, 0) END AS r3
+FROM sw_adj"""),
+    ("sw_norm", """SELECT *, r1 / nullif(abs(r1) + abs(r2) + abs(r3), 0) AS n1,
+       r2 / nullif(abs(r1) + abs(r2) + abs(r3), 0) AS n2, r3 / nullif(abs(r1) + abs(r2) + abs(r3), 0) AS n3
+FROM sw_raw"""),
+    ("sw_tab", """SELECT date, r1, r2, r3, n1, n2, n3,
+       exp(n1 - greatest(n1, n2, n3)) / (exp(n1 - greatest(n1, n2, n3)) + exp(n2 - greatest(n1, n2, n3)) + exp(n3 - greatest(n1, n2, n3))) AS s1,
+       exp(n2 - greatest(n1, n2, n3)) / (exp(n1 - greatest(n1, n2, n3)) + exp(n2 - greatest(n1, n2, n3)) + exp(n3 - greatest(n1, n2, n3))) AS s2,
+       exp(n3 - greatest(n1, n2, n3)) / (exp(n1 - greatest(n1, n2, n3)) + exp(n2 - greatest(n1, n2, n3)) + exp(n3 - greatest(n1, n2, n3))) AS s3
+FROM sw_norm"""),
+    ("sw_long", """SELECT date, 'beta' AS signal_name, s1 AS w FROM sw_tab
+UNION ALL SELECT date, 'barra_reversal', s2 FROM sw_tab
+UNION ALL SELECT date, 'ivol', s3 FROM sw_tab"""),
+    ("sw_rn", """SELECT *, row_number() OVER (PARTITION BY signal_name ORDER BY date) AS rn,
+       count(w) OVER (PARTITION BY signal_name ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cnt
+FROM sw_long"""),
+    ("sw", f"""SELECT a.date, a.signal_name,
+       CASE WHEN a.w IS NOT NULL AND a.cnt >= 1 THEN
+         sum(b.w * power(CAST({_Q252!r} AS DOUBLE), a.rn - b.rn))
+         / sum(CASE WHEN b.w IS NOT NULL THEN power(CAST({_Q252!r} AS DOUBLE), a.rn - b.rn) END) END AS weight
+FROM sw_rn a JOIN sw_rn b ON a.signal_name = b.signal_name AND b.rn <= a.rn
+GROUP BY a.date, a.signal_name, a.w, a.cnt"""),
+    ("comp", """SELECT a.date, a.barrid, coalesce(sum(a.alpha * w.weight), 0.0) AS alpha
+FROM alphas a JOIN sw w ON a.date = w.date AND a.signal_name = w.signal_name
+WHERE a.signal_name IN ('beta', 'barra_reversal', 'ivol') AND w.weight IS NOT NULL AND NOT isnan(w.weight)
+GROUP BY a.date, a.barrid"""),
+    ("copt", """SELECT b.date, b.barrid, b.predicted_beta, b.specific_risk, b.benchmark_weight,
+       coalesce(c.alpha, 0.0) AS alpha
+FROM base b LEFT JOIN comp c ON b.date = c.date AND b.barrid = c.barrid"""),
+    ("cw2", """SELECT *, sum(iv) OVER g AS s11, sum(alpha * iv) OVER g AS s1a, sum(predicted_beta * iv) OVER g AS s1b,
+       sum(predicted_beta * predicted_beta * iv) OVER g AS sbb, sum(predicted_beta * alpha * iv) OVER g AS sba
+FROM (SELECT *, 1.0 / (specific_risk * specific_risk) AS iv FROM copt) x WINDOW g AS (PARTITION BY date)"""),
+    ("cw3", """SELECT *, (alpha - (sbb * s1a - s1b * sba) / nullif(s11 * sbb - s1b * s1b, 0)
+             - (s11 * sba - s1b * s1a) / nullif(s11 * sbb - s1b * s1b, 0) * predicted_beta) * iv AS raw FROM cw2"""),
+    ("cw", """SELECT date, barrid,
+       CASE WHEN count(*) OVER (PARTITION BY date) > 2
+       THEN raw * (0.05 / nullif(sqrt(sum(raw * raw * specific_risk * specific_risk) OVER (PARTITION BY date)), 0))
+       ELSE 0.0 END AS weight
+FROM cw3"""),
+    ("fwd", """SELECT date, barrid, market_cap,
+       lead("return" / 100, 1) OVER (PARTITION BY barrid ORDER BY date) AS ret FROM assets WHERE in_universe"""),
+    ("port", """SELECT w.date, coalesce(sum(f.ret * w.weight), 0.0) AS "return", 'Portfolio' AS portfolio
+FROM cw w LEFT JOIN fwd f ON w.date = f.date AND w.barrid = f.barrid GROUP BY w.date"""),
+    ("bench", """SELECT date, coalesce(sum(ret * bw), 0.0) AS "return", 'Benchmark' AS portfolio FROM (
+  SELECT *, market_cap / nullif(sum(market_cap) OVER (PARTITION BY date), 0) AS bw FROM fwd) x GROUP BY date"""),
+]
+
+
+def chain_sql(body: str, upto: str) -> str:
+    names = [n for n, _ in CHAIN_SQL]
+    return sig_sql(_CHAIN_MARK + body, "alphas").replace(
+        "\n" + _CHAIN_MARK, ",\n" + ",\n".join(f"{n} AS ({s})" for n, s in CHAIN_SQL[: names.index(upto) + 1]) + "\n")
+
+
+_CHAIN_MARK = "/*chain*/"
+
+
+def _chain(spark, sf_dir) -> Chain:
+    assets = _assets(spark, sf_dir)
+    _, _, alphas = S.compute_signals(assets)
+    return Chain(assets, alphas)
+
+
+@query("benchmark_weights", with_ctes(
+    f"SELECT date, barrid, {R('market_cap / nullif(sum(market_cap) OVER (PARTITION BY date), 0)')} AS benchmark_weight "
+    "FROM assets WHERE in_universe", "assets"))
+def q_benchmark_weights(spark, sf_dir):
+    a = _assets(spark, sf_dir).filter(F.col("in_universe"))
+    return P.benchmark_weights(a).select("date", "barrid", rnd("benchmark_weight").alias("benchmark_weight"))
+
+
+@query("optimizer_panel", chain_sql(
+    f"SELECT date, barrid, signal_name, {R('predicted_beta')} AS predicted_beta, {R('specific_risk')} AS specific_risk, "
+    f"{R('benchmark_weight')} AS benchmark_weight, {R('alpha')} AS alpha FROM opt", "opt"))
+def q_optimizer_panel(spark, sf_dir):
+    c = _chain(spark, sf_dir)
+    p = P.optimizer_panel(c.assets, c.alphas, signals=_ALL)
+    return round_all(p.select("date", "barrid", "signal_name", "predicted_beta", "specific_risk",
+                              "benchmark_weight", "alpha"))
+
+
+@query("alpha_fill_panel", chain_sql(
+    f"SELECT date, barrid, {R('alpha')} AS alpha, {R('benchmark_weight')} AS benchmark_weight FROM copt", "copt"))
+def q_alpha_fill_panel(spark, sf_dir):
+    c = _chain(spark, sf_dir)
+    p = P.optimizer_panel(c.assets, c.composite())
+    return round_all(p.select("date", "barrid", "alpha", "benchmark_weight"))
+
+
+@query("active_weights", chain_sql(f"SELECT date, barrid, signal_name, {R('weight')} AS weight FROM aw", "aw"))
+def q_active_weights(spark, sf_dir):
+    return round_all(_chain(spark, sf_dir).active())
+
+
+@query("signal_returns", chain_sql(
+    f"SELECT date, signal_name, {R('forward_return')} AS forward_return FROM sr", "sr"))
+def q_signal_returns(spark, sf_dir):
+    return round_all(_chain(spark, sf_dir).signal_returns())
+
+
+@query("rolling_covariance", chain_sql(
+    "SELECT date, " + ", ".join(
+        f"CASE WHEN n1 = 1260 AND n2 = 1260 AND n3 = 1260 AND nbad = 0 THEN {R(e, 40)} END AS {n}" for e, n in [
+            ("m1", "m_beta"), ("m2", "m_barra_reversal"), ("m3", "m_ivol"),
+            ("a", "c_beta__beta"), ("b", "c_beta__barra_reversal"), ("c", "c_beta__ivol"),
+            ("d", "c_barra_reversal__barra_reversal"), ("e", "c_barra_reversal__ivol"), ("f", "c_ivol__ivol")])
+    + " FROM sw_mom", "sw_mom"))
+def q_rolling_covariance(spark, sf_dir):
+    c = _chain(spark, sf_dir)
+    names = Wt.WEIGHT_SIGNALS
+    wide = Wt.pivot_wide(c.signal_returns().filter(F.col("signal_name").isin(names)), ["date"], "signal_name",
+                         "forward_return", names)
+    return round_all(Wt.rolling_moments(wide, names, Wt.N), bits=40)
+
+
+@query("signal_weights_raw", chain_sql(
+    f"SELECT date, {R('r1', 4)} AS w_raw_beta, {R('r2', 4)} AS w_raw_barra_reversal, {R('r3', 4)} AS w_raw_ivol, "
+    f"{R('n1', 16)} AS w_norm_beta, {R('n2', 16)} AS w_norm_barra_reversal, {R('n3', 16)} AS w_norm_ivol, "
+    f"{R('s1')} AS w_beta, {R('s2')} AS w_barra_reversal, {R('s3')} AS w_ivol FROM sw_tab", "sw_tab"))
+def q_signal_weights_raw(spark, sf_dir):
+    t = _chain(spark, sf_dir).weight_table()
+    names = Wt.WEIGHT_SIGNALS
+    return t.select("date", *[rnd(f"w_raw_{a}", 4).alias(f"w_raw_{a}") for a in names],
+                    *[rnd(f"w_norm_{a}", 16).alias(f"w_norm_{a}") for a in names],
+                    *[rnd(f"w_{a}").alias(f"w_{a}") for a in names])
+
+
+@query("signal_weights", chain_sql(f"SELECT date, signal_name, {R('weight')} AS weight FROM sw", "sw"))
+def q_signal_weights(spark, sf_dir):
+    return round_all(_chain(spark, sf_dir).signal_weights())
+
+
+@query("composite_alpha", chain_sql(f"SELECT date, barrid, {R('alpha')} AS alpha FROM comp", "comp"))
+def q_composite_alpha(spark, sf_dir):
+    return round_all(_chain(spark, sf_dir).composite())
+
+
+@query("composite_weights", chain_sql(f"SELECT date, barrid, {R('weight')} AS weight FROM cw", "cw"))
+def q_composite_weights(spark, sf_dir):
+    return round_all(_chain(spark, sf_dir).composite_weights())
+
+
+@query("portfolio_returns", chain_sql(f'SELECT date, portfolio, {R(chr(34) + "return" + chr(34))} AS "return" FROM port', "port"))
+def q_portfolio_returns(spark, sf_dir):
+    port, _ = _chain(spark, sf_dir).returns()
+    return round_all(port)
+
+
+@query("benchmark_returns", chain_sql(
+    f'SELECT date, portfolio, {R(chr(34) + "return" + chr(34))} AS "return", '
+    f'{R("100 * sum(CASE WHEN " + chr(34) + "return" + chr(34) + " > -1 THEN ln(1 + " + chr(34) + "return" + chr(34) + ") END) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")} AS cumulative_return FROM bench',
+    "bench"))
+def q_benchmark_returns(spark, sf_dir):
+    _, bench = _chain(spark, sf_dir).returns()
+    return round_all(P.cumulative_log_return(bench))
+
+
+@query("cumulative_log_return", chain_sql(
+    f'SELECT date, portfolio, {R("100 * sum(CASE WHEN " + chr(34) + "return" + chr(34) + " > -1 THEN ln(1 + " + chr(34) + "return" + chr(34) + ") END) OVER (PARTITION BY portfolio ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")} AS cumulative_return '
+    "FROM (SELECT * FROM port UNION ALL SELECT * FROM bench) u", "bench"))
+def q_cumulative_log_return(spark, sf_dir):
+    port, bench = _chain(spark, sf_dir).returns()
+    return round_all(P.cumulative_log_return(port.unionByName(bench)).select("date", "portfolio", "cumulative_return"))
+
+
+@query("active_returns", chain_sql(
+    'SELECT p.date, ' + R('p."return" - b."return"') + ' AS "return", ' + "'Active' AS portfolio "
+    "FROM port p JOIN bench b ON p.date = b.date", "bench"))
+def q_active_returns(spark, sf_dir):
+    port, bench = _chain(spark, sf_dir).returns()
+    return round_all(P.active_returns(port, bench))
+
+
+@query("performance_summary", chain_sql(
+    "SELECT portfolio, " + R('avg("return") * 25200', 10) + " AS mean_return, "
+    + R(f'stddev_samp("return") * {252 ** 0.5 * 100!r}', 10) + " AS volatility, "
+    + R(f'avg("return") * 25200 / nullif(stddev_samp("return") * {252 ** 0.5 * 100!r}, 0)', 10) + " AS sharpe "
+    "FROM (SELECT * FROM port UNION ALL SELECT * FROM bench) u GROUP BY portfolio", "bench"))
+def q_performance_summary(spark, sf_dir):
+    port, bench = _chain(spark, sf_dir).returns()
+    return round_all(P.performance_summary(port.unionByName(bench)), bits=10)
