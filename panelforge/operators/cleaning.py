@@ -24,7 +24,7 @@ def drop_trailer(df: DataFrame, col: str, marker: str = TRAILER) -> DataFrame:
 
 def parse_dates(df: DataFrame, cols: Sequence[str], fmt: str = "yyyyMMdd") -> DataFrame:
     """``YYYYMMDD`` strings -> DATE (bad strings -> NULL instead of an ANSI error)."""
-    return df.withColumns({c: F.try_to_date(F.col(c), F.lit(fmt)) if hasattr(F, "try_to_date")
+    return df.withColumns({c: F.try_to_date(F.col(c), fmt) if hasattr(F, "try_to_date")
                            else F.to_date(F.col(c), fmt) for c in cols})
 
 

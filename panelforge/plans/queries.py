@@ -417,3 +417,336 @@ def q_active_returns(spark, sf_dir):
 def q_performance_summary(spark, sf_dir):
     port, bench = _chain(spark, sf_dir).returns()
     return round_all(P.performance_summary(port.unionByName(bench)), bits=10)
+
+
+# ================================================================ windows, joins, reshape, quality
+from panelforge.functions import ewm_mean, forward_fill, lag, lead, rolling_mean, rolling_std, rolling_sum  # noqa: E402
+from panelforge.operators import cleaning as C  # noqa: E402
+from panelforge.operators import joins as J  # noqa: E402
+from panelforge.operators import quality as Q  # noqa: E402
+from panelforge.operators import reshape as RS  # noqa: E402
+from panelforge.sources import vendor as V  # noqa: E402
+
+# factor names of the fixture (rule: F_ + return flag x line status)
+FIXTURE_FACTORS = [f"F_{a}{b}" for a in "ANR" for b in "FO"]
+FIXTURE_LINES = [f"F_L{i}" for i in range(1, 8)]
+
+
+def _panel(spark, sf_dir):
+    return fx.panel(spark, sf_dir)
+
+
+W_ASSET = "WINDOW w AS (PARTITION BY barrid ORDER BY date)"
+
+
+@query("rolling_sum", with_ctes(
+    "SELECT date, barrid, " + R('CASE WHEN count("return") OVER w22 = 22 THEN sum("return") OVER w22 END') +
+    " AS rolling_sum FROM panel WINDOW w22 AS (PARTITION BY barrid ORDER BY date ROWS BETWEEN 21 PRECEDING AND CURRENT ROW)",
+    "panel"))
+def q_rolling_sum(spark, sf_dir):
+    p = _panel(spark, sf_dir)
+    return p.select("date", "barrid", rnd(rolling_sum("return", 22)).alias("rolling_sum"))
+
+
+@query("rolling_mean_std", with_ctes(
+    "SELECT date, barrid, "
+    + R("CASE WHEN count(daily_volume) OVER w252 >= 1 THEN avg(daily_volume) OVER w252 END") + " AS mean_252, "
+    + R("CASE WHEN count(daily_volume) OVER w252 >= 2 THEN stddev_samp(daily_volume) OVER w252 END") + " AS std_252, "
+    + R('CASE WHEN count("return") OVER w230 = 230 THEN stddev_samp("return") OVER w230 END') + " AS std_230 "
+    "FROM panel WINDOW w252 AS (PARTITION BY barrid ORDER BY date ROWS BETWEEN 251 PRECEDING AND CURRENT ROW), "
+    "w230 AS (PARTITION BY barrid ORDER BY date ROWS BETWEEN 229 PRECEDING AND CURRENT ROW)", "panel"))
+def q_rolling_mean_std(spark, sf_dir):
+    p = _panel(spark, sf_dir)
+    return p.select("date", "barrid",
+                    rnd(rolling_mean("daily_volume", 252, min_samples=1)).alias("mean_252"),
+                    rnd(rolling_std("daily_volume", 252, min_samples=2)).alias("std_252"),
+                    rnd(rolling_std("return", 230)).alias("std_230"))
+
+
+@query("lag_lead", with_ctes(
+    'SELECT date, barrid, lag("return", 1) OVER w AS lag_1, lag("return", 21) OVER w AS lag_21, '
+    'lead("return", 1) OVER w AS lead_1 FROM panel ' + W_ASSET, "panel"))
+def q_lag_lead(spark, sf_dir):
+    p = _panel(spark, sf_dir)
+    return p.select("date", "barrid", lag("return", 1).alias("lag_1"), lag("return", 21).alias("lag_21"),
+                    lead("return", 1).alias("lead_1"))
+
+
+@query("forward_fill", with_ctes(
+    "SELECT date, barrid, last_value(CASE WHEN day(date) <= 3 THEN specific_risk END IGNORE NULLS) OVER "
+    "(PARTITION BY barrid ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM panel", "panel"))
+def q_forward_fill(spark, sf_dir):
+    p = _panel(spark, sf_dir).withColumn("x", F.when(F.dayofmonth("date") <= 3, F.col("specific_risk")))
+    return p.select("date", "barrid", forward_fill("x").alias("filled"))
+
+
+def _ewm_sql(span: int, min_samples: int, out: str) -> str:
+    q = 1.0 - 2.0 / (span + 1.0)
+    body = f"""SELECT a.date, a.barrid, {R(f'''CASE WHEN a.x IS NOT NULL AND a.cnt >= {min_samples} THEN
+  sum(b.x * power(CAST({q!r} AS DOUBLE), a.rn - b.rn))
+  / sum(CASE WHEN b.x IS NOT NULL THEN power(CAST({q!r} AS DOUBLE), a.rn - b.rn) END) END''')} AS {out}
+FROM e a JOIN e b ON a.barrid = b.barrid AND b.rn <= a.rn GROUP BY a.date, a.barrid, a.x, a.cnt"""
+    e = """SELECT date, barrid, x, row_number() OVER (PARTITION BY barrid ORDER BY date) AS rn,
+  count(x) OVER (PARTITION BY barrid ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cnt
+FROM (SELECT date, barrid, CASE WHEN in_universe THEN specific_return END AS x FROM assets) s"""
+    return with_ctes(body, "assets", extra=[("e", e)])
+
+
+def _ewm_query(span: int, min_samples: int, out: str):
+    def build(spark, sf_dir):
+        a = _assets(spark, sf_dir).select(
+            "date", "barrid", F.when(F.col("in_universe"), F.col("specific_return")).alias("x"))
+        return ewm_mean(a, "x", span, min_samples=min_samples, out=out).select("date", "barrid", rnd(out).alias(out))
+    return build
+
+
+query("ewm_mean_short", _ewm_sql(5, 5, "ewm"))(_ewm_query(5, 5, "ewm"))
+query("ewm_mean_long", _ewm_sql(252, 1, "ewm"))(_ewm_query(252, 1, "ewm"))
+
+
+_LOCAL = "SELECT barrid, asset_id, start_date, end_date FROM ids WHERE asset_id_type = 'LOCALID'"
+
+
+def _local_ids(p):
+    return fx.barra_ids(p).filter(F.col("asset_id_type") == "LOCALID").select("barrid", "asset_id", "start_date",
+                                                                               "end_date")
+
+
+def _asof_query(strategy: str, valid_until: str | None = None):
+    def build(spark, sf_dir):
+        p = _panel(spark, sf_dir)
+        return J.asof_join(p.select("date", "barrid"), _local_ids(p), "date", "start_date", "barrid",
+                           strategy=strategy, tie_break=("end_date",), valid_until=valid_until)
+    return build
+
+
+query("asof_backward", with_ctes(
+    "SELECT p.date, p.barrid, l.asset_id, l.start_date, l.end_date FROM panel p "
+    "ASOF LEFT JOIN local l ON p.barrid = l.barrid AND p.date >= l.start_date", "ids", extra=[("local", _LOCAL)]))(
+    _asof_query("backward"))
+query("asof_forward", with_ctes(
+    "SELECT p.date, p.barrid, l.asset_id, l.start_date, l.end_date FROM panel p "
+    "ASOF LEFT JOIN local l ON p.barrid = l.barrid AND p.date <= l.start_date", "ids", extra=[("local", _LOCAL)]))(
+    _asof_query("forward"))
+query("asof_nearest", with_ctes(
+    """SELECT date, barrid,
+  CASE WHEN fs IS NULL OR (bs IS NOT NULL AND date_diff('day', bs, date) <= date_diff('day', date, fs)) THEN ba ELSE fa END AS asset_id,
+  CASE WHEN fs IS NULL OR (bs IS NOT NULL AND date_diff('day', bs, date) <= date_diff('day', date, fs)) THEN bs ELSE fs END AS start_date,
+  CASE WHEN fs IS NULL OR (bs IS NOT NULL AND date_diff('day', bs, date) <= date_diff('day', date, fs)) THEN be ELSE fe END AS end_date
+FROM (SELECT p.date, p.barrid, b.asset_id AS ba, b.start_date AS bs, b.end_date AS be,
+             f.asset_id AS fa, f.start_date AS fs, f.end_date AS fe
+      FROM panel p
+      ASOF LEFT JOIN local b ON p.barrid = b.barrid AND p.date >= b.start_date
+      ASOF LEFT JOIN local f ON p.barrid = f.barrid AND p.date <= f.start_date) x""",
+    "ids", extra=[("local", _LOCAL)]))(_asof_query("nearest"))
+query("asof_valid_until", with_ctes(
+    "SELECT p.date, p.barrid, CASE WHEN l.end_date >= p.date THEN l.asset_id END AS asset_id, "
+    "CASE WHEN l.end_date >= p.date THEN l.start_date END AS start_date, "
+    "CASE WHEN l.end_date >= p.date THEN l.end_date END AS end_date FROM panel p "
+    "ASOF LEFT JOIN local l ON p.barrid = l.barrid AND p.date >= l.start_date", "ids", extra=[("local", _LOCAL)]))(
+    _asof_query("backward", "end_date"))
+
+
+@query("panel_left_chain", with_ctes(
+    'SELECT r.date, r.barrid, r.price, r."return", s.specific_return, k.specific_risk, k.predicted_beta, '
+    "v.daily_volume, x.exposures AS exposure_f_af FROM panel r "
+    "LEFT JOIN panel s ON r.date = s.date AND r.barrid = s.barrid "
+    "LEFT JOIN panel k ON r.date = k.date AND r.barrid = k.barrid "
+    "LEFT JOIN panel v ON r.date = v.date AND r.barrid = v.barrid "
+    "LEFT JOIN (SELECT * FROM exposures_long WHERE factor = 'F_AF') x ON r.date = x.date AND r.barrid = x.barrid",
+    "panel", "exposures_long"))
+def q_panel_left_chain(spark, sf_dir):
+    p = _panel(spark, sf_dir)
+    x = fx.exposures_long(spark, sf_dir).filter(F.col("factor") == "F_AF").select(
+        "date", "barrid", F.col("exposures").alias("exposure_f_af"))
+    out = J.left_chain(p.select("date", "barrid", "price", "return"),
+                       [fx.vendor_specific_returns(p), fx.vendor_risk(p), fx.vendor_volume(p), x])
+    return out
+
+
+@query("universe_forward_fill", with_ctes(
+    "SELECT date, barrid, cusip, russell_1000, russell_2000, in_universe FROM assets", "assets"))
+def q_universe_forward_fill(spark, sf_dir):
+    return _assets(spark, sf_dir).select("date", "barrid", "cusip", "russell_1000", "russell_2000", "in_universe")
+
+
+@query("id_type_split", with_ctes(
+    "SELECT barrid, regexp_replace(asset_id, 'US', '') AS ticker, start_date, end_date FROM ids "
+    "WHERE asset_id_type = 'LOCALID' AND starts_with(barrid, 'US') UNION ALL "
+    "SELECT barrid, asset_id, start_date, end_date FROM ids WHERE asset_id_type = 'CUSIP' AND starts_with(barrid, 'US')",
+    "ids"))
+def q_id_type_split(spark, sf_dir):
+    ids = fx.barra_ids(_panel(spark, sf_dir))
+    t = C.split_ids(ids, "LOCALID", "ticker", strip_us=True)
+    c = C.split_ids(ids, "CUSIP", "cusip").withColumnRenamed("cusip", "ticker")
+    return t.unionByName(c)
+
+
+@query("flag_decode", with_ctes(
+    "SELECT date, cusip, russell1000 = 'Y' AS russell_1000, russell2000 = 'Y' AS russell_2000 FROM membership",
+    "membership"))
+def q_flag_decode(spark, sf_dir):
+    m = fx.membership(_panel(spark, sf_dir))
+    return C.decode_flags(m, {"russell1000": "russell_1000", "russell2000": "russell_2000"})
+
+
+def _pivot_sql(index: str, on: str, value: str, names, src: str) -> str:
+    cols = ", ".join(f"max(CASE WHEN {on} = '{n}' THEN {value} END) AS \"{n}\"" for n in names)
+    return f"SELECT {index}, {cols} FROM {src} GROUP BY {index}"
+
+
+@query("pivot_exposures", with_ctes(_pivot_sql("date, barrid", "factor", "exposures", FIXTURE_FACTORS,
+                                               "exposures_long"), "exposures_long"))
+def q_pivot_exposures(spark, sf_dir):
+    return RS.pivot_wide(fx.exposures_long(spark, sf_dir), ["date", "barrid"], "factor", "exposures", FIXTURE_FACTORS)
+
+
+_COV_LONG = """SELECT CAST(l_shipdate AS DATE) AS date, concat('F_', l_returnflag, l_linestatus) AS factor_1,
+       concat('F_L', CAST(l_linenumber AS VARCHAR)) AS factor_2,
+       CAST(SUM(CAST(l_tax AS DECIMAL(12,2))) AS DOUBLE) AS covariance
+FROM lineitem GROUP BY 1, 2, 3"""
+
+
+def _cov_long(spark, sf_dir):
+    li = fx.read_table(spark, sf_dir, "lineitem")
+    return li.groupBy(
+        F.col("l_shipdate").cast("date").alias("date"),
+        F.concat(F.lit("F_"), "l_returnflag", "l_linestatus").alias("factor_1"),
+        F.concat(F.lit("F_L"), F.col("l_linenumber").cast("string")).alias("factor_2"),
+    ).agg(F.sum(F.col("l_tax").cast("decimal(12,2)")).cast("double").alias("covariance"))
+
+
+@query("pivot_covariances", with_ctes(_pivot_sql("date, factor_1", "factor_2", "covariance", FIXTURE_LINES, "cl"),
+                                      extra=[("cl", _COV_LONG)]))
+def q_pivot_covariances(spark, sf_dir):
+    return RS.pivot_wide(_cov_long(spark, sf_dir), ["date", "factor_1"], "factor_2", "covariance", FIXTURE_LINES)
+
+
+_FACT = "SELECT date, factor, sum(exposures) AS value FROM exposures_long GROUP BY date, factor"
+
+
+def _factor_long(spark, sf_dir):
+    return fx.exposures_long(spark, sf_dir).groupBy("date", "factor").agg(F.sum("exposures").alias("value"))
+
+
+@query("pivot_factors", with_ctes(
+    "SELECT date, " + ", ".join(f"{R(chr(34) + n + chr(34))} AS \"{n}\"" for n in FIXTURE_FACTORS) + " FROM ("
+    + _pivot_sql("date", "factor", "value", FIXTURE_FACTORS, "fl") + ") p", "exposures_long", extra=[("fl", _FACT)]))
+def q_pivot_factors(spark, sf_dir):
+    return round_all(RS.pivot_wide(_factor_long(spark, sf_dir), ["date"], "factor", "value", FIXTURE_FACTORS))
+
+
+@query("unpivot_weights", with_ctes(
+    f"SELECT date, regexp_replace(name, 'w_', '') AS factor, {R('value')} AS value FROM (UNPIVOT ("
+    + _pivot_sql("date", "'w_' || factor", "value", [f"w_{n}" for n in FIXTURE_FACTORS], "fl")
+    + ") ON " + ", ".join(f'"w_{n}"' for n in FIXTURE_FACTORS) + " INTO NAME name VALUE value) u",
+    "exposures_long", extra=[("fl", _FACT)]))
+def q_unpivot_weights(spark, sf_dir):
+    names = [f"w_{n}" for n in FIXTURE_FACTORS]
+    fl = _factor_long(spark, sf_dir).withColumn("factor", F.concat(F.lit("w_"), "factor"))
+    wide = RS.pivot_wide(fl, ["date"], "factor", "value", names)
+    long = RS.unpivot_long(wide, ["date"], names, "factor", "value", strip_prefix="w_")
+    return long.filter(F.col("value").isNotNull()).withColumn("value", rnd("value"))
+
+
+@query("distinct_dates", with_ctes("SELECT DISTINCT date FROM panel", "panel"))
+def q_distinct_dates(spark, sf_dir):
+    return _panel(spark, sf_dir).select("date").distinct()
+
+
+@query("last_n_sessions", with_ctes(
+    "SELECT date FROM sessions WHERE date < DATE '1999-06-15' ORDER BY date DESC LIMIT 60", "sessions"))
+def q_last_n_sessions(spark, sf_dir):
+    return C.last_n_sessions(fx.sessions(spark, sf_dir), "1999-06-15", 60)
+
+
+@query("duplicate_keys", with_ctes(
+    "SELECT date, barrid, count(*) AS n FROM exposures_long GROUP BY date, barrid HAVING count(*) > 1",
+    "exposures_long"))
+def q_duplicate_keys(spark, sf_dir):
+    return Q.duplicate_keys(fx.exposures_long(spark, sf_dir), ["date", "barrid"])
+
+
+@query("cast_drop_nan", with_ctes(
+    "SELECT date, barrid, factor, TRY_CAST(CAST(exposures AS VARCHAR) AS DOUBLE) AS exposures FROM exposures_long "
+    "WHERE NOT isnan(TRY_CAST(CAST(exposures AS VARCHAR) AS DOUBLE)) "
+    "OR TRY_CAST(CAST(exposures AS VARCHAR) AS DOUBLE) IS NULL", "exposures_long"))
+def q_cast_drop_nan(spark, sf_dir):
+    x = fx.exposures_long(spark, sf_dir).withColumn("exposures", F.col("exposures").cast("string"))
+    return C.cast_drop_nan(x, "exposures")
+
+
+@query("parse_dates", "SELECT l_orderkey, l_linenumber, strftime(CAST(l_shipdate AS DATE), '%Y%m%d') AS raw, "
+                      "CAST(l_shipdate AS DATE) AS date FROM lineitem")
+def q_parse_dates(spark, sf_dir):
+    li = fx.read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.date_format("l_shipdate", "yyyyMMdd").alias("raw"))
+    return C.parse_dates(li.withColumn("date", F.col("raw")), ["date"])
+
+
+def raw_returns_frame(p: DataFrame) -> DataFrame:
+    """The returns file as the vendor ships it: raw headers, text dates, one
+    end-of-file trailer per yearly file."""
+    rows = p.select(
+        F.date_format("date", "yyyyMMdd").alias("DataDate"), F.col("barrid").alias("!Barrid"),
+        F.col("price").alias("Price"), F.col("market_cap").alias("Capt"), F.lit("FIXTURE").alias("PriceSource"),
+        F.lit("USD").alias("Currency"), F.col("return").alias("DlyReturn%"))
+    trailers = p.select(F.year("date").alias("y")).distinct().select(
+        F.lit(None).cast("string").alias("DataDate"), F.lit(C.TRAILER).alias("!Barrid"),
+        F.lit(None).cast("double").alias("Price"), F.lit(None).cast("double").alias("Capt"),
+        F.lit(None).cast("string").alias("PriceSource"), F.lit(None).cast("string").alias("Currency"),
+        F.lit(None).cast("double").alias("DlyReturn%"))
+    return rows.unionByName(trailers)
+
+
+@query("clean_vendor", with_ctes(
+    "SELECT barrid, price, market_cap, 'FIXTURE' AS price_source, 'USD' AS currency, \"return\", date FROM panel",
+    "panel"))
+def q_clean_vendor(spark, sf_dir):
+    return V.RETURNS.clean(raw_returns_frame(_panel(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- data quality over the signal tables
+_SIG_TABLES = [("signals", "long"), ("scores", "alphas"), ("alphas", "alphas")]
+
+
+@query("count_by_signal", sig_sql(
+    """SELECT table_name, signal_name, n, min(n) OVER (PARTITION BY table_name) <> max(n) OVER (PARTITION BY table_name) AS unequal
+FROM (SELECT 'signals' AS table_name, signal_name, count(*) AS n FROM long GROUP BY signal_name
+      UNION ALL SELECT 'scores', signal_name, count(*) FROM alphas GROUP BY signal_name
+      UNION ALL SELECT 'alphas', signal_name, count(*) FROM alphas GROUP BY signal_name) c""", "alphas"))
+def q_count_by_signal(spark, sf_dir):
+    sig, sc, al = _signals_all(spark, sf_dir)
+    return Q.group_counts({"signals": sig, "scores": sc, "alphas": al}, "signal_name")
+
+
+@query("signal_stats", sig_sql(
+    "SELECT signal_name, count(*) AS count, count(*) - count(signal_value) AS nulls, "
+    f"{R('min(signal_value)')} AS min, {R('max(signal_value)')} AS max, {R('avg(signal_value)')} AS mean, "
+    f"{R('stddev_samp(signal_value)')} AS std FROM long GROUP BY signal_name"))
+def q_signal_stats(spark, sf_dir):
+    sig, _, _ = _signals_all(spark, sf_dir)
+    return round_all(Q.column_stats(sig, "signal_value", ["signal_name"]))
+
+
+@query("missing_signals", sig_sql(
+    "SELECT coalesce(e.signal_name, p.signal_name) AS signal_name, CASE WHEN p.signal_name IS NULL THEN 'missing' "
+    "WHEN e.signal_name IS NULL THEN 'extra' ELSE 'present' END AS status FROM (VALUES "
+    + ", ".join(f"('{n}')" for n in _ALL) + ") e(signal_name) FULL OUTER JOIN (SELECT DISTINCT signal_name FROM long) p "
+    "ON e.signal_name = p.signal_name"))
+def q_missing_signals(spark, sf_dir):
+    sig, _, _ = _signals_all(spark, sf_dir)
+    return Q.completeness(sig, "signal_name", _ALL)
+
+
+@query("union_signals", sig_sql(
+    f"SELECT date, barrid, signal_name, {R('signal_value')} AS signal_value FROM long "
+    "WHERE signal_name IN ('reversal', 'ivol')"))
+def q_union_signals(spark, sf_dir):
+    a = q_sig("reversal")(spark, sf_dir)
+    b = q_sig("ivol")(spark, sf_dir)
+    return a.unionByName(b)
+
+
+def q_sig(name):
+    return _one_signal(name)
