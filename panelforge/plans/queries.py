@@ -750,3 +750,137 @@ def q_union_signals(spark, sf_dir):
 
 def q_sig(name):
     return _one_signal(name)
+
+
+# ================================================================ table store
+from pyspark.sql import types as T  # noqa: E402
+
+from panelforge.session import shared_dir  # noqa: E402
+from panelforge.sources import tables as TB  # noqa: E402
+
+PANEL_SPEC = TB.TableSpec("panel", T.StructType([
+    T.StructField("date", T.DateType()), T.StructField("barrid", T.StringType()),
+    T.StructField("price", T.DoubleType()), T.StructField("market_cap", T.DoubleType()),
+    T.StructField("return", T.DoubleType()), T.StructField("specific_return", T.DoubleType()),
+    T.StructField("specific_risk", T.DoubleType()), T.StructField("predicted_beta", T.DoubleType()),
+    T.StructField("daily_volume", T.DoubleType())]), ("date", "barrid"))
+
+
+def _stored_panel(spark, sf_dir, name="panel", end=None):
+    p = _panel(spark, sf_dir)
+    if end is not None:
+        p = p.filter(F.col("date") < F.lit(end).cast("date"))
+    t = TB.Table(spark, shared_dir(spark, name), PANEL_SPEC)
+    t.overwrite(p)
+    return t, p
+
+
+@query("scan_year", with_ctes("SELECT * FROM panel WHERE year(date) = 1997", "panel"))
+def q_scan_year(spark, sf_dir):
+    t, _ = _stored_panel(spark, sf_dir)
+    return t.read(years=[1997])
+
+
+@query("snapshot_overwrite", with_ctes("SELECT * FROM asset_ids", "asset_ids"))
+def q_snapshot_overwrite(spark, sf_dir):
+    ids = fx.asset_ids(spark, sf_dir)
+    spec = TB.TableSpec("asset_ids", ids.schema, ("barrid", "start_date", "rootid", "end_date"), yearly=False)
+    t = TB.Table(spark, shared_dir(spark, "ids"), spec)
+    t.overwrite(ids)
+    t.overwrite(ids)  # idempotent
+    return t.read()
+
+
+_UPSERT_NEW = """SELECT date, barrid, price * 2 AS price, market_cap, "return", specific_return,
+       CAST(NULL AS DOUBLE) AS specific_risk, predicted_beta, daily_volume
+FROM panel WHERE date >= DATE '1997-07-01' AND date < DATE '1999-01-01'"""
+_UPSERT_OLD = "SELECT * FROM panel WHERE date < DATE '1998-01-01'"
+
+
+def _upsert_rows(p):
+    return p.filter((F.col("date") >= F.lit("1997-07-01").cast("date")) & (F.col("date") < F.lit("1999-01-01").cast("date"))) \
+        .withColumn("price", F.col("price") * 2).withColumn("specific_risk", F.lit(None).cast("double")) \
+        .withColumn("junk", F.lit("dropped"))
+
+
+_MERGE_SEL = """coalesce(o.date, n.date) AS date, coalesce(o.barrid, n.barrid) AS barrid,
+       coalesce(n.price, o.price) AS price, coalesce(n.market_cap, o.market_cap) AS market_cap,
+       coalesce(n."return", o."return") AS "return", coalesce(n.specific_return, o.specific_return) AS specific_return,
+       coalesce(n.specific_risk, o.specific_risk) AS specific_risk, coalesce(n.predicted_beta, o.predicted_beta) AS predicted_beta,
+       coalesce(n.daily_volume, o.daily_volume) AS daily_volume"""
+
+
+@query("upsert_merge", with_ctes(
+    f"SELECT {_MERGE_SEL} FROM old o FULL OUTER JOIN new n ON o.date = n.date AND o.barrid = n.barrid",
+    "panel", extra=[("old", _UPSERT_OLD), ("new", _UPSERT_NEW)]))
+def q_upsert_merge(spark, sf_dir):
+    t, p = _stored_panel(spark, sf_dir, end="1998-01-01")
+    new = _upsert_rows(_panel(spark, sf_dir))
+    t.upsert(new)
+    t.upsert(new)  # idempotent: a second upsert changes nothing
+    return t.read()
+
+
+@query("update_left", with_ctes(
+    f"SELECT {_MERGE_SEL} FROM old o LEFT JOIN new n ON o.date = n.date AND o.barrid = n.barrid",
+    "panel", extra=[("old", _UPSERT_OLD), ("new", _UPSERT_NEW)]))
+def q_update_left(spark, sf_dir):
+    t, p = _stored_panel(spark, sf_dir, end="1998-01-01")
+    t.update(_upsert_rows(_panel(spark, sf_dir)))
+    return t.read()
+
+
+@query("partition_delete", with_ctes("SELECT * FROM panel WHERE year(date) <> 1996", "panel"))
+def q_partition_delete(spark, sf_dir):
+    t, _ = _stored_panel(spark, sf_dir)
+    t.delete(1996)
+    return t.read()
+
+
+@query("merge_schema_evolution", with_ctes(
+    "SELECT o.date, o.barrid, coalesce(n.price, o.price) AS price, o.market_cap, o.\"return\", o.specific_return, "
+    "o.specific_risk, o.predicted_beta, coalesce(n.daily_volume, o.daily_volume) AS daily_volume, "
+    "n.volume_score FROM panel o LEFT JOIN (SELECT date, barrid, price * 2 AS price, daily_volume, "
+    " + R("ln(1 + daily_volume)") + " AS volume_score FROM panel WHERE year(date) = 1999) n "
+    "ON o.date = n.date AND o.barrid = n.barrid", "panel"))
+def q_merge_schema_evolution(spark, sf_dir):
+    t, p = _stored_panel(spark, sf_dir)
+    new = p.filter(F.year("date") == 1999).select(
+        "date", "barrid", (F.col("price") * 2).alias("price"), "daily_volume",
+        rnd(F.log1p("daily_volume")).alias("volume_score"))
+    evolved = TB.merge_with_evolution(t, new, ["date", "barrid"], how="left")
+    return evolved.read()
+
+
+_UA_LEFT = "SELECT date, barrid, price, concat('OLD', barrid) AS asset_id FROM panel"
+
+
+def _update_asof_query(strategy: str):
+    def build(spark, sf_dir):
+        p = _panel(spark, sf_dir)
+        root = shared_dir(spark, "ua")
+        left = p.select("date", "barrid", "price", F.concat(F.lit("OLD"), "barrid").alias("asset_id"))
+        t = TB.replace(spark, root, "assets_ids", left)
+        out = t.update_asof(_local_ids(p), "date", "start_date", "barrid", strategy=strategy)
+        TB.replace(spark, root, "assets_ids", out)
+        return TB.Table(spark, root, TB.TableSpec("assets_ids", out.schema, ("date", "barrid"))).read()
+    return build
+
+
+_UA_OUT = "l.barrid, l.date, coalesce({r}.asset_id, l.asset_id) AS asset_id, l.price, {r}.end_date"
+query("update_asof_backward", with_ctes(
+    "SELECT " + _UA_OUT.format(r="r") + " FROM lft l ASOF LEFT JOIN local r ON l.barrid = r.barrid AND l.date >= r.start_date",
+    "ids", extra=[("local", _LOCAL), ("lft", _UA_LEFT)]))(_update_asof_query("backward"))
+query("update_asof_forward", with_ctes(
+    "SELECT " + _UA_OUT.format(r="r") + " FROM lft l ASOF LEFT JOIN local r ON l.barrid = r.barrid AND l.date <= r.start_date",
+    "ids", extra=[("local", _LOCAL), ("lft", _UA_LEFT)]))(_update_asof_query("forward"))
+query("update_asof_nearest", with_ctes(
+    """SELECT barrid, date, coalesce(CASE WHEN pick_b THEN ba ELSE fa END, asset_id) AS asset_id, price,
+       CASE WHEN pick_b THEN be ELSE fe END AS end_date
+FROM (SELECT l.*, b.asset_id AS ba, b.end_date AS be, f.asset_id AS fa, f.end_date AS fe,
+             (f.start_date IS NULL OR (b.start_date IS NOT NULL AND
+              date_diff('day', b.start_date, l.date) <= date_diff('day', l.date, f.start_date))) AS pick_b
+      FROM lft l
+      ASOF LEFT JOIN local b ON l.barrid = b.barrid AND l.date >= b.start_date
+      ASOF LEFT JOIN local f ON l.barrid = f.barrid AND l.date <= f.start_date) x""",
+    "ids", extra=[("local", _LOCAL), ("lft", _UA_LEFT)]))(_update_asof_query("nearest"))
