@@ -841,7 +841,7 @@ def q_partition_delete(spark, sf_dir):
     "SELECT o.date, o.barrid, coalesce(n.price, o.price) AS price, o.market_cap, o.\"return\", o.specific_return, "
     "o.specific_risk, o.predicted_beta, coalesce(n.daily_volume, o.daily_volume) AS daily_volume, "
     "n.volume_score FROM panel o LEFT JOIN (SELECT date, barrid, price * 2 AS price, daily_volume, "
-    " + R("ln(1 + daily_volume)") + " AS volume_score FROM panel WHERE year(date) = 1999) n "
+    + R("ln(1 + daily_volume)") + " AS volume_score FROM panel WHERE year(date) = 1999) n "
     "ON o.date = n.date AND o.barrid = n.barrid", "panel"))
 def q_merge_schema_evolution(spark, sf_dir):
     t, p = _stored_panel(spark, sf_dir)
