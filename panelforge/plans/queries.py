@@ -884,3 +884,159 @@ FROM (SELECT l.*, b.asset_id AS ba, b.end_date AS be, f.asset_id AS fa, f.end_da
       ASOF LEFT JOIN local b ON l.barrid = b.barrid AND l.date >= b.start_date
       ASOF LEFT JOIN local f ON l.barrid = f.barrid AND l.date <= f.start_date) x""",
     "ids", extra=[("local", _LOCAL), ("lft", _UA_LEFT)]))(_update_asof_query("nearest"))
+
+
+# ================================================================ sources, streaming, flows
+from panelforge.plans import flows as FL  # noqa: E402
+from panelforge.sources import archives as AR  # noqa: E402
+from panelforge.sources import extracts as EX  # noqa: E402
+from panelforge.streaming.ingest import ingest_folder  # noqa: E402
+
+RET_SPEC = AR.ArchiveSpec("RET_HIST", "RET_", "RET_DAILY", "RET", skip=1)
+RAW_RET = ["!Barrid", "Price", "Capt", "PriceSource", "Currency", "DlyReturn%", "DataDate"]
+
+
+def _raw_rows(p):
+    return raw_returns_frame(p).filter(F.col("!Barrid") != C.TRAILER)
+
+
+@query("src_archive_history", with_ctes(
+    "SELECT barrid, price, market_cap, 'FIXTURE' AS price_source, 'USD' AS currency, \"return\", date FROM panel",
+    "panel"))
+def q_src_archive_history(spark, sf_dir):
+    p = _panel(spark, sf_dir)
+    root = shared_dir(spark, "archives")
+    AR.write_archives(_raw_rows(p), root, F.date_format(F.to_date("DataDate", "yyyyMMdd"), "yyyy_MM"),
+                      lambda k: f"RET_HIST_{k}.zip", lambda k: f"RET_{k}.txt", RAW_RET).count()
+    return V.RETURNS.clean(AR.read_history(spark, root, RET_SPEC, RAW_RET))
+
+
+def _daily_archives(spark, sf_dir):
+    p = _panel(spark, sf_dir)
+    root = shared_dir(spark, "daily")
+    d = F.to_date("DataDate", "yyyyMMdd")
+    AR.write_archives(_raw_rows(p), root, F.date_format(d, "yyyyMMdd"),
+                      lambda k: f"RET_DAILY_{k[2:]}.zip", lambda k: f"RET.{k}", RAW_RET).count()
+    # the look-back list: at most 60 dates reach the driver
+    sessions = [r[0] for r in C.last_n_sessions(fx.sessions(spark, sf_dir), "1999-06-15", 60).collect()]
+    return root, sessions
+
+
+_LOOKBACK = "SELECT date FROM sessions WHERE date < DATE '1999-06-15' ORDER BY date DESC LIMIT 60"
+
+
+@query("src_daily_lookback", with_ctes(
+    "SELECT barrid, price, market_cap, 'FIXTURE' AS price_source, 'USD' AS currency, \"return\", date FROM panel "
+    "WHERE date IN (SELECT date FROM lb)", "panel", "sessions", extra=[("lb", _LOOKBACK)]))
+def q_src_daily_lookback(spark, sf_dir):
+    root, sessions = _daily_archives(spark, sf_dir)
+    return V.RETURNS.clean(AR.read_daily(spark, root, RET_SPEC, RAW_RET, sessions))
+
+
+@query("src_latest_snapshot", with_ctes(
+    "SELECT barrid, price, market_cap, 'FIXTURE' AS price_source, 'USD' AS currency, \"return\", date FROM panel "
+    "WHERE date = (SELECT max(date) FROM lb)", "panel", "sessions", extra=[("lb", _LOOKBACK)]))
+def q_src_latest_snapshot(spark, sf_dir):
+    root, sessions = _daily_archives(spark, sf_dir)
+    return V.RETURNS.clean(AR.read_daily(spark, root, RET_SPEC, RAW_RET, sessions, latest_only=True))
+
+
+FF_SCHEMA = T.StructType([T.StructField(n, T.DoubleType() if n != "date" else T.DateType())
+                          for n in ["date", "mkt_rf", "smb", "hml", "rmw", "cma", "rf"]])
+
+_FF_DAILY = """SELECT CAST(l_shipdate AS DATE) AS date,
+       SUM(CAST(l_discount AS DECIMAL(12,2))) - SUM(CAST(l_tax AS DECIMAL(12,2))) AS mkt_rf,
+       SUM(CAST(l_discount AS DECIMAL(12,2))) AS smb, SUM(CAST(l_tax AS DECIMAL(12,2))) AS hml,
+       CAST(COUNT(*) AS DECIMAL(12,2)) AS rmw, MAX(CAST(l_discount AS DECIMAL(12,2))) AS cma,
+       MIN(CAST(l_tax AS DECIMAL(12,2))) AS rf
+FROM lineitem GROUP BY 1"""
+
+
+def _ff_text(spark, sf_dir):
+    li = fx.read_table(spark, sf_dir, "lineitem")
+    dec = lambda c: F.col(c).cast("decimal(12,2)")
+    daily = li.groupBy(F.col("l_shipdate").cast("date").alias("date")).agg(
+        (F.sum(dec("l_discount")) - F.sum(dec("l_tax"))).alias("mkt_rf"), F.sum(dec("l_discount")).alias("smb"),
+        F.sum(dec("l_tax")).alias("hml"), F.count(F.lit(1)).cast("decimal(12,2)").alias("rmw"),
+        F.max(dec("l_discount")).alias("cma"), F.min(dec("l_tax")).alias("rf"))
+    vals = ["mkt_rf", "smb", "hml", "rmw", "cma", "rf"]
+    body = daily.select(F.lit(10).alias("sec"), F.date_format("date", "yyyyMMdd").alias("k"),
+                        F.concat_ws(",", F.date_format("date", "yyyyMMdd"),
+                                    *[F.concat(F.lit("  "), F.col(v).cast("string")) for v in vals]).alias("line"))
+    annual = daily.groupBy(F.year("date").alias("y")).agg(*[F.sum(v).alias(v) for v in vals]).select(
+        F.lit(30).alias("sec"), F.col("y").cast("string").alias("k"),
+        F.concat_ws(",", F.col("y").cast("string"), *[F.col(v).cast("string") for v in vals]).alias("line"))
+    spark_ = spark
+    head = spark_.createDataFrame(
+        [(0, "0", "This file was created from the fixture tables."), (1, "1", "Daily factors in percent."),
+         (2, "2", ""), (5, "5", ",Mkt-RF,SMB,HML,RMW,CMA,RF"), (20, "20", ""),
+         (21, "21", " Annual Factors: January-December "), (22, "22", ",Mkt-RF,SMB,HML,RMW,CMA,RF")],
+        "sec int, k string, line string")
+    text = head.unionByName(body).unionByName(annual)
+    path = shared_dir(spark, "ff") + "/factors"
+    # one text file: a single ordered task over one row per trading day
+    text.repartition(1).sortWithinPartitions("sec", "k").select("line").write.mode("overwrite").text(path)
+    return path
+
+
+@query("src_sectioned_csv", with_ctes(
+    "SELECT date, CAST(mkt_rf AS DOUBLE) / 100 AS mkt_rf, CAST(smb AS DOUBLE) / 100 AS smb, "
+    "CAST(hml AS DOUBLE) / 100 AS hml, CAST(rmw AS DOUBLE) / 100 AS rmw, CAST(cma AS DOUBLE) / 100 AS cma, "
+    "CAST(rf AS DOUBLE) / 100 AS rf FROM ffd", extra=[("ffd", _FF_DAILY)]))
+def q_src_sectioned_csv(spark, sf_dir):
+    return AR.read_sectioned_csv(spark, _ff_text(spark, sf_dir), FF_SCHEMA)
+
+
+_EXTRACT_COLS = {"l_shipdate": "date", "l_suppkey": "permno", "l_orderkey": "order_id", "l_linenumber": "line",
+                 "l_extendedprice": "prc", "l_quantity": "vol"}
+
+
+@query("extract_range", "SELECT CAST(l_shipdate AS DATE) AS date, l_suppkey AS permno, l_orderkey AS order_id, "
+                        "l_linenumber AS line, l_extendedprice AS prc, l_quantity AS vol FROM lineitem "
+                        "WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'")
+def q_extract_range(spark, sf_dir):
+    return EX.extract(fx.read_table(spark, sf_dir, "lineitem"), _EXTRACT_COLS, "l_shipdate", "1996-01-01",
+                      "1996-12-31")
+
+
+@query("extract_events", "SELECT CAST(l_shipdate AS DATE) AS date, l_suppkey AS permno, l_orderkey AS order_id, "
+                         "l_linenumber AS line, l_extendedprice AS prc, l_quantity AS vol FROM lineitem "
+                         "WHERE l_returnflag = 'R' AND CAST(l_shipdate AS DATE) BETWEEN DATE '1995-01-01' "
+                         "AND DATE '2001-12-31'")
+def q_extract_events(spark, sf_dir):
+    return EX.extract(fx.read_table(spark, sf_dir, "lineitem"), _EXTRACT_COLS, "l_shipdate", "1995-01-01",
+                      "2001-12-31", where=F.col("l_returnflag") == "R")
+
+
+@query("scan_csv_roundtrip", with_ctes("SELECT * FROM panel", "panel"))
+def q_scan_csv_roundtrip(spark, sf_dir):
+    p = _panel(spark, sf_dir)
+    path = shared_dir(spark, "csv") + "/panel"
+    EX.write_csv(p, path)
+    return EX.read_csv(spark, path, p.schema)
+
+
+@query("stream_upsert", with_ctes(
+    f"SELECT {_MERGE_SEL} FROM panel o FULL OUTER JOIN (SELECT date, barrid, price * 2 AS price, market_cap, "
+    "\"return\", specific_return, CAST(NULL AS DOUBLE) AS specific_risk, predicted_beta, daily_volume FROM panel "
+    "WHERE year(date) = 1998) n ON o.date = n.date AND o.barrid = n.barrid", "panel"))
+def q_stream_upsert(spark, sf_dir):
+    p = _panel(spark, sf_dir)
+    drop = shared_dir(spark, "drop")
+    base = shared_dir(spark, "stream")
+    # vendor drops: one file per year, then a correction file for 1998
+    p.withColumn("y", F.year("date")).write.partitionBy("y").parquet(drop + "/stage")
+    for y in sorted({r[0] for r in p.select(F.year("date")).distinct().collect()}):  # years: calendar-bounded
+        spark.read.parquet(f"{drop}/stage/y={y}").write.mode("append").parquet(drop + "/in")
+    corr = p.filter(F.year("date") == 1998).withColumn("price", F.col("price") * 2) \
+        .withColumn("specific_risk", F.lit(None).cast("double"))
+    corr.write.mode("append").parquet(drop + "/in")
+    t = TB.Table(spark, base, PANEL_SPEC)
+    ingest_folder(spark, drop + "/in", PANEL_SPEC.schema, t, base + "/_checkpoint", max_files_per_trigger=3)
+    return t.read()
+
+
+@query("signals_pipeline", sig_sql(f"SELECT date, barrid, signal_name, {R('alpha')} AS alpha FROM alphas", "alphas"))
+def q_signals_pipeline(spark, sf_dir):
+    tables = FL.signals_flow(spark, _assets(spark, sf_dir), shared_dir(spark, "signals"))
+    return tables["alphas"].read().withColumn("alpha", rnd("alpha"))
