@@ -164,13 +164,20 @@ def signals_long(wide: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def compute_signals(assets: DataFrame, names: Sequence[str] | None = None,
-                    registry: dict[str, SignalSpec] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+                    registry: dict[str, SignalSpec] | None = None,
+                    materialize: Callable[[DataFrame], DataFrame] | None = None,
+                    ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(signals, scores, alphas) in long form for every registered signal.
 
-    Signals sharing a (scorer, alphatizer) pair are scored in one pass."""
+    Signals sharing a (scorer, alphatizer) pair are scored in one pass.  The
+    long signal table feeds every scorer group; ``materialize`` (e.g. a
+    reliable ``checkpoint``) stores it once instead of recomputing the
+    per-asset windows for each group."""
     reg = registry or SIGNALS
     names = list(names or reg)
     long = signals_long(signal_columns(signal_input(assets), names, reg), names)
+    if materialize is not None:
+        long = materialize(long)
     groups: dict[tuple, list[str]] = {}
     for n in names:
         groups.setdefault((reg[n].scorer, reg[n].alphatizer), []).append(n)

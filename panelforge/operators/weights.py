@@ -64,23 +64,36 @@ def halo_blocks(df: DataFrame, n: int, order: str = "date") -> DataFrame:
 def rolling_moments(wide: DataFrame, names: Sequence[str], n: int) -> DataFrame:
     """For each date from row ``n`` on, the mean of each series and the
     sample covariance of each pair over the previous ``n`` rows.  A window
-    with a missing value leaves the moments NULL (NumPy gives NaN)."""
+    with a missing value leaves the moments NULL (NumPy gives NaN).
+
+    Linear time: running sums (an incremental frame) of the block-centred
+    values and their products, differenced ``n`` rows apart with ``lag``; the
+    centring (block mean) keeps the cross-product sums free of cancellation."""
     hb = halo_blocks(wide, n)
-    w = Window.partitionBy("_blk").orderBy("date").rowsBetween(-n, -1)
+    blk = Window.partitionBy("_blk")
+    run = Window.partitionBy("_blk").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordw = Window.partitionBy("_blk").orderBy("date")
+    hb = hb.withColumns({f"_c_{a}": F.avg(a).over(blk) for a in names})
+    hb = hb.withColumns({f"_x_{a}": F.coalesce(F.col(a) - F.col(f"_c_{a}"), F.lit(0.0)) for a in names})
+    any_null = F.greatest(*[F.col(a).isNull() for a in names]) if len(names) > 1 else F.col(names[0]).isNull()
+    sums = {f"_s_{a}": F.sum(f"_x_{a}").over(run) for a in names}
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    sums.update({f"_s_{a}__{b}": F.sum(F.col(f"_x_{a}") * F.col(f"_x_{b}")).over(run) for a, b in pairs})
+    sums["_s_bad"] = F.sum(F.when(any_null, 1).otherwise(0)).over(run)
+    hb = hb.withColumns(sums)
+
+    def prev_n(c: str):  # sum over rows t-n .. t-1
+        return F.lag(c, 1).over(ordw) - F.coalesce(F.lag(c, n + 1).over(ordw), F.lit(0))
+
+    hb = hb.withColumns({f"_w{c[2:]}": prev_n(c) for c in sums})
     cols = {}
-    complete = F.lit(True)
     for a in names:
-        cols[f"m_{a}"] = F.avg(a).over(w)
-        complete = complete & (F.count(a).over(w) == n)
-    for i, a in enumerate(names):
-        for b in names[i:]:
-            cols[f"c_{a}__{b}"] = F.covar_samp(a, b).over(w)
-    # a pair's covariance also needs complete rows in both series
-    rows_ok = F.sum(F.when(F.greatest(*[F.col(x).isNull() for x in names]) if len(names) > 1
-                           else F.col(names[0]).isNull(), 1).otherwise(0)).over(w) == 0
-    hb = hb.withColumns(cols).withColumn("_ok", complete & rows_ok)
+        cols[f"m_{a}"] = F.col(f"_w_{a}") / n + F.col(f"_c_{a}")
+    for a, b in pairs:
+        cols[f"c_{a}__{b}"] = (F.col(f"_w_{a}__{b}") - F.col(f"_w_{a}") * F.col(f"_w_{b}") / n) / (n - 1)
     out = hb.filter(F.col("_own") & (F.col("_grn") >= n))
-    return out.select("date", *[F.when(F.col("_ok"), F.col(c)).alias(c) for c in cols])
+    ok = F.col("_w_bad") == 0
+    return out.select("date", *[F.when(ok, e).alias(c) for c, e in cols.items()])
 
 
 def _solve_batches(names: Sequence[str], n0: int, n: int, daily_var: float, mu0: np.ndarray):

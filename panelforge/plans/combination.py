@@ -41,31 +41,52 @@ def composite_panel_weights(assets: DataFrame, composite: DataFrame, target_risk
         "date", "barrid", "weight")
 
 
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the session's shared checkpoint folder: cuts
+    the lineage at a stage boundary and survives executor loss."""
+    from panelforge.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 class Chain:
-    """Lazily built DataFrames of the whole chain (nothing is computed here)."""
+    """The whole chain over one asset panel and its alphas.
 
-    def __init__(self, assets: DataFrame, alphas: DataFrame, names: Sequence[str] = Wt.WEIGHT_SIGNALS):
+    Each stage boundary (the tables the reference writes between its flows)
+    is materialised once with a reliable checkpoint, so later stages that use
+    a table several times do not recompute its lineage."""
+
+    def __init__(self, assets: DataFrame, alphas: DataFrame, names: Sequence[str] = Wt.WEIGHT_SIGNALS,
+                 materialize: bool = True):
+        self._cp = checkpoint if materialize else (lambda d: d)
         self.assets = assets
         self.alphas = alphas
         self.names = list(names)
+        self._memo: dict = {}
+
+    def _stage(self, key, build):
+        if key not in self._memo:
+            self._memo[key] = self._cp(build())
+        return self._memo[key]
 
     def active(self) -> DataFrame:
-        return signal_active_weights(self.assets, self.alphas)
+        return self._stage("active", lambda: signal_active_weights(self.assets, self.alphas))
 
     def signal_returns(self) -> DataFrame:
-        return P.signal_returns(self.active(), self.assets)
+        return self._stage("signal_returns", lambda: P.signal_returns(self.active(), self.assets))
 
     def weight_table(self) -> DataFrame:
-        return Wt.signal_weight_table(self.signal_returns(), self.names)
+        return self._stage("weight_table", lambda: Wt.signal_weight_table(self.signal_returns(), self.names))
 
     def signal_weights(self) -> DataFrame:
-        return Wt.smooth_weights(self.weight_table(), self.names)
+        return self._stage("signal_weights", lambda: Wt.smooth_weights(self.weight_table(), self.names))
 
     def composite(self) -> DataFrame:
-        return P.composite_alphas(self.alphas, self.signal_weights(), self.names)
+        return self._stage("composite", lambda: P.composite_alphas(self.alphas, self.signal_weights(), self.names))
 
     def composite_weights(self) -> DataFrame:
-        return composite_panel_weights(self.assets, self.composite())
+        return self._stage("composite_weights", lambda: composite_panel_weights(self.assets, self.composite()))
 
     def returns(self) -> tuple[DataFrame, DataFrame]:
         fwd = P.forward_returns(self.assets)

@@ -38,7 +38,9 @@ def signals_flow(spark: SparkSession, assets: DataFrame, root: str, names: Seque
     """signals, scores and alphas from the full asset history, upserted into
     three yearly tables; ``write_start``/``write_end`` restrict only what is
     written (the windows always see the whole history)."""
-    sig, sc, al = compute_signals(assets, names)
+    from panelforge.plans.combination import checkpoint
+
+    sig, sc, al = compute_signals(assets, names, materialize=checkpoint)
     out = {}
     for name, df in (("signals", sig), ("scores", sc), ("alphas", al)):
         if write_start is not None:

@@ -94,7 +94,9 @@ def _assets(spark, sf_dir) -> DataFrame:
 
 
 def _signals_all(spark, sf_dir):
-    return S.compute_signals(_assets(spark, sf_dir))
+    from panelforge.plans.combination import checkpoint
+
+    return S.compute_signals(_assets(spark, sf_dir), materialize=checkpoint)
 
 
 # ---------------------------------------------------------------- F1 assets
@@ -181,7 +183,7 @@ def q_alphas_long(spark, sf_dir):
 # ================================================================ combination chain
 from panelforge.operators import portfolio as P  # noqa: E402
 from panelforge.operators import weights as Wt  # noqa: E402
-from panelforge.plans.combination import Chain  # noqa: E402
+from panelforge.plans.combination import Chain, checkpoint  # noqa: E402
 
 _ALL = ["momentum", "reversal", "beta", "barra_reversal", "barra_momentum", "ivol"]
 _NAMES_SQL = ", ".join(f"('{n}')" for n in _ALL)
@@ -294,9 +296,9 @@ _CHAIN_MARK = "/*chain*/"
 
 
 def _chain(spark, sf_dir) -> Chain:
-    assets = _assets(spark, sf_dir)
-    _, _, alphas = S.compute_signals(assets)
-    return Chain(assets, alphas)
+    assets = checkpoint(_assets(spark, sf_dir))
+    _, _, alphas = S.compute_signals(assets, materialize=checkpoint)
+    return Chain(assets, checkpoint(alphas))
 
 
 @query("benchmark_weights", with_ctes(
