@@ -69,7 +69,8 @@ def asof_join_many(
     """
     by = _list(by)
     lcols = left.columns
-    lstruct_t = left.select(_side_struct(left, lcols).alias("s")).schema["s"].dataType
+    lrest = [c for c in lcols if c not in by]  # key columns travel as top-level columns
+    lstruct_t = left.select(_side_struct(left, lrest).alias("s")).schema["s"].dataType
 
     plans = []
     taken = set(lcols)
@@ -96,10 +97,10 @@ def asof_join_many(
         return F.lit(None).cast(t)
 
     left_u = left.select(
-        *[F.col(b).alias(f"_by{k}") for k, b in enumerate(by)],
+        *[F.col(b) for b in by],
         F.col(left_on).alias("_t"),
         F.lit(1).alias("_side"),
-        _side_struct(left, lcols).alias("_l"),
+        _side_struct(left, lrest).alias("_l"),
         *[null_of(p[3]).alias(f"_r{i}") for i, p in enumerate(plans)],
     )
     # tie-break columns: typed from their right tables
@@ -112,7 +113,7 @@ def asof_join_many(
     unions = [left_u]
     for i, (s, r, cols, rt, on) in enumerate(plans):
         ri = r.filter(F.col(s.right_on).isNotNull()).select(
-            *[F.col(b).alias(f"_by{k}") for k, b in enumerate(by)],
+            *[F.col(b) for b in by],
             F.col(s.right_on).alias("_t"),
             F.lit(0).alias("_side"),
             null_of(lstruct_t).alias("_l"),
@@ -127,7 +128,7 @@ def asof_join_many(
     for x in unions[1:]:
         u = u.unionByName(x)
 
-    part = [f"_by{k}" for k in range(len(by))]
+    part = list(by)
     picked = []
     for i, (s, r, cols, rt, on) in enumerate(plans):
         tbs = [c for c in tb_cols if c.startswith(f"_tb{i}_")]
@@ -164,7 +165,7 @@ def asof_join_many(
         else:
             raise ValueError(f"unknown strategy {s.strategy!r}")
     u = u.filter(F.col("_side") == 1)
-    out = [F.col("_l")[c].alias(c) for c in lcols]
+    out = [F.col(c) if c in by else F.col("_l")[c].alias(c) for c in lcols]
     for i, (s, r, cols, rt, (oc, on)) in enumerate(plans):
         m = F.when(F.col("_t").isNotNull(), picked[i])
         out += [m[c].alias(o) for c, o in zip(oc, on)]

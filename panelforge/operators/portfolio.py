@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.numeric import log1p_or_null, safe_div
+from panelforge.operators.crosssection import attach_stats
 
 
 def _list(x) -> list:
@@ -26,8 +27,8 @@ def _list(x) -> list:
 def benchmark_weights(df: DataFrame, cap: str = "market_cap", by: Sequence[str] = ("date",),
                       out: str = "benchmark_weight") -> DataFrame:
     """Cap weight inside each cross-section: cap / sum(cap)."""
-    w = Window.partitionBy(*by)
-    return df.withColumn(out, safe_div(F.col(cap), F.sum(cap).over(w)))
+    df = attach_stats(df, by, {"_bw_tot": F.sum(cap)})
+    return df.withColumn(out, safe_div(F.col(cap), F.col("_bw_tot"))).drop("_bw_tot")
 
 
 # ------------------------------------------------------------------ P5 / D6
@@ -64,19 +65,13 @@ def active_weights(panel: DataFrame, by: Sequence[str] = ("date",), zero_beta: b
     scaled so that sqrt(sum w^2 sigma^2) = target_risk.  This re-aims the
     reference's external solver call (ZeroInvestment / ZeroBeta constraints,
     target active risk); it is not that solver's output."""
-    w = Window.partitionBy(*by)
     iv = F.lit(1.0) / (F.col(risk) * F.col(risk))
     a, b = F.col(alpha), F.col(beta)
-    df = panel.withColumns({
-        "_s11": F.sum(iv).over(w),
-        "_s1a": F.sum(a * iv).over(w),
-    })
+    sums = {"_n": F.count(F.lit(1)), "_s11": F.sum(iv), "_s1a": F.sum(a * iv)}
+    if zero_beta:
+        sums.update({"_s1b": F.sum(b * iv), "_sbb": F.sum(b * b * iv), "_sba": F.sum(b * a * iv)})
+    df = attach_stats(panel, by, sums)
     if zero_beta:
-        df = df.withColumns({
-            "_s1b": F.sum(b * iv).over(w),
-            "_sbb": F.sum(b * b * iv).over(w),
-            "_sba": F.sum(b * a * iv).over(w),
-        })
         det = F.col("_s11") * F.col("_sbb") - F.col("_s1b") * F.col("_s1b")
         mu0 = safe_div(F.col("_sbb") * F.col("_s1a") - F.col("_s1b") * F.col("_sba"), det)
         mu1 = safe_div(F.col("_s11") * F.col("_sba") - F.col("_s1b") * F.col("_s1a"), det)
@@ -84,12 +79,12 @@ def active_weights(panel: DataFrame, by: Sequence[str] = ("date",), zero_beta: b
     else:
         raw = (a - safe_div(F.col("_s1a"), F.col("_s11"))) * iv
     df = df.withColumn("_raw", raw)
-    scale = safe_div(F.lit(target_risk), F.sqrt(F.sum(F.col("_raw") * F.col("_raw") * F.col(risk) * F.col(risk)).over(w)))
+    df = attach_stats(df, by, {"_risk2": F.sum(F.col("_raw") * F.col("_raw") * F.col(risk) * F.col(risk))})
+    scale = safe_div(F.lit(target_risk), F.sqrt(F.col("_risk2")))
     # with no more assets than constraints the only feasible portfolio is empty
     n_constraints = 2 if zero_beta else 1
-    df = df.withColumn(out, F.when(F.count(F.lit(1)).over(w) > n_constraints, F.col("_raw") * scale)
-                       .otherwise(F.lit(0.0)))
-    return df.drop(*[c for c in df.columns if c.startswith("_s") or c == "_raw"])
+    df = df.withColumn(out, F.when(F.col("_n") > n_constraints, F.col("_raw") * scale).otherwise(F.lit(0.0)))
+    return df.drop(*[c for c in df.columns if c.startswith("_s") or c in ("_raw", "_n", "_risk2")])
 
 
 # ------------------------------------------------------------------ P1

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.ewm import ewm_mean
 from panelforge.functions.numeric import clip_keep_null, log1p_or_null, safe_div
-from panelforge.functions.rolling import lag, rolling_mean, rolling_std, rolling_sum
+from panelforge.functions.rolling import lag, rolling_mean, rolling_sum, with_rolling_std
+from panelforge.operators.crosssection import attach_stats
 
 ASSET = "barrid"
 DATE = "date"
@@ -67,11 +68,13 @@ def barra_reversal(df: DataFrame, span: int = 5, min_samples: int = 5, name: str
     return df.withColumn(name, lag(-F.col("_ewm_sr"), 1)).drop("_ewm_sr")
 
 
-def barra_momentum_expr(window: int = 230, skip: int = 21) -> Column:
-    """H5: lag_skip( rolling_sum(log1p(sr)) / rolling_std(sr) )."""
-    ratio = safe_div(rolling_sum(log1p_or_null("specific_return"), window),
-                     rolling_std("specific_return", window))
-    return F.lag(ratio, skip).over(Window.partitionBy(ASSET).orderBy(DATE))
+def barra_momentum(df: DataFrame, window: int = 230, skip: int = 21, name: str = "barra_momentum") -> DataFrame:
+    """H5: lag_skip( rolling_sum(log1p(sr)) / rolling_std(sr) ), both over
+    ``window`` rows with the full-window rule."""
+    df = with_rolling_std(df, "specific_return", window, "_bm_sd", by=ASSET, order=DATE)
+    ratio = safe_div(rolling_sum(log1p_or_null("specific_return"), window), F.col("_bm_sd"))
+    df = df.withColumn("_bm_ratio", ratio)
+    return df.withColumn(name, lag("_bm_ratio", skip)).drop("_bm_sd", "_bm_ratio")
 
 
 def ivol_expr() -> Column:
@@ -82,10 +85,12 @@ def ivol_expr() -> Column:
 # ----------------------------------------------------------------- scorers
 def zscore(df: DataFrame, value: str = "signal_value", by: Sequence[str] = ("signal_name", DATE),
            out: str = "score") -> DataFrame:
-    """Cross-sectional z-score, sample std (one row -> NULL, std 0 -> NULL)."""
-    w = Window.partitionBy(*by)
+    """Cross-sectional z-score, sample std (one row -> NULL, std 0 -> NULL).
+    Mean and std come from a partial aggregation per cross-section, attached
+    back by a broadcast join (see ``operators.crosssection``)."""
     v = F.col(value)
-    return df.withColumn(out, safe_div(v - F.avg(v).over(w), F.stddev_samp(v).over(w)))
+    df = attach_stats(df, by, {"_zs_m": F.avg(v), "_zs_s": F.stddev_samp(v)})
+    return df.withColumn(out, safe_div(v - F.col("_zs_m"), F.col("_zs_s"))).drop("_zs_m", "_zs_s")
 
 
 def win_zscore(df: DataFrame, value: str = "signal_value", by: Sequence[str] = ("signal_name", DATE),
@@ -97,8 +102,9 @@ def win_zscore(df: DataFrame, value: str = "signal_value", by: Sequence[str] = (
     dv = log1p_or_null(F.col("daily_volume") * F.col("price"))
     df = df.withColumn("dollar_volume", dv)
     mean = rolling_mean("dollar_volume", window, by=list(asset_by), order=DATE, min_samples=1)
-    std = rolling_std("dollar_volume", window, by=list(asset_by), order=DATE, min_samples=2)
-    df = df.withColumn("dollar_volume_mean", mean).withColumn("dollar_volume_std", std)
+    df = df.withColumn("dollar_volume_mean", mean)
+    df = with_rolling_std(df, "dollar_volume", window, "dollar_volume_std", by=list(asset_by), order=DATE,
+                          min_samples=2)
     denom = F.greatest(F.coalesce(F.col("dollar_volume_std"), F.lit(1.0)), F.lit(0.0001))
     vs = F.coalesce((F.col("dollar_volume") - F.col("dollar_volume_mean")) / denom, F.lit(0.0))
     return df.withColumn("volume_score", vs)
@@ -134,8 +140,7 @@ def default_signals() -> dict[str, SignalSpec]:
         "reversal": SignalSpec("reversal", _col_signal("reversal", reversal_expr), zscore, alpha_ic, both),
         "beta": SignalSpec("beta", _col_signal("beta", beta_expr), zscore, alpha_ic, ("ZeroInvestment",)),
         "barra_reversal": SignalSpec("barra_reversal", barra_reversal, win_zscore, alpha_gated, both),
-        "barra_momentum": SignalSpec("barra_momentum", _col_signal("barra_momentum", barra_momentum_expr),
-                                     zscore, alpha_ic, both),
+        "barra_momentum": SignalSpec("barra_momentum", barra_momentum, zscore, alpha_ic, both),
         "ivol": SignalSpec("ivol", _col_signal("ivol", ivol_expr), zscore, alpha_ic, both),
     }
 

@@ -58,8 +58,11 @@ def build_assets(
 
 def build_assets_from_fixtures(spark, sf_dir: str, start=None, end=None) -> DataFrame:
     from panelforge.plans import fixtures as fx
+    from panelforge.plans.combination import checkpoint
 
-    p = fx.panel(spark, sf_dir)
+    # the four vendor tables of the fixture share one aggregate: store it once,
+    # as the vendor tables would be stored
+    p = checkpoint(fx.panel(spark, sf_dir))
     return build_assets(
         fx.vendor_returns(p),
         fx.vendor_specific_returns(p),
