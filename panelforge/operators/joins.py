@@ -129,23 +129,28 @@ def asof_join_many(
         u = u.unionByName(x)
 
     part = list(by)
+    # One ordering per direction for all sides: a side's right rows carry NULL
+    # in the other sides' tie-break columns, so each side keeps its own order.
+    back_w = (
+        Window.partitionBy(*part)
+        .orderBy(F.col("_t").asc(), F.col("_side").asc(), *[F.col(c).asc_nulls_first() for c in tb_cols])
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    fwd_w = (
+        Window.partitionBy(*part)
+        .orderBy(F.col("_t").desc(), F.col("_side").asc(), *[F.col(c).desc_nulls_last() for c in tb_cols])
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    back = {f"_b{i}": F.last(f"_r{i}", ignorenulls=True).over(back_w)
+            for i, p in enumerate(plans) if p[0].strategy in ("backward", "nearest")}
+    fwd = {f"_f{i}": F.last(f"_r{i}", ignorenulls=True).over(fwd_w)
+           for i, p in enumerate(plans) if p[0].strategy in ("forward", "nearest")}
+    if back:
+        u = u.withColumns(back)
+    if fwd:
+        u = u.withColumns(fwd)
     picked = []
     for i, (s, r, cols, rt, on) in enumerate(plans):
-        tbs = [c for c in tb_cols if c.startswith(f"_tb{i}_")]
-        if s.strategy in ("backward", "nearest"):
-            w = (
-                Window.partitionBy(*part)
-                .orderBy(F.col("_t").asc(), F.col("_side").asc(), *[F.col(c).asc_nulls_first() for c in tbs])
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            )
-            u = u.withColumn(f"_b{i}", F.last(f"_r{i}", ignorenulls=True).over(w))
-        if s.strategy in ("forward", "nearest"):
-            w = (
-                Window.partitionBy(*part)
-                .orderBy(F.col("_t").desc(), F.col("_side").asc(), *[F.col(c).desc_nulls_last() for c in tbs])
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            )
-            u = u.withColumn(f"_f{i}", F.last(f"_r{i}", ignorenulls=True).over(w))
         if s.strategy == "backward":
             picked.append(F.col(f"_b{i}"))
         elif s.strategy == "forward":
