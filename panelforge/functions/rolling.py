@@ -111,17 +111,20 @@ def with_rolling_std(df: DataFrame, x: str, n: int, out: str, by="barrid", order
     return df.withColumn(out, F.when((k >= need) & (k >= 2), std)).drop("_rs_c", "_rs_k", "_rs_s", "_rs_q")
 
 
-def rolling_sum(x, n: int, by="barrid", order="date", min_samples: int | None = None) -> Column:
-    return rolling("sum", x, n, by, order, min_samples)
+def rolling_sum(x, n: int, by="barrid", order="date", min_samples: int | None = None,
+                method: str = "auto") -> Column:
+    return rolling("sum", x, n, by, order, min_samples, method)
 
 
-def rolling_mean(x, n: int, by="barrid", order="date", min_samples: int | None = None) -> Column:
-    return rolling("mean", x, n, by, order, min_samples)
+def rolling_mean(x, n: int, by="barrid", order="date", min_samples: int | None = None,
+                 method: str = "auto") -> Column:
+    return rolling("mean", x, n, by, order, min_samples, method)
 
 
-def rolling_std(x, n: int, by="barrid", order="date", min_samples: int | None = None) -> Column:
+def rolling_std(x, n: int, by="barrid", order="date", min_samples: int | None = None,
+                method: str = "auto") -> Column:
     """Sample standard deviation (ddof = 1, contract T1)."""
-    return rolling("std", x, n, by, order, min_samples)
+    return rolling("std", x, n, by, order, min_samples, method)
 
 
 def lag(x, k: int = 1, by="barrid", order="date") -> Column:
