@@ -44,10 +44,9 @@ def composite_panel_weights(assets: DataFrame, composite: DataFrame, target_risk
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the session's shared checkpoint folder: cuts
     the lineage at a stage boundary and survives executor loss."""
-    from panelforge.session import checkpoint_root
+    from panelforge.session import reliable_checkpoint
 
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return reliable_checkpoint(df)
 
 
 class Chain:

@@ -82,3 +82,54 @@ def factor_matrix_flow(long: DataFrame, index: Sequence[str], on: str, value: st
                        table: Table) -> None:
     """F2/F3 for the wide factor tables: pivot on the fixed factor list, upsert."""
     table.upsert(pivot_wide(long, index, on, value, factors))
+
+
+def warehouse_backfill_flow(src: DataFrame, columns, date_col: str, table: Table, start=None, end=None,
+                            where=None, flags=None) -> None:
+    """extract (projection, rename, range, predicate) -> decode flags -> upsert."""
+    from panelforge.operators.cleaning import decode_flags
+    from panelforge.sources.extracts import extract
+
+    df = extract(src, columns, date_col, start, end, where)
+    if flags:
+        df = decode_flags(df, flags)
+    table.upsert(df)
+
+
+def factor_file_flow(spark: SparkSession, path: str, schema: T.StructType, table: Table) -> None:
+    """sectioned text file -> daily block -> snapshot overwrite."""
+    table.overwrite(A.read_sectioned_csv(spark, path, schema))
+
+
+def backfill_all(spark: SparkSession, root: str, vendor: dict[str, DataFrame], start=None, end=None,
+                 signal_names: Sequence[str] | None = None) -> dict[str, Table]:
+    """id tables first, then the vendor tables, then the asset panel (built
+    once, after the ids), then signals / scores / alphas.
+
+    ``vendor``: cleaned frames keyed returns, specific_returns, risk, volume,
+    asset_ids, barra_ids, membership (raw "Y"/"N" flags)."""
+    from panelforge.plans.assets import build_assets
+
+    tables: dict[str, Table] = {}
+    id_keys = {"asset_ids": ("barrid", "start_date", "rootid", "end_date"),
+               "barra_ids": ("barrid", "start_date", "asset_id_type", "end_date")}
+    for name, keys in id_keys.items():
+        df = vendor[name]
+        t = Table(spark, root, TableSpec(name, df.schema, keys, yearly=False))
+        t.overwrite(df)
+        tables[name] = t
+    for name in ("returns", "specific_returns", "risk", "volume", "membership"):
+        df = vendor[name]
+        keys = ("date", "cusip") if name == "membership" else ("date", "barrid")
+        t = Table(spark, root, TableSpec(name, df.schema, keys))
+        t.upsert(df)
+        tables[name] = t
+    assets = build_assets(
+        tables["returns"].read(start, end), tables["specific_returns"].read(start, end),
+        tables["risk"].read(start, end), tables["volume"].read(start, end),
+        tables["asset_ids"].read(), tables["barra_ids"].read(), tables["membership"].read(), start, end)
+    at = Table(spark, root, TableSpec("assets", assets.schema, ("date", "barrid")))
+    at.overwrite(assets)
+    tables["assets"] = at
+    tables.update(signals_flow(spark, at.read(), root, signal_names))
+    return tables

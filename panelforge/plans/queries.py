@@ -1042,3 +1042,122 @@ def q_stream_upsert(spark, sf_dir):
 def q_signals_pipeline(spark, sf_dir):
     tables = FL.signals_flow(spark, _assets(spark, sf_dir), shared_dir(spark, "signals"))
     return tables["alphas"].read().withColumn("alpha", rnd("alpha"))
+
+
+# ================================================================ whole flows
+RET_TABLE = TB.TableSpec("barra_returns", T.StructType([
+    T.StructField("date", T.DateType()), T.StructField("barrid", T.StringType()),
+    T.StructField("price", T.DoubleType()), T.StructField("market_cap", T.DoubleType()),
+    T.StructField("price_source", T.StringType()), T.StructField("currency", T.StringType()),
+    T.StructField("return", T.DoubleType())]), ("date", "barrid"))
+_RET_SQL = "SELECT date, barrid, price, market_cap, 'FIXTURE' AS price_source, 'USD' AS currency, \"return\" FROM panel"
+
+
+@query("flow_vendor_history", with_ctes(_RET_SQL, "panel"))
+def q_flow_vendor_history(spark, sf_dir):
+    p = _panel(spark, sf_dir)
+    root = shared_dir(spark, "archives")
+    AR.write_archives(_raw_rows(p), root, F.date_format(F.to_date("DataDate", "yyyyMMdd"), "yyyy_MM"),
+                      lambda k: f"RET_HIST_{k}.zip", lambda k: f"RET_{k}.txt", RAW_RET).count()
+    t = TB.Table(spark, shared_dir(spark, "store"), RET_TABLE)
+    FL.vendor_history_flow(spark, root, RET_SPEC, V.RETURNS, RAW_RET, t)
+    return t.read()
+
+
+@query("flow_vendor_daily_update", with_ctes(
+    _RET_SQL + " WHERE date < DATE '1999-01-01' OR date IN (SELECT date FROM lb)", "panel", "sessions",
+    extra=[("lb", _LOOKBACK)]))
+def q_flow_vendor_daily_update(spark, sf_dir):
+    p = _panel(spark, sf_dir)
+    root, sessions = _daily_archives(spark, sf_dir)
+    t = TB.Table(spark, shared_dir(spark, "store"), RET_TABLE)
+    t.upsert(fx.vendor_returns(p).filter(F.col("date") < F.lit("1999-01-01").cast("date")))
+    FL.vendor_daily_flow(spark, root, RET_SPEC, V.RETURNS, RAW_RET, t, sessions)
+    FL.vendor_daily_flow(spark, root, RET_SPEC, V.RETURNS, RAW_RET, t, sessions)  # nightly re-run: idempotent
+    return t.read()
+
+
+IDS_SPEC = AR.ArchiveSpec("IDS_HIST", "IDS_", "IDS_DAILY", "IDS", skip=1)
+RAW_IDS = ["!Barrid", "AssetIDType", "AssetID", "StartDate", "EndDate"]
+
+
+@query("flow_ids_snapshot", with_ctes(
+    "SELECT barrid, asset_id_type, asset_id, start_date, end_date FROM ids "
+    "WHERE start_date <= (SELECT max(date) FROM lb) AND contains(asset_id, 'US')", "ids", "sessions",
+    extra=[("lb", _LOOKBACK)]))
+def q_flow_ids_snapshot(spark, sf_dir):
+    """the id file as shipped on each of the newest look-back sessions (the
+    ids known on that day); the flow keeps the newest existing snapshot."""
+    p = _panel(spark, sf_dir)
+    ids = fx.barra_ids(p)
+    cal = C.last_n_sessions(fx.sessions(spark, sf_dir), "1999-06-15", 60)
+    sessions = sorted(r[0] for r in cal.collect())  # at most 60 dates
+    snap_days = cal.orderBy(F.col("date").desc()).limit(3).withColumnRenamed("date", "snap")
+    # each snapshot day lists the ids started by then: expand ids over the (<= 3) snapshot days
+    snap_list = [r[0] for r in snap_days.collect()]
+    snaps = ids.withColumn("snap", F.explode(F.array(*[F.lit(d) for d in snap_list]))).filter(
+        F.col("start_date") <= F.col("snap"))
+    raw = snaps.select(F.col("barrid").alias("!Barrid"), F.col("asset_id_type").alias("AssetIDType"),
+                       F.col("asset_id").alias("AssetID"), F.date_format("start_date", "yyyyMMdd").alias("StartDate"),
+                       F.date_format("end_date", "yyyyMMdd").alias("EndDate"), "snap")
+    root = shared_dir(spark, "ids_daily")
+    AR.write_archives(raw, root, F.date_format("snap", "yyyyMMdd"), lambda k: f"IDS_DAILY_{k[2:]}.zip",
+                      lambda k: f"IDS.{k}", RAW_IDS).count()
+    spec = TB.TableSpec("barra_ids", T.StructType([
+        T.StructField("barrid", T.StringType()), T.StructField("asset_id_type", T.StringType()),
+        T.StructField("asset_id", T.StringType()), T.StructField("start_date", T.DateType()),
+        T.StructField("end_date", T.DateType())]), ("barrid", "start_date", "asset_id_type", "end_date"), yearly=False)
+    t = TB.Table(spark, shared_dir(spark, "store"), spec)
+    FL.snapshot_flow(spark, root, IDS_SPEC, V.IDS, RAW_IDS, t, sessions, us_only_ids=True)
+    return t.read()
+
+
+FTSE_SPEC = TB.TableSpec("ftse_russell", T.StructType([
+    T.StructField("date", T.DateType()), T.StructField("cusip", T.StringType()),
+    T.StructField("russell_2000", T.BooleanType()), T.StructField("russell_1000", T.BooleanType())]),
+    ("date", "cusip"))
+
+
+@query("flow_warehouse_backfill", with_ctes(
+    "SELECT date, cusip, russell2000 = 'Y' AS russell_2000, russell1000 = 'Y' AS russell_1000 FROM membership "
+    "WHERE date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'", "membership"))
+def q_flow_warehouse_backfill(spark, sf_dir):
+    src = fx.membership(_panel(spark, sf_dir))  # the warehouse table
+    t = TB.Table(spark, shared_dir(spark, "store"), FTSE_SPEC)
+    FL.warehouse_backfill_flow(src, {"date": "date", "cusip": "cusip", "russell2000": "russell2000",
+                                     "russell1000": "russell1000"}, "date", t, "1996-01-01", "2000-12-31",
+                               flags={"russell1000": "russell_1000", "russell2000": "russell_2000"})
+    return t.read()
+
+
+@query("flow_factor_file", with_ctes(
+    "SELECT date, CAST(mkt_rf AS DOUBLE) / 100 AS mkt_rf, CAST(smb AS DOUBLE) / 100 AS smb, "
+    "CAST(hml AS DOUBLE) / 100 AS hml, CAST(rmw AS DOUBLE) / 100 AS rmw, CAST(cma AS DOUBLE) / 100 AS cma, "
+    "CAST(rf AS DOUBLE) / 100 AS rf FROM ffd", extra=[("ffd", _FF_DAILY)]))
+def q_flow_factor_file(spark, sf_dir):
+    t = TB.Table(spark, shared_dir(spark, "store"), TB.TableSpec("fama_french", FF_SCHEMA, ("date",), yearly=False))
+    FL.factor_file_flow(spark, _ff_text(spark, sf_dir), FF_SCHEMA, t)
+    return t.read()
+
+
+@query("flow_exposures_matrix", with_ctes(_pivot_sql("date, barrid", "factor", "exposures", FIXTURE_FACTORS,
+                                                     "exposures_long"), "exposures_long"))
+def q_flow_exposures_matrix(spark, sf_dir):
+    wide_schema = T.StructType([T.StructField("date", T.DateType()), T.StructField("barrid", T.StringType())]
+                               + [T.StructField(f, T.DoubleType()) for f in FIXTURE_FACTORS])
+    t = TB.Table(spark, shared_dir(spark, "store"), TB.TableSpec("exposures", wide_schema, ("date", "barrid")))
+    FL.factor_matrix_flow(fx.exposures_long(spark, sf_dir), ["date", "barrid"], "factor", "exposures",
+                          FIXTURE_FACTORS, t)
+    return t.read()
+
+
+@query("backfill_all", sig_sql(f"SELECT date, barrid, signal_name, {R('alpha')} AS alpha FROM alphas", "alphas"))
+def q_backfill_all(spark, sf_dir):
+    p = checkpoint(_panel(spark, sf_dir))
+    vendor = {
+        "returns": fx.vendor_returns(p), "specific_returns": fx.vendor_specific_returns(p),
+        "risk": fx.vendor_risk(p), "volume": fx.vendor_volume(p), "asset_ids": fx.asset_ids(spark, sf_dir),
+        "barra_ids": fx.barra_ids(p), "membership": fx.membership(p),
+    }
+    tables = FL.backfill_all(spark, shared_dir(spark, "store"), vendor)
+    return tables["alphas"].read().withColumn("alpha", rnd("alpha"))

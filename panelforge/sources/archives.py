@@ -56,15 +56,17 @@ class ArchiveSpec:
         return f"{self.daily_member}.{d:%Y%m%d}"
 
 
-def _unzip(member_prefix: str | None, member_exact: bool, skip: int, sep: str):
+def _unzip(member_prefix: str | None, member_exact: bool, skip: int, sep: str, members: dict | None = None):
     def run(batches):
         for pdf in batches:
             out = {"path": [], "member": [], "header": [], "values": []}
             for path, content in zip(pdf["path"], pdf["content"]):
+                want = members.get(path.rsplit("/", 1)[-1]) if members is not None else member_prefix
+                exact = True if members is not None else member_exact
                 with zipfile.ZipFile(io.BytesIO(bytes(content))) as zf:
                     for name in sorted(zf.namelist()):
-                        if member_prefix is not None:
-                            hit = name == member_prefix if member_exact else name.startswith(member_prefix)
+                        if want is not None:
+                            hit = name == want if exact else name.startswith(want)
                             if not hit:
                                 continue
                         with zf.open(name) as fh:
@@ -88,13 +90,14 @@ def _unzip(member_prefix: str | None, member_exact: bool, skip: int, sep: str):
 
 
 def read_lines(spark: SparkSession, paths: Sequence[str] | str, member_prefix: str | None, skip: int,
-               sep: str = "|", member_exact: bool = False) -> DataFrame:
-    """(path, member, header, values) for every data line of the archives."""
+               sep: str = "|", member_exact: bool = False, members: dict | None = None) -> DataFrame:
+    """(path, member, header, values) for every data line of the archives;
+    ``members`` maps an archive file name to the one member to read."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         return spark.createDataFrame([], LINE_SCHEMA)
     bf = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return bf.mapInPandas(_unzip(member_prefix, member_exact, skip, sep), LINE_SCHEMA)
+    return bf.mapInPandas(_unzip(member_prefix, member_exact, skip, sep, members), LINE_SCHEMA)
 
 
 def typed(lines: DataFrame, raw_columns: Sequence[str], numeric: Sequence[str] | None = None) -> DataFrame:
@@ -135,53 +138,75 @@ def read_daily(spark: SparkSession, root: str, spec: ArchiveSpec, raw_columns: S
     ``sessions`` is a short list (e.g. the last 60 sessions)."""
     existing = []
     for d in sorted(sessions):
-        p = spec.daily_path(root, d)
-        found = glob_paths(spark, p)
+        found = glob_paths(spark, spec.daily_path(root, d))
         if found:
             existing.append((d, found[0]))
     if latest_only:
         existing = existing[-1:]
-    frames = []
-    for d, p in existing:
-        lines = read_lines(spark, p, spec.daily_member_name(d), spec.skip, spec.sep, member_exact=True)
-        frames.append(lines)
-    if not frames:
-        return typed(spark.createDataFrame([], LINE_SCHEMA), raw_columns).drop("_path")
-    allx = frames[0]
-    for f in frames[1:]:
-        allx = allx.unionByName(f)
-    return typed(_fix_trailer(allx), raw_columns).drop("_path")
+    members = {p.rsplit("/", 1)[-1]: spec.daily_member_name(d) for d, p in existing}
+    lines = read_lines(spark, [p for _, p in existing], None, spec.skip, spec.sep, members=members)
+    return typed(_fix_trailer(lines), raw_columns).drop("_path")
 
 
 # ------------------------------------------------------------------ writers (fixtures / export)
 def _zip_writer(root: str, name_of, member_of, header_lines: Sequence[str], columns: Sequence[str], sep: str):
-    """applyInPandas body: one archive per group, written by the executor."""
+    """mapInPandas body over partitions sorted by archive key: rows of one key
+    are buffered until the key changes, then written as one archive by the
+    executor (memory bounded by one archive, no per-group Python call)."""
 
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        key = pdf["_archive"].iloc[0]
+    def flush(key, parts):
         buf = io.StringIO()
         for h in header_lines:
             buf.write(h + "\n")
         buf.write(sep.join(columns) + "\n")
-        body = pdf[list(columns)].astype(object).where(pdf[list(columns)].notna(), "")
-        for row in body.itertuples(index=False):
-            buf.write(sep.join("" if v is None else (repr(v) if isinstance(v, float) else str(v)) for v in row) + "\n")
+        rows = 0
+        for body in parts:
+            for row in body.itertuples(index=False):
+                buf.write(sep.join("" if v is None else (repr(v) if isinstance(v, float) else str(v)) for v in row)
+                          + "\n")
+                rows += 1
         buf.write("[End of File]\n")
         path = f"{root.rstrip('/')}/{name_of(key)}"
         local = path[len("file:"):] if path.startswith("file:") else path
         with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as zf:
             zf.writestr(member_of(key), buf.getvalue())
-        return pd.DataFrame({"archive": [path], "rows": [len(pdf)]})
+        return path, rows
 
-    return write
+    def run(batches):
+        key, parts, out = None, [], {"archive": [], "rows": []}
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            body = pdf[list(columns)].astype(object).where(pdf[list(columns)].notna(), None)
+            keys = pdf["_archive"].to_numpy()
+            start = 0
+            for i in range(1, len(keys) + 1):
+                if i == len(keys) or keys[i] != keys[start]:
+                    k = keys[start]
+                    if key is not None and k != key:
+                        p, n = flush(key, parts)
+                        out["archive"].append(p)
+                        out["rows"].append(n)
+                        parts = []
+                    key = k
+                    parts.append(body.iloc[start:i])
+                    start = i
+        if key is not None:
+            p, n = flush(key, parts)
+            out["archive"].append(p)
+            out["rows"].append(n)
+        yield pd.DataFrame(out, columns=["archive", "rows"])
+
+    return run
 
 
 def write_archives(df: DataFrame, root: str, archive_key, name_of, member_of, columns: Sequence[str],
                    header_lines: Sequence[str] = ("!generated",), sep: str = "|") -> DataFrame:
     """Write ``df`` as zip archives, one per value of ``archive_key`` (e.g. a
-    year-month); returns (archive, rows).  Local or mounted shared paths."""
-    d = df.withColumn("_archive", archive_key)
-    return d.groupBy("_archive").applyInPandas(
+    year-month); returns (archive, rows).  Rows are hash-partitioned and sorted
+    by the key, so each archive is written by exactly one task."""
+    d = df.withColumn("_archive", archive_key).repartition("_archive").sortWithinPartitions("_archive")
+    return d.select("_archive", *columns).mapInPandas(
         _zip_writer(root, name_of, member_of, header_lines, columns, sep), "archive string, rows long")
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.operators.joins import asof_join
-from panelforge.session import checkpoint_root
+from panelforge.session import reliable_checkpoint
 
 
 @dataclass(frozen=True)
@@ -50,8 +50,7 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return reliable_checkpoint(df)
 
 
 class Table:
