@@ -1026,15 +1026,13 @@ def q_stream_upsert(spark, sf_dir):
     p = _panel(spark, sf_dir)
     drop = shared_dir(spark, "drop")
     base = shared_dir(spark, "stream")
-    # vendor drops: one file per year, then a correction file for 1998
-    p.withColumn("y", F.year("date")).write.partitionBy("y").parquet(drop + "/stage")
-    for y in sorted({r[0] for r in p.select(F.year("date")).distinct().collect()}):  # years: calendar-bounded
-        spark.read.parquet(f"{drop}/stage/y={y}").write.mode("append").parquet(drop + "/in")
+    # vendor drops: one file per year (one job), then a later correction file for 1998
+    p.withColumn("y", F.year("date")).repartition("y").write.partitionBy("y").parquet(drop + "/in/base")
     corr = p.filter(F.year("date") == 1998).withColumn("price", F.col("price") * 2) \
         .withColumn("specific_risk", F.lit(None).cast("double"))
-    corr.write.mode("append").parquet(drop + "/in")
+    corr.write.parquet(drop + "/in/corrections")
     t = TB.Table(spark, base, PANEL_SPEC)
-    ingest_folder(spark, drop + "/in", PANEL_SPEC.schema, t, base + "/_checkpoint", max_files_per_trigger=3)
+    ingest_folder(spark, drop + "/in/*/*", PANEL_SPEC.schema, t, base + "/_checkpoint", max_files_per_trigger=3)
     return t.read()
 
 

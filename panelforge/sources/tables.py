@@ -142,10 +142,16 @@ class Table:
         the new rows keep the old value, unmatched new rows are appended, new
         columns outside the schema are dropped.  Only touched years are
         rewritten; rows must be unique on the ids."""
+        if not self.exists():  # first write: nothing to merge with, nothing read back
+            target = [f.name for f in self.spec.schema.fields]
+            self._write(self._conform(rows.select(*[c for c in rows.columns if c in target])))
+            return
         self._write(_checkpointed(self._conform(self._merge(rows, self.spec.ids, "full"))))
 
     def update(self, rows: DataFrame, on: Sequence[str] | None = None) -> None:
         """Like upsert but rows without a match are not inserted."""
+        if not self.exists():  # nothing to update
+            return
         self._write(_checkpointed(self._conform(self._merge(rows, on or self.spec.ids, "left"))))
 
     def delete(self, year: int) -> None:
