@@ -253,3 +253,53 @@ def left_join_default(left: DataFrame, right: DataFrame, on, fill: dict) -> Data
     """LEFT JOIN then fill missing values (e.g. alpha -> 0)."""
     j = left.join(right, list(_list(on)), "left")
     return j.fillna(fill) if fill else j
+
+
+# --------------------------------------------------------------------------- D2/D3 for hot keys
+def asof_join_bucketed(
+    left: DataFrame,
+    right: DataFrame,
+    left_on: str,
+    right_on: str,
+    by: str | Sequence[str],
+    bucket,
+    strategy: str = "backward",
+    tie_break: Sequence[str] = (),
+    suffix: str = "_right",
+) -> DataFrame:
+    """As-of join for keys too large for one task: the stacked pass runs per
+    (key, time bucket) - ``bucket`` maps a time Column to an integral bucket
+    number, e.g. ``F.year`` - and a row without a match inside its bucket
+    takes the latest (backward) or earliest (forward) right row of the
+    neighbouring buckets.  That carry comes from one row per (key, bucket):
+    the bucket's last/first right row (a partial aggregation) and a range
+    frame over bucket numbers, so no task ever holds a whole key."""
+    if strategy not in ("backward", "forward"):
+        raise ValueError("bucketed as-of supports backward and forward")
+    by = _list(by)
+    lb = left.withColumn("_bk", bucket(F.col(left_on)).cast("long"))
+    rb = right.filter(F.col(right_on).isNotNull()).withColumn("_bk", bucket(F.col(right_on)).cast("long"))
+    rcols = [c for c in right.columns if c not in by]
+    inner = asof_join_many(lb, [AsofSide(rb, right_on, tuple(tie_break), strategy, columns=rcols)],
+                           left_on, [*by, "_bk"], suffix)
+    out_names = inner.columns[len(lb.columns):]
+    t_out = out_names[rcols.index(right_on)]
+
+    order = F.struct(*[F.col(c) for c in (right_on, *tie_break)])
+    pick = F.max_by if strategy == "backward" else F.min_by
+    per_bucket = rb.groupBy(*by, "_bk").agg(pick(F.struct(*[F.col(c) for c in rcols]), order).alias("_row"))
+    keys = lb.select(*by, "_bk").distinct().withColumn("_row", F.lit(None).cast(per_bucket.schema["_row"].dataType))
+    table = per_bucket.unionByName(keys).groupBy(*by, "_bk").agg(F.max("_row").alias("_row"))
+    if strategy == "backward":
+        w = Window.partitionBy(*by).orderBy("_bk").rangeBetween(Window.unboundedPreceding, -1)
+        carry = F.last("_row", ignorenulls=True).over(w)
+    else:
+        w = Window.partitionBy(*by).orderBy("_bk").rangeBetween(1, Window.unboundedFollowing)
+        carry = F.first("_row", ignorenulls=True).over(w)
+    table = table.select(*by, "_bk", carry.alias("_carry"))
+    j = inner.join(table, [*by, "_bk"], "left")
+    hit = F.col(t_out).isNotNull()
+    sel = [F.col(c) for c in left.columns]
+    sel += [F.when(hit, F.col(o)).when(F.col(left_on).isNotNull(), F.col("_carry")[c]).alias(o)
+            for c, o in zip(rcols, out_names)]
+    return j.select(*sel)

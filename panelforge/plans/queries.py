@@ -1159,3 +1159,18 @@ def q_backfill_all(spark, sf_dir):
     }
     tables = FL.backfill_all(spark, shared_dir(spark, "store"), vendor)
     return tables["alphas"].read().withColumn("alpha", rnd("alpha"))
+
+
+# ---------------------------------------------------------------- as-of for hot keys (time buckets)
+def _asof_bucketed_query(strategy: str):
+    def build(spark, sf_dir):
+        p = _panel(spark, sf_dir)
+        return J.asof_join_bucketed(p.select("date", "barrid"), _local_ids(p), "date", "start_date", "barrid",
+                                    F.year, strategy=strategy, tie_break=("end_date",))
+    return build
+
+
+from panelforge.plans.registry import REGISTRY  # noqa: E402
+
+query("asof_backward_bucketed", REGISTRY["asof_backward"].sql)(_asof_bucketed_query("backward"))
+query("asof_forward_bucketed", REGISTRY["asof_forward"].sql)(_asof_bucketed_query("forward"))

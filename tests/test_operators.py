@@ -121,3 +121,18 @@ def test_halo_blocks_cover_previous_rows(spark):
     counts = {r._blk: r.n for r in cover.groupBy("_blk").agg(F.count("*").alias("n")).collect()}
     for r in firsts.collect():
         assert counts.get(r._blk, 0) == min(50, r.f)
+
+
+@pytest.mark.parametrize("strategy", ["backward", "forward"])
+def test_bucketed_asof_equals_plain(spark, strategy):
+    import random
+    random.seed(11)
+    lrows = [("K" if i % 3 else f"k{i % 7}", D(2000, 1, 1) + dt.timedelta(days=random.randint(0, 2000)))
+             for i in range(600)]
+    rrows = [("K" if i % 3 else f"k{i % 5}", D(2000, 1, 1) + dt.timedelta(days=random.randint(0, 2000)), i,
+              None if i % 11 == 0 else float(i)) for i in range(150)]
+    left = spark.createDataFrame(lrows, "k string, date date").dropDuplicates()
+    right = spark.createDataFrame(rrows, "k string, start date, seq int, v double")
+    plain = J.asof_join(left, right, "date", "start", "k", strategy=strategy, tie_break=("seq",))
+    buck = J.asof_join_bucketed(left, right, "date", "start", "k", F.year, strategy=strategy, tie_break=("seq",))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, buck.collect()))
