@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.numeric import log1p_or_null, safe_div
@@ -53,7 +53,7 @@ def optimizer_panel(assets: DataFrame, alphas: DataFrame, signals: Sequence[str]
 
 
 # ------------------------------------------------------------------ P6
-def active_weights(panel: DataFrame, by: Sequence[str] = ("date",), zero_beta: bool = True,
+def active_weights(panel: DataFrame, by: Sequence[str] = ("date",), zero_beta=True,
                    target_risk: float = 0.05, alpha: str = "alpha", beta: str = "predicted_beta",
                    risk: str = "specific_risk", out: str = "weight") -> DataFrame:
     """Mean-variance active weights per cross-section with diagonal (specific)
@@ -62,29 +62,32 @@ def active_weights(panel: DataFrame, by: Sequence[str] = ("date",), zero_beta: b
         w ~ (alpha - mu_0 - mu_1 beta) / sigma^2   with 1'w = 0 (and beta'w = 0)
 
     where mu solves the 2x2 (or 1x1) system of the constraint sums, then w is
-    scaled so that sqrt(sum w^2 sigma^2) = target_risk.  This re-aims the
-    reference's external solver call (ZeroInvestment / ZeroBeta constraints,
-    target active risk); it is not that solver's output."""
+    scaled so that sqrt(sum w^2 sigma^2) = target_risk.  ``zero_beta`` is a
+    bool or a boolean Column (constraint set chosen per row, e.g. per signal).
+    This re-aims the reference's external solver call (ZeroInvestment /
+    ZeroBeta constraints, target active risk); it is not that solver's output.
+
+    One windowed pass per cross-section (a cross-section holds one row per
+    asset of the universe, so it is bounded whatever the data volume)."""
+    w = Window.partitionBy(*by)
+    zb = zero_beta if isinstance(zero_beta, Column) else F.lit(bool(zero_beta))
     iv = F.lit(1.0) / (F.col(risk) * F.col(risk))
     a, b = F.col(alpha), F.col(beta)
-    sums = {"_n": F.count(F.lit(1)), "_s11": F.sum(iv), "_s1a": F.sum(a * iv)}
-    if zero_beta:
-        sums.update({"_s1b": F.sum(b * iv), "_sbb": F.sum(b * b * iv), "_sba": F.sum(b * a * iv)})
-    df = attach_stats(panel, by, sums)
-    if zero_beta:
-        det = F.col("_s11") * F.col("_sbb") - F.col("_s1b") * F.col("_s1b")
-        mu0 = safe_div(F.col("_sbb") * F.col("_s1a") - F.col("_s1b") * F.col("_sba"), det)
-        mu1 = safe_div(F.col("_s11") * F.col("_sba") - F.col("_s1b") * F.col("_s1a"), det)
-        raw = (a - mu0 - mu1 * b) * iv
-    else:
-        raw = (a - safe_div(F.col("_s1a"), F.col("_s11"))) * iv
+    df = panel.withColumns({
+        "_n": F.count(F.lit(1)).over(w), "_s11": F.sum(iv).over(w), "_s1a": F.sum(a * iv).over(w),
+        "_s1b": F.sum(b * iv).over(w), "_sbb": F.sum(b * b * iv).over(w), "_sba": F.sum(b * a * iv).over(w),
+    })
+    det = F.col("_s11") * F.col("_sbb") - F.col("_s1b") * F.col("_s1b")
+    mu0 = safe_div(F.col("_sbb") * F.col("_s1a") - F.col("_s1b") * F.col("_sba"), det)
+    mu1 = safe_div(F.col("_s11") * F.col("_sba") - F.col("_s1b") * F.col("_s1a"), det)
+    raw = F.when(zb, (a - mu0 - mu1 * b) * iv).otherwise((a - safe_div(F.col("_s1a"), F.col("_s11"))) * iv)
     df = df.withColumn("_raw", raw)
-    df = attach_stats(df, by, {"_risk2": F.sum(F.col("_raw") * F.col("_raw") * F.col(risk) * F.col(risk))})
-    scale = safe_div(F.lit(target_risk), F.sqrt(F.col("_risk2")))
+    scale = safe_div(F.lit(target_risk),
+                     F.sqrt(F.sum(F.col("_raw") * F.col("_raw") * F.col(risk) * F.col(risk)).over(w)))
     # with no more assets than constraints the only feasible portfolio is empty
-    n_constraints = 2 if zero_beta else 1
+    n_constraints = F.when(zb, F.lit(2)).otherwise(F.lit(1))
     df = df.withColumn(out, F.when(F.col("_n") > n_constraints, F.col("_raw") * scale).otherwise(F.lit(0.0)))
-    return df.drop(*[c for c in df.columns if c.startswith("_s") or c in ("_raw", "_n", "_risk2")])
+    return df.drop("_n", "_s11", "_s1a", "_s1b", "_sbb", "_sba", "_raw")
 
 
 # ------------------------------------------------------------------ P1

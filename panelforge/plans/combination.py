@@ -21,17 +21,13 @@ from panelforge.operators.signals import SIGNALS
 def signal_active_weights(assets: DataFrame, alphas: DataFrame, names: Sequence[str] | None = None,
                           target_risk: float = 0.05) -> DataFrame:
     """P5 + P6 per signal: (date, barrid, signal_name, weight); each signal uses
-    its registered constraints (ZeroBeta only where listed)."""
+    its registered constraints (ZeroBeta only where listed), chosen per row so
+    all signals share one pass."""
     names = list(names or SIGNALS)
     panel = P.optimizer_panel(assets, alphas, signals=names)
     with_beta = [n for n in names if "ZeroBeta" in SIGNALS[n].constraints]
-    without = [n for n in names if n not in with_beta]
-    parts = []
-    for group, zb in ((with_beta, True), (without, False)):
-        if group:
-            g = panel.filter(F.col("signal_name").isin(group)) if without and with_beta else panel
-            parts.append(P.active_weights(g, by=("signal_name", "date"), zero_beta=zb, target_risk=target_risk))
-    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    out = P.active_weights(panel, by=("signal_name", "date"), zero_beta=F.col("signal_name").isin(with_beta),
+                           target_risk=target_risk)
     return out.select("date", "barrid", "signal_name", "weight")
 
 
