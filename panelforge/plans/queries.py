@@ -1174,3 +1174,46 @@ from panelforge.plans.registry import REGISTRY  # noqa: E402
 
 query("asof_backward_bucketed", REGISTRY["asof_backward"].sql)(_asof_bucketed_query("backward"))
 query("asof_forward_bucketed", REGISTRY["asof_forward"].sql)(_asof_bucketed_query("forward"))
+
+
+# ---------------------------------------------------------------- A10, B11, L2
+@query("weights_glob_scan", chain_sql(f"SELECT date, signal_name, {R('forward_return')} AS forward_return FROM sr", "sr"))
+def q_weights_glob_scan(spark, sf_dir):
+    """Signal returns computed from optimiser weight files laid out per
+    signal and risk level (one scan for all signals)."""
+    c = _chain(spark, sf_dir)
+    root = shared_dir(spark, "weights") + "/weights"
+    c.active().withColumn("risk", F.lit("0.05")).write.partitionBy("signal_name", "risk").parquet(root)
+    weights = EX.read_weight_files(spark, root, "0.05").select("date", "barrid", "signal_name", "weight")
+    return round_all(P.signal_returns(weights, c.assets))
+
+
+@query("optimizer_handoff", chain_sql(
+    f"SELECT date, barrid, {R('predicted_beta')} AS predicted_beta, {R('specific_risk')} AS specific_risk, "
+    f"{R('benchmark_weight')} AS benchmark_weight, {R('alpha')} AS alpha FROM copt", "copt"))
+def q_optimizer_handoff(spark, sf_dir):
+    c = _chain(spark, sf_dir)
+    panel = P.optimizer_panel(c.assets, c.composite())
+    path = EX.write_handoff(panel, shared_dir(spark, "data"), "composite", "1995-01-01", "2001-12-31")
+    return round_all(spark.read.parquet(path).select("date", "barrid", "predicted_beta", "specific_risk",
+                                                     "benchmark_weight", "alpha"))
+
+
+_RECENT = """SELECT date FROM sessions WHERE date <= (SELECT max(date) FROM panel WHERE year(date) = 1998)
+ORDER BY date DESC LIMIT 60"""
+
+
+@query("late_corrections", with_ctes(
+    "SELECT p.date, p.barrid, CASE WHEN r.date IS NOT NULL THEN p.price * 2 ELSE p.price END AS price, p.market_cap, "
+    "p.\"return\", p.specific_return, p.specific_risk, p.predicted_beta, p.daily_volume FROM panel p "
+    "LEFT JOIN recent r ON p.date = r.date AND year(p.date) = 1998", "panel", "sessions",
+    extra=[("recent", _RECENT)]))
+def q_late_corrections(spark, sf_dir):
+    """L2: a correction batch for 1998 is merged only for the last 60 sessions
+    up to its newest date; older corrections are refused."""
+    from panelforge.streaming.ingest import accept_recent
+
+    t, p = _stored_panel(spark, sf_dir)
+    corr = p.filter(F.year("date") == 1998).withColumn("price", F.col("price") * 2)
+    t.upsert(accept_recent(corr, fx.sessions(spark, sf_dir), 60))
+    return t.read()

@@ -39,18 +39,27 @@ class ArchiveSpec:
     with ``member_prefix``; daily archives ``{daily_prefix}_{yymmdd}.zip`` with
     member ``{daily_member}.{yyyymmdd}``."""
 
-    history_prefix: str
+    history_prefix: str | None
     member_prefix: str
     daily_prefix: str
     daily_member: str
     skip: int = 1
     sep: str = "|"
+    history_folder: str = ""
+    daily_folder: str = ""
+
+    @staticmethod
+    def _join(root: str, folder: str) -> str:
+        return root.rstrip("/") + (f"/{folder.strip('/')}" if folder else "")
 
     def history_glob(self, root: str, year: int | None = None) -> str:
-        return f"{root.rstrip('/')}/{self.history_prefix}_{'' if year is None else year}*.zip"
+        if self.history_prefix is None:
+            raise ValueError("dataset has no history archives")
+        base = self._join(root, self.history_folder)
+        return f"{base}/{self.history_prefix}_{'' if year is None else year}*.zip"
 
     def daily_path(self, root: str, d: date) -> str:
-        return f"{root.rstrip('/')}/{self.daily_prefix}_{d:%y%m%d}.zip"
+        return f"{self._join(root, self.daily_folder)}/{self.daily_prefix}_{d:%y%m%d}.zip"
 
     def daily_member_name(self, d: date) -> str:
         return f"{self.daily_member}.{d:%Y%m%d}"

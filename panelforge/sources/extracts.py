@@ -55,3 +55,28 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     content column is never selected, so files are not read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
             .select("path", "length", "modificationTime"))
+
+
+def read_weight_files(spark: SparkSession, root: str, risk: str = "0.05") -> DataFrame:
+    """A10: optimiser output laid out as ``{root}/{signal}/{risk}/*.parquet``
+    (or ``signal_name=...`` / ``risk=...`` directories).  One scan over all
+    signals; ``signal_name`` comes from each file's path.  Only directory
+    names are listed on the driver (one per signal)."""
+    import re
+
+    from panelforge.sources.tables import glob_paths
+
+    dirs = sorted(set(glob_paths(spark, f"{root.rstrip('/')}/*/{risk}") +
+                      glob_paths(spark, f"{root.rstrip('/')}/*/risk={risk}")))
+    if not dirs:
+        raise FileNotFoundError(f"no weight files for risk {risk} under {root}")
+    df = spark.read.parquet(*dirs)
+    pat = r"/(?:signal_name=)?([^/]+)/(?:risk=)?" + re.escape(risk) + r"/[^/]+$"
+    return df.withColumn("signal_name", F.regexp_extract(F.col("_metadata.file_path"), pat, 1))
+
+
+def write_handoff(df: DataFrame, root: str, name: str, start, end) -> str:
+    """The dataset handed to the optimiser, ``{root}/{name}_{start}_{end}.parquet``."""
+    path = f"{root.rstrip('/')}/{name}_{start}_{end}.parquet"
+    df.write.mode("overwrite").parquet(path)
+    return path
