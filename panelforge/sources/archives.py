@@ -123,11 +123,15 @@ def typed(lines: DataFrame, raw_columns: Sequence[str], numeric: Sequence[str] |
 
 
 def _fix_trailer(lines: DataFrame) -> DataFrame:
-    """The end-of-file row has a single field; keep it so the cleaning step
-    drops it by value (as the vendor files require)."""
-    return lines.withColumn(
-        "values", F.when(F.size("values") == 1,
-                         F.concat(F.col("values"), F.array_repeat(F.lit(""), F.size("header") - 1)))
+    """C3 at the line level: drop the end-of-file line wherever the header
+    puts the key column; other single-field lines are padded so they still
+    map onto the header."""
+    from panelforge.operators.cleaning import TRAILER
+
+    trailer = (F.size("values") == 1) & (F.trim(F.col("values")[0]) == F.lit(TRAILER))
+    return lines.filter(~trailer).withColumn(
+        "values", F.when(F.size("values") < F.size("header"),
+                         F.concat(F.col("values"), F.array_repeat(F.lit(""), F.size("header") - F.size("values"))))
         .otherwise(F.col("values")))
 
 
