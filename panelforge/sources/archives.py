@@ -10,6 +10,8 @@ The driver only lists file names.
 from __future__ import annotations
 
 import io
+import os
+import uuid
 import zipfile
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -181,8 +183,12 @@ def _zip_writer(root: str, name_of, member_of, header_lines: Sequence[str], colu
         buf.write("[End of File]\n")
         path = f"{root.rstrip('/')}/{name_of(key)}"
         local = path[len("file:"):] if path.startswith("file:") else path
-        with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as zf:
+        # write under a private name, then rename: a retried or speculative
+        # task attempt never leaves a half-written archive behind
+        tmp = f"{local}.part-{os.getpid()}-{uuid.uuid4().hex[:8]}"
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as zf:
             zf.writestr(member_of(key), buf.getvalue())
+        os.replace(tmp, local)
         return path, rows
 
     def run(batches):

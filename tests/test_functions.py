@@ -90,7 +90,6 @@ def test_prefix_and_frame_agree(spark):
 
 def test_std_single_row_and_constant(spark):
     df = _series(spark, [3.0, 3.0, 3.0])
-    r = df.select(rolling_std("x", 2, min_samples=1).alias("s")).orderBy("date").collect() if False else None
     out = with_rolling_std(df, "x", 2, "s", min_samples=1).orderBy("date").collect()
     assert out[0].s is None          # one value: sample std undefined
     assert out[1].s == 0.0
