@@ -228,10 +228,12 @@ def universe_fill(
     Left-join the membership flags on (date, key); on a rebalance date (any date
     present in ``membership``) a missing flag means False, on other dates NULL;
     then forward-fill per asset; ``out`` = flag1 OR flag2 (three-valued).
-    The rebalance calendar is broadcast: it holds at most one row per calendar
-    day, whatever the data volume."""
+    The rebalance calendar (one row per rebalance day) is broadcast after a
+    size check."""
     flags = list(flags)
-    rebal = F.broadcast(membership.select("date").distinct().withColumn("_rebalance", F.lit(True)))
+    from panelforge.operators.crosssection import checked_broadcast
+
+    rebal = checked_broadcast(membership.select("date").distinct().withColumn("_rebalance", F.lit(True)))
     j = panel.join(membership.select("date", key, *flags), ["date", key], "left").join(rebal, "date", "left")
     j = j.select(
         *[c for c in j.columns if c not in flags and c != "_rebalance"],

@@ -167,7 +167,9 @@ def composite_alphas(alphas: DataFrame, weights: DataFrame, names: Sequence[str]
     if names is not None:
         wt = wt.filter(F.col("signal_name").isin(list(names)))
         al = al.filter(F.col("signal_name").isin(list(names)))
-    # one weight per (date, signal): at most signals x calendar days rows -> broadcast
-    j = al.join(F.broadcast(wt.select("date", "signal_name", "weight")), ["date", "signal_name"], "inner")
+    # one weight per (date, signal): broadcast after a size check
+    from panelforge.operators.crosssection import checked_broadcast
+
+    j = al.join(checked_broadcast(wt.select("date", "signal_name", "weight")), ["date", "signal_name"], "inner")
     return j.groupBy("date", "barrid").agg(
         F.coalesce(F.sum(F.col("alpha") * F.col("weight")), F.lit(0.0)).alias("alpha"))

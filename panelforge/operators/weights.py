@@ -56,7 +56,9 @@ def halo_blocks(df: DataFrame, n: int, order: str = "date") -> DataFrame:
     need = need.join(starts, "_src", "inner")
     rows = df.withColumn("_src", yr).withColumn(
         "_lrn", F.row_number().over(Window.partitionBy("_src").orderBy(order)) - 1)
-    out = rows.join(F.broadcast(need), "_src", "inner")
+    from panelforge.operators.crosssection import checked_broadcast
+
+    out = rows.join(checked_broadcast(need), "_src", "inner")
     out = out.withColumn("_grn", F.col("_sstart") + F.col("_lrn")).withColumn("_own", F.col("_src") == F.col("_blk"))
     return out.drop("_lrn", "_sstart")
 

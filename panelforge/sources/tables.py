@@ -113,12 +113,14 @@ class Table:
 
     def _touched(self, rows: DataFrame) -> DataFrame:
         """Existing rows of the years present in ``rows`` (dynamic partition
-        pruning through a semi join on the distinct years; the year list is
-        bounded by the calendar, so it is broadcast)."""
+        pruning through a semi join on the distinct years, broadcast after a
+        size check)."""
         if not self.spec.yearly or not self.exists():
             return self.read()
         old = self.read(keep_year=True)
-        years = F.broadcast(rows.select(F.year(self.spec.date_col).alias("year")).distinct())
+        from panelforge.operators.crosssection import checked_broadcast
+
+        years = checked_broadcast(rows.select(F.year(self.spec.date_col).alias("year")).distinct())
         return old.join(years, "year", "left_semi").drop("year")
 
     def _merge(self, rows: DataFrame, on: Sequence[str], how: str) -> DataFrame:
