@@ -55,7 +55,7 @@ def optimizer_panel(assets: DataFrame, alphas: DataFrame, signals: Sequence[str]
 # ------------------------------------------------------------------ P6
 def active_weights(panel: DataFrame, by: Sequence[str] = ("date",), zero_beta=True,
                    target_risk: float = 0.05, alpha: str = "alpha", beta: str = "predicted_beta",
-                   risk: str = "specific_risk", out: str = "weight") -> DataFrame:
+                   risk: str = "specific_risk", out: str = "weight", method: str = "stats") -> DataFrame:
     """Mean-variance active weights per cross-section with diagonal (specific)
     risk, in closed form:
 
@@ -67,27 +67,36 @@ def active_weights(panel: DataFrame, by: Sequence[str] = ("date",), zero_beta=Tr
     This re-aims the reference's external solver call (ZeroInvestment /
     ZeroBeta constraints, target active risk); it is not that solver's output.
 
-    One windowed pass per cross-section (a cross-section holds one row per
-    asset of the universe, so it is bounded whatever the data volume)."""
-    w = Window.partitionBy(*by)
+    ``method="stats"`` (default): the per-cross-section sums are partial
+    aggregates attached with a size-checked broadcast - the panel is never
+    shuffled and a crowded cross-section cannot overload a task; the panel is
+    read twice, so pass a materialised one.  ``method="window"``: one windowed
+    pass (one shuffle by cross-section)."""
     zb = zero_beta if isinstance(zero_beta, Column) else F.lit(bool(zero_beta))
     iv = F.lit(1.0) / (F.col(risk) * F.col(risk))
     a, b = F.col(alpha), F.col(beta)
-    df = panel.withColumns({
-        "_n": F.count(F.lit(1)).over(w), "_s11": F.sum(iv).over(w), "_s1a": F.sum(a * iv).over(w),
-        "_s1b": F.sum(b * iv).over(w), "_sbb": F.sum(b * b * iv).over(w), "_sba": F.sum(b * a * iv).over(w),
-    })
+    sums = {"_n": F.count(F.lit(1)), "_s11": F.sum(iv), "_s1a": F.sum(a * iv), "_s1b": F.sum(b * iv),
+            "_sbb": F.sum(b * b * iv), "_sba": F.sum(b * a * iv)}
+    if method == "window":
+        w = Window.partitionBy(*by)
+        df = panel.withColumns({k: v.over(w) for k, v in sums.items()})
+    else:
+        df = attach_stats(panel, by, sums)
     det = F.col("_s11") * F.col("_sbb") - F.col("_s1b") * F.col("_s1b")
     mu0 = safe_div(F.col("_sbb") * F.col("_s1a") - F.col("_s1b") * F.col("_sba"), det)
     mu1 = safe_div(F.col("_s11") * F.col("_sba") - F.col("_s1b") * F.col("_s1a"), det)
     raw = F.when(zb, (a - mu0 - mu1 * b) * iv).otherwise((a - safe_div(F.col("_s1a"), F.col("_s11"))) * iv)
     df = df.withColumn("_raw", raw)
-    scale = safe_div(F.lit(target_risk),
-                     F.sqrt(F.sum(F.col("_raw") * F.col("_raw") * F.col(risk) * F.col(risk)).over(w)))
+    r2 = F.sum(F.col("_raw") * F.col("_raw") * F.col(risk) * F.col(risk))
+    if method == "window":
+        df = df.withColumn("_risk2", r2.over(Window.partitionBy(*by)))
+    else:
+        df = attach_stats(df, by, {"_risk2": r2})
+    scale = safe_div(F.lit(target_risk), F.sqrt(F.col("_risk2")))
     # with no more assets than constraints the only feasible portfolio is empty
     n_constraints = F.when(zb, F.lit(2)).otherwise(F.lit(1))
     df = df.withColumn(out, F.when(F.col("_n") > n_constraints, F.col("_raw") * scale).otherwise(F.lit(0.0)))
-    return df.drop("_n", "_s11", "_s1a", "_s1b", "_sbb", "_sba", "_raw")
+    return df.drop("_n", "_s11", "_s1a", "_s1b", "_sbb", "_sba", "_raw", "_risk2")
 
 
 # ------------------------------------------------------------------ P1

@@ -24,7 +24,9 @@ def signal_active_weights(assets: DataFrame, alphas: DataFrame, names: Sequence[
     its registered constraints (ZeroBeta only where listed), chosen per row so
     all signals share one pass."""
     names = list(names or SIGNALS)
-    panel = P.optimizer_panel(assets, alphas, signals=names)
+    # the hand-off panel is materialised once (the optimiser's input dataset);
+    # the weights read it twice (sums, then risk scaling)
+    panel = checkpoint(P.optimizer_panel(assets, alphas, signals=names))
     with_beta = [n for n in names if "ZeroBeta" in SIGNALS[n].constraints]
     out = P.active_weights(panel, by=("signal_name", "date"), zero_beta=F.col("signal_name").isin(with_beta),
                            target_risk=target_risk)
@@ -32,7 +34,7 @@ def signal_active_weights(assets: DataFrame, alphas: DataFrame, names: Sequence[
 
 
 def composite_panel_weights(assets: DataFrame, composite: DataFrame, target_risk: float = 0.05) -> DataFrame:
-    panel = P.optimizer_panel(assets, composite)
+    panel = checkpoint(P.optimizer_panel(assets, composite))
     return P.active_weights(panel, by=("date",), zero_beta=True, target_risk=target_risk).select(
         "date", "barrid", "weight")
 
