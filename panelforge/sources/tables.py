@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,13 +149,21 @@ class Table:
             target = [f.name for f in self.spec.schema.fields]
             self._write(self._conform(rows.select(*[c for c in rows.columns if c in target])))
             return
-        self._write(_checkpointed(self._conform(self._merge(rows, self.spec.ids, "full"))))
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read for the year list and the merge
+        try:
+            self._write(_checkpointed(self._conform(self._merge(rows, self.spec.ids, "full"))))
+        finally:
+            rows.unpersist()
 
     def update(self, rows: DataFrame, on: Sequence[str] | None = None) -> None:
         """Like upsert but rows without a match are not inserted."""
         if not self.exists():  # nothing to update
             return
-        self._write(_checkpointed(self._conform(self._merge(rows, on or self.spec.ids, "left"))))
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._write(_checkpointed(self._conform(self._merge(rows, on or self.spec.ids, "left"))))
+        finally:
+            rows.unpersist()
 
     def delete(self, year: int) -> None:
         """Drop one year partition (or the snapshot)."""
