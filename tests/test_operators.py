@@ -136,3 +136,39 @@ def test_bucketed_asof_equals_plain(spark, strategy):
     plain = J.asof_join(left, right, "date", "start", "k", strategy=strategy, tie_break=("seq",))
     buck = J.asof_join_bucketed(left, right, "date", "start", "k", F.year, strategy=strategy, tie_break=("seq",))
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, buck.collect()))
+
+
+def _universe(spark, rows):
+    return spark.createDataFrame(
+        [(d, b, 10.0, r, sr, 30.0, 1.0, 100.0, True) for d, b, r, sr in rows],
+        "date date, barrid string, price double, return double, specific_return double, specific_risk double, "
+        "predicted_beta double, daily_volume double, in_universe boolean")
+
+
+def test_reversal_edge_rows(spark):
+    d0 = D(2020, 1, 1)
+    rows = [(d0 + dt.timedelta(days=i), "A", 1.0, 0.5) for i in range(30)]
+    rows[25] = (rows[25][0], "A", -100.0, 0.5)                     # -100 %: log1p(-1) -> NULL
+    rows += [(d0 + dt.timedelta(days=i), "B", 1.0, 0.5) for i in range(10)]   # shorter than the window
+    assets = _universe(spark, rows)
+    inp = S.signal_input(assets)
+    out = {(r.barrid, r.date): r.reversal for r in S.signal_columns(inp, ["reversal"]).collect()}
+    assert out[("A", d0 + dt.timedelta(days=21))] == pytest.approx(-22 * __import__("math").log1p(0.01))
+    for i in range(25, 30):                                          # windows holding the -100 % row
+        assert out[("A", d0 + dt.timedelta(days=i))] is None
+    assert all(out[("B", d0 + dt.timedelta(days=i))] is None for i in range(10))
+
+
+def test_compute_signals_single_asset_date_and_gate(spark):
+    d0 = D(2020, 1, 1)
+    rows = [(d0 + dt.timedelta(days=i), b, 0.1 * (k + 1), 0.2 * (k + 1) * (-1) ** i)
+            for i in range(40) for k, b in enumerate(["A", "B", "C"])]
+    rows += [(d0 + dt.timedelta(days=40), "A", 0.3, 0.1)]              # a date with one asset
+    sig, sc, al = S.compute_signals(_universe(spark, rows))
+    scores = {(r.signal_name, r.barrid, r.date): r.score for r in sc.collect()}
+    assert scores[("beta", "A", d0 + dt.timedelta(days=40))] is None  # one asset: std undefined
+    assert scores[("beta", "A", d0)] is None                          # identical betas: std 0 -> NULL
+    alphas = {(r.signal_name, r.barrid, r.date): r.alpha for r in al.collect()}
+    assert set(alphas) == set(scores)
+    wz = [r for r in sc.filter("signal_name = 'barra_reversal'").collect() if r.score is not None]
+    assert all(-2.0 <= r.score <= 2.0 for r in wz)
