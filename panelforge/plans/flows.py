@@ -18,19 +18,11 @@ from panelforge.sources import archives as A
 from panelforge.sources import vendor as V
 from panelforge.sources.tables import Table, TableSpec
 
-SIGNAL_TABLE_SCHEMAS = {
-    "signals": ("signal_value",),
-    "scores": ("score",),
-    "alphas": ("alpha",),
-}
-
-
 def signal_table_spec(name: str) -> TableSpec:
-    (value,) = SIGNAL_TABLE_SCHEMAS[name]
-    return TableSpec(name, T.StructType([
-        T.StructField("date", T.DateType()), T.StructField("barrid", T.StringType()),
-        T.StructField("signal_name", T.StringType()), T.StructField(value, T.DoubleType())]),
-        ("date", "barrid", "signal_name"))
+    """Catalogue spec of the signals / scores / alphas tables."""
+    from panelforge.sources.catalog import table_spec
+
+    return table_spec(name)
 
 
 def signals_flow(spark: SparkSession, assets: DataFrame, root: str, names: Sequence[str] | None = None,

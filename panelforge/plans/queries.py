@@ -1217,3 +1217,27 @@ def q_late_corrections(spark, sf_dir):
     corr = p.filter(F.year("date") == 1998).withColumn("price", F.col("price") * 2)
     t.upsert(accept_recent(corr, fx.sessions(spark, sf_dir), 60))
     return t.read()
+
+
+# ---------------------------------------------------------------- catalogue
+from panelforge.sources.catalog import TABLES, Catalog  # noqa: E402
+
+
+def _catalog_select_sql() -> str:
+    have = {"date", "rootid", "barrid", "issuerid", "instrument", "name", "cusip", "ticker", "price", "return",
+            "specific_return", "market_cap", "price_source", "currency", "iso_country_code", "iso_currency_code",
+            "specific_risk", "predicted_beta", "russell_1000", "russell_2000", "in_universe", "daily_volume"}
+    sql_t = {"str": "VARCHAR", "dbl": "DOUBLE", "bool": "BOOLEAN", "date": "DATE", "int": "BIGINT"}
+    cols = []
+    for n, t in TABLES["assets"][0]:
+        cols.append(f'"{n}"' if n in have else f'CAST(NULL AS {sql_t[t]}) AS "{n}"')
+    return "SELECT " + ", ".join(cols) + " FROM assets"
+
+
+@query("catalog_assets_table", with_ctes(_catalog_select_sql(), "assets"))
+def q_catalog_assets_table(spark, sf_dir):
+    """The asset panel written through the catalogue: declared schema (columns
+    the sources do not supply are typed NULLs), yearly partitions."""
+    cat = Catalog(spark, shared_dir(spark, "db"), "development")
+    cat.assets_table.overwrite(_assets(spark, sf_dir))
+    return cat.assets_table.read()
