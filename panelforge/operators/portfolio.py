@@ -141,10 +141,25 @@ def benchmark_returns(fwd: DataFrame, portfolio: str = "Benchmark") -> DataFrame
 
 
 def cumulative_log_return(series: DataFrame, by: Sequence[str] = ("portfolio",), ret: str = "return",
-                          out: str = "cumulative_return") -> DataFrame:
-    """100 * running sum of log1p(return), per portfolio, in date order."""
-    w = Window.partitionBy(*by).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return series.withColumn(out, F.sum(log1p_or_null(ret)).over(w) * 100)
+                          out: str = "cumulative_return", block=F.year) -> DataFrame:
+    """100 * running sum of log1p(return), per portfolio, in date order.
+
+    The running sum is split by time block (``block`` maps the date to a block
+    number, default the year): a running sum inside each (portfolio, block)
+    partition plus the total of all earlier blocks, taken from a one-row-per-
+    (portfolio, block) table.  No series is ever held by one task."""
+    by = list(by)
+    x = log1p_or_null(ret)
+    df = series.withColumn("_cb", block(F.col("date")).cast("long")).withColumn("_cx", x)
+    w_in = Window.partitionBy(*by, "_cb").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = df.groupBy(*by, "_cb").agg(F.sum("_cx").alias("_tot"))
+    w_prev = Window.partitionBy(*by).orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, "_cb", F.sum("_tot").over(w_prev).alias("_off"))
+    df = df.withColumn("_run", F.sum("_cx").over(w_in)).join(offsets, [*by, "_cb"], "left")
+    # NULL until the series has a value, as a plain running sum would be
+    total = F.when(F.col("_run").isNotNull() | F.col("_off").isNotNull(),
+                   F.coalesce(F.col("_off"), F.lit(0.0)) + F.coalesce(F.col("_run"), F.lit(0.0)))
+    return df.withColumn(out, total * 100).drop("_cb", "_cx", "_run", "_off")
 
 
 def active_returns(portfolio: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -172,3 +172,24 @@ def test_compute_signals_single_asset_date_and_gate(spark):
     assert set(alphas) == set(scores)
     wz = [r for r in sc.filter("signal_name = 'barra_reversal'").collect() if r.score is not None]
     assert all(-2.0 <= r.score <= 2.0 for r in wz)
+
+
+def test_blocked_cumulative_equals_running_sum(spark):
+    import math
+    import random
+    random.seed(5)
+    rows = [(p, D(1999, 6, 1) + dt.timedelta(days=i), None if random.random() < 0.05 else random.uniform(-0.05, 0.05))
+            for p in ("P", "B") for i in range(900)]
+    rows[0] = ("P", rows[0][1], None)
+    df = spark.createDataFrame(rows, "portfolio string, date date, return double")
+    got = {(r.portfolio, r.date): r.cumulative_return for r in P.cumulative_log_return(df).collect()}
+    for p in ("P", "B"):
+        acc = None
+        for pp, d, r in sorted((x for x in rows if x[0] == p), key=lambda x: x[1]):
+            if r is not None:
+                acc = (acc or 0.0) + math.log1p(r)
+            exp = None if acc is None else 100 * acc
+            g = got[(p, d)]
+            assert (g is None) == (exp is None)
+            if exp is not None:
+                assert g == pytest.approx(exp, abs=1e-9)
