@@ -55,8 +55,13 @@ def ewm_mean(
     order: str | Sequence[str] = "date",
     min_samples: int = 1,
     out: str | None = None,
+    count_col: str | None = None,
 ) -> DataFrame:
-    """Add ``out`` (default ``x``) = adjusted EWM mean of ``x`` per series ``by``."""
+    """Add ``out`` (default ``x``) = adjusted EWM mean of ``x`` per series ``by``.
+
+    ``count_col``: a column holding the number of non-null values of ``x``
+    from the true series start (when ``by`` splits a series into halo blocks);
+    by default it is counted inside the partition."""
     by, order = _list(by), _list(order)
     out = out or x
     q, B, L = ewm_params(span)
@@ -64,7 +69,7 @@ def ewm_mean(
     w = Window.partitionBy(*by).orderBy(*order)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     df = df.withColumn("_ewm_rn", F.row_number().over(w) - 1).withColumn(
-        "_ewm_cnt", F.count(xc).over(running)
+        "_ewm_cnt", F.count(xc).over(running) if count_col is None else F.col(count_col)
     )
     if q == 0.0:  # span 1: weight only on the current row
         return df.withColumn(out, F.when(xc.isNotNull() & (F.col("_ewm_cnt") >= min_samples), xc)).drop(

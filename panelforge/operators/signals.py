@@ -42,44 +42,50 @@ def signal_input(assets: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- signals
-def _col_signal(name: str, expr: Callable[[], Column]) -> Callable[[DataFrame], DataFrame]:
-    return lambda df: df.withColumn(name, expr())
+def _col_signal(name: str, expr: Callable[..., Column]) -> Callable[..., DataFrame]:
+    return lambda df, by=None, **_: df.withColumn(name, expr(by=by))
 
 
-def momentum_expr(window: int = 230, skip: int = 22) -> Column:
+def momentum_expr(window: int = 230, skip: int = 22, by=None) -> Column:
     """H1: lag_skip( rolling_sum_window( log1p(return) ) )."""
-    r = rolling_sum(log1p_or_null("return"), window)
-    return F.lag(r, skip).over(Window.partitionBy(ASSET).orderBy(DATE))
+    by = list(by or [ASSET])
+    r = rolling_sum(log1p_or_null("return"), window, by=by)
+    return F.lag(r, skip).over(Window.partitionBy(*by).orderBy(DATE))
 
 
-def reversal_expr(window: int = 22) -> Column:
+def reversal_expr(window: int = 22, by=None) -> Column:
     """H2: -rolling_sum_window( log1p(return) )."""
-    return -rolling_sum(log1p_or_null("return"), window)
+    return -rolling_sum(log1p_or_null("return"), window, by=list(by or [ASSET]))
 
 
-def beta_expr() -> Column:
+def beta_expr(by=None) -> Column:
     """H3: -predicted_beta."""
     return -F.col("predicted_beta")
 
 
-def barra_reversal(df: DataFrame, span: int = 5, min_samples: int = 5, name: str = "barra_reversal") -> DataFrame:
+def barra_reversal(df: DataFrame, span: int = 5, min_samples: int = 5, name: str = "barra_reversal",
+                   by=None, count_col: str | None = None, **_) -> DataFrame:
     """H4: lag1( -ewm_mean_span( specific_return ) )."""
-    df = ewm_mean(df, "specific_return", span, by=ASSET, order=DATE, min_samples=min_samples, out="_ewm_sr")
-    return df.withColumn(name, lag(-F.col("_ewm_sr"), 1)).drop("_ewm_sr")
+    by = list(by or [ASSET])
+    df = ewm_mean(df, "specific_return", span, by=by, order=DATE, min_samples=min_samples, out="_ewm_sr",
+                  count_col=count_col)
+    return df.withColumn(name, lag(-F.col("_ewm_sr"), 1, by=by)).drop("_ewm_sr")
 
 
-def barra_momentum(df: DataFrame, window: int = 230, skip: int = 21, name: str = "barra_momentum") -> DataFrame:
+def barra_momentum(df: DataFrame, window: int = 230, skip: int = 21, name: str = "barra_momentum",
+                   by=None, **_) -> DataFrame:
     """H5: lag_skip( rolling_sum(log1p(sr)) / rolling_std(sr) ), both over
     ``window`` rows with the full-window rule."""
-    df = with_rolling_std(df, "specific_return", window, "_bm_sd", by=ASSET, order=DATE)
-    ratio = safe_div(rolling_sum(log1p_or_null("specific_return"), window), F.col("_bm_sd"))
+    by = list(by or [ASSET])
+    df = with_rolling_std(df, "specific_return", window, "_bm_sd", by=by, order=DATE)
+    ratio = safe_div(rolling_sum(log1p_or_null("specific_return"), window, by=by), F.col("_bm_sd"))
     df = df.withColumn("_bm_ratio", ratio)
-    return df.withColumn(name, lag("_bm_ratio", skip)).drop("_bm_sd", "_bm_ratio")
+    return df.withColumn(name, lag("_bm_ratio", skip, by=by)).drop("_bm_sd", "_bm_ratio")
 
 
-def ivol_expr() -> Column:
+def ivol_expr(by=None) -> Column:
     """H6: lag1( -specific_risk )."""
-    return lag(-F.col("specific_risk"), 1)
+    return lag(-F.col("specific_risk"), 1, by=list(by or [ASSET]))
 
 
 # ----------------------------------------------------------------- scorers
@@ -149,14 +155,28 @@ SIGNALS = default_signals()
 
 
 def signal_columns(inp: DataFrame, names: Sequence[str] | None = None,
-                   registry: dict[str, SignalSpec] | None = None) -> DataFrame:
-    """Wide frame: one column per signal (one shared per-asset partitioning)."""
+                   registry: dict[str, SignalSpec] | None = None,
+                   block_rows: int | None = None, halo: int = 512) -> DataFrame:
+    """Wide frame: one column per signal (one shared per-asset partitioning).
+
+    ``block_rows``: for assets whose series is too long for one task, run the
+    windows per (asset, block of rows) with a ``halo``-row look-back (see
+    ``functions.blocks``); every built-in signal looks back at most 252 rows,
+    and the EWM keeps its exact sample count, so results are unchanged."""
     reg = registry or SIGNALS
     names = list(names or reg)
-    out = inp
+    if block_rows is None:
+        out = inp
+        for n in names:
+            out = reg[n].compute(out)
+        return out
+    from panelforge.functions.blocks import block_series
+
+    cols = inp.columns
+    out = block_series(inp, [ASSET], DATE, block_rows, halo, running_counts=["specific_return"])
     for n in names:
-        out = reg[n].compute(out)
-    return out
+        out = reg[n].compute(out, by=[ASSET, "_tgt"], count_col="_nn_specific_return")
+    return out.filter(F.col("_blk") == F.col("_tgt")).select(*cols, *names)
 
 
 def signals_long(wide: DataFrame, names: Sequence[str]) -> DataFrame:

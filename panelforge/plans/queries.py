@@ -1241,3 +1241,15 @@ def q_catalog_assets_table(spark, sf_dir):
     cat = Catalog(spark, shared_dir(spark, "db"), "development")
     cat.assets_table.overwrite(_assets(spark, sf_dir))
     return cat.assets_table.read()
+
+
+# ---------------------------------------------------------------- hot-key mode of the per-asset windows
+@query("signals_long_blocked", REGISTRY["signals_long"].sql)
+def q_signals_long_blocked(spark, sf_dir):
+    """H12's signal table with every asset's series cut into 300-row blocks
+    carrying a 256-row halo (small blocks so the test data spans many)."""
+    inp = S.signal_input(_assets(spark, sf_dir))
+    names = list(S.SIGNALS)
+    wide = S.signal_columns(inp, names, block_rows=300, halo=256)
+    long = S.signals_long(wide, names)
+    return long.select("date", "barrid", "signal_name", rnd("signal_value").alias("signal_value"))

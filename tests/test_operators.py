@@ -193,3 +193,28 @@ def test_blocked_cumulative_equals_running_sum(spark):
             assert (g is None) == (exp is None)
             if exp is not None:
                 assert g == pytest.approx(exp, abs=1e-9)
+
+
+def test_blocked_signal_windows_equal_plain(spark):
+    import random
+    random.seed(9)
+    d0 = D(2000, 1, 3)
+    rows = []
+    for b, n in (("HOT", 1500), ("X", 120)):
+        for i in range(n):
+            sr = None if random.random() < 0.2 else random.uniform(-3, 3)
+            if b == "HOT" and 600 <= i < 640:
+                sr = None                                   # a long gap: the EWM count guard must carry over
+            rows.append((d0 + dt.timedelta(days=i), b, random.uniform(-3, 3), sr))
+    inp = S.signal_input(_universe(spark, rows))
+    names = list(S.SIGNALS)
+    plain = {(r.barrid, r.date): r for r in S.signal_columns(inp, names).collect()}
+    blocked = S.signal_columns(inp, names, block_rows=300, halo=256).collect()
+    assert len(blocked) == len(plain)
+    for r in blocked:
+        p = plain[(r.barrid, r.date)]
+        for n in names:
+            a, b = getattr(r, n), getattr(p, n)
+            assert (a is None) == (b is None), (n, r.barrid, r.date)
+            if a is not None:
+                assert a == pytest.approx(b, rel=1e-9, abs=1e-12), n
