@@ -90,7 +90,7 @@ def ivol_expr(by=None) -> Column:
 
 # ----------------------------------------------------------------- scorers
 def zscore(df: DataFrame, value: str = "signal_value", by: Sequence[str] = ("signal_name", DATE),
-           out: str = "score") -> DataFrame:
+           out: str = "score", **_) -> DataFrame:  # block options do not apply to cross-sections
     """Cross-sectional z-score, sample std (one row -> NULL, std 0 -> NULL).
     Mean and std come from a partial aggregation per cross-section, attached
     back by a broadcast join (see ``operators.crosssection``)."""
@@ -100,17 +100,29 @@ def zscore(df: DataFrame, value: str = "signal_value", by: Sequence[str] = ("sig
 
 
 def win_zscore(df: DataFrame, value: str = "signal_value", by: Sequence[str] = ("signal_name", DATE),
-               asset_by: Sequence[str] = ("signal_name", ASSET), clip: float = 2.0, window: int = 252) -> DataFrame:
+               asset_by: Sequence[str] = ("signal_name", ASSET), clip: float = 2.0, window: int = 252,
+               block_rows: int | None = None, halo: int = 256) -> DataFrame:
     """H8: z-score clipped to [-clip, clip]; volume_score = standardised
     log1p(daily_volume * price) against its trailing ``window``-row mean / std
     (std NULL -> 1, floored at 1e-4; result NULL -> 0)."""
     df = zscore(df, value, by, "_z").withColumn("score", clip_keep_null("_z", -clip, clip)).drop("_z")
     dv = log1p_or_null(F.col("daily_volume") * F.col("price"))
     df = df.withColumn("dollar_volume", dv)
-    mean = rolling_mean("dollar_volume", window, by=list(asset_by), order=DATE, min_samples=1)
+    part = list(asset_by)
+    cols = df.columns
+    if block_rows is not None:  # hot keys: per (signal, asset, row block) with a halo
+        from panelforge.functions.blocks import block_series
+
+        if halo < window - 1:
+            raise ValueError("halo must cover the rolling window")
+        df = block_series(df, part, DATE, block_rows, halo)
+        part = part + ["_tgt"]
+    mean = rolling_mean("dollar_volume", window, by=part, order=DATE, min_samples=1)
     df = df.withColumn("dollar_volume_mean", mean)
-    df = with_rolling_std(df, "dollar_volume", window, "dollar_volume_std", by=list(asset_by), order=DATE,
+    df = with_rolling_std(df, "dollar_volume", window, "dollar_volume_std", by=part, order=DATE,
                           min_samples=2)
+    if block_rows is not None:
+        df = df.filter(F.col("_blk") == F.col("_tgt")).select(*cols, "dollar_volume_mean", "dollar_volume_std")
     denom = F.greatest(F.coalesce(F.col("dollar_volume_std"), F.lit(1.0)), F.lit(0.0001))
     vs = F.coalesce((F.col("dollar_volume") - F.col("dollar_volume_mean")) / denom, F.lit(0.0))
     return df.withColumn("volume_score", vs)
@@ -191,16 +203,19 @@ def signals_long(wide: DataFrame, names: Sequence[str]) -> DataFrame:
 def compute_signals(assets: DataFrame, names: Sequence[str] | None = None,
                     registry: dict[str, SignalSpec] | None = None,
                     materialize: Callable[[DataFrame], DataFrame] | None = None,
+                    block_rows: int | None = None, halo: int = 256,
                     ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(signals, scores, alphas) in long form for every registered signal.
 
-    Signals sharing a (scorer, alphatizer) pair are scored in one pass.  The
+    Signals sharing a (scorer, alphatizer) pair are scored in one pass;
+    ``block_rows`` switches every per-asset window to row blocks with a halo
+    (hot keys, see ``signal_columns``).  The
     long signal table feeds every scorer group; ``materialize`` (e.g. a
     reliable ``checkpoint``) stores it once instead of recomputing the
     per-asset windows for each group."""
     reg = registry or SIGNALS
     names = list(names or reg)
-    long = signals_long(signal_columns(signal_input(assets), names, reg), names)
+    long = signals_long(signal_columns(signal_input(assets), names, reg, block_rows=block_rows, halo=halo), names)
     if materialize is not None:
         long = materialize(long)
     groups: dict[tuple, list[str]] = {}
@@ -209,7 +224,8 @@ def compute_signals(assets: DataFrame, names: Sequence[str] | None = None,
     scored = None
     for (scorer, alphatizer), members in groups.items():
         part = long.filter(F.col("signal_name").isin(members)) if len(groups) > 1 else long
-        part = alphatizer(scorer(part)).select(DATE, ASSET, "signal_name", "signal_value", "score", "alpha")
+        scored_part = scorer(part, block_rows=block_rows, halo=halo) if block_rows is not None else scorer(part)
+        part = alphatizer(scored_part).select(DATE, ASSET, "signal_name", "signal_value", "score", "alpha")
         scored = part if scored is None else scored.unionByName(part)
     signals = long.select(DATE, ASSET, "signal_name", "signal_value")
     scores = scored.select(DATE, ASSET, "signal_name", "score")

@@ -1253,3 +1253,13 @@ def q_signals_long_blocked(spark, sf_dir):
     wide = S.signal_columns(inp, names, block_rows=300, halo=256)
     long = S.signals_long(wide, names)
     return long.select("date", "barrid", "signal_name", rnd("signal_value").alias("signal_value"))
+
+
+@query("alphas_long_blocked", REGISTRY["alphas_long"].sql)
+def q_alphas_long_blocked(spark, sf_dir):
+    """H12 alphas with all per-asset windows (signals and the winsorised
+    scorer's volume statistics) in 300-row blocks with a 256-row halo."""
+    from panelforge.plans.combination import checkpoint
+
+    _, _, al = S.compute_signals(_assets(spark, sf_dir), materialize=checkpoint, block_rows=300)
+    return al.withColumn("alpha", rnd("alpha"))
