@@ -23,6 +23,18 @@ from panelforge.operators.crosssection import attach_stats
 
 ASSET = "barrid"
 DATE = "date"
+# ``block_rows="auto"``: split per-asset series into row blocks only when the
+# longest series exceeds AUTO_MAX_ROWS rows (one partial aggregate measures it).
+AUTO_MAX_ROWS = 250_000
+AUTO_BLOCK_ROWS = 65_536
+
+
+def resolve_block_rows(inp: DataFrame, block_rows):
+    """None / an int pass through; "auto" measures the longest series."""
+    if block_rows != "auto":
+        return block_rows
+    longest = inp.groupBy(ASSET).count().agg(F.max("count")).first()[0] or 0
+    return AUTO_BLOCK_ROWS if longest > AUTO_MAX_ROWS else None
 CARRY = ["price", "daily_volume", "specific_risk", "predicted_beta"]
 
 
@@ -177,6 +189,7 @@ def signal_columns(inp: DataFrame, names: Sequence[str] | None = None,
     and the EWM keeps its exact sample count, so results are unchanged."""
     reg = registry or SIGNALS
     names = list(names or reg)
+    block_rows = resolve_block_rows(inp, block_rows)
     if block_rows is None:
         out = inp
         for n in names:
@@ -215,7 +228,9 @@ def compute_signals(assets: DataFrame, names: Sequence[str] | None = None,
     per-asset windows for each group."""
     reg = registry or SIGNALS
     names = list(names or reg)
-    long = signals_long(signal_columns(signal_input(assets), names, reg, block_rows=block_rows, halo=halo), names)
+    inp = signal_input(assets)
+    block_rows = resolve_block_rows(inp, block_rows)
+    long = signals_long(signal_columns(inp, names, reg, block_rows=block_rows, halo=halo), names)
     if materialize is not None:
         long = materialize(long)
     groups: dict[tuple, list[str]] = {}

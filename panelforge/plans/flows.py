@@ -32,7 +32,8 @@ def signals_flow(spark: SparkSession, assets: DataFrame, root: str, names: Seque
     written (the windows always see the whole history)."""
     from panelforge.plans.combination import checkpoint
 
-    sig, sc, al = compute_signals(assets, names, materialize=checkpoint)
+    # hot assets (series longer than signals.AUTO_MAX_ROWS) switch to row blocks
+    sig, sc, al = compute_signals(assets, names, materialize=checkpoint, block_rows="auto")
     out = {}
     for name, df in (("signals", sig), ("scores", sc), ("alphas", al)):
         if write_start is not None:

@@ -218,3 +218,22 @@ def test_blocked_signal_windows_equal_plain(spark):
             assert (a is None) == (b is None), (n, r.barrid, r.date)
             if a is not None:
                 assert a == pytest.approx(b, rel=1e-9, abs=1e-12), n
+
+
+def test_auto_block_mode_switches_on_long_series(spark, monkeypatch):
+    d0 = D(2000, 1, 3)
+    rows = [(d0 + dt.timedelta(days=i), "HOT", 0.1 * ((i % 7) - 3), 0.2 * ((i % 5) - 2)) for i in range(700)]
+    rows += [(d0 + dt.timedelta(days=i), "X", 0.1, 0.1) for i in range(50)]
+    inp = S.signal_input(_universe(spark, rows))
+    assert S.resolve_block_rows(inp, "auto") is None
+    monkeypatch.setattr(S, "AUTO_MAX_ROWS", 500)
+    monkeypatch.setattr(S, "AUTO_BLOCK_ROWS", 300)
+    assert S.resolve_block_rows(inp, "auto") == 300
+    plain = {(r.barrid, r.date): r.momentum for r in S.signal_columns(inp, ["momentum"]).collect()}
+    auto = {(r.barrid, r.date): r.momentum for r in
+            S.signal_columns(inp, ["momentum"], block_rows="auto", halo=256).collect()}
+    assert set(auto) == set(plain)
+    for k, v in plain.items():
+        assert (v is None) == (auto[k] is None)
+        if v is not None:
+            assert auto[k] == pytest.approx(v, rel=1e-9, abs=1e-12)
