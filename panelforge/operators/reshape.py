@@ -10,9 +10,17 @@ from pyspark.sql import functions as F
 from panelforge.operators.cleaning import strip_first
 
 
-def pivot_wide(df: DataFrame, index: Sequence[str], on: str, values: str, names: Sequence[str]) -> DataFrame:
+def pivot_wide(df: DataFrame, index: Sequence[str], on: str, values: str, names: Sequence[str],
+               strict: bool = False) -> DataFrame:
     """Long -> wide with a fixed list of ``names`` (fixed schema, no extra job
-    to discover values).  One partial/final aggregation on ``index``."""
+    to discover values).  One partial/final aggregation on ``index``.
+
+    ``strict``: first check (one aggregation) that no cell holds two values,
+    and raise instead of silently keeping one."""
+    if strict:
+        dup = duplicate_pivot_cells(df, index, on).limit(1).count()
+        if dup:
+            raise ValueError(f"pivot on {on!r}: some ({', '.join(index)}) cells hold several values")
     return df.groupBy(*index).pivot(on, list(names)).agg(F.first(values))
 
 

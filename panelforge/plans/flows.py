@@ -74,7 +74,7 @@ def snapshot_flow(spark: SparkSession, archive_root: str, spec: A.ArchiveSpec, v
 def factor_matrix_flow(long: DataFrame, index: Sequence[str], on: str, value: str, factors: Sequence[str],
                        table: Table) -> None:
     """F2/F3 for the wide factor tables: pivot on the fixed factor list, upsert."""
-    table.upsert(pivot_wide(long, index, on, value, factors))
+    table.upsert(pivot_wide(long, index, on, value, factors, strict=True))
 
 
 def warehouse_backfill_flow(src: DataFrame, columns, date_col: str, table: Table, start=None, end=None,

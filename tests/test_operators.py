@@ -237,3 +237,15 @@ def test_auto_block_mode_switches_on_long_series(spark, monkeypatch):
         assert (v is None) == (auto[k] is None)
         if v is not None:
             assert auto[k] == pytest.approx(v, rel=1e-9, abs=1e-12)
+
+
+def test_pivot_strict_rejects_duplicate_cells(spark):
+    from panelforge.operators.reshape import pivot_wide, unpivot_long
+    df = spark.createDataFrame([(D(2020, 1, 1), "A", "f1", 1.0), (D(2020, 1, 1), "A", "f2", 2.0),
+                                (D(2020, 1, 2), "A", "f1", 3.0)], "date date, barrid string, factor string, v double")
+    wide = pivot_wide(df, ["date", "barrid"], "factor", "v", ["f1", "f2", "f3"], strict=True)
+    assert wide.columns == ["date", "barrid", "f1", "f2", "f3"]
+    back = unpivot_long(wide, ["date", "barrid"], ["f1", "f2", "f3"], "factor", "v").filter("v IS NOT NULL")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))   # pivot then unpivot
+    with pytest.raises(ValueError):
+        pivot_wide(df.unionByName(df.limit(1)), ["date", "barrid"], "factor", "v", ["f1", "f2"], strict=True)
