@@ -47,3 +47,22 @@ def block_series(df: DataFrame, by: Sequence[str], order: str, block_rows: int =
                     F.array(F.col("_blk"), F.col("_blk") + 1)).otherwise(F.array(F.col("_blk")))
     d = d.withColumn("_tgt", F.explode(copies))
     return d.drop("_cy", "_cb", *[f"_cbn_{c}" for c in running_counts])
+
+
+def forward_fill_blocked(df: DataFrame, cols: Sequence[str], by: Sequence[str], order: str = "date",
+                         bucket=F.year) -> DataFrame:
+    """Forward fill of ``cols`` per series, run per (key, time bucket): the fill
+    inside each bucket, then the last non-null value of the earlier buckets
+    from a one-row-per-(key, bucket) table.  Equal to a plain forward fill."""
+    by = list(by)
+    d = df.withColumn("_fb", bucket(F.col(order)).cast("long"))
+    inside = Window.partitionBy(*by, "_fb").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumns({f"_ff_{c}": F.last(c, ignorenulls=True).over(inside) for c in cols})
+    last_in_bucket = d.groupBy(*by, "_fb").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_lb_{c}") for c in cols])
+    prev = Window.partitionBy(*by).orderBy("_fb").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last_in_bucket.select(*by, "_fb", *[F.last(f"_lb_{c}", ignorenulls=True).over(prev).alias(f"_cy_{c}")
+                                                for c in cols])
+    d = d.join(carry, [*by, "_fb"], "left")
+    d = d.withColumns({c: F.coalesce(F.col(f"_ff_{c}"), F.col(f"_cy_{c}")) for c in cols})
+    return d.drop("_fb", *[f"_ff_{c}" for c in cols], *[f"_cy_{c}" for c in cols])

@@ -222,6 +222,7 @@ def universe_fill(
     key: str = "cusip",
     asset: str = "barrid",
     out: str = "in_universe",
+    bucket=None,
 ) -> DataFrame:
     """Rebalance-aware constituency.
 
@@ -229,7 +230,8 @@ def universe_fill(
     present in ``membership``) a missing flag means False, on other dates NULL;
     then forward-fill per asset; ``out`` = flag1 OR flag2 (three-valued).
     The rebalance calendar (one row per rebalance day) is broadcast after a
-    size check."""
+    size check.  ``bucket`` (e.g. ``F.year``) runs the fill per (asset, time
+    bucket) for assets too long for one task."""
     flags = list(flags)
     from panelforge.operators.crosssection import checked_broadcast
 
@@ -239,11 +241,17 @@ def universe_fill(
         *[c for c in j.columns if c not in flags and c != "_rebalance"],
         *[F.when(F.col("_rebalance"), F.coalesce(F.col(f), F.lit(False))).alias(f) for f in flags],
     )
-    w = Window.partitionBy(asset).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    j = j.select(
-        *[c for c in j.columns if c not in flags],
-        *[F.last(f, ignorenulls=True).over(w).alias(f) for f in flags],
-    )
+    if bucket is not None:  # hot assets: fill per (asset, time bucket) with a carried value
+        from panelforge.functions.blocks import forward_fill_blocked
+
+        j = forward_fill_blocked(j, flags, [asset], "date", bucket)
+        j = j.select(*[c for c in j.columns if c not in flags], *flags)
+    else:
+        w = Window.partitionBy(asset).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        j = j.select(
+            *[c for c in j.columns if c not in flags],
+            *[F.last(f, ignorenulls=True).over(w).alias(f) for f in flags],
+        )
     u = F.col(flags[0])
     for f in flags[1:]:
         u = u | F.col(f)

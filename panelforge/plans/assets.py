@@ -33,9 +33,11 @@ def build_assets(
     membership: DataFrame,
     start=None,
     end=None,
+    fill_bucket=None,
 ) -> DataFrame:
     """``membership`` is the raw index file (date, cusip, russell1000,
-    russell2000 as "Y"/"N")."""
+    russell2000 as "Y"/"N").  ``fill_bucket`` (e.g. ``F.year``) runs the
+    constituency fill per (asset, time bucket) for very long series."""
     rng = lambda d: date_range(d, start, end)
     combined = left_chain(rng(returns), [rng(specific_returns), rng(risk), rng(volume)])
 
@@ -52,11 +54,12 @@ def build_assets(
         by="barrid",
     )
     flags = decode_flags(membership, {"russell1000": "russell_1000", "russell2000": "russell_2000"})
-    out = universe_fill(combined, flags.select("date", "cusip", "russell_1000", "russell_2000"))
+    out = universe_fill(combined, flags.select("date", "cusip", "russell_1000", "russell_2000"),
+                        bucket=fill_bucket)
     return out.select(*[c for c in ASSET_COLUMNS if c in out.columns])
 
 
-def build_assets_from_fixtures(spark, sf_dir: str, start=None, end=None) -> DataFrame:
+def build_assets_from_fixtures(spark, sf_dir: str, start=None, end=None, fill_bucket=None) -> DataFrame:
     from panelforge.plans import fixtures as fx
     from panelforge.plans.combination import checkpoint
 
@@ -73,4 +76,5 @@ def build_assets_from_fixtures(spark, sf_dir: str, start=None, end=None) -> Data
         fx.membership(p),
         start,
         end,
+        fill_bucket,
     )

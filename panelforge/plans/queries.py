@@ -1263,3 +1263,11 @@ def q_alphas_long_blocked(spark, sf_dir):
 
     _, _, al = S.compute_signals(_assets(spark, sf_dir), materialize=checkpoint, block_rows=300)
     return al.withColumn("alpha", rnd("alpha"))
+
+
+@query("universe_forward_fill_bucketed", REGISTRY["universe_forward_fill"].sql)
+def q_universe_forward_fill_bucketed(spark, sf_dir):
+    """D4 with the constituency fill run per (asset, year) and the last flag
+    carried from earlier years (hot-asset mode)."""
+    a = build_assets_from_fixtures(spark, sf_dir, fill_bucket=F.year)
+    return a.select("date", "barrid", "cusip", "russell_1000", "russell_2000", "in_universe")

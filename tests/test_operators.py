@@ -249,3 +249,17 @@ def test_pivot_strict_rejects_duplicate_cells(spark):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))   # pivot then unpivot
     with pytest.raises(ValueError):
         pivot_wide(df.unionByName(df.limit(1)), ["date", "barrid"], "factor", "v", ["f1", "f2"], strict=True)
+
+
+def test_forward_fill_blocked_equals_plain(spark):
+    import random
+    from panelforge.functions import forward_fill
+    from panelforge.functions.blocks import forward_fill_blocked
+    random.seed(2)
+    rows = [(k, D(1998, 1, 1) + dt.timedelta(days=i), None if random.random() < 0.9 else random.random() < 0.5)
+            for k in ("A", "B") for i in range(1500)]
+    rows += [("C", D(1998, 1, 1), None)]
+    df = spark.createDataFrame(rows, "barrid string, date date, f boolean")
+    plain = {(r.barrid, r.date): r.g for r in df.select("barrid", "date", forward_fill("f").alias("g")).collect()}
+    blk = {(r.barrid, r.date): r.f for r in forward_fill_blocked(df, ["f"], ["barrid"], "date").collect()}
+    assert blk == plain
