@@ -27,7 +27,9 @@ def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> D
 
     The side is persisted (recomputable from lineage if an executor is lost)
     and counted once; the same persisted data then feeds the join."""
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    # a bounded side needs few partitions; cached plans are not coalesced by AQE
+    parts = max(1, small.sparkSession.sparkContext.defaultParallelism)
+    small = small.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
     n = small.count()
     return F.broadcast(small) if n <= max_rows else small
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +24,9 @@ def signal_active_weights(assets: DataFrame, alphas: DataFrame, names: Sequence[
     its registered constraints (ZeroBeta only where listed), chosen per row so
     all signals share one pass."""
     names = list(names or SIGNALS)
-    # the hand-off panel is kept once (persisted: recomputable from lineage if
-    # an executor is lost); the weights read it twice (sums, risk scaling)
-    panel = P.optimizer_panel(assets, alphas, signals=names).persist(StorageLevel.MEMORY_AND_DISK)
+    # the hand-off panel (the optimiser's input dataset) is materialised once;
+    # the weights read it twice (sums, risk scaling)
+    panel = checkpoint(P.optimizer_panel(assets, alphas, signals=names))
     with_beta = [n for n in names if "ZeroBeta" in SIGNALS[n].constraints]
     out = P.active_weights(panel, by=("signal_name", "date"), zero_beta=F.col("signal_name").isin(with_beta),
                            target_risk=target_risk)
@@ -35,7 +34,7 @@ def signal_active_weights(assets: DataFrame, alphas: DataFrame, names: Sequence[
 
 
 def composite_panel_weights(assets: DataFrame, composite: DataFrame, target_risk: float = 0.05) -> DataFrame:
-    panel = P.optimizer_panel(assets, composite).persist(StorageLevel.MEMORY_AND_DISK)
+    panel = checkpoint(P.optimizer_panel(assets, composite))
     return P.active_weights(panel, by=("date",), zero_beta=True, target_risk=target_risk).select(
         "date", "barrid", "weight")
 

@@ -59,14 +59,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def reliable_checkpoint(df):
     """Materialise ``df`` as a reliable checkpoint in the shared checkpoint
     folder and return the checkpointed DataFrame (lineage cut; survives
-    executor loss).  The data is persisted while the checkpoint is written,
-    so the plan runs once (a bare eager checkpoint computes it twice: once
-    for the count, once for the checkpoint files)."""
-    from pyspark import StorageLevel
-
+    executor loss).  The plan runs under adaptive execution, so the
+    checkpoint keeps the coalesced partition count (a cached plan would keep
+    every shuffle partition)."""
     checkpoint_root(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    return df.checkpoint(eager=True)
