@@ -57,10 +57,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def reliable_checkpoint(df):
-    """Materialise ``df`` as a reliable checkpoint in the shared checkpoint
-    folder and return the checkpointed DataFrame (lineage cut; survives
-    executor loss).  The plan runs under adaptive execution, so the
-    checkpoint keeps the coalesced partition count (a cached plan would keep
-    every shuffle partition)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage at a stage boundary: write ``df`` as a parquet table in
+    a fresh folder under the session's shared checkpoint folder and read it
+    back.  The plan runs once under adaptive execution, the table survives
+    executor loss, and the read-back partitions follow the file sizes
+    whatever the session's shuffle-partition setting."""
+    spark = df.sparkSession
+    path = shared_dir(spark, "stage") + "/data"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
