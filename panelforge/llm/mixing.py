@@ -5,8 +5,8 @@ is taken ``floor(target / source_size)`` times in any case; the fractional rest
 is the inclusion probability of one more copy.  The cube method moves these
 probabilities along null-space directions of the balancing constraints (words
 and documents taken), three undecided documents at a time, until each block has
-at most two undecided ones.  The undecided of all blocks form the next level's
-blocks; a source's last two at most are landed on the closest totals.
+a few undecided ones at most.  The undecided of all blocks form the next level's
+blocks; a source's last few are landed on the closest totals.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from panelforge.llm.common import stage
 BLOCK = 4000
 #: A document is taken at most so many times; a target is at most so many times its source's size.
 REPEATS = 3
+#: Undecided documents of a source that the landing decides together.
+LAND = 10
 #: Probabilities this close to 0 or 1 are decided.
 EPS = 1e-9
 
@@ -55,14 +57,14 @@ def targets(sizes: DataFrame) -> DataFrame:
     return per.select("source", "source_size", "n_docs", F.least(cap.cast("double"), F.col("level") * F.col("weight")).alias("target"))
 
 
-def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Flight phase for the constraints sum(p) and sum(p * x): at most two
-    entries of the result are neither 0 nor 1."""
+def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator, leave: int = 2) -> np.ndarray:
+    """Flight phase for the constraints sum(p) and sum(p * x): at most ``leave``
+    (2 or more) entries of the result are neither 0 nor 1."""
     p, open_ = p.tolist(), []
     x = x.tolist()
     waiting = [i for i, v in enumerate(p) if EPS < v < 1 - EPS][::-1]
     draws = iter(())
-    while len(open_) + len(waiting) >= 3:
+    while len(open_) + len(waiting) > leave:
         while len(open_) < 3:
             open_.append(waiting.pop())
         a, b, c = open_
@@ -86,12 +88,12 @@ def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray
 
 
 def landing(p: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Decide the at most two open entries: closest total of ``x``, then of the count."""
+    """Decide the few open entries: closest total of ``x``, then of the count."""
     at = np.flatnonzero((p > EPS) & (p < 1 - EPS))
-    options = [[(k >> j) & 1 for j in range(len(at))] for k in range(1 << len(at))]
-    best = min(options, key=lambda s: (abs(float(x[at] @ (np.array(s) - p[at]))), abs(sum(s) - p[at].sum())))
+    options = (np.arange(1 << len(at))[:, None] >> np.arange(len(at))) & 1
+    off = options - p[at]
     p = p.copy()
-    p[at] = best
+    p[at] = options[np.lexsort((np.abs(off.sum(axis=1)), np.abs(off @ x[at])))[0]]
     return p
 
 
@@ -109,8 +111,9 @@ def balancer(level: int) -> Callable[[pa.Table], pa.Table]:
         first = {c: group.column(c)[0].as_py() for c in ("source", "block", "n_blocks")}
         order = np.lexsort((col("size"), col("k")))
         x, rng = col("size")[order].astype(np.float64), np.random.default_rng(_seed(level, first["source"], first["block"]))
-        decided = flight(col("p")[order], x, rng)
-        if first["n_blocks"] == 1:
+        last = first["n_blocks"] == 1
+        decided = flight(col("p")[order], x, rng, LAND if last else 2)
+        if last:
             decided = landing(decided, x)
         p = np.empty(len(order))
         p[order] = decided
