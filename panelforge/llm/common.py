@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelforge.session import reliable_checkpoint
 
@@ -37,3 +38,56 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_00
             total += n
         if begin < batch.num_rows:
             yield batch.slice(begin)
+
+
+def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of whole groups, from batches in which equal keys are neighbours."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+        change = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+        if held:
+            last = held[-1].column(held[-1].schema.get_field_index(key))[-1].as_py()
+            if keys[0] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+        if held and not len(change):
+            held.append(batch)
+            continue
+        cut = int(change[-1]) if len(change) else 0
+        if cut:
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def bounds(keys: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of equal keys."""
+    change = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+    return list(zip([0, *change.tolist()], [*change.tolist(), len(keys)], strict=True)) if len(keys) else []
+
+
+def components(links: DataFrame, rounds: int = 100) -> DataFrame:
+    """(node, root): the smallest node reachable over ``links`` (a, b), for every
+    node that has a link.
+
+    Each round takes the smallest root among the neighbours (a partial
+    aggregate, so a node with many links is no hot spot) and then the root's
+    own root, which halves the distances; it ends when nothing changes.  Every
+    round is a written table, so a lost executor costs one round at most."""
+    pairs = links.filter("a != b").select("a", "b")
+    both = stage(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    roots = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
+    for _ in range(rounds):
+        near = both.join(roots, F.col("b") == F.col("node")).groupBy("a").agg(F.min("root").alias("best"))
+        lower = roots.join(near, F.col("node") == F.col("a")).select("node", F.col("root").alias("old"), F.least("root", "best").alias("root"))
+        top = roots.select(F.col("node").alias("r"), F.col("root").alias("rr"))
+        step = stage(lower.join(top, F.col("root") == F.col("r"), "left").select("node", "old", F.least("root", "rr").alias("root")))
+        roots = step.select("node", "root")
+        if step.filter("old != root").isEmpty():
+            break
+    return roots

@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import bpe, mixing, quality, urls
+from panelforge.llm import bpe, mixing, neighbours, pii, quality, urls
 from panelforge.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -18,6 +18,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymised(docs)
+
+
 RULES = [
     urls.Rule("block", "net", "/"),
     urls.Rule("allow", "example.net", "/en/"),
@@ -39,11 +44,17 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.linked(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_pii": op2_pii,
     "op5_urls": op5_urls,
     "op7_quality": op7_quality,
     "op9_mixing": op9_mixing,
+    "op10_neighbours": op10_neighbours,
 }
 
 ORACLE: dict[str, str] = {}
