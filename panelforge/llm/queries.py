@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import bpe, mixing, neighbours, pii, quality, urls
+from panelforge.llm import bpe, mixing, neighbours, pii, quality, substrings, urls
 from panelforge.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -23,6 +23,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymised(docs)
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
 RULES = [
     urls.Rule("block", "net", "/"),
     urls.Rule("allow", "example.net", "/en/"),
@@ -51,6 +55,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
+    "op4_substrings": op4_substrings,
     "op5_urls": op5_urls,
     "op7_quality": op7_quality,
     "op9_mixing": op9_mixing,
