@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import bpe, mixing, neighbours, pii, quality, substrings, urls
+from panelforge.llm import bpe, jaccard, mixing, neighbours, pii, quality, substrings, urls
 from panelforge.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -43,6 +43,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -58,6 +62,7 @@ QUERIES = {
     "op4_substrings": op4_substrings,
     "op5_urls": op5_urls,
     "op7_quality": op7_quality,
+    "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
     "op10_neighbours": op10_neighbours,
 }
