@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import bpe, jaccard, mixing, neighbours, pii, quality, substrings, urls
+from panelforge.llm import bpe, jaccard, mixing, neighbours, pii, quality, substrings, suffixes, urls
 from panelforge.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -39,6 +39,10 @@ def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(table(spark, sf_dir, "pages"), RULES)
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op4_substrings": op4_substrings,
     "op5_urls": op5_urls,
+    "op6_suffixes": op6_suffixes,
     "op7_quality": op7_quality,
     "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
