@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import bpe, jaccard, mixing, neighbours, pii, quality, substrings, suffixes, urls
+from panelforge.llm import bpe, jaccard, mixing, neighbours, pii, quality, substrings, suffixes, toxicity, urls
 from panelforge.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -23,6 +23,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymised(docs)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digests(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
+    "op3_toxicity": op3_toxicity,
     "op4_substrings": op4_substrings,
     "op5_urls": op5_urls,
     "op6_suffixes": op6_suffixes,
