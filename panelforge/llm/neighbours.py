@@ -28,7 +28,7 @@ SETTLED, ROUNDS = 0.02, 4
 #: Nodes of the audit, the recall it asks for, and attempts.
 AUDIT, RECALL, ATTEMPTS = 400, 0.97, 4
 #: Nodes of a component that are compared with as many others at once.
-BLOCK = 1024
+BLOCK = 256
 
 PAIR = "u bigint, v bigint, sim double"
 
