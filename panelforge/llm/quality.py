@@ -140,19 +140,13 @@ def thresholds(values: DataFrame) -> DataFrame:
     return found.groupBy("lang", "source").agg(*out)
 
 
-def judged(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, kept for rows (doc_id, text, lang, source).
+def _failed() -> Column:
+    return (F.col("n_words") < 50) | (F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words"))
 
-    Null and empty texts have no words and fail the base rule.  Null languages
-    and sources are groups like others.  Repeated rows count as often as they
-    occur and are judged alike.  Values on a fence stay.  An empty table gives
-    an empty result; further columns are ignored."""
-    figures = measures(docs.select("doc_id", "text", "lang", "source")).drop("text")
-    failed = (F.col("n_words") < 50) | (F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words"))
-    rows = stage(figures.withColumn("base_failed", failed))
+
+def _shares(figures: DataFrame) -> DataFrame:
     share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
-    rows = rows.withColumns(
+    return figures.withColumn("base_failed", _failed()).withColumns(
         {
             "symbol_share": share("n_symbols", "word_chars"),
             "dup_line_share": share("n_dup_lines", "n_lines"),
@@ -160,7 +154,10 @@ def judged(docs: DataFrame) -> DataFrame:
             "word_length": share("word_chars", "n_words"),
         }
     )
-    limits = stage(thresholds(rows.filter(~F.col("base_failed"))))
+
+
+def _verdicts(rows: DataFrame, limits: DataFrame) -> DataFrame:
+    """``rows`` with their group's fences and column ``kept``."""
     limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     both = rows.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     inside = F.lit(True)
@@ -168,4 +165,29 @@ def judged(docs: DataFrame) -> DataFrame:
         inside = inside & (F.col(m) <= F.col(f"{m}_high"))
         if below:
             inside = inside & (F.col(m) >= F.col(f"{m}_low"))
-    return both.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.when(F.col("base_failed"), False).otherwise(F.coalesce(inside, F.lit(False))).alias("kept"))
+    return both.withColumn("kept", F.when(F.col("base_failed"), False).otherwise(F.coalesce(inside, F.lit(False))))
+
+
+def _rows_and_limits(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    rows = stage(_shares(measures(docs.select("doc_id", "text", "lang", "source")).drop("text")))
+    return rows, stage(thresholds(rows.filter(~F.col("base_failed"))))
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    base_failed, kept for rows (doc_id, text, lang, source).
+
+    Null and empty texts have no words and fail the base rule.  Null languages
+    and sources are groups like others.  Repeated rows count as often as they
+    occur and are judged alike.  Values on a fence stay.  An empty table gives
+    an empty result; further columns are ignored."""
+    rows, limits = _rows_and_limits(docs)
+    return _verdicts(rows, limits).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def filtered(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``judged`` keeps, with all their columns.  The
+    figures are taken anew rather than moving the texts to meet them."""
+    _, limits = _rows_and_limits(docs)
+    whole = docs.select(F.struct("*").alias("_row"), "text", "lang", "source")
+    return _verdicts(_shares(measures(whole)), limits).filter("kept").select("_row.*")
