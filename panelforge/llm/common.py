@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelforge.session import reliable_checkpoint
@@ -40,6 +41,28 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_00
             yield batch.slice(begin)
 
 
+def zipped(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with column ``text`` compressed, for joins that move whole texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zip_ = zstandard.ZstdCompressor(level=1).compress
+        for part in slices(batches, text):
+            at = part.schema.get_field_index(text)
+            data = [None if t is None else zip_(t) for t in part.column(at).cast(pa.binary()).to_pylist()]
+            yield part.set_column(at, text, pa.array(data, pa.binary()))
+
+    schema = ", ".join(f"`{f.name}` {'binary' if f.name == text else f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, schema)
+
+
+def unzipped(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 800_000) -> Iterator[pa.RecordBatch]:
+    """Slices, of ``limit`` compressed bytes, with the texts of ``zipped`` as bytes."""
+    for part in slices(batches, text, limit):
+        unzip, at = zstandard.ZstdDecompressor().decompress, part.schema.get_field_index(text)
+        data = [b"" if z is None else unzip(z) for z in part.column(at).to_pylist()]
+        yield part.set_column(at, text, pa.array(data, pa.large_binary()))
+
+
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables of whole groups, from batches in which equal keys are neighbours."""
     held: list[pa.RecordBatch] = []

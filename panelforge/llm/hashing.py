@@ -75,8 +75,8 @@ def sliding_min(values: np.ndarray, length: int) -> np.ndarray:
 
 
 def buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string array, nulls empty, and the n + 1 offsets."""
-    texts = pc.fill_null(texts, "").cast(pa.large_binary())
+    """UTF-8 bytes of a string or binary array, nulls empty, and the n + 1 offsets."""
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
