@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from panelforge.llm import hashing as H
-from panelforge.llm.common import slices, stage
+from panelforge.llm.common import slices, stage, unzipped, zipped
 
 #: Words of a window, and of the grams that anchor it.
 WINDOW, GRAM = 50, 25
@@ -64,7 +64,7 @@ def window_hashes(docs: DataFrame) -> DataFrame:
     """(h1, h2, doc_id) of the distinct windows whose anchor is in column ``anchors``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in unzipped(batches):
             met = part.column(2)
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for i, _, one, two in documents(part):
@@ -91,7 +91,7 @@ def removed(docs: DataFrame) -> DataFrame:
     begin and end of the maximal removed intervals, in words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in unzipped(batches):
             n, spans, kept = [], [], []
             for i, data, one, _ in documents(part):
                 goes = part.column(2)[i].values.to_numpy().view(H.U64)
@@ -121,7 +121,7 @@ def deduplicated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     anchors = facts.filter("doc_id is not null").select("doc_id", F.explode("anchors").alias("a"))
     met = anchors.groupBy("a").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("a")
     open_ = anchors.join(met, "a").groupBy("doc_id").agg(F.collect_set("a").alias("anchors"))
-    chosen = stage(docs.select("doc_id", "text").join(open_, "doc_id"))
+    chosen = stage(zipped(docs.select("doc_id", "text").filter("doc_id is not null")).join(open_, "doc_id"))
     hashes = window_hashes(chosen)
     first = hashes.groupBy("h1", "h2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("h1", "h2", "lo")
     gone = stage(hashes.join(first, ["h1", "h2"]).filter("doc_id > lo").groupBy("doc_id").agg(F.collect_list("h1").alias("hashes")))
