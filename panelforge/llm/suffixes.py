@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from panelforge.llm import hashing as H
-from panelforge.llm.common import bounds, runs, slices, stage
+from panelforge.llm.common import bounds, runs, slices, stage, unzipped, zipped
 from panelforge.llm.gsaca import suffix_array
 from panelforge.llm.substrings import covered
 
 #: Bytes of a string, of the grams that anchor it, and of a cell.
 LENGTH, GRAM, CELL = 200, 40, 10
 #: Cells of one suffix array, and segments of a bucket that is not split.
-SYMBOLS, SEGMENTS = 100_000, 2_000
+SYMBOLS, SEGMENTS = 100_000, 8_000
 #: Bytes of a text that are anchored at once; positions within fit in PLACE bits.
 PIECE, PLACE = 8_000_000, 24
 
@@ -95,7 +95,7 @@ def segments(texts: DataFrame) -> DataFrame:
     by their 128-bit identity, with first start and number of starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in unzipped(batches):
             out = []
             for i, raw in texts_of(part):
                 first, n, place, a = Windows(raw).segments()
@@ -115,7 +115,7 @@ def cut_out(texts: DataFrame) -> DataFrame:
     first, n, anchor, data), ``anchor`` being its place in ``data``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in unzipped(batches):
             rows = []
             for i, raw in texts_of(part):
                 t1, places = part.column(0)[i].as_py(), Windows(raw).place
@@ -236,7 +236,7 @@ def removed(texts: DataFrame) -> DataFrame:
     and end of the maximal removed runs, in bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in unzipped(batches):
             spans_, kept = [], []
             for i, raw in texts_of(part):
                 marks = np.zeros(len(raw) + 1, np.int32)
@@ -271,7 +271,7 @@ def deduplicated(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     across = places.groupBy("a").agg(F.min("t1").alias("lo"), F.max("t1").alias("hi")).filter("lo < hi").select("a")
     met = across.unionByName(facts.select(F.explode("again").alias("a"))).distinct()
     open_ = places.join(met, "a").groupBy("t1").agg(F.collect_set("a").alias("anchors"))
-    once = docs.groupBy("t1").agg(F.first("text").alias("text"))
+    once = zipped(docs.select("t1", "text")).groupBy("t1").agg(F.first("text").alias("text"))
     texts = stage(once.join(open_, "t1"))
 
     places = stage(segments(texts))
