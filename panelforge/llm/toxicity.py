@@ -33,6 +33,8 @@ SUPPORT, SURROUNDINGS, PRECISION = 8, 6, 0.8
 SAME = 0.95
 #: Different words from which a stem is open; letters from which one edit is allowed.
 FAMILY, FUZZY = 3, 5
+#: What a misspelled hit counts of its term's weight.
+PART = 0.7
 #: Words on each side of a hit that are its context.
 WINDOW = 8
 #: Terms of the lexicon, words with a context weight, states and words that a worker remembers.
@@ -117,18 +119,21 @@ class Automaton:
         return frozenset(best.items())
 
     def read(self, word: str) -> tuple[int, int] | None:
-        state = self.start
+        state, best = self.start, None
         for c in word:
             following = self.steps[state].get(c)
             if following is None:
                 following = self.steps[state][c] = self.number(self.step(self.sets[state], c))
-            state = following
-            if self.stops[state] is not None and not self.stops[state][1]:
-                return self.stops[state]
+            state, stop = following, self.stops[following]
+            if stop is not None:
+                if not stop[1]:
+                    return stop
+                best = best or stop
             if not self.sets[state]:
-                return None
+                return best
         missing = {(child, 1) for node, edits in self.sets[state] if node and not edits for child in self.children[node].values()}
-        return self.accepted(self.sets[state] | missing, False) or self.stops[state]
+        last = self.accepted(self.sets[state] | missing, False)
+        return last if last is not None and (best is None or last[1] < best[1]) else best
 
     def find(self, word: str) -> tuple[int, int] | None:
         try:
@@ -171,11 +176,14 @@ def hits(text: str, automaton: Automaton) -> list[Hit]:
 
 
 def features(found: list[Hit], cues: dict[str, float]) -> list[float]:
-    """Bias; weights of exact and misspelled hits, bare and quoted; the contexts' mean; any hit."""
+    """Bias; weights of hits, bare and quoted (misspelled ones in part); weights of
+    misspelled hits alone, bare and quoted; the contexts' mean; any hit.  Where
+    misspellings were rare among the labelled rows, they so count like hits."""
     sums = [0.0] * 4
     contexts = []
     for hit in found:
-        sums[2 * bool(hit.edits) + hit.quoted] += hit.term.weight
+        sums[hit.quoted] += hit.term.weight * (PART if hit.edits else 1.0)
+        sums[2 + hit.quoted] += hit.term.weight * bool(hit.edits)
         contexts.append(sum(cues.get(w, 0.0) for w in set(hit.context)))
     context = max(-5.0, min(5.0, sum(contexts) / len(contexts))) if contexts else 0.0
     return [1.0, *(math.log1p(s) for s in sums), context, float(bool(found))]
