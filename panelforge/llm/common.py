@@ -25,20 +25,24 @@ def stage(df: DataFrame) -> DataFrame:
     return reliable_checkpoint(df)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
-    """Rows regrouped into slices of about ``limit`` bytes of ``column`` (one
-    row at least), so that a task's working memory follows the longest text
-    and not the Arrow batch size."""
+def _parts(batch: pa.RecordBatch, sizes: list[int], limit: int) -> Iterator[pa.RecordBatch]:
+    """Rows in slices of about ``limit`` by their sizes, one row at least."""
+    begin, total = 0, 0
+    for i, n in enumerate(sizes):
+        if total and total + n > limit:
+            yield batch.slice(begin, i - begin)
+            begin, total = i, 0
+        total += n
+    if begin < batch.num_rows:
+        yield batch.slice(begin)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1_500_000) -> Iterator[pa.RecordBatch]:
+    """Rows regrouped into slices of about ``limit`` bytes of ``column``, so that a
+    task's working memory follows the longest text and not the Arrow batch size."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_pylist()
-        begin, total = 0, 0
-        for i, n in enumerate(sizes):
-            if total and total + n > limit:
-                yield batch.slice(begin, i - begin)
-                begin, total = i, 0
-            total += n
-        if begin < batch.num_rows:
-            yield batch.slice(begin)
+        yield from _parts(batch, sizes, limit)
 
 
 def zipped(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -55,12 +59,15 @@ def zipped(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def unzipped(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 800_000) -> Iterator[pa.RecordBatch]:
-    """Slices, of ``limit`` compressed bytes, with the texts of ``zipped`` as bytes."""
-    for part in slices(batches, text, limit):
-        unzip, at = zstandard.ZstdDecompressor().decompress, part.schema.get_field_index(text)
-        data = [b"" if z is None else unzip(z) for z in part.column(at).to_pylist()]
-        yield part.set_column(at, text, pa.array(data, pa.large_binary()))
+def unzipped(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 1_500_000) -> Iterator[pa.RecordBatch]:
+    """Slices, by the texts' own sizes, with the texts of ``zipped`` as bytes."""
+    for batch in batches:
+        at = batch.schema.get_field_index(text)
+        sizes = [0 if z is None else zstandard.frame_content_size(z) for z in batch.column(at).to_pylist()]
+        for part in _parts(batch, sizes, limit):
+            unzip = zstandard.ZstdDecompressor().decompress
+            data = [b"" if z is None else unzip(z) for z in part.column(at).to_pylist()]
+            yield part.set_column(at, text, pa.array(data, pa.large_binary()))
 
 
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
