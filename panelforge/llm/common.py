@@ -37,7 +37,7 @@ def _parts(batch: pa.RecordBatch, sizes: list[int], limit: int) -> Iterator[pa.R
         yield batch.slice(begin)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1_500_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 400_000) -> Iterator[pa.RecordBatch]:
     """Rows regrouped into slices of about ``limit`` bytes of ``column``, so that a
     task's working memory follows the longest text and not the Arrow batch size."""
     for batch in batches:
@@ -59,7 +59,7 @@ def zipped(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def unzipped(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 1_500_000) -> Iterator[pa.RecordBatch]:
+def unzipped(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = 400_000) -> Iterator[pa.RecordBatch]:
     """Slices, by the texts' own sizes, with the texts of ``zipped`` as bytes."""
     for batch in batches:
         at = batch.schema.get_field_index(text)
