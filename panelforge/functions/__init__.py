@@ -1,4 +1,4 @@
-from panelforge.functions.numeric import clip_keep_null, log1p_or_null, safe_div, rounded
+from panelforge.functions.numeric import clip_keep_null, finite_or_null, log1p_or_null, safe_div
 from panelforge.functions.rolling import (
     asset_window,
     forward_fill,
@@ -15,6 +15,7 @@ __all__ = [
     "asset_window",
     "clip_keep_null",
     "ewm_mean",
+    "finite_or_null",
     "forward_fill",
     "lag",
     "lead",
@@ -23,6 +24,5 @@ __all__ = [
     "rolling_mean",
     "rolling_std",
     "rolling_sum",
-    "rounded",
     "safe_div",
 ]

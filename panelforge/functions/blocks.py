@@ -18,8 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.operators.crosssection import checked_broadcast
-
 
 def block_series(df: DataFrame, by: Sequence[str], order: str, block_rows: int = 4096, halo: int = 512,
                  running_counts: Sequence[str] = (), coarse=F.year) -> DataFrame:
@@ -37,7 +35,7 @@ def block_series(df: DataFrame, by: Sequence[str], order: str, block_rows: int =
     counts = counts.select(
         *by, "_cy", F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias("_cb"),
         *[F.coalesce(F.sum(f"_cnn_{c}").over(before), F.lit(0)).alias(f"_cbn_{c}") for c in running_counts])
-    d = d.join(checked_broadcast(counts), [*by, "_cy"], "left")
+    d = d.join(counts, [*by, "_cy"], "left")
     wy = Window.partitionBy(*by, "_cy").orderBy(order)
     run = wy.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("_grn", F.col("_cb") + F.row_number().over(wy) - 1)

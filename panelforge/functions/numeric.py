@@ -15,10 +15,17 @@ def safe_div(num, den) -> Column:
     return F.try_divide(_c(num), _c(den))
 
 
+def finite_or_null(x) -> Column:
+    """NaN and infinities become NULL (a NaN compares above every number)."""
+    x = _c(x)
+    return F.when((x > float("-inf")) & (x < float("inf")), x)
+
+
 def log1p_or_null(x) -> Column:
-    """log(1 + x); NULL for x <= -1 (the reference yields -inf / NaN there)."""
+    """log(1 + x); NULL for x <= -1 and for non-finite x (the reference yields
+    -inf / NaN there)."""
     x = _c(x)
-    return F.when(x > -1, F.log1p(x))
+    return F.when((x > -1) & (x < float("inf")), F.log1p(x))
 
 
 def clip_keep_null(x, lower: float | None = None, upper: float | None = None) -> Column:
@@ -30,8 +37,3 @@ def clip_keep_null(x, lower: float | None = None, upper: float | None = None) ->
     if lower is not None:
         out = F.greatest(out, F.lit(float(lower)))
     return F.when(x.isNotNull(), out)
-
-
-def rounded(x, digits: int = 6) -> Column:
-    """Round for result comparison (both engines agree to far more digits)."""
-    return F.round(_c(x), digits)

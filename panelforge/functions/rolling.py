@@ -52,79 +52,36 @@ def rolling(
     by="barrid",
     order="date",
     min_samples: int | None = None,
-    method: str = "auto",
 ) -> Column:
     """Aggregate over the last ``n`` rows (current row included) of each series.
 
-    ``method="prefix"`` (default for sums, means and counts of 32+ rows)
-    differences running sums ``n`` rows apart: linear time, where a sliding
-    frame re-aggregates all ``n`` rows for every output row.  ``"frame"`` is
-    the plain sliding frame (used for min/max/std/var; for a linear-time std
-    see ``with_rolling_std``)."""
+    A sliding frame at every ``n``: each window is summed on its own rows, so a
+    value leaves no trace (no cancellation, no poisoning by a non-finite value)
+    once it has left the window, and equal values have a deviation of exactly 0."""
     if n < 1:
         raise ValueError("window size must be >= 1")
     x = _c(x)
     need = n if min_samples is None else min_samples
-    if method == "auto":
-        method = "prefix" if (agg in ("sum", "mean", "avg", "count") and n >= 32) else "frame"
-    if method == "prefix":
-        if agg not in ("sum", "mean", "avg", "count"):
-            raise ValueError(f"prefix method does not support {agg!r}")
-        ordered = asset_window(by, order)
-        s_win = prefix_window_sum(F.coalesce(x, F.lit(0.0)), n, ordered)
-        c_win = prefix_window_sum(F.when(x.isNotNull(), F.lit(1)).otherwise(F.lit(0)), n, ordered)
-        value = {"sum": s_win, "count": c_win}.get(agg, s_win / c_win)
-        return F.when(c_win >= need, value)
     frame = asset_window(by, order).rowsBetween(-(n - 1), Window.currentRow)
     value = _AGGS[agg](x).over(frame)
     return F.when(F.count(x).over(frame) >= need, value)
 
 
-def prefix_window_sum(x: Column, n: int, ordered: WindowSpec) -> Column:
-    """Sum of the last ``n`` rows as the difference of two running sums
-    (frames starting at the partition start, which Spark evaluates
-    incrementally)."""
-    upto_now = F.sum(x).over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    upto_back = F.sum(x).over(ordered.rowsBetween(Window.unboundedPreceding, -n))
-    return upto_now - F.coalesce(upto_back, F.lit(0))
+def rolling_sum(x, n: int, by="barrid", order="date", min_samples: int | None = None) -> Column:
+    return rolling("sum", x, n, by, order, min_samples)
 
 
-def with_rolling_std(df: DataFrame, x: str, n: int, out: str, by="barrid", order="date",
-                     min_samples: int | None = None) -> DataFrame:
-    """Linear-time rolling sample std over the last ``n`` rows: window sums of
-    the values centred on their series mean (no cancellation for series whose
-    mean is large against their spread) and of their squares."""
-    need = n if min_samples is None else min_samples
-    part = Window.partitionBy(*_list(by))
-    ordered = asset_window(by, order)
-    xc = F.col(x)
-    df = df.withColumn("_rs_c", F.col(x) - F.avg(xc).over(part))
-    d = F.coalesce(F.col("_rs_c"), F.lit(0.0))
-    df = df.withColumns({
-        "_rs_k": prefix_window_sum(F.when(xc.isNotNull(), F.lit(1)).otherwise(F.lit(0)), n, ordered),
-        "_rs_s": prefix_window_sum(d, n, ordered),
-        "_rs_q": prefix_window_sum(d * d, n, ordered),
-    })
-    k, s1, q = F.col("_rs_k"), F.col("_rs_s"), F.col("_rs_q")
-    var = (q - s1 * s1 / k) / (k - 1)
-    std = F.sqrt(F.greatest(var, F.lit(0.0)))
-    return df.withColumn(out, F.when((k >= need) & (k >= 2), std)).drop("_rs_c", "_rs_k", "_rs_s", "_rs_q")
-
-
-def rolling_sum(x, n: int, by="barrid", order="date", min_samples: int | None = None,
-                method: str = "auto") -> Column:
-    return rolling("sum", x, n, by, order, min_samples, method)
-
-
-def rolling_mean(x, n: int, by="barrid", order="date", min_samples: int | None = None,
-                 method: str = "auto") -> Column:
-    return rolling("mean", x, n, by, order, min_samples, method)
-
-
-def rolling_std(x, n: int, by="barrid", order="date", min_samples: int | None = None,
-                method: str = "auto") -> Column:
-    """Sample standard deviation (ddof = 1, contract T1)."""
-    return rolling("std", x, n, by, order, min_samples, method)
+def rolling_mean(x, n: int, by="barrid", order="date", min_samples: int | None = None) -> Column:
+    return rolling("mean", x, n, by, order, min_samples)
+
+
+def rolling_std(x, n: int, by="barrid", order="date", min_samples: int | None = None) -> Column:
+    """Sample standard deviation (ddof = 1, contract T1); exactly 0 over a flat
+    window (all values equal), whatever rounding the running update leaves."""
+    frame = asset_window(by, order).rowsBetween(-(n - 1), Window.currentRow)
+    flat = (F.min(_c(x)).over(frame) == F.max(_c(x)).over(frame)) & (F.count(_c(x)).over(frame) >= 2)
+    return F.when(flat & (F.count(_c(x)).over(frame) >= (n if min_samples is None else min_samples)), F.lit(0.0)).otherwise(
+        rolling("std", x, n, by, order, min_samples))
 
 
 def lag(x, k: int = 1, by="barrid", order="date") -> Column:

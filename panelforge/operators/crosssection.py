@@ -1,40 +1,21 @@
-"""Cross-sectional statistics without moving the panel, and size-checked
-broadcasts.
+"""Cross-sectional statistics without moving the panel.
 
 A statistic per cross-section (per date, or per signal and date) is computed
 with a partial + final aggregation (map-side combine, so a crowded date cannot
-overload one task) and attached back with a join.  The stats table has one
-row per cross-section - at most (signals x calendar days) rows, independent
-of the number of assets - and it is broadcast only after its row count has
-been checked; beyond the limit the join falls back to a shuffle join.
+overload one task) and attached back with a join.  The stats table has one row
+per cross-section - at most (signals x calendar days) rows, independent of the
+number of assets.  No hint is given: adaptive execution broadcasts the side
+when its measured bytes are below the session's threshold, else it joins by a
+shuffle; the plan as written is the same at every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-# Broadcast limit in rows for small lookup sides (stats per cross-section,
-# calendars, year lists).  Sides above it are joined with a shuffle.
-MAX_BROADCAST_ROWS = 2_000_000
 
-
-def checked_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``small`` only if it has at most ``max_rows`` rows.
-
-    The side is persisted (recomputable from lineage if an executor is lost)
-    and counted once; the same persisted data then feeds the join."""
-    # a bounded side needs few partitions; cached plans are not coalesced by AQE
-    parts = max(1, small.sparkSession.sparkContext.defaultParallelism)
-    small = small.coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
-def attach_stats(df: DataFrame, by: Sequence[str], aggs: Mapping[str, Column],
-                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def attach_stats(df: DataFrame, by: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
     stats = df.groupBy(*by).agg(*[c.alias(n) for n, c in aggs.items()])
-    return df.join(checked_broadcast(stats, max_rows), list(by), "left")
+    return df.join(stats, list(by), "left")

@@ -112,7 +112,10 @@ def asof_join_many(
 
     unions = [left_u]
     for i, (s, r, cols, rt, on) in enumerate(plans):
-        ri = r.filter(F.col(s.right_on).isNotNull()).select(
+        usable = F.col(s.right_on).isNotNull()
+        for b in by:
+            usable = usable & F.col(b).isNotNull()
+        ri = r.filter(usable).select(
             *[F.col(b) for b in by],
             F.col(s.right_on).alias("_t"),
             F.lit(0).alias("_side"),
@@ -171,8 +174,11 @@ def asof_join_many(
             raise ValueError(f"unknown strategy {s.strategy!r}")
     u = u.filter(F.col("_side") == 1)
     out = [F.col(c) if c in by else F.col("_l")[c].alias(c) for c in lcols]
+    keyed = F.col("_t").isNotNull()  # a NULL time or key matches nothing
+    for b in by:
+        keyed = keyed & F.col(b).isNotNull()
     for i, (s, r, cols, rt, (oc, on)) in enumerate(plans):
-        m = F.when(F.col("_t").isNotNull(), picked[i])
+        m = F.when(keyed, picked[i])
         out += [m[c].alias(o) for c, o in zip(oc, on)]
     return u.select(*out)
 
@@ -202,16 +208,7 @@ def asof_join(
     as-of)."""
     side = AsofSide(right, right_on, tuple(tie_break), strategy)
     out = asof_join_many(left, [side], left_on, by, suffix)
-    if valid_until is not None:
-        rcols = [c for c in right.columns if c not in _list(by)]
-        names = out.columns[len(left.columns):]
-        vu = names[rcols.index(valid_until)] if valid_until in rcols else valid_until
-        expired = F.col(vu).isNotNull() & (F.col(vu) < F.col(left_on))
-        out = out.select(
-            *left.columns,
-            *[F.when(~expired | F.col(vu).isNull(), F.col(n)).alias(n) for n in names],
-        )
-    return out
+    return out if valid_until is None else _bounded(out, left, right, left_on, _list(by), valid_until)
 
 
 # --------------------------------------------------------------------------- D4
@@ -229,13 +226,10 @@ def universe_fill(
     Left-join the membership flags on (date, key); on a rebalance date (any date
     present in ``membership``) a missing flag means False, on other dates NULL;
     then forward-fill per asset; ``out`` = flag1 OR flag2 (three-valued).
-    The rebalance calendar (one row per rebalance day) is broadcast after a
-    size check.  ``bucket`` (e.g. ``F.year``) runs the fill per (asset, time
+    The rebalance calendar has one row per rebalance day.  ``bucket`` (e.g. ``F.year``) runs the fill per (asset, time
     bucket) for assets too long for one task."""
     flags = list(flags)
-    from panelforge.operators.crosssection import checked_broadcast
-
-    rebal = checked_broadcast(membership.select("date").distinct().withColumn("_rebalance", F.lit(True)))
+    rebal = membership.select("date").distinct().withColumn("_rebalance", F.lit(True))
     j = panel.join(membership.select("date", key, *flags), ["date", key], "left").join(rebal, "date", "left")
     j = j.select(
         *[c for c in j.columns if c not in flags and c != "_rebalance"],
@@ -276,6 +270,7 @@ def asof_join_bucketed(
     strategy: str = "backward",
     tie_break: Sequence[str] = (),
     suffix: str = "_right",
+    valid_until: str | None = None,
 ) -> DataFrame:
     """As-of join for keys too large for one task: the stacked pass runs per
     (key, time bucket) - ``bucket`` maps a time Column to an integral bucket
@@ -283,10 +278,50 @@ def asof_join_bucketed(
     takes the latest (backward) or earliest (forward) right row of the
     neighbouring buckets.  That carry comes from one row per (key, bucket):
     the bucket's last/first right row (a partial aggregation) and a range
-    frame over bucket numbers, so no task ever holds a whole key."""
-    if strategy not in ("backward", "forward"):
-        raise ValueError("bucketed as-of supports backward and forward")
-    by = _list(by)
+    frame over bucket numbers, so no task ever holds a whole key.  ``nearest``
+    takes both and keeps the closer; ``valid_until`` as in ``asof_join``."""
+    if strategy == "nearest":
+        out = _bucketed_nearest(left, right, left_on, right_on, _list(by), bucket, tuple(tie_break), suffix)
+    elif strategy in ("backward", "forward"):
+        out = _bucketed(left, right, left_on, right_on, _list(by), bucket, strategy, tuple(tie_break), suffix)
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return out if valid_until is None else _bounded(out, left, right, left_on, _list(by), valid_until)
+
+
+def _bounded(out: DataFrame, left: DataFrame, right: DataFrame, left_on: str, by: list, valid_until: str) -> DataFrame:
+    """Matches whose interval ended before ``left_on`` become NULL."""
+    rcols = [c for c in right.columns if c not in by]
+    names = out.columns[len(left.columns):]
+    end = F.col(names[rcols.index(valid_until)])
+    return out.select(*left.columns, *[F.when(end.isNull() | (end >= F.col(left_on)), F.col(n)).alias(n) for n in names])
+
+
+def _bucketed_nearest(left, right, left_on, right_on, by, bucket, tie_break, suffix) -> DataFrame:
+    """The closer of the backward and the forward match; equal distance goes backward."""
+    rcols = [c for c in right.columns if c not in by]
+    packed = right.select(*by, F.col(right_on).alias("_at"), F.struct(*rcols).alias("_hit"),
+                          *[F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie_break)])
+    ties = tuple(f"_tie{i}" for i in range(len(tie_break)))
+    names, taken = [], set(left.columns)
+    for c in rcols:
+        k, name = 1, c
+        while name in taken:
+            name, k = f"{c}{suffix}" if k == 1 else f"{c}{suffix}{k}", k + 1
+        taken.add(name)
+        names.append(name)
+    d = _bucketed(left, packed, left_on, "_at", by, bucket, "backward", ties, "_x")
+    d = d.select(*left.columns, F.col("_at").alias("_bt"), F.col("_hit").alias("_b"))
+    d = _bucketed(d, packed, left_on, "_at", by, bucket, "forward", ties, "_x")
+    if isinstance(right.schema[right_on].dataType, T.DateType):
+        back, ahead = F.datediff(left_on, "_bt"), F.datediff("_at", left_on)
+    else:
+        back, ahead = F.col(left_on) - F.col("_bt"), F.col("_at") - F.col(left_on)
+    hit = F.when(F.col("_b").isNull() | (ahead < back), F.coalesce("_hit", "_b")).otherwise(F.col("_b"))
+    return d.withColumn("_b", hit).select(*left.columns, *[F.col("_b")[c].alias(n) for c, n in zip(rcols, names)])
+
+
+def _bucketed(left, right, left_on, right_on, by, bucket, strategy, tie_break, suffix) -> DataFrame:
     lb = left.withColumn("_bk", bucket(F.col(left_on)).cast("long"))
     rb = right.filter(F.col(right_on).isNotNull()).withColumn("_bk", bucket(F.col(right_on)).cast("long"))
     rcols = [c for c in right.columns if c not in by]

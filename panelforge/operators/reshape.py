@@ -11,22 +11,16 @@ from panelforge.operators.cleaning import strip_first
 
 
 def pivot_wide(df: DataFrame, index: Sequence[str], on: str, values: str, names: Sequence[str],
-               strict: bool = False) -> DataFrame:
+               strict: bool = True) -> DataFrame:
     """Long -> wide with a fixed list of ``names`` (fixed schema, no extra job
     to discover values).  One partial/final aggregation on ``index``.
 
-    ``strict``: first check (one aggregation) that no cell holds two values,
-    and raise instead of silently keeping one."""
-    if strict:
-        dup = duplicate_pivot_cells(df, index, on).limit(1).count()
-        if dup:
-            raise ValueError(f"pivot on {on!r}: some ({', '.join(index)}) cells hold several values")
-    return df.groupBy(*index).pivot(on, list(names)).agg(F.first(values))
-
-
-def duplicate_pivot_cells(df: DataFrame, index: Sequence[str], on: str) -> DataFrame:
-    """Cells that a pivot would silently collapse (more than one value)."""
-    return df.groupBy(*index, on).count().filter(F.col("count") > 1)
+    ``strict``: a cell that holds several rows raises when it is computed (the
+    same aggregation counts them); else the least value stands for them."""
+    cells = df.groupBy(*index).pivot(on, list(names)).agg(F.min(values).alias("v"), F.count(F.lit(1)).alias("n"))
+    message = F.lit(f"pivot on {on!r}: some ({', '.join(index)}) cells hold several rows")
+    value = lambda c: F.when(F.col(f"`{c}_n`") > 1, F.raise_error(message)).otherwise(F.col(f"`{c}_v`"))
+    return cells.select(*index, *[(value(c) if strict else F.col(f"`{c}_v`")).alias(c) for c in names])
 
 
 def unpivot_long(df: DataFrame, index: Sequence[str], cols: Sequence[str], var: str, val: str,

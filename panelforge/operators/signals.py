@@ -17,24 +17,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.ewm import ewm_mean
-from panelforge.functions.numeric import clip_keep_null, log1p_or_null, safe_div
-from panelforge.functions.rolling import lag, rolling_mean, rolling_sum, with_rolling_std
+from panelforge.functions.numeric import clip_keep_null, finite_or_null, log1p_or_null, safe_div
+from panelforge.functions.rolling import lag, rolling_mean, rolling_std, rolling_sum
 from panelforge.operators.crosssection import attach_stats
 
 ASSET = "barrid"
 DATE = "date"
-# ``block_rows="auto"``: split per-asset series into row blocks only when the
-# longest series exceeds AUTO_MAX_ROWS rows (one partial aggregate measures it).
-AUTO_MAX_ROWS = 250_000
-AUTO_BLOCK_ROWS = 65_536
-
-
-def resolve_block_rows(inp: DataFrame, block_rows):
-    """None / an int pass through; "auto" measures the longest series."""
-    if block_rows != "auto":
-        return block_rows
-    longest = inp.groupBy(ASSET).count().agg(F.max("count")).first()[0] or 0
-    return AUTO_BLOCK_ROWS if longest > AUTO_MAX_ROWS else None
 CARRY = ["price", "daily_volume", "specific_risk", "predicted_beta"]
 
 
@@ -45,10 +33,11 @@ def signal_input(assets: DataFrame) -> DataFrame:
         assets.filter(F.col("in_universe") == F.lit(True))
         .select(DATE, ASSET, "price", "return", "specific_return", "specific_risk",
                 "predicted_beta", "daily_volume")
+        .withColumns({c: finite_or_null(c) for c in ("price", "predicted_beta", "daily_volume")})
         .withColumns({
-            "return": F.col("return") / 100,
-            "specific_return": F.col("specific_return") / 100,
-            "specific_risk": F.col("specific_risk") / 100,
+            "return": finite_or_null("return") / 100,
+            "specific_return": finite_or_null("specific_return") / 100,
+            "specific_risk": finite_or_null("specific_risk") / 100,
         })
     )
 
@@ -89,7 +78,7 @@ def barra_momentum(df: DataFrame, window: int = 230, skip: int = 21, name: str =
     """H5: lag_skip( rolling_sum(log1p(sr)) / rolling_std(sr) ), both over
     ``window`` rows with the full-window rule."""
     by = list(by or [ASSET])
-    df = with_rolling_std(df, "specific_return", window, "_bm_sd", by=by, order=DATE)
+    df = df.withColumn("_bm_sd", rolling_std("specific_return", window, by=by, order=DATE))
     ratio = safe_div(rolling_sum(log1p_or_null("specific_return"), window, by=by), F.col("_bm_sd"))
     df = df.withColumn("_bm_ratio", ratio)
     return df.withColumn(name, lag("_bm_ratio", skip, by=by)).drop("_bm_sd", "_bm_ratio")
@@ -131,8 +120,7 @@ def win_zscore(df: DataFrame, value: str = "signal_value", by: Sequence[str] = (
         part = part + ["_tgt"]
     mean = rolling_mean("dollar_volume", window, by=part, order=DATE, min_samples=1)
     df = df.withColumn("dollar_volume_mean", mean)
-    df = with_rolling_std(df, "dollar_volume", window, "dollar_volume_std", by=part, order=DATE,
-                          min_samples=2)
+    df = df.withColumn("dollar_volume_std", rolling_std("dollar_volume", window, by=part, order=DATE, min_samples=2))
     if block_rows is not None:
         df = df.filter(F.col("_blk") == F.col("_tgt")).select(*cols, "dollar_volume_mean", "dollar_volume_std")
     denom = F.greatest(F.coalesce(F.col("dollar_volume_std"), F.lit(1.0)), F.lit(0.0001))
@@ -154,6 +142,10 @@ def alpha_gated(df: DataFrame, ic: float = 0.05, gate: float = 2.0) -> DataFrame
 
 
 # ----------------------------------------------------------------- registry
+# rows after which the weight of a value in the 5-row EWM is below 2^-50
+EWM_LOOKBACK = 100
+
+
 @dataclass(frozen=True)
 class SignalSpec:
     name: str
@@ -161,17 +153,18 @@ class SignalSpec:
     scorer: Callable[..., DataFrame]
     alphatizer: Callable[..., DataFrame]
     constraints: Sequence[str] = field(default_factory=tuple)
+    lookback: int = 0  # earlier rows of the asset that a value depends on
 
 
 def default_signals() -> dict[str, SignalSpec]:
     both = ("ZeroBeta", "ZeroInvestment")
     return {
-        "momentum": SignalSpec("momentum", _col_signal("momentum", momentum_expr), zscore, alpha_ic, both),
-        "reversal": SignalSpec("reversal", _col_signal("reversal", reversal_expr), zscore, alpha_ic, both),
+        "momentum": SignalSpec("momentum", _col_signal("momentum", momentum_expr), zscore, alpha_ic, both, 251),
+        "reversal": SignalSpec("reversal", _col_signal("reversal", reversal_expr), zscore, alpha_ic, both, 21),
         "beta": SignalSpec("beta", _col_signal("beta", beta_expr), zscore, alpha_ic, ("ZeroInvestment",)),
-        "barra_reversal": SignalSpec("barra_reversal", barra_reversal, win_zscore, alpha_gated, both),
-        "barra_momentum": SignalSpec("barra_momentum", barra_momentum, zscore, alpha_ic, both),
-        "ivol": SignalSpec("ivol", _col_signal("ivol", ivol_expr), zscore, alpha_ic, both),
+        "barra_reversal": SignalSpec("barra_reversal", barra_reversal, win_zscore, alpha_gated, both, EWM_LOOKBACK),
+        "barra_momentum": SignalSpec("barra_momentum", barra_momentum, zscore, alpha_ic, both, 250),
+        "ivol": SignalSpec("ivol", _col_signal("ivol", ivol_expr), zscore, alpha_ic, both, 1),
     }
 
 
@@ -185,11 +178,10 @@ def signal_columns(inp: DataFrame, names: Sequence[str] | None = None,
 
     ``block_rows``: for assets whose series is too long for one task, run the
     windows per (asset, block of rows) with a ``halo``-row look-back (see
-    ``functions.blocks``); every built-in signal looks back at most 252 rows,
-    and the EWM keeps its exact sample count, so results are unchanged."""
+    ``functions.blocks``).  A signal that looks back further than the halo is
+    refused, and the EWM keeps its exact sample count, so results are unchanged."""
     reg = registry or SIGNALS
     names = list(names or reg)
-    block_rows = resolve_block_rows(inp, block_rows)
     if block_rows is None:
         out = inp
         for n in names:
@@ -197,6 +189,9 @@ def signal_columns(inp: DataFrame, names: Sequence[str] | None = None,
         return out
     from panelforge.functions.blocks import block_series
 
+    far = {n: reg[n].lookback for n in names if reg[n].lookback > halo}
+    if far:
+        raise ValueError(f"signals look back further than the halo of {halo} rows: {far}")
     cols = inp.columns
     out = block_series(inp, [ASSET], DATE, block_rows, halo, running_counts=["specific_return"])
     for n in names:
@@ -223,13 +218,12 @@ def compute_signals(assets: DataFrame, names: Sequence[str] | None = None,
     Signals sharing a (scorer, alphatizer) pair are scored in one pass;
     ``block_rows`` switches every per-asset window to row blocks with a halo
     (hot keys, see ``signal_columns``).  The
-    long signal table feeds every scorer group; ``materialize`` (e.g. a
-    reliable ``checkpoint``) stores it once instead of recomputing the
-    per-asset windows for each group."""
+    long signal table feeds every scorer group, and the scored rows feed both
+    scores and alphas; ``materialize`` (e.g. a reliable ``checkpoint``) stores
+    each once instead of recomputing it for every use."""
     reg = registry or SIGNALS
     names = list(names or reg)
     inp = signal_input(assets)
-    block_rows = resolve_block_rows(inp, block_rows)
     long = signals_long(signal_columns(inp, names, reg, block_rows=block_rows, halo=halo), names)
     if materialize is not None:
         long = materialize(long)
@@ -242,6 +236,8 @@ def compute_signals(assets: DataFrame, names: Sequence[str] | None = None,
         scored_part = scorer(part, block_rows=block_rows, halo=halo) if block_rows is not None else scorer(part)
         part = alphatizer(scored_part).select(DATE, ASSET, "signal_name", "signal_value", "score", "alpha")
         scored = part if scored is None else scored.unionByName(part)
+    if materialize is not None:
+        scored = materialize(scored)
     signals = long.select(DATE, ASSET, "signal_name", "signal_value")
     scores = scored.select(DATE, ASSET, "signal_name", "score")
     alphas = scored.select(DATE, ASSET, "signal_name", "alpha")

@@ -56,9 +56,7 @@ def halo_blocks(df: DataFrame, n: int, order: str = "date") -> DataFrame:
     need = need.join(starts, "_src", "inner")
     rows = df.withColumn("_src", yr).withColumn(
         "_lrn", F.row_number().over(Window.partitionBy("_src").orderBy(order)) - 1)
-    from panelforge.operators.crosssection import checked_broadcast
-
-    out = rows.join(checked_broadcast(need), "_src", "inner")
+    out = rows.join(need, "_src", "inner")
     out = out.withColumn("_grn", F.col("_sstart") + F.col("_lrn")).withColumn("_own", F.col("_src") == F.col("_blk"))
     return out.drop("_lrn", "_sstart")
 
@@ -98,6 +96,10 @@ def rolling_moments(wide: DataFrame, names: Sequence[str], n: int) -> DataFrame:
     return out.select("date", *[F.when(ok, e).alias(c) for c, e in cols.items()])
 
 
+#: Largest condition number of a correlation matrix that is solved.
+MAX_CONDITION = 1e12
+
+
 def _solve_batches(names: Sequence[str], n0: int, n: int, daily_var: float, mu0: np.ndarray):
     k = len(names)
     prior = n0 * mu0 / daily_var  # N0 Sigma0^-1 mu0 with Sigma0 = daily_var I
@@ -115,7 +117,12 @@ def _solve_batches(names: Sequence[str], n0: int, n: int, daily_var: float, mu0:
             ok = np.isfinite(cov).all(axis=(1, 2)) & np.isfinite(xbar).all(axis=1)
             if ok.any():
                 c = cov[ok]
-                good = np.abs(np.linalg.det(c)) > 0
+                # solvable when the correlations are: free of the variances' scale and of K
+                scale = np.sqrt(np.einsum("mii->mi", c))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    corr = c / (scale[:, :, None] * scale[:, None, :])
+                good = np.isfinite(corr).all(axis=(1, 2))
+                good[good] = np.linalg.cond(corr[good]) < MAX_CONDITION
                 sol = np.full((c.shape[0], k), np.nan)
                 if good.any():
                     sol[good] = np.linalg.solve(c[good], xbar[ok][good][..., None])[..., 0]
@@ -131,7 +138,9 @@ def _solve_batches(names: Sequence[str], n0: int, n: int, daily_var: float, mu0:
 def signal_weight_table(signal_returns: DataFrame, names: Sequence[str] = WEIGHT_SIGNALS,
                         prior_sharpes: Sequence[float] = PRIOR_SHARPES, n0: int = N0, n: int = N,
                         daily_var: float = DAILY_VAR, start=None, end=None) -> DataFrame:
-    """Per date, raw / L1-normalised / softmax weights of the signals."""
+    """Per date, raw / L1-normalised / softmax weights of the signals.  The
+    raw weight is the solved vector prior + n * covariance^-1 * mean (not the
+    posterior mean by itself)."""
     names = list(names)
     sr = signal_returns.filter(F.col("signal_name").isin(names))
     if start is not None:

@@ -13,16 +13,10 @@ from pyspark.sql import functions as F
 
 from panelforge.operators.cleaning import date_range, decode_flags, split_ids
 from panelforge.operators.joins import AsofSide, asof_join_many, left_chain, universe_fill
+from panelforge.sources.catalog import table_spec
 
 IDENTITY_COLUMNS = ["rootid", "issuerid", "instrument", "name", "iso_country_code", "iso_currency_code"]
 
-ASSET_COLUMNS = [
-    "date", "barrid", "price", "market_cap", "return", "price_source", "currency",
-    "specific_return", "specific_risk", "predicted_beta", "daily_volume",
-    *IDENTITY_COLUMNS, "ticker", "cusip", "russell_1000", "russell_2000", "in_universe",
-]
-
-
 def build_assets(
     returns: DataFrame,
     specific_returns: DataFrame,
@@ -35,7 +29,8 @@ def build_assets(
     end=None,
     fill_bucket=None,
 ) -> DataFrame:
-    """``membership`` is the raw index file (date, cusip, russell1000,
+    """All columns that the vendor tables supply, in the catalogue's order.
+    ``membership`` is the raw index file (date, cusip, russell1000,
     russell2000 as "Y"/"N").  ``fill_bucket`` (e.g. ``F.year``) runs the
     constituency fill per (asset, time bucket) for very long series."""
     rng = lambda d: date_range(d, start, end)
@@ -56,7 +51,8 @@ def build_assets(
     flags = decode_flags(membership, {"russell1000": "russell_1000", "russell2000": "russell_2000"})
     out = universe_fill(combined, flags.select("date", "cusip", "russell_1000", "russell_2000"),
                         bucket=fill_bucket)
-    return out.select(*[c for c in ASSET_COLUMNS if c in out.columns])
+    declared = [f.name for f in table_spec("assets").schema.fields]
+    return out.select(*[c for c in declared if c in out.columns], *[c for c in out.columns if c not in declared])
 
 
 def build_assets_from_fixtures(spark, sf_dir: str, start=None, end=None, fill_bucket=None) -> DataFrame:

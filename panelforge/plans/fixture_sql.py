@@ -57,6 +57,18 @@ FROM (SELECT concat('US', lpad(CAST(s_suppkey AS VARCHAR), 6, '0')) AS barrid, s
       FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey) b
 """
 
+RISK = """
+SELECT date, barrid, predicted_beta * 2 AS "yield", specific_risk + 5 AS total_risk, specific_risk,
+       predicted_beta - 0.25 AS historical_beta, predicted_beta FROM panel
+"""
+
+VOLUME = """
+SELECT date, barrid, daily_volume, daily_volume / 2 AS average_daily_volume_30, daily_volume / 4 AS average_daily_volume_60,
+       daily_volume / 8 AS average_daily_volume_90, price / 1024 AS bid_ask_spread,
+       price / 2048 AS average_daily_bid_ask_spread_30, price / 4096 AS average_daily_bid_ask_spread_60,
+       price / 8192 AS average_daily_bid_ask_spread_90 FROM panel
+"""
+
 EXPOSURES_LONG = """
 SELECT CAST(l_shipdate AS DATE) AS date,
        concat('US', lpad(CAST(l_suppkey AS VARCHAR), 6, '0')) AS barrid,
@@ -72,6 +84,9 @@ SESSIONS = "SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem"
 ASSETS = """
 SELECT a.date, a.barrid, a.price, a.market_cap, a."return", a.price_source, a.currency,
        a.specific_return, a.specific_risk, a.predicted_beta, a.daily_volume,
+       a."yield", a.total_risk, a.historical_beta, a.average_daily_volume_30, a.average_daily_volume_60,
+       a.average_daily_volume_90, a.bid_ask_spread, a.average_daily_bid_ask_spread_30,
+       a.average_daily_bid_ask_spread_60, a.average_daily_bid_ask_spread_90,
        a.rootid, a.issuerid, a.instrument, a.name, a.iso_country_code, a.iso_currency_code,
        a.ticker, a.cusip,
        a.russell_1000, a.russell_2000,
@@ -91,8 +106,13 @@ FROM (
              ai.iso_currency_code, tk.ticker, cu.cusip
       FROM (
         SELECT p.date, p.barrid, p.price, p.market_cap, p."return", 'FIXTURE' AS price_source,
-               'USD' AS currency, p.specific_return, p.specific_risk, p.predicted_beta, p.daily_volume
+               'USD' AS currency, p.specific_return, p.specific_risk, p.predicted_beta, p.daily_volume,
+               k."yield", k.total_risk, k.historical_beta, v.average_daily_volume_30, v.average_daily_volume_60,
+               v.average_daily_volume_90, v.bid_ask_spread, v.average_daily_bid_ask_spread_30,
+               v.average_daily_bid_ask_spread_60, v.average_daily_bid_ask_spread_90
         FROM panel p
+        JOIN risk k ON p.date = k.date AND p.barrid = k.barrid
+        JOIN volume v ON p.date = v.date AND p.barrid = v.barrid
       ) c
       ASOF LEFT JOIN asset_ids ai ON c.barrid = ai.barrid AND c.date >= ai.start_date
       ASOF LEFT JOIN (
@@ -119,7 +139,9 @@ _DEPS = {
     "asset_ids": ("asset_ids", ASSET_IDS, ()),
     "exposures_long": ("exposures_long", EXPOSURES_LONG, ()),
     "sessions": ("sessions", SESSIONS, ()),
-    "assets": ("assets", ASSETS, ("panel", "ids", "membership", "asset_ids")),
+    "risk": ("risk", RISK, ("panel",)),
+    "volume": ("volume", VOLUME, ("panel",)),
+    "assets": ("assets", ASSETS, ("panel", "ids", "membership", "asset_ids", "risk", "volume")),
 }
 
 

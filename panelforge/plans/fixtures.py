@@ -68,11 +68,17 @@ def vendor_specific_returns(p: DataFrame) -> DataFrame:
 
 
 def vendor_risk(p: DataFrame) -> DataFrame:
-    return p.select("date", "barrid", "specific_risk", "predicted_beta")
+    return p.select("date", "barrid", (F.col("predicted_beta") * 2).alias("yield"),
+                    (F.col("specific_risk") + 5).alias("total_risk"), "specific_risk",
+                    (F.col("predicted_beta") - 0.25).alias("historical_beta"), "predicted_beta")
 
 
 def vendor_volume(p: DataFrame) -> DataFrame:
-    return p.select("date", "barrid", "daily_volume")
+    return p.select(
+        "date", "barrid", "daily_volume",
+        *[(F.col("daily_volume") / k).alias(f"average_daily_volume_{d}") for d, k in ((30, 2), (60, 4), (90, 8))],
+        (F.col("price") / 1024).alias("bid_ask_spread"),
+        *[(F.col("price") / k).alias(f"average_daily_bid_ask_spread_{d}") for d, k in ((30, 2048), (60, 4096), (90, 8192))])
 
 
 def barra_ids(p: DataFrame) -> DataFrame:

@@ -26,14 +26,14 @@ def signal_table_spec(name: str) -> TableSpec:
 
 
 def signals_flow(spark: SparkSession, assets: DataFrame, root: str, names: Sequence[str] | None = None,
-                 write_start=None, write_end=None) -> dict[str, Table]:
+                 write_start=None, write_end=None, block_rows: int | None = None) -> dict[str, Table]:
     """signals, scores and alphas from the full asset history, upserted into
     three yearly tables; ``write_start``/``write_end`` restrict only what is
-    written (the windows always see the whole history)."""
+    written (the windows always see the whole history).  ``block_rows`` runs
+    the per-asset windows in row blocks, for series too long for one task."""
     from panelforge.plans.combination import checkpoint
 
-    # hot assets (series longer than signals.AUTO_MAX_ROWS) switch to row blocks
-    sig, sc, al = compute_signals(assets, names, materialize=checkpoint, block_rows="auto")
+    sig, sc, al = compute_signals(assets, names, materialize=checkpoint, block_rows=block_rows)
     out = {}
     for name, df in (("signals", sig), ("scores", sc), ("alphas", al)):
         if write_start is not None:
@@ -62,19 +62,37 @@ def vendor_daily_flow(spark: SparkSession, archive_root: str, spec: A.ArchiveSpe
 
 
 def snapshot_flow(spark: SparkSession, archive_root: str, spec: A.ArchiveSpec, vendor: V.VendorSpec,
-                  raw_columns: Sequence[str], table: Table, sessions, us_only_ids: bool = False) -> None:
-    """newest daily snapshot -> clean -> overwrite."""
+                  raw_columns: Sequence[str], table: Table, sessions, us_only: bool = False) -> None:
+    """newest daily snapshot -> clean -> overwrite; ``us_only`` keeps the
+    assets whose own identifier holds "US"."""
     raw = A.read_daily(spark, archive_root, spec, raw_columns, sessions, latest_only=True)
     df = vendor.clean(raw)
-    if us_only_ids:
-        df = df.filter(F.col("asset_id").contains("US"))
+    if us_only:
+        df = df.filter(F.col("barrid").contains("US"))
     table.overwrite(df)
 
 
+def dataset_flow(spark: SparkSession, archive_root: str, name: str, table: Table, years: Sequence[int] | None = None,
+                 sessions=None, factors: Sequence[str] | None = None) -> None:
+    """F2/F3 for any of the nine datasets by its name: its archives (of the given
+    sessions, else its history) -> clean, scale -> for factor datasets pivot on
+    ``factors`` -> upsert, or overwrite for id snapshots."""
+    spec, vendor = V.archive_specs()[name], V.DATASETS[name]
+    if sessions is None:
+        raw = A.read_history(spark, archive_root, spec, vendor.raw_columns(), years)
+    else:
+        raw = A.read_daily(spark, archive_root, spec, vendor.raw_columns(), sessions, latest_only=not table.spec.yearly)
+    df = vendor.clean(raw)
+    if name in V.WIDE:
+        index, on, value = V.WIDE[name]
+        df = pivot_wide(df, index, on, value, factors)
+    (table.upsert if table.spec.yearly else table.overwrite)(df)
+
+
 def factor_matrix_flow(long: DataFrame, index: Sequence[str], on: str, value: str, factors: Sequence[str],
                        table: Table) -> None:
     """F2/F3 for the wide factor tables: pivot on the fixed factor list, upsert."""
-    table.upsert(pivot_wide(long, index, on, value, factors, strict=True))
+    table.upsert(pivot_wide(long, index, on, value, factors))
 
 
 def warehouse_backfill_flow(src: DataFrame, columns, date_col: str, table: Table, start=None, end=None,
@@ -95,21 +113,28 @@ def factor_file_flow(spark: SparkSession, path: str, schema: T.StructType, table
 
 
 def backfill_all(spark: SparkSession, root: str, vendor: dict[str, DataFrame], start=None, end=None,
-                 signal_names: Sequence[str] | None = None) -> dict[str, Table]:
+                 signal_names: Sequence[str] | None = None, id_archives: tuple | None = None) -> dict[str, Table]:
     """id tables first, then the vendor tables, then the asset panel (built
     once, after the ids), then signals / scores / alphas.
 
     ``vendor``: cleaned frames keyed returns, specific_returns, risk, volume,
-    asset_ids, barra_ids, membership (raw "Y"/"N" flags)."""
+    asset_ids, barra_ids, membership (raw "Y"/"N" flags).  ``id_archives``
+    (archive root, spec, sessions) takes barra_ids from its newest archived
+    snapshot instead."""
     from panelforge.plans.assets import build_assets
 
     tables: dict[str, Table] = {}
     id_keys = {"asset_ids": ("barrid", "start_date", "rootid", "end_date"),
                "barra_ids": ("barrid", "start_date", "asset_id_type", "end_date")}
     for name, keys in id_keys.items():
-        df = vendor[name]
-        t = Table(spark, root, TableSpec(name, df.schema, keys, yearly=False))
-        t.overwrite(df)
+        if name == "barra_ids" and id_archives is not None:
+            archive_root, spec, sessions = id_archives
+            t = Table(spark, root, signal_table_spec(name))
+            snapshot_flow(spark, archive_root, spec, V.IDS, V.IDS.raw_columns(), t, sessions, us_only=True)
+        else:
+            df = vendor[name]
+            t = Table(spark, root, TableSpec(name, df.schema, keys, yearly=False))
+            t.overwrite(df)
         tables[name] = t
     for name in ("returns", "specific_returns", "risk", "volume", "membership"):
         df = vendor[name]

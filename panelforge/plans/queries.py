@@ -14,7 +14,7 @@ from panelforge.operators import signals as S
 from panelforge.plans import fixtures as fx
 from panelforge.plans.assets import build_assets_from_fixtures
 from panelforge.plans.fixture_sql import with_ctes
-from panelforge.plans.registry import R, query, rnd, round_all
+from panelforge.plans.registry import R, RR, query, rnd, rnd_rel, round_all
 
 # ---------------------------------------------------------------- shared SQL
 UNI = """SELECT date, barrid, price, "return" / 100 AS ret, specific_return / 100 AS sret,
@@ -124,30 +124,31 @@ for _n in ["momentum", "reversal", "beta", "barra_reversal", "barra_momentum", "
 
 
 # ---------------------------------------------------------------- H7-H10 on single signals
-def _scored(spark, sf_dir, name):
-    reg = {name: S.SIGNALS[name]}
+def _scored(spark, sf_dir, scorer):
+    """All signals with this scorer, scored in one pass over the stored long table."""
+    from panelforge.plans.combination import checkpoint
+
+    names = [n for n, spec in S.SIGNALS.items() if spec.scorer is scorer]
     inp = S.signal_input(_assets(spark, sf_dir))
-    long = S.signals_long(S.signal_columns(inp, [name], reg), [name])
-    return reg[name].scorer(long)
+    return scorer(checkpoint(S.signals_long(S.signal_columns(inp, names), names)))
 
 
-@query("zscore", sig_sql(f"SELECT date, barrid, signal_name, {R('score')} AS score FROM zs "
-                         "WHERE signal_name = 'reversal'", "zs"))
+@query("zscore", sig_sql(f"SELECT date, barrid, signal_name, {R('score')} AS score FROM zs", "zs"))
 def q_zscore(spark, sf_dir):
-    return _scored(spark, sf_dir, "reversal").select("date", "barrid", "signal_name", rnd("score").alias("score"))
+    return _scored(spark, sf_dir, S.zscore).select("date", "barrid", "signal_name", rnd("score").alias("score"))
 
 
 @query("alpha_ic", sig_sql(f"SELECT date, barrid, signal_name, {R('score * 0.05 * specific_risk')} AS alpha "
-                           "FROM zs WHERE signal_name = 'reversal'", "zs"))
+                           "FROM zs", "zs"))
 def q_alpha_ic(spark, sf_dir):
-    a = S.alpha_ic(_scored(spark, sf_dir, "reversal"))
+    a = S.alpha_ic(_scored(spark, sf_dir, S.zscore))
     return a.select("date", "barrid", "signal_name", rnd("alpha").alias("alpha"))
 
 
 @query("win_zscore", sig_sql(f"SELECT date, barrid, signal_name, {R('score')} AS score, "
                              f"{R('volume_score')} AS volume_score FROM wz", "wz"))
 def q_win_zscore(spark, sf_dir):
-    w = _scored(spark, sf_dir, "barra_reversal")
+    w = _scored(spark, sf_dir, S.win_zscore)
     return w.select("date", "barrid", "signal_name", rnd("score").alias("score"),
                     rnd("volume_score").alias("volume_score"))
 
@@ -157,7 +158,7 @@ def q_win_zscore(spark, sf_dir):
     + R("CASE WHEN score = 2.0 AND volume_score >= 2.0 THEN 0.0 ELSE score * 0.05 * specific_risk END")
     + " AS alpha FROM wz", "wz"))
 def q_alpha_gated(spark, sf_dir):
-    a = S.alpha_gated(_scored(spark, sf_dir, "barra_reversal"))
+    a = S.alpha_gated(_scored(spark, sf_dir, S.win_zscore))
     return a.select("date", "barrid", "signal_name", rnd("alpha").alias("alpha"))
 
 
@@ -354,13 +355,13 @@ def q_rolling_covariance(spark, sf_dir):
 
 
 @query("signal_weights_raw", chain_sql(
-    f"SELECT date, {R('r1', 4)} AS w_raw_beta, {R('r2', 4)} AS w_raw_barra_reversal, {R('r3', 4)} AS w_raw_ivol, "
+    f"SELECT date, {RR('r1')} AS w_raw_beta, {RR('r2')} AS w_raw_barra_reversal, {RR('r3')} AS w_raw_ivol, "
     f"{R('n1', 16)} AS w_norm_beta, {R('n2', 16)} AS w_norm_barra_reversal, {R('n3', 16)} AS w_norm_ivol, "
     f"{R('s1')} AS w_beta, {R('s2')} AS w_barra_reversal, {R('s3')} AS w_ivol FROM sw_tab", "sw_tab"))
 def q_signal_weights_raw(spark, sf_dir):
     t = _chain(spark, sf_dir).weight_table()
     names = Wt.WEIGHT_SIGNALS
-    return t.select("date", *[rnd(f"w_raw_{a}", 4).alias(f"w_raw_{a}") for a in names],
+    return t.select("date", *[rnd_rel(f"w_raw_{a}").alias(f"w_raw_{a}") for a in names],
                     *[rnd(f"w_norm_{a}", 16).alias(f"w_norm_{a}") for a in names],
                     *[rnd(f"w_{a}").alias(f"w_{a}") for a in names])
 
@@ -412,17 +413,18 @@ def q_active_returns(spark, sf_dir):
 
 
 @query("performance_summary", chain_sql(
-    "SELECT portfolio, " + R('avg("return") * 25200', 10) + " AS mean_return, "
-    + R(f'stddev_samp("return") * {252 ** 0.5 * 100!r}', 10) + " AS volatility, "
-    + R(f'avg("return") * 25200 / nullif(stddev_samp("return") * {252 ** 0.5 * 100!r}, 0)', 10) + " AS sharpe "
+    "SELECT portfolio, " + RR('avg("return") * 25200') + " AS mean_return, "
+    + RR(f'stddev_samp("return") * {252 ** 0.5 * 100!r}') + " AS volatility, "
+    + RR(f'avg("return") * 25200 / nullif(stddev_samp("return") * {252 ** 0.5 * 100!r}, 0)') + " AS sharpe "
     "FROM (SELECT * FROM port UNION ALL SELECT * FROM bench) u GROUP BY portfolio", "bench"))
 def q_performance_summary(spark, sf_dir):
     port, bench = _chain(spark, sf_dir).returns()
-    return round_all(P.performance_summary(port.unionByName(bench)), bits=10)
+    out = P.performance_summary(port.unionByName(bench))
+    return out.select("portfolio", *[rnd_rel(c).alias(c) for c in ("mean_return", "volatility", "sharpe")])
 
 
 # ================================================================ windows, joins, reshape, quality
-from panelforge.functions import ewm_mean, forward_fill, lag, lead, rolling_mean, rolling_std, rolling_sum  # noqa: E402
+from panelforge.functions import ewm_mean, forward_fill, lag, lead, rolling, rolling_mean, rolling_std, rolling_sum  # noqa: E402
 from panelforge.operators import cleaning as C  # noqa: E402
 from panelforge.operators import joins as J  # noqa: E402
 from panelforge.operators import quality as Q  # noqa: E402
@@ -450,6 +452,42 @@ def q_rolling_sum(spark, sf_dir):
     return p.select("date", "barrid", rnd(rolling_sum("return", 22)).alias("rolling_sum"))
 
 
+# stretches of equal values, gaps and a far outlier, by rule from the panel
+_ROUGH = """SELECT date, barrid, CASE WHEN month(date) IN (3, 4, 5, 6) THEN 1.5 WHEN day(date) = 17 THEN NULL
+       WHEN day(date) = 11 AND month(date) = 1 THEN 1e12 ELSE "return" END AS x FROM panel"""
+
+
+def _rough(p):
+    month, day = F.month("date"), F.dayofmonth("date")
+    x = F.when(month.between(3, 6), 1.5).when(day == 17, F.lit(None)).when((day == 11) & (month == 1), 1e12).otherwise(F.col("return"))
+    return p.select("date", "barrid", x.alias("x"))
+
+
+@query("rolling_sum_long", with_ctes(
+    "SELECT date, barrid, " + R("CASE WHEN count(x) OVER w >= 200 AND max(x) OVER w < 1e9 THEN sum(x) OVER w END") + " AS rolling_sum "
+    "FROM rough WINDOW w AS (PARTITION BY barrid ORDER BY date ROWS BETWEEN 229 PRECEDING AND CURRENT ROW)",
+    "panel", extra=[("rough", _ROUGH)]))
+def q_rolling_sum_long(spark, sf_dir):
+    """230 rows over gaps and outliers: an outlier leaves no trace once it is out of the window."""
+    r = _rough(_panel(spark, sf_dir))
+    big = rolling("max", "x", 230, min_samples=1) < 1e9
+    return r.select("date", "barrid", rnd(F.when(big, rolling_sum("x", 230, min_samples=200))).alias("rolling_sum"))
+
+
+@query("rolling_std_flat", with_ctes(
+    "SELECT date, barrid, CASE WHEN count(x) OVER w = 5 AND max(x) OVER w < 1e9 THEN "
+    "CASE WHEN min(x) OVER w = max(x) OVER w THEN 0.0 ELSE " + R("stddev_samp(x) OVER w") + " END END AS std_5, "
+    "CASE WHEN count(x) OVER w = 5 AND min(x) OVER w = max(x) OVER w THEN 1 ELSE 0 END AS flat "
+    "FROM rough WINDOW w AS (PARTITION BY barrid ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)",
+    "panel", extra=[("rough", _ROUGH)]))
+def q_rolling_std_flat(spark, sf_dir):
+    """The deviation of a flat window is exactly 0, also right after an outlier."""
+    r = _rough(_panel(spark, sf_dir))
+    sd = rolling_std("x", 5)
+    big = rolling("max", "x", 5, min_samples=1) < 1e9
+    return r.select("date", "barrid", rnd(F.when(big, sd)).alias("std_5"), F.when(sd == 0, 1).otherwise(0).alias("flat"))
+
+
 @query("rolling_mean_std", with_ctes(
     "SELECT date, barrid, "
     + R("CASE WHEN count(daily_volume) OVER w252 >= 1 THEN avg(daily_volume) OVER w252 END") + " AS mean_252, "
@@ -549,6 +587,48 @@ query("asof_valid_until", with_ctes(
     _asof_query("backward", "end_date"))
 
 
+# both sides with rows without a key, the right side with several rows of one start date
+_NULL_LEFT = "SELECT date, CASE WHEN day(date) <> 28 THEN barrid END AS barrid, price FROM panel"
+_NULL_RIGHT = """SELECT barrid, asset_id, start_date, end_date FROM local
+UNION ALL SELECT barrid, concat(asset_id, 'b'), start_date, CAST(end_date + INTERVAL 1 DAY AS DATE) FROM local
+UNION ALL SELECT NULL, asset_id, start_date, end_date FROM local"""
+_NULL_TIES = """SELECT barrid, start_date, max_by(asset_id, end_date) AS la, max(end_date) AS le,
+       min_by(asset_id, end_date) AS fa, min(end_date) AS fe FROM nr WHERE barrid IS NOT NULL GROUP BY barrid, start_date"""
+
+
+def _null_sides(p):
+    left = p.select("date", F.when(F.dayofmonth("date") != 28, F.col("barrid")).alias("barrid"), "price")
+    ids = _local_ids(p)
+    right = ids.unionByName(ids.withColumn("asset_id", F.concat("asset_id", F.lit("b"))).withColumn("end_date", F.date_add("end_date", 1)))
+    return left, right.unionByName(ids.withColumn("barrid", F.lit(None).cast("string")))
+
+
+def _null_query(strategy: str, bucketed: bool = False):
+    def build(spark, sf_dir):
+        left, right = _null_sides(_panel(spark, sf_dir))
+        if bucketed:
+            return J.asof_join_bucketed(left, right, "date", "start_date", "barrid", F.year, strategy, ("end_date",))
+        return J.asof_join(left, right, "date", "start_date", "barrid", strategy=strategy, tie_break=("end_date",))
+    return build
+
+
+_NULL_EXTRA = [("local", _LOCAL), ("nl", _NULL_LEFT), ("nr", _NULL_RIGHT), ("nt", _NULL_TIES)]
+_NULL_BACK = with_ctes(
+    "SELECT l.date, l.barrid, l.price, t.la AS asset_id, t.start_date, t.le AS end_date FROM nl l "
+    "ASOF LEFT JOIN nt t ON l.barrid = t.barrid AND l.date >= t.start_date", "ids", extra=_NULL_EXTRA)
+_BACK_NEARER = "(fs IS NULL OR (bs IS NOT NULL AND date_diff('day', bs, date) <= date_diff('day', date, fs)))"
+_NULL_NEAR = with_ctes(
+    f"""SELECT date, barrid, price, CASE WHEN {_BACK_NEARER} THEN ba ELSE fa END AS asset_id,
+  CASE WHEN {_BACK_NEARER} THEN bs ELSE fs END AS start_date, CASE WHEN {_BACK_NEARER} THEN be ELSE fe END AS end_date
+FROM (SELECT l.*, b.la AS ba, b.start_date AS bs, b.le AS be, f.fa, f.start_date AS fs, f.fe FROM nl l
+      ASOF LEFT JOIN nt b ON l.barrid = b.barrid AND l.date >= b.start_date
+      ASOF LEFT JOIN nt f ON l.barrid = f.barrid AND l.date <= f.start_date) x""", "ids", extra=_NULL_EXTRA)
+query("asof_null_keys", _NULL_BACK)(_null_query("backward"))
+query("asof_null_keys_nearest", _NULL_NEAR)(_null_query("nearest"))
+query("asof_null_keys_bucketed", _NULL_BACK)(_null_query("backward", bucketed=True))
+query("asof_null_keys_nearest_bucketed", _NULL_NEAR)(_null_query("nearest", bucketed=True))
+
+
 @query("panel_left_chain", with_ctes(
     'SELECT r.date, r.barrid, r.price, r."return", s.specific_return, k.specific_risk, k.predicted_beta, '
     "v.daily_volume, x.exposures AS exposure_f_af FROM panel r "
@@ -742,16 +822,15 @@ def q_missing_signals(spark, sf_dir):
 
 
 @query("union_signals", sig_sql(
-    f"SELECT date, barrid, signal_name, {R('signal_value')} AS signal_value FROM long "
-    "WHERE signal_name IN ('reversal', 'ivol')"))
+    f"SELECT date, barrid, signal_name, {R('signal_value')} AS signal_value FROM long"))
 def q_union_signals(spark, sf_dir):
-    a = q_sig("reversal")(spark, sf_dir)
-    b = q_sig("ivol")(spark, sf_dir)
-    return a.unionByName(b)
-
-
-def q_sig(name):
-    return _one_signal(name)
+    inp = checkpoint(S.signal_input(_assets(spark, sf_dir)))
+    out = None
+    for name in _ALL:
+        one = S.signals_long(S.signal_columns(inp, [name]), [name]).select("date", "barrid", "signal_name",
+                                                                         rnd("signal_value").alias("signal_value"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 # ================================================================ table store
@@ -768,12 +847,10 @@ PANEL_SPEC = TB.TableSpec("panel", T.StructType([
     T.StructField("daily_volume", T.DoubleType())]), ("date", "barrid"))
 
 
-def _stored_panel(spark, sf_dir, name="panel", end=None):
+def _stored_panel(spark, sf_dir, name="panel", where=None):
     p = _panel(spark, sf_dir)
-    if end is not None:
-        p = p.filter(F.col("date") < F.lit(end).cast("date"))
     t = TB.Table(spark, shared_dir(spark, name), PANEL_SPEC)
-    t.overwrite(p)
+    t.overwrite(p if where is None else p.filter(where))
     return t, p
 
 
@@ -795,13 +872,13 @@ def q_snapshot_overwrite(spark, sf_dir):
 
 _UPSERT_NEW = """SELECT date, barrid, price * 2 AS price, market_cap, "return", specific_return,
        CAST(NULL AS DOUBLE) AS specific_risk, predicted_beta, daily_volume
-FROM panel WHERE date >= DATE '1997-07-01' AND date < DATE '1999-01-01'"""
-_UPSERT_OLD = "SELECT * FROM panel WHERE date < DATE '1998-01-01'"
+FROM panel"""
+# the store holds the calmer rows of all years; the whole panel comes in corrected
+_UPSERT_OLD = "SELECT * FROM panel WHERE predicted_beta < 1.2"
 
 
 def _upsert_rows(p):
-    return p.filter((F.col("date") >= F.lit("1997-07-01").cast("date")) & (F.col("date") < F.lit("1999-01-01").cast("date"))) \
-        .withColumn("price", F.col("price") * 2).withColumn("specific_risk", F.lit(None).cast("double")) \
+    return p.withColumn("price", F.col("price") * 2).withColumn("specific_risk", F.lit(None).cast("double")) \
         .withColumn("junk", F.lit("dropped"))
 
 
@@ -816,7 +893,7 @@ _MERGE_SEL = """coalesce(o.date, n.date) AS date, coalesce(o.barrid, n.barrid) A
     f"SELECT {_MERGE_SEL} FROM old o FULL OUTER JOIN new n ON o.date = n.date AND o.barrid = n.barrid",
     "panel", extra=[("old", _UPSERT_OLD), ("new", _UPSERT_NEW)]))
 def q_upsert_merge(spark, sf_dir):
-    t, p = _stored_panel(spark, sf_dir, end="1998-01-01")
+    t, p = _stored_panel(spark, sf_dir, where=F.col("predicted_beta") < 1.2)
     new = _upsert_rows(_panel(spark, sf_dir))
     t.upsert(new)
     t.upsert(new)  # idempotent: a second upsert changes nothing
@@ -827,11 +904,33 @@ def q_upsert_merge(spark, sf_dir):
     f"SELECT {_MERGE_SEL} FROM old o LEFT JOIN new n ON o.date = n.date AND o.barrid = n.barrid",
     "panel", extra=[("old", _UPSERT_OLD), ("new", _UPSERT_NEW)]))
 def q_update_left(spark, sf_dir):
-    t, p = _stored_panel(spark, sf_dir, end="1998-01-01")
+    t, p = _stored_panel(spark, sf_dir, where=F.col("predicted_beta") < 1.2)
     t.update(_upsert_rows(_panel(spark, sf_dir)))
     return t.read()
 
 
+@query("update_custom_key", with_ctes(
+    "SELECT o.date, o.barrid, o.price, o.market_cap, o.\"return\", o.specific_return, o.specific_risk, "
+    "max(o.predicted_beta) OVER (PARTITION BY o.barrid) AS predicted_beta, o.daily_volume FROM panel o", "panel"))
+def q_update_custom_key(spark, sf_dir):
+    """B4 on the asset alone: one row without a date changes all years of its asset."""
+    t, p = _stored_panel(spark, sf_dir)
+    t.update(p.groupBy("barrid").agg(F.max("predicted_beta").alias("predicted_beta")), on=["barrid"])
+    return t.read()
+
+
+@query("create_partition", with_ctes("SELECT * FROM panel", "panel"))
+def q_create_partition(spark, sf_dir):
+    """B2: an empty typed year beside the stored ones; creating it again, or a
+    year that is there, changes nothing."""
+    t, _ = _stored_panel(spark, sf_dir)
+    for year in (2030, 2030, 1996):
+        t.create_partition(year)
+    if not (t.exists(2030) and t.read(years=[2030]).schema == PANEL_SPEC.schema):
+        raise AssertionError("the created year is missing or has no columns")
+    return t.read()
+
+
 @query("partition_delete", with_ctes("SELECT * FROM panel WHERE year(date) <> 1996", "panel"))
 def q_partition_delete(spark, sf_dir):
     t, _ = _stored_panel(spark, sf_dir)
@@ -863,9 +962,7 @@ def _update_asof_query(strategy: str):
         root = shared_dir(spark, "ua")
         left = p.select("date", "barrid", "price", F.concat(F.lit("OLD"), "barrid").alias("asset_id"))
         t = TB.replace(spark, root, "assets_ids", left)
-        out = t.update_asof(_local_ids(p), "date", "start_date", "barrid", strategy=strategy)
-        TB.replace(spark, root, "assets_ids", out)
-        return TB.Table(spark, root, TB.TableSpec("assets_ids", out.schema, ("date", "barrid"))).read()
+        return t.store_asof(_local_ids(p), "date", "start_date", "barrid", strategy=strategy, tie_break=("end_date",)).read()
     return build
 
 
@@ -1075,39 +1172,108 @@ def q_flow_vendor_daily_update(spark, sf_dir):
     return t.read()
 
 
+from panelforge.plans.registry import REGISTRY  # noqa: E402
+from panelforge.sources.catalog import table_spec  # noqa: E402
+
 IDS_SPEC = AR.ArchiveSpec("IDS_HIST", "IDS_", "IDS_DAILY", "IDS", skip=1)
-RAW_IDS = ["!Barrid", "AssetIDType", "AssetID", "StartDate", "EndDate"]
 
 
 @query("flow_ids_snapshot", with_ctes(
     "SELECT barrid, asset_id_type, asset_id, start_date, end_date FROM ids "
-    "WHERE start_date <= (SELECT max(date) FROM lb) AND contains(asset_id, 'US')", "ids", "sessions",
+    "WHERE start_date <= (SELECT max(date) FROM lb)", "ids", "sessions",
     extra=[("lb", _LOOKBACK)]))
 def q_flow_ids_snapshot(spark, sf_dir):
-    """the id file as shipped on each of the newest look-back sessions (the
-    ids known on that day); the flow keeps the newest existing snapshot."""
-    p = _panel(spark, sf_dir)
+    """the id file as shipped on the newest look-back sessions (the ids known
+    on that day, of assets at home and abroad); the flow keeps the newest
+    existing snapshot and of it the assets whose own identifier holds "US"."""
+    sessions = sorted(r[0] for r in C.last_n_sessions(fx.sessions(spark, sf_dir), "1999-06-15", 60).collect())
+    root = _id_archives(spark, _panel(spark, sf_dir), sessions[-3:])
+    t = TB.Table(spark, shared_dir(spark, "store"), table_spec("barra_ids"))
+    FL.snapshot_flow(spark, root, IDS_SPEC, V.IDS, V.IDS.raw_columns(), t, sessions, us_only=True)
+    return t.read()
+
+
+def _id_archives(spark, p, days):
+    """Id archives of the given sessions, foreign assets among them."""
     ids = fx.barra_ids(p)
-    cal = C.last_n_sessions(fx.sessions(spark, sf_dir), "1999-06-15", 60)
-    sessions = sorted(r[0] for r in cal.collect())  # at most 60 dates
-    snap_days = cal.orderBy(F.col("date").desc()).limit(3).withColumnRenamed("date", "snap")
-    # each snapshot day lists the ids started by then: expand ids over the (<= 3) snapshot days
-    snap_list = [r[0] for r in snap_days.collect()]
-    snaps = ids.withColumn("snap", F.explode(F.array(*[F.lit(d) for d in snap_list]))).filter(
-        F.col("start_date") <= F.col("snap"))
+    ids = ids.unionByName(ids.withColumn("barrid", F.concat(F.lit("CAN"), F.substring("barrid", 3, 100))))
+    snaps = ids.withColumn("snap", F.explode(F.array(*[F.lit(d) for d in days]))).filter(F.col("start_date") <= F.col("snap"))
     raw = snaps.select(F.col("barrid").alias("!Barrid"), F.col("asset_id_type").alias("AssetIDType"),
                        F.col("asset_id").alias("AssetID"), F.date_format("start_date", "yyyyMMdd").alias("StartDate"),
                        F.date_format("end_date", "yyyyMMdd").alias("EndDate"), "snap")
     root = shared_dir(spark, "ids_daily")
     AR.write_archives(raw, root, F.date_format("snap", "yyyyMMdd"), lambda k: f"IDS_DAILY_{k[2:]}.zip",
-                      lambda k: f"IDS.{k}", RAW_IDS).count()
-    spec = TB.TableSpec("barra_ids", T.StructType([
-        T.StructField("barrid", T.StringType()), T.StructField("asset_id_type", T.StringType()),
-        T.StructField("asset_id", T.StringType()), T.StructField("start_date", T.DateType()),
-        T.StructField("end_date", T.DateType())]), ("barrid", "start_date", "asset_id_type", "end_date"), yearly=False)
-    t = TB.Table(spark, shared_dir(spark, "store"), spec)
-    FL.snapshot_flow(spark, root, IDS_SPEC, V.IDS, RAW_IDS, t, sessions, us_only_ids=True)
-    return t.read()
+                      lambda k: f"IDS.{k}", V.IDS.raw_columns()).count()
+    return root
+
+
+# ---------------------------------------------------------------- the other vendor datasets, archives to tables
+_DATASET_FACTORS = {"exposures": FIXTURE_FACTORS, "covariances": FIXTURE_LINES, "factors": FIXTURE_FACTORS}
+
+
+def _dataset_rows(spark, sf_dir, name):
+    p = _panel(spark, sf_dir)
+    if name == "exposures":
+        return fx.exposures_long(spark, sf_dir)
+    if name == "covariances":
+        return _cov_long(spark, sf_dir)
+    if name == "factors":  # the vendor ships decimals
+        return fx.exposures_long(spark, sf_dir).groupBy("date", "factor").agg(F.max("exposures").alias("return"))
+    if name == "asset_ids":
+        return fx.asset_ids(spark, sf_dir)
+    return {"specific_returns": fx.vendor_specific_returns, "risk": fx.vendor_risk, "volume": fx.vendor_volume}[name](p)
+
+
+def _dataset_query(name: str):
+    """The dataset written in the vendor's layout (folders, prefixes, lines
+    before the header), read back by its archive rules and stored."""
+    spec, vendor = V.archive_specs()[name], V.DATASETS[name]
+    daily = spec.history_prefix is None
+
+    def build(spark, sf_dir):
+        raw = {c: h for c, h in zip(vendor.columns, vendor.raw_columns(), strict=True)}
+        rows = _dataset_rows(spark, sf_dir, name)
+        sessions = None
+        if daily:  # one archive for each of the look-back's sessions
+            sessions = sorted(r[0] for r in C.last_n_sessions(fx.sessions(spark, sf_dir), "1999-06-15", 60).collect())
+            if "date" in vendor.columns:
+                rows = rows.filter(F.col("date").isin(sessions)).withColumn("_day", F.col("date"))
+            else:
+                rows = rows.withColumn("_day", F.lit(sessions[-1]))
+            key = F.date_format("_day", "yyyyMMdd")
+            name_of = lambda k: f"{spec.daily_folder}/{spec.daily_prefix}_{k[2:]}.zip"
+            member_of = lambda k: f"{spec.daily_member}.{k}"
+        else:
+            key = F.date_format("date", "yyyy")
+            name_of = lambda k: f"{spec.history_folder}/{spec.history_prefix}_{k}.zip"
+            member_of = lambda k: f"{spec.member_prefix}.{k}"
+        shown = [(F.date_format(c, "yyyyMMdd") if c in vendor.date_cols else F.col(c)).alias(h) for c, h in raw.items()]
+        root = shared_dir(spark, "archives")
+        AR.write_archives(rows.select(*shown, key.alias("_key")), root, F.col("_key"), name_of, member_of,
+                          list(raw.values()), [f"!line {i}" for i in range(spec.skip)]).count()
+        if name in V.WIDE:
+            index = V.WIDE[name][0]
+            fields = [T.StructField(c, T.DateType() if c == "date" else T.StringType()) for c in index]
+            fields += [T.StructField(f, T.DoubleType()) for f in _DATASET_FACTORS[name]]
+            table = TB.TableSpec(name, T.StructType(fields), index)
+        else:
+            table = table_spec(name if name == "asset_ids" else f"barra_{name}")
+        t = TB.Table(spark, shared_dir(spark, "store"), table)
+        FL.dataset_flow(spark, root, name, t, sessions=sessions, factors=_DATASET_FACTORS.get(name))
+        return t.read()
+    return build
+
+
+_FACTOR_DAILY = ("SELECT date, factor, max(exposures) * 100.0 AS value FROM exposures_long "
+                 "WHERE date IN (SELECT date FROM lb) GROUP BY date, factor")
+query("flow_vendor_specific_returns", with_ctes("SELECT barrid, specific_return, date FROM panel", "panel"))(_dataset_query("specific_returns"))
+query("flow_vendor_risk", with_ctes("SELECT * FROM risk", "risk"))(_dataset_query("risk"))
+query("flow_vendor_volume", with_ctes("SELECT * FROM volume", "volume"))(_dataset_query("volume"))
+query("flow_vendor_asset_ids", with_ctes("SELECT * FROM asset_ids", "asset_ids"))(_dataset_query("asset_ids"))
+query("flow_vendor_exposures", REGISTRY["pivot_exposures"].sql)(_dataset_query("exposures"))
+query("flow_vendor_covariances", REGISTRY["pivot_covariances"].sql)(_dataset_query("covariances"))
+query("flow_vendor_factors", with_ctes(_pivot_sql("date", "factor", "value", FIXTURE_FACTORS, "fd"), "exposures_long", "sessions",
+                                       extra=[("lb", _LOOKBACK), ("fd", _FACTOR_DAILY)]))(_dataset_query("factors"))
 
 
 FTSE_SPEC = TB.TableSpec("ftse_russell", T.StructType([
@@ -1155,9 +1321,11 @@ def q_backfill_all(spark, sf_dir):
     vendor = {
         "returns": fx.vendor_returns(p), "specific_returns": fx.vendor_specific_returns(p),
         "risk": fx.vendor_risk(p), "volume": fx.vendor_volume(p), "asset_ids": fx.asset_ids(spark, sf_dir),
-        "barra_ids": fx.barra_ids(p), "membership": fx.membership(p),
+        "membership": fx.membership(p),
     }
-    tables = FL.backfill_all(spark, shared_dir(spark, "store"), vendor)
+    sessions = sorted(r[0] for r in C.last_n_sessions(fx.sessions(spark, sf_dir), "2100-01-01", 60).collect())
+    archived = (_id_archives(spark, p, sessions[-1:]), IDS_SPEC, sessions)  # ids come through the snapshot flow
+    tables = FL.backfill_all(spark, shared_dir(spark, "store"), vendor, id_archives=archived)
     return tables["alphas"].read().withColumn("alpha", rnd("alpha"))
 
 
@@ -1224,7 +1392,9 @@ from panelforge.sources.catalog import TABLES, Catalog  # noqa: E402
 
 
 def _catalog_select_sql() -> str:
-    have = {"date", "rootid", "barrid", "issuerid", "instrument", "name", "cusip", "ticker", "price", "return",
+    have = {"yield", "total_risk", "historical_beta", "average_daily_volume_30", "average_daily_volume_60",
+            "average_daily_volume_90", "bid_ask_spread", "average_daily_bid_ask_spread_30",
+            "average_daily_bid_ask_spread_60", "average_daily_bid_ask_spread_90", "date", "rootid", "barrid", "issuerid", "instrument", "name", "cusip", "ticker", "price", "return",
             "specific_return", "market_cap", "price_source", "currency", "iso_country_code", "iso_currency_code",
             "specific_risk", "predicted_beta", "russell_1000", "russell_2000", "in_universe", "daily_volume"}
     sql_t = {"str": "VARCHAR", "dbl": "DOUBLE", "bool": "BOOLEAN", "date": "DATE", "int": "BIGINT"}

@@ -1,7 +1,7 @@
 """Query registry: name -> (Spark builder, DuckDB oracle SQL or None).
 
 Builders take (spark, sf_dir) and return a DataFrame over the driver's tables.
-Floating outputs are rounded (``R`` in SQL, ``rounded`` in Spark) and -0.0 is
+Floating outputs are rounded (``R`` in SQL, ``rnd`` in Spark) and -0.0 is
 normalised, so both engines print the same values.
 """
 
@@ -52,6 +52,19 @@ def rnd(col, bits: int = 20) -> F.Column:
     return F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
 
 
+def RR(expr: str, bits: int = 24) -> str:
+    """SQL twin of ``rnd_rel``."""
+    scale = f"power(2.0, {bits} - floor(log2(abs({expr}))))"
+    return f"(CASE WHEN ({expr}) = 0 THEN 0.0 ELSE floor(({expr}) * {scale} + 0.5) / {scale} END)"
+
+
+def rnd_rel(col, bits: int = 24) -> F.Column:
+    """Round to ``bits`` significant bits: the grid follows the value's size."""
+    c = F.col(col) if isinstance(col, str) else col
+    scale = F.pow(F.lit(2.0), F.lit(bits) - F.floor(F.log2(F.abs(c))))
+    return F.when(c == 0, F.lit(0.0)).otherwise(F.floor(c * scale + F.lit(0.5)).cast("double") / scale)
+
+
 def round_all(df: DataFrame, bits: int = 20, skip: tuple = ()) -> DataFrame:
     """Round every double column of ``df``."""
     out = []

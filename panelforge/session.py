@@ -8,7 +8,6 @@ is set only when the session has none, as in tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -35,13 +34,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set a private one only if unset."""
+    """The shared checkpoint folder of the session.  Unset, a private one is made
+    where driver and executors are one process; a cluster has to name its own."""
     sc = spark.sparkContext
     cp = sc.getCheckpointDir()
     if not cp:
         cp = spark.conf.get("spark.checkpoint.dir", None)
         if not cp:
-            cp = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+            cp = tempfile.mkdtemp(prefix="run-")
         sc.setCheckpointDir(cp)
         cp = sc.getCheckpointDir() or cp
     return cp
@@ -51,8 +53,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint root for written tables."""
     root = checkpoint_root(spark)
     path = f"{root.rstrip('/')}/panelforge/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path
 
 

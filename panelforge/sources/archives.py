@@ -1,16 +1,16 @@
 """Vendor archive and text-file sources.
 
 Archives are read with Spark's ``binaryFile`` source; unzipping runs on the
-executors in ``mapInPandas`` (one archive per row, every member streamed line
-by line).  Each data line becomes a map header -> value, so members whose
-column order differs are still read by name, then typed with ``try_cast``.
-The driver only lists file names.
+executors in ``mapInPandas``: one archive per row, its members streamed line by
+line and handed on in chunks, fields put in order by each member's own header,
+so members whose column order differs are read by name; then typed with
+``try_cast``.  The driver only lists file names.
 """
 
 from __future__ import annotations
 
 import io
-import os
+import itertools
 import uuid
 import zipfile
 from collections.abc import Sequence
@@ -18,21 +18,16 @@ from dataclasses import dataclass
 from datetime import date
 
 import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelforge.functions.numeric import finite_or_null
+from panelforge.operators.cleaning import TRAILER
 from panelforge.sources.tables import glob_paths
 from panelforge.sources.vendor import RAW_STRING_COLUMNS
 
-LINE_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("member", T.StringType()),
-    T.StructField("header", T.ArrayType(T.StringType())),
-    T.StructField("values", T.ArrayType(T.StringType())),
-])
-
-
 @dataclass(frozen=True)
 class ArchiveSpec:
     """A5: naming rules of one vendor dataset.
@@ -67,74 +62,65 @@ class ArchiveSpec:
         return f"{self.daily_member}.{d:%Y%m%d}"
 
 
-def _unzip(member_prefix: str | None, member_exact: bool, skip: int, sep: str, members: dict | None = None):
+# lines that a task holds before it hands them on
+CHUNK = 20_000
+
+
+def _unzip(member_prefix: str | None, skip: int, sep: str, members: dict | None, raw_columns: Sequence[str]):
+    """mapInPandas body: every wanted member line by line, its fields put in the
+    order of ``raw_columns`` by the member's own header (short lines are padded,
+    the end-of-file line is dropped wherever the key column stands)."""
+
+    def lines(zf: zipfile.ZipFile, name: str):
+        with zf.open(name) as fh:
+            places = None
+            for i, raw in enumerate(io.TextIOWrapper(fh, encoding="utf-8")):
+                line = raw.rstrip("\r\n")
+                if i < skip or not line:
+                    continue
+                fields = line.split(sep)
+                if places is None:
+                    at = {c: k for k, c in enumerate(fields)}
+                    places = [at.get(c, len(fields) + 1) for c in raw_columns]
+                elif len(fields) > 1 or fields[0].strip() != TRAILER:
+                    yield [fields[k] if k < len(fields) and fields[k] != "" else None for k in places]
+
     def run(batches):
         for pdf in batches:
-            out = {"path": [], "member": [], "header": [], "values": []}
             for path, content in zip(pdf["path"], pdf["content"]):
-                want = members.get(path.rsplit("/", 1)[-1]) if members is not None else member_prefix
-                exact = True if members is not None else member_exact
                 with zipfile.ZipFile(io.BytesIO(bytes(content))) as zf:
-                    for name in sorted(zf.namelist()):
-                        if want is not None:
-                            hit = name == want if exact else name.startswith(want)
-                            if not hit:
-                                continue
-                        with zf.open(name) as fh:
-                            header = None
-                            for i, raw in enumerate(io.TextIOWrapper(fh, encoding="utf-8")):
-                                line = raw.rstrip("\r\n")
-                                if i < skip:
-                                    continue
-                                if header is None:
-                                    header = line.split(sep)
-                                    continue
-                                if not line:
-                                    continue
-                                out["path"].append(path)
-                                out["member"].append(name)
-                                out["header"].append(header)
-                                out["values"].append(line.split(sep))
-            yield pd.DataFrame(out, columns=list(out))
+                    if members is not None:
+                        wanted = [n for n in zf.namelist() if n == members.get(path.rsplit("/", 1)[-1])]
+                    else:
+                        wanted = [n for n in sorted(zf.namelist()) if n.startswith(member_prefix or "")]
+                    rows = itertools.chain.from_iterable(lines(zf, n) for n in wanted)
+                    while chunk := list(itertools.islice(rows, CHUNK)):
+                        yield pd.DataFrame({"values": chunk})
 
     return run
 
 
 def read_lines(spark: SparkSession, paths: Sequence[str] | str, member_prefix: str | None, skip: int,
-               sep: str = "|", member_exact: bool = False, members: dict | None = None) -> DataFrame:
-    """(path, member, header, values) for every data line of the archives;
-    ``members`` maps an archive file name to the one member to read."""
+               raw_columns: Sequence[str], sep: str = "|", members: dict | None = None) -> DataFrame:
+    """One row per data line of the archives: ``values``, the raw columns' texts
+    in order (empty and absent: NULL); ``members`` maps an archive's file name to
+    the one member to read."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
-        return spark.createDataFrame([], LINE_SCHEMA)
+        return spark.createDataFrame([], "values array<string>")
     bf = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return bf.mapInPandas(_unzip(member_prefix, member_exact, skip, sep, members), LINE_SCHEMA)
+    return bf.mapInPandas(_unzip(member_prefix, skip, sep, members, list(raw_columns)), "values array<string>")
 
 
 def typed(lines: DataFrame, raw_columns: Sequence[str], numeric: Sequence[str] | None = None) -> DataFrame:
-    """Map each line onto the raw columns by header name; text columns stay
-    strings (empty -> NULL), the rest are ``try_cast`` to double."""
-    m = F.map_from_arrays(F.col("header"), F.slice(F.col("values"), 1, F.size("header")))
-    row = lines.select(F.col("path").alias("_path"), m.alias("_m"))
+    """The raw columns: text columns stay strings, the rest are numbers; a text
+    that is no finite number gives NULL."""
     cols = []
-    for c in raw_columns:
-        v = F.when(F.col("_m")[c] != "", F.col("_m")[c])
+    for i, c in enumerate(raw_columns):
+        v = F.col("values")[i]
         is_text = c in RAW_STRING_COLUMNS if numeric is None else c not in numeric
-        cols.append((v if is_text else v.try_cast("double")).alias(c))
-    return row.select("_path", *cols)
-
-
-def _fix_trailer(lines: DataFrame) -> DataFrame:
-    """C3 at the line level: drop the end-of-file line wherever the header
-    puts the key column; other single-field lines are padded so they still
-    map onto the header."""
-    from panelforge.operators.cleaning import TRAILER
-
-    trailer = (F.size("values") == 1) & (F.trim(F.col("values")[0]) == F.lit(TRAILER))
-    return lines.filter(~trailer).withColumn(
-        "values", F.when(F.size("values") < F.size("header"),
-                         F.concat(F.col("values"), F.array_repeat(F.lit(""), F.size("header") - F.size("values"))))
-        .otherwise(F.col("values")))
+        cols.append((v if is_text else finite_or_null(v.try_cast("double"))).alias(c))
+    return lines.select(*cols)
 
 
 def read_history(spark: SparkSession, root: str, spec: ArchiveSpec, raw_columns: Sequence[str],
@@ -142,8 +128,7 @@ def read_history(spark: SparkSession, root: str, spec: ArchiveSpec, raw_columns:
     """A1/A2: every history archive of the given years (all when None)."""
     pats = [spec.history_glob(root, y) for y in years] if years else [spec.history_glob(root)]
     paths = sorted({p for pat in pats for p in glob_paths(spark, pat)})
-    lines = _fix_trailer(read_lines(spark, paths, spec.member_prefix, spec.skip, spec.sep))
-    return typed(lines, raw_columns).drop("_path")
+    return typed(read_lines(spark, paths, spec.member_prefix, spec.skip, raw_columns, spec.sep), raw_columns)
 
 
 def read_daily(spark: SparkSession, root: str, spec: ArchiveSpec, raw_columns: Sequence[str],
@@ -159,11 +144,18 @@ def read_daily(spark: SparkSession, root: str, spec: ArchiveSpec, raw_columns: S
     if latest_only:
         existing = existing[-1:]
     members = {p.rsplit("/", 1)[-1]: spec.daily_member_name(d) for d, p in existing}
-    lines = read_lines(spark, [p for _, p in existing], None, spec.skip, spec.sep, members=members)
-    return typed(_fix_trailer(lines), raw_columns).drop("_path")
+    lines = read_lines(spark, [p for _, p in existing], None, spec.skip, raw_columns, spec.sep, members)
+    return typed(lines, raw_columns)
 
 
 # ------------------------------------------------------------------ writers (fixtures / export)
+def _store(path: str):
+    """The file system of a URI (a shared folder, HDFS, an object store) and the path in it."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path[len("file:"):]
+    return FileSystem.from_uri(path)
+
+
 def _zip_writer(root: str, name_of, member_of, header_lines: Sequence[str], columns: Sequence[str], sep: str):
     """mapInPandas body over partitions sorted by archive key: rows of one key
     are buffered until the key changes, then written as one archive by the
@@ -182,13 +174,14 @@ def _zip_writer(root: str, name_of, member_of, header_lines: Sequence[str], colu
                 rows += 1
         buf.write("[End of File]\n")
         path = f"{root.rstrip('/')}/{name_of(key)}"
-        local = path[len("file:"):] if path.startswith("file:") else path
+        store, target = _store(path)
         # write under a private name, then rename: a retried or speculative
         # task attempt never leaves a half-written archive behind
-        tmp = f"{local}.part-{os.getpid()}-{uuid.uuid4().hex[:8]}"
-        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as zf:
+        tmp = f"{target}.part-{uuid.uuid4().hex[:12]}"
+        store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+        with store.open_output_stream(tmp) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
             zf.writestr(member_of(key), buf.getvalue())
-        os.replace(tmp, local)
+        store.move(tmp, target)
         return path, rows
 
     def run(batches):

@@ -101,33 +101,49 @@ class Table:
         return df.select(*cols)
 
     def _write(self, df: DataFrame, mode: str = "overwrite") -> None:
+        """Rows meet by year in partitions of the advisory size (AQE splits the
+        large years and joins the small ones), so a write leaves a few files a
+        year and not one for each task and year."""
         if self.spec.yearly:
-            out = df.withColumn("year", F.year(self.spec.date_col))
+            out = df.withColumn("year", F.year(self.spec.date_col)).hint("rebalance", "year")
             (out.sortWithinPartitions("year", *self.spec.ids).write.mode(mode)
              .option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(self.path))
         else:
             df.write.mode(mode).parquet(self.path)
 
     def overwrite(self, df: DataFrame) -> None:
-        """Replace the snapshot, or the years present in ``df``."""
-        self._write(_checkpointed(self._conform(df)))
-
-    def _touched(self, rows: DataFrame) -> DataFrame:
-        """Existing rows of the years present in ``rows`` (dynamic partition
-        pruning through a semi join on the distinct years, broadcast after a
-        size check)."""
-        if not self.spec.yearly or not self.exists():
+        """Replace the snapshot, or the years present in ``df`` (which may
+        come from the stored rows: it is then written aside first)."""
+        df = self._conform(df)
+        self._write(_checkpointed(df) if self.exists() else df)
+
+    def create_partition(self, year: int | None = None) -> None:
+        """B2: a typed empty year (or snapshot), unless it exists."""
+        if not self.exists(year):
+            target = f"{self.path}/year={int(year)}" if self.spec.yearly else self.path
+            self.empty().write.parquet(target)
+
+    def _unique(self, rows: DataFrame, on: Sequence[str]) -> None:
+        from panelforge.operators.quality import duplicate_keys
+
+        if not duplicate_keys(rows, list(on)).isEmpty():
+            raise ValueError(f"{self.spec.name}: new rows are not unique on {', '.join(on)}")
+
+    def _touched(self, rows: DataFrame, on: Sequence[str]) -> DataFrame:
+        """Existing rows that ``rows`` may meet: of the years present in it
+        (dynamic partition pruning through a semi join on the distinct years),
+        or all where the key holds no date."""
+        if not self.spec.yearly or not self.exists() or self.spec.date_col not in on:
             return self.read()
         old = self.read(keep_year=True)
-        from panelforge.operators.crosssection import checked_broadcast
-
-        years = checked_broadcast(rows.select(F.year(self.spec.date_col).alias("year")).distinct())
+        years = rows.select(F.year(self.spec.date_col).alias("year")).distinct()
         return old.join(years, "year", "left_semi").drop("year")
 
     def _merge(self, rows: DataFrame, on: Sequence[str], how: str) -> DataFrame:
         target = [f.name for f in self.spec.schema.fields]
-        new = rows.select(*[c for c in rows.columns if c in target])
-        old = self._touched(rows)
+        fixed = {self.spec.date_col} - set(on) if self.spec.yearly else set()  # a row stays in its year
+        new = rows.select(*[c for c in rows.columns if c in target and c not in fixed])
+        old = self._touched(rows, on)
         n = new.select(*[F.col(c).alias(f"_n_{c}") if c not in on else F.col(c) for c in new.columns])
         j = old.join(n, list(on), "full_outer" if how == "full" else "left")
         out = []
@@ -144,23 +160,29 @@ class Table:
         """Full outer merge on the ids; non-null new values win, NULLs in
         the new rows keep the old value, unmatched new rows are appended, new
         columns outside the schema are dropped.  Only touched years are
-        rewritten; rows must be unique on the ids."""
+        rewritten; rows that are not unique on the ids are refused."""
         if not self.exists():  # first write: nothing to merge with, nothing read back
             target = [f.name for f in self.spec.schema.fields]
-            self._write(self._conform(rows.select(*[c for c in rows.columns if c in target])))
+            first = _checkpointed(self._conform(rows.select(*[c for c in rows.columns if c in target])))
+            self._unique(first, self.spec.ids)
+            self._write(first)
             return
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read for the year list and the merge
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read for the check, the year list and the merge
         try:
+            self._unique(rows, self.spec.ids)
             self._write(_checkpointed(self._conform(self._merge(rows, self.spec.ids, "full"))))
         finally:
             rows.unpersist()
 
     def update(self, rows: DataFrame, on: Sequence[str] | None = None) -> None:
-        """Like upsert but rows without a match are not inserted."""
+        """Like upsert but rows without a match are not inserted.  ``on`` may
+        be any key (a row may then change stored rows of many years); the stored
+        date stays where it is no part of the key."""
         if not self.exists():  # nothing to update
             return
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            self._unique(rows, on or self.spec.ids)
             self._write(_checkpointed(self._conform(self._merge(rows, on or self.spec.ids, "left"))))
         finally:
             rows.unpersist()
@@ -173,27 +195,38 @@ class Table:
             fs.delete(p, True)
 
     def update_asof(self, right: DataFrame, left_on: str, right_on: str, by, strategy: str = "backward",
-                    drop_right_cols: Sequence[str] = (), year: int | None = None) -> DataFrame:
-        """As-of join the stored rows (one year or all) with ``right``;
-        overlapping columns are coalesced preferring the right value, left-only
-        and right-only columns kept, the right time column dropped; column
-        order: by, left_on, then sorted overlap / left-only / right-only.
-        Returns the new frame (the stored schema may change, so it is written
-        by the caller with ``replace``)."""
+                    drop_right_cols: Sequence[str] = (), year: int | None = None,
+                    tie_break: Sequence[str] = ()) -> DataFrame:
+        """The stored rows (one year or all) brought up to date from the
+        matching row of ``right``.  A column known to both takes the matched
+        value where there is one, all other columns are kept; ``right_on`` only
+        serves the match.  Key and time come first, the rest by name.
+        ``store_asof`` writes the result."""
         by = [by] if isinstance(by, str) else list(by)
-        left = self.read(years=[year] if year is not None else None)
-        keep_r = [c for c in right.columns if c not in set(drop_right_cols)]
-        right = right.select(*keep_r)
-        lcols, rcols = set(left.columns), set(keep_r) - {right_on}
-        on_left = by + [left_on]
-        overlap = sorted((lcols & rcols) - set(on_left))
-        left_only = sorted(lcols - rcols - set(on_left))
-        right_only = sorted(rcols - lcols - set(by))
-        j = asof_join(left, right, left_on, right_on, by, strategy=strategy, suffix="_updated")
-        sel = [F.col(c) for c in on_left]
-        sel += [F.coalesce(F.col(f"{c}_updated"), F.col(c)).alias(c) for c in overlap]
-        sel += [F.col(c) for c in left_only] + [F.col(c) for c in right_only]
-        return j.select(*sel)
+        stored = self.read(years=None if year is None else [year])
+        fixed = [*by, left_on]
+        news = [c for c in right.columns if c not in {*fixed, right_on, *drop_right_cols}]
+        row = F.struct(*news) if news else F.lit(None).cast("string")
+        ties = [F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie_break)]
+        matched = asof_join(stored, right.select(*by, F.col(right_on).alias("_from"), row.alias("_row"), *ties), left_on,
+                            "_from", by, strategy, [f"_tie{i}" for i in range(len(ties))])
+
+        def resolved(c: str):
+            if c not in news:
+                return F.col(c)
+            return F.coalesce(F.col("_row")[c], F.col(c)) if c in stored.columns else F.col("_row")[c]
+
+        names = sorted({*stored.columns, *news}.difference(fixed))
+        return matched.select(*fixed, *[resolved(c).alias(c) for c in names])
+
+    def store_asof(self, *args, **kwargs) -> Table:
+        """``update_asof``, written: the years present are replaced, and the
+        returned table has the result's columns."""
+        df = self.update_asof(*args, **kwargs)
+        spec = TableSpec(self.spec.name, df.schema, self.spec.ids, self.spec.yearly, self.spec.date_col)
+        out = Table(self.spark, self.path.rsplit("/", 1)[0], spec)
+        out.overwrite(df)
+        return out
 
 
 def replace(spark: SparkSession, root: str, name: str, df: DataFrame, yearly: bool = True, date_col: str = "date") -> Table:
@@ -214,6 +247,8 @@ def merge_with_evolution(table: Table, rows: DataFrame, on: Sequence[str], how:
     evolved = Table(table.spark, table.path.rsplit("/", 1)[0], spec)
     if how == "full":
         evolved.upsert(rows)
-    else:
+    elif how == "left":
         evolved.update(rows, on)
+    else:
+        raise ValueError(f"unknown merge {how!r}: full or left")
     return evolved

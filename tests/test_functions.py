@@ -7,8 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelforge.functions import clip_keep_null, ewm_mean, rolling_mean, rolling_std, rolling_sum
-from panelforge.functions.rolling import with_rolling_std
+from panelforge.functions import clip_keep_null, ewm_mean, finite_or_null, rolling_mean, rolling_std, rolling_sum
 
 
 def _series(spark, values, key="A"):
@@ -68,31 +67,26 @@ def test_rolling_full_window_rule(spark):
     assert got[5] == (15.0, 15.0)
 
 
-def test_prefix_and_frame_agree(spark):
+def test_windows_keep_no_trace(spark):
     rng = np.random.default_rng(1)
     vals = [None if rng.random() < 0.05 else float(rng.normal(100, 3)) for _ in range(500)]
-    df = _series(spark, vals)
-    a = df.select("date", rolling_sum("x", 40, method="prefix").alias("p"),
-                  rolling_sum("x", 40, method="frame").alias("f"),
-                  rolling_mean("x", 60, min_samples=1, method="prefix").alias("mp"),
-                  rolling_mean("x", 60, min_samples=1, method="frame").alias("mf"))
-    for r in a.collect():
-        assert (r.p is None) == (r.f is None)
-        if r.p is not None:
-            assert r.p == pytest.approx(r.f, rel=1e-12)
-        assert r.mp == pytest.approx(r.mf, rel=1e-12)
-    s = with_rolling_std(df, "x", 50, "sp", min_samples=2).withColumn("sf", rolling_std("x", 50, min_samples=2))
-    for r in s.collect():
-        assert (r.sp is None) == (r.sf is None)
-        if r.sp is not None:
-            assert r.sp == pytest.approx(r.sf, rel=1e-9)
-
-
-def test_std_single_row_and_constant(spark):
-    df = _series(spark, [3.0, 3.0, 3.0])
-    out = with_rolling_std(df, "x", 2, "s", min_samples=1).orderBy("date").collect()
-    assert out[0].s is None          # one value: sample std undefined
-    assert out[1].s == 0.0
+    vals[50], vals[120] = 1e15, float("nan")
+    df = _series(spark, vals).withColumn("x", finite_or_null("x"))
+    got = df.select("date", rolling_sum("x", 40, min_samples=1).alias("s"), rolling_std("x", 60, min_samples=2).alias("d")).orderBy("date").collect()
+    clean = [None if v is None or v != v else v for v in vals]
+    for i, r in enumerate(got):
+        w = [v for v in clean[max(0, i - 39): i + 1] if v is not None]
+        assert r.s == pytest.approx(sum(w), rel=1e-12)
+        w = [v for v in clean[max(0, i - 59): i + 1] if v is not None]
+        if len(w) > 1 and max(w) < 1e9:
+            assert r.d == pytest.approx(float(np.std(w, ddof=1)), rel=1e-6)
+
+
+def test_flat_windows_after_an_outlier(spark):
+    out = _series(spark, [1e9, 0.1, 0.1, 0.1, 0.1, 3.0, 3.0, 3.0]).select("date", rolling_std("x", 3).alias("s")).orderBy("date").collect()
+    assert [r.s == 0 for r in out] == [False, False, False, True, True, False, False, True]
+    one = _series(spark, [3.0, 3.0]).select("date", rolling_std("x", 2, min_samples=1).alias("s")).orderBy("date").collect()
+    assert one[0].s is None and one[1].s == 0.0
 
 
 def test_clip_keeps_null(spark):

@@ -220,35 +220,63 @@ def test_blocked_signal_windows_equal_plain(spark):
                 assert a == pytest.approx(b, rel=1e-9, abs=1e-12), n
 
 
-def test_auto_block_mode_switches_on_long_series(spark, monkeypatch):
+def test_blocks_refuse_a_longer_look_back(spark):
     d0 = D(2000, 1, 3)
-    rows = [(d0 + dt.timedelta(days=i), "HOT", 0.1 * ((i % 7) - 3), 0.2 * ((i % 5) - 2)) for i in range(700)]
-    rows += [(d0 + dt.timedelta(days=i), "X", 0.1, 0.1) for i in range(50)]
+    rows = [(d0 + dt.timedelta(days=i), "HOT", 0.1 * ((i % 7) - 3), 0.2 * ((i % 5) - 2)) for i in range(1400)]
     inp = S.signal_input(_universe(spark, rows))
-    assert S.resolve_block_rows(inp, "auto") is None
-    monkeypatch.setattr(S, "AUTO_MAX_ROWS", 500)
-    monkeypatch.setattr(S, "AUTO_BLOCK_ROWS", 300)
-    assert S.resolve_block_rows(inp, "auto") == 300
-    plain = {(r.barrid, r.date): r.momentum for r in S.signal_columns(inp, ["momentum"]).collect()}
-    auto = {(r.barrid, r.date): r.momentum for r in
-            S.signal_columns(inp, ["momentum"], block_rows="auto", halo=256).collect()}
-    assert set(auto) == set(plain)
+    compute = S._col_signal("slow", lambda by=None: S.reversal_expr(600, by))
+    reg = {"slow": S.SignalSpec("slow", compute, S.zscore, S.alpha_ic, (), 599)}
+    with pytest.raises(ValueError):
+        S.signal_columns(inp, ["slow"], reg, block_rows=700, halo=512)
+    plain = {r.date: r.slow for r in S.signal_columns(inp, ["slow"], reg).collect()}
+    blocked = {r.date: r.slow for r in S.signal_columns(inp, ["slow"], reg, block_rows=700, halo=600).collect()}
+    assert plain.keys() == blocked.keys() and sum(v is not None for v in plain.values()) == 801
     for k, v in plain.items():
-        assert (v is None) == (auto[k] is None)
-        if v is not None:
-            assert auto[k] == pytest.approx(v, rel=1e-9, abs=1e-12)
+        assert (v is None) == (blocked[k] is None)
+        assert v is None or blocked[k] == pytest.approx(v, rel=1e-9, abs=1e-12)
 
 
 def test_pivot_strict_rejects_duplicate_cells(spark):
     from panelforge.operators.reshape import pivot_wide, unpivot_long
     df = spark.createDataFrame([(D(2020, 1, 1), "A", "f1", 1.0), (D(2020, 1, 1), "A", "f2", 2.0),
                                 (D(2020, 1, 2), "A", "f1", 3.0)], "date date, barrid string, factor string, v double")
-    wide = pivot_wide(df, ["date", "barrid"], "factor", "v", ["f1", "f2", "f3"], strict=True)
+    wide = pivot_wide(df, ["date", "barrid"], "factor", "v", ["f1", "f2", "f3"])
     assert wide.columns == ["date", "barrid", "f1", "f2", "f3"]
     back = unpivot_long(wide, ["date", "barrid"], ["f1", "f2", "f3"], "factor", "v").filter("v IS NOT NULL")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))   # pivot then unpivot
+    twice = df.unionByName(df.limit(1).withColumn("v", F.lit(9.0)))
+    with pytest.raises(Exception, match="several rows"):
+        pivot_wide(twice, ["date", "barrid"], "factor", "v", ["f1", "f2"]).collect()
+    least = pivot_wide(twice, ["date", "barrid"], "factor", "v", ["f1"], strict=False).orderBy("date").collect()
+    assert [r.f1 for r in least] == [1.0, 3.0]
+
+
+def test_store_refuses_duplicates_and_writes_few_files(spark):
+    import glob
+    from panelforge.session import shared_dir
+    from panelforge.sources.tables import Table, TableSpec
+    rows = [(D(2000 + y, 1, 1) + dt.timedelta(days=k), f"A{k}", float(k)) for y in range(4) for k in range(50)]
+    df = spark.createDataFrame(rows, "date date, id string, v double")
+    t = Table(spark, shared_dir(spark, "t_store"), TableSpec("t", df.schema, ("date", "id")))
+    t.upsert(df.repartition(8))
+    assert len(glob.glob(t.path.removeprefix("file:") + "/year=*/part-*")) <= 8
+    for again in (df.unionByName(df.limit(1)), df.limit(1).unionByName(df.limit(1))):
+        with pytest.raises(ValueError):
+            t.upsert(again)
     with pytest.raises(ValueError):
-        pivot_wide(df.unionByName(df.limit(1)), ["date", "barrid"], "factor", "v", ["f1", "f2"], strict=True)
+        Table(spark, shared_dir(spark, "t_store"), t.spec).upsert(df.unionByName(df.limit(1)))
+    assert t.read().count() == 200
+
+
+def test_weights_of_many_quiet_signals():
+    import numpy as np
+    import pandas as pd
+    from panelforge.operators.weights import _solve_batches
+    names = [f"s{i:02d}" for i in range(60)]
+    row = {"date": [D(2000, 1, 1)], **{f"m_{a}": [1e-4] for a in names}}
+    row |= {f"c_{a}__{b}": [1e-6 if a == b else 0.0] for i, a in enumerate(names) for b in names[i:]}
+    (out,) = _solve_batches(names, 10, 20, 1e-6, np.zeros(60))([pd.DataFrame(row)])
+    assert np.allclose(out[[f"w_raw_{a}" for a in names]].to_numpy(), 20 * 100.0)
 
 
 def test_forward_fill_blocked_equals_plain(spark):
