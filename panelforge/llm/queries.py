@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import bpe, jaccard, mixing, neighbours, pii, quality, substrings, suffixes, toxicity, urls
+from panelforge.llm import bpe, jaccard, mixing, neighbours, oracles, pii, quality, substrings, suffixes, toxicity, urls
 from panelforge.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -77,4 +77,9 @@ QUERIES = {
     "op10_neighbours": op10_neighbours,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_substrings": oracles.SUBSTRINGS,
+    "op7_quality": oracles.QUALITY,
+    "op8_jaccard": oracles.JACCARD,
+    "op10_neighbours": oracles.NEIGHBOURS,
+}
