@@ -6,7 +6,7 @@ or assets on the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -151,3 +151,24 @@ def backfill_all(spark: SparkSession, root: str, vendor: dict[str, DataFrame], s
     tables["assets"] = at
     tables.update(signals_flow(spark, at.read(), root, signal_names))
     return tables
+
+
+def daily_all(spark: SparkSession, root: str, archive_root: Callable[[str], str], sessions, membership: DataFrame, asset_ids: DataFrame,
+              barra_ids: DataFrame, signal_names: Sequence[str] | None = None) -> dict[str, Table]:
+    """F9 by day: the four daily vendor tables take the archives of the look-back
+    ``sessions``, the asset panel is built anew from the stored tables, and the
+    signal tables take the years of the look-back (their windows see the whole
+    history).  ``archive_root`` names the folder of a dataset's archives.  Running
+    a day again changes nothing."""
+    from panelforge.plans.assets import build_assets
+
+    tables = {}
+    for name in ("returns", "specific_returns", "risk", "volume"):
+        tables[name] = Table(spark, root, signal_table_spec(f"barra_{name}"))
+        dataset_flow(spark, archive_root(name), name, tables[name], sessions=sessions)
+    assets = build_assets(*(tables[n].read() for n in ("returns", "specific_returns", "risk", "volume")),
+                          asset_ids, barra_ids, membership)
+    tables["assets"] = Table(spark, root, signal_table_spec("assets"))
+    tables["assets"].overwrite(assets)
+    first = f"{min(sessions).year}-01-01"
+    return tables | signals_flow(spark, tables["assets"].read(), root, signal_names, write_start=first)

@@ -1387,6 +1387,63 @@ def q_late_corrections(spark, sf_dir):
     return t.read()
 
 
+@query("stream_late_corrections", REGISTRY["late_corrections"].sql)
+def q_stream_late_corrections(spark, sf_dir):
+    """L2 inside the stream: a correction file for 1998 arrives in the drop folder;
+    its micro-batch is merged only for the last 60 sessions up to its newest date."""
+    t, p = _stored_panel(spark, sf_dir)
+    drop = shared_dir(spark, "late")
+    p.filter(F.year("date") == 1998).withColumn("price", F.col("price") * 2).coalesce(1).write.parquet(drop + "/in/corrections")
+    ingest_folder(spark, drop + "/in/*", PANEL_SPEC.schema, t, drop + "/_checkpoint",
+                  calendar=checkpoint(fx.sessions(spark, sf_dir)), max_age_sessions=60)
+    return t.read()
+
+
+# ---------------------------------------------------------------- F9 by day
+_DAY = "1999-06-15"
+
+
+def _daily_panel_sql(body: str) -> str:
+    """``body`` over the assets of what the store holds after the day's run: all
+    rows before 1999 and those of the look-back's sessions."""
+    sql = with_ctes(body, "assets")
+    head, rest = sql.split("panel AS (", 1)
+    inner, rest = rest.split("),\nids AS (", 1)
+    kept = f"SELECT * FROM all_rows WHERE date < DATE '1999-01-01' OR date IN (SELECT date FROM lb)"
+    return (f"{head}all_rows AS ({inner}),\nlb AS (SELECT DISTINCT date FROM all_rows WHERE date < DATE '{_DAY}' ORDER BY date DESC LIMIT 60),"
+            f"\npanel AS ({kept}),\nids AS ({rest}")
+
+
+@query("flow_daily_all", _daily_panel_sql("SELECT * FROM assets"))
+def q_flow_daily_all(spark, sf_dir):
+    """The daily pipeline over stored history: the four datasets' archives of the
+    look-back come in, twice, and the panel and signals are built anew."""
+    p = checkpoint(_panel(spark, sf_dir))
+    sessions = sorted(r[0] for r in C.last_n_sessions(fx.sessions(spark, sf_dir), _DAY, 60).collect())
+    recent, old = F.col("date").isin(sessions), F.col("date") < F.lit("1999-01-01").cast("date")
+    frames = {"returns": fx.vendor_returns(p), "specific_returns": fx.vendor_specific_returns(p), "risk": fx.vendor_risk(p),
+              "volume": fx.vendor_volume(p)}
+    root, archives = shared_dir(spark, "daily_store"), {}
+    for name, rows in frames.items():
+        TB.Table(spark, root, table_spec(f"barra_{name}")).upsert(rows.filter(old))
+        spec, vendor = V.archive_specs()[name], V.DATASETS[name]
+        archives.setdefault((spec.daily_folder, spec.daily_prefix), []).append((spec, vendor, rows.filter(recent)))
+    folder = shared_dir(spark, "daily_archives")
+    for n, ((place, prefix), members) in enumerate(archives.items()):
+        for spec, vendor, rows in members:  # datasets that share a day's archive ship in folders of their own here
+            raw = dict(zip(vendor.columns, vendor.raw_columns(), strict=True))
+            shown = [(F.date_format(c, "yyyyMMdd") if c in vendor.date_cols else F.col(c)).alias(h) for c, h in raw.items()]
+            AR.write_archives(rows.select(*shown, F.date_format("date", "yyyyMMdd").alias("_key")), f"{folder}/{vendor.name}", F.col("_key"),
+                              lambda k, place=place, prefix=prefix: f"{place}/{prefix}_{k[2:]}.zip",
+                              lambda k, spec=spec: f"{spec.daily_member}.{k}", list(raw.values()),
+                              [f"!line {i}" for i in range(spec.skip)]).count()
+    held = p.filter(old | recent)
+    for _ in range(2):
+        tables = FL.daily_all(spark, root, lambda name: f"{folder}/{name}", sessions, fx.membership(held),
+                              fx.asset_ids(spark, sf_dir), fx.barra_ids(held), ["reversal"])
+    return tables["assets"].read().select(*[f.name for f in tables["assets"].spec.schema.fields if f.name not in ("isin", "cisn")])
+
+
 # ---------------------------------------------------------------- catalogue
 from panelforge.sources.catalog import TABLES, Catalog  # noqa: E402
 
