@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import json
+import os
 import sys
 import time
 
@@ -21,7 +22,7 @@ from panelforge.session import local_session  # noqa: E402
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = local_session(8)
+    spark = local_session(int(os.environ.get("CHECK_CPUS", "8")))
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf)
     bad = 0
