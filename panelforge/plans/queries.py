@@ -630,13 +630,13 @@ query("asof_null_keys_nearest_bucketed", _NULL_NEAR)(_null_query("nearest", buck
 
 
 @query("panel_left_chain", with_ctes(
-    'SELECT r.date, r.barrid, r.price, r."return", s.specific_return, k.specific_risk, k.predicted_beta, '
-    "v.daily_volume, x.exposures AS exposure_f_af FROM panel r "
+    'SELECT r.date, r.barrid, r.price, r."return", s.specific_return, k.* EXCLUDE (date, barrid), '
+    "v.* EXCLUDE (date, barrid), x.exposures AS exposure_f_af FROM panel r "
     "LEFT JOIN panel s ON r.date = s.date AND r.barrid = s.barrid "
-    "LEFT JOIN panel k ON r.date = k.date AND r.barrid = k.barrid "
-    "LEFT JOIN panel v ON r.date = v.date AND r.barrid = v.barrid "
+    "LEFT JOIN risk k ON r.date = k.date AND r.barrid = k.barrid "
+    "LEFT JOIN volume v ON r.date = v.date AND r.barrid = v.barrid "
     "LEFT JOIN (SELECT * FROM exposures_long WHERE factor = 'F_AF') x ON r.date = x.date AND r.barrid = x.barrid",
-    "panel", "exposures_long"))
+    "risk", "volume", "exposures_long"))
 def q_panel_left_chain(spark, sf_dir):
     p = _panel(spark, sf_dir)
     x = fx.exposures_long(spark, sf_dir).filter(F.col("factor") == "F_AF").select(
