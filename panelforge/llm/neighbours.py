@@ -6,7 +6,8 @@ that order) and is refined in rounds: at each node the neighbours of its
 neighbours are compared, every node keeps its ``K`` best.  Refinement goes on,
 with fresh projections, until an audit against brute force finds enough of the
 links of a bounded sample.  A node whose whole list passes the threshold is
-saturated: its list is enlarged to all of its component, compared in blocks.
+saturated: components that links between saturated nodes join are united, and
+its list is enlarged to all of its component, compared in blocks.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ SETTLED, ROUNDS = 0.02, 4
 AUDIT, RECALL, ATTEMPTS = 400, 0.97, 4
 #: Nodes of a component that are compared with as many others at once.
 BLOCK = 256
+#: Centres of balls that are compared with as many others at once.
+CENTRES = 1024
 
 PAIR = "u bigint, v bigint, sim double"
 
@@ -149,6 +152,77 @@ def audit(nodes: DataFrame, roots: DataFrame, threshold: float) -> float:
     return hit / n if n else 1.0
 
 
+def balls(ids: np.ndarray, x: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """The rows of ``x`` in balls: rows, centre and angle from it to the farthest row."""
+    left = np.arange(len(ids))
+    while len(left):
+        near = x[left] @ x[left[0]] >= cosine
+        near[0] = True
+        rows, left = left[near], left[~near]
+        centre = x[rows].sum(axis=0)
+        centre = centre / np.linalg.norm(centre)
+        yield rows, centre, float(np.arccos(np.clip(x[rows] @ centre, -1, 1)).max())
+
+
+def joined(nodes: DataFrame, roots: DataFrame, saturated: DataFrame, threshold: float) -> DataFrame:
+    """``roots`` with components united that a link between saturated nodes joins.
+
+    A full list may hold none of a node's links to another component, so these
+    are searched without lists.  Each component's saturated nodes lie in balls;
+    two balls are compared row by row unless their centres are farther apart
+    than a link and both radii.  A node that is not saturated has room for all
+    its links."""
+    limit = float(np.arccos(threshold)) + 1e-6
+    rows = roots.join(saturated.select("node"), "node", "left_semi").join(nodes.select("node", "vec", "dim"), "node")
+    sizes = rows.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    rows = rows.join(sizes, "root").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+
+    def cover(cell: pa.Table) -> pa.Table:
+        ids = cell.column("node").to_numpy()
+        found = list(balls(ids, matrix(cell.column("vec")), threshold))
+        return pa.table(
+            {
+                "ball": pa.array([ids[r].min() for r, _, _ in found], pa.int64()),
+                "root": cell.column("root").slice(0, len(found)),
+                "dim": cell.column("dim").slice(0, len(found)),
+                "centre": pa.array([c.tolist() for _, c, _ in found], pa.list_(pa.float64())),
+                "radius": pa.array([a for _, _, a in found], pa.float64()),
+                "rows": pa.array([ids[r].tolist() for r, _, _ in found], pa.list_(pa.int64())),
+            }
+        )
+
+    cells = rows.select("root", "part", "dim", "node", "vec").repartition("root", "part").groupBy("root", "part")
+    covers = stage(cells.applyInArrow(cover, "ball bigint, root bigint, dim int, centre array<double>, radius double, rows array<bigint>"))
+    if covers.select("root").distinct().limit(2).count() < 2:
+        return roots
+    many = covers.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / CENTRES).cast("int").alias("parts"))
+    dealt = covers.drop("rows").join(F.broadcast(many), "dim").withColumn("mine", F.pmod(F.xxhash64("ball"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("dim", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "ball", "root", "centre", "radius")
+
+    def close(cell: pa.Table) -> pa.Table:
+        ball, root, radius = (cell.column(c).to_numpy() for c in ("ball", "root", "radius"))
+        x = matrix(cell.column("centre"))
+        angle = np.arccos(np.clip(x @ x.T, -1, 1))
+        i, j = np.nonzero((angle <= limit + radius[:, None] + radius[None, :]) & (root[:, None] < root[None, :]))
+        return pa.table({"a": ball[i], "b": ball[j], "ra": root[i], "rb": root[j]})
+
+    near = dealt.groupBy("dim", "i", "j").applyInArrow(close, "a bigint, b bigint, ra bigint, rb bigint").distinct()
+    near = stage(near.withColumn("cell", F.monotonically_increasing_id()))
+    sides = near.select("cell", F.lit(0).alias("side"), F.col("a").alias("ball")).unionByName(near.select("cell", F.lit(1).alias("side"), F.col("b").alias("ball")))
+    held = sides.join(covers.select("ball", "root", F.explode("rows").alias("node")), "ball").join(nodes.select("node", "vec"), "node")
+
+    def meet(cell: pa.Table) -> pa.Table:
+        side, root = cell.column("side").to_numpy(), cell.column("root").to_numpy()
+        x = matrix(cell.column("vec"))
+        linked = bool((x[side == 0] @ x[side == 1].T >= threshold).any())
+        return pa.table({"a": root[side == 0][:linked], "b": root[side == 1][:linked]})
+
+    met = held.select("cell", "side", "root", "vec").groupBy("cell").applyInArrow(meet, "a bigint, b bigint").distinct()
+    new = components(met).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return stage(roots.join(new, "root", "left").select("node", F.coalesce("top", "root").alias("root")))
+
+
 def enlarged(nodes: DataFrame, roots: DataFrame, saturated: DataFrame, threshold: float) -> DataFrame:
     """(node, n_links) of saturated nodes, from their whole components in blocks."""
     hot = roots.join(saturated.select("node"), "node", "left_semi")
@@ -198,13 +272,13 @@ def linked(vectors: DataFrame, threshold: float = 0.95, vec_id: str = "vec_id",
             if graph.filter("new").count() <= SETTLED * n * K:
                 break
         near = graph.filter(F.col("sim") >= threshold)
-        roots = components(near.select(F.col("u").alias("a"), F.col("v").alias("b")))
+        per = near.groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("_n"))
+        saturated = stage(per.filter(F.col("_n") >= K))
+        roots = joined(nodes, components(near.select(F.col("u").alias("a"), F.col("v").alias("b"))), saturated, threshold)
         if audit(nodes, roots, threshold) >= RECALL:
             break
 
     size = nodes.select("node", "members")
-    per = near.groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("_n"))
-    saturated = per.filter(F.col("_n") >= K)
     links = near.select("u", "v").unionByName(near.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
     plain = links.join(size, F.col("v") == F.col("node")).groupBy(F.col("u").alias("node")).agg(F.sum("members").alias("close"))
     counts = nodes.select("node", "h1", "h2", "least", "members").join(plain, "node", "left").join(enlarged(nodes, roots, saturated, threshold), "node", "left").join(roots, "node", "left")

@@ -70,3 +70,26 @@ def test_empty_and_unusable_tables(spark):
     assert neighbours.linked(spark.createDataFrame([], schema)).count() == 0
     got = neighbours.linked(spark.createDataFrame(list(enumerate(BAD)), schema)).collect()
     assert sorted(tuple(r) for r in got) == [(i, 0, i, True) for i in range(len(BAD))]
+
+
+def variants(groups, dim=16, seed=3):
+    """Groups of two variants of 20: cosine 0.99 inside a variant, 0.953 or more between."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for _ in range(groups):
+        a, b = np.linalg.qr(rng.standard_normal((dim, 2)))[0].T
+        for side in (a, 0.96 * a + 0.28 * b):
+            noise = rng.standard_normal((20, dim))
+            rows += list(side + 0.02 * noise / np.linalg.norm(noise, axis=1, keepdims=True))
+    rows += list(rng.standard_normal((200, dim)))
+    return [(i, v.tolist()) for i, v in enumerate(rows)]
+
+
+@pytest.mark.parametrize("centres", [1024, 3])
+def test_variants_of_one_group_are_joined(spark, monkeypatch, centres):
+    monkeypatch.setattr(neighbours, "CENTRES", centres, raising=False)
+    rows = variants(5)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got, want = sorted((tuple(r) for r in neighbours.linked(df).collect()), key=str), brute(rows)
+    assert [w[1] for w in want if w[0] < 200] != [19] * 200
+    assert got == want
