@@ -101,23 +101,30 @@ def bounds(keys: np.ndarray) -> list[tuple[int, int]]:
     return list(zip([0, *change.tolist()], [*change.tolist(), len(keys)], strict=True)) if len(keys) else []
 
 
-def components(links: DataFrame, rounds: int = 100) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable over ``links`` (a, b), for every
     node that has a link.
 
-    Each round takes the smallest root among the neighbours (a partial
-    aggregate, so a node with many links is no hot spot) and then the root's
-    own root, which halves the distances; it ends when nothing changes.  Every
-    round is a written table, so a lost executor costs one round at most."""
-    pairs = links.filter("a != b").select("a", "b")
-    both = stage(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    roots = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
-    for _ in range(rounds):
-        near = both.join(roots, F.col("b") == F.col("node")).groupBy("a").agg(F.min("root").alias("best"))
-        lower = roots.join(near, F.col("node") == F.col("a")).select("node", F.col("root").alias("old"), F.least("root", "best").alias("root"))
-        top = roots.select(F.col("node").alias("r"), F.col("root").alias("rr"))
-        step = stage(lower.join(top, F.col("root") == F.col("r"), "left").select("node", "old", F.least("root", "rr").alias("root")))
-        roots = step.select("node", "root")
-        if step.filter("old != root").isEmpty():
-            break
+    Each round hooks every label to its least neighbour, if that is smaller (a
+    partial aggregate, so a node with many links is no hot spot), follows the
+    hooks to their ends, which halves what is left of them each time, and puts
+    the ends in place of the links' own.  Two rounds leave at most half of the
+    labels that still have links, whatever the diameter; it ends when no link is
+    left.  Every step is a written table, so a lost executor costs one at most."""
+    pairs = links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = stage(pairs.distinct())
+    roots = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node"))
+    while not edges.isEmpty():
+        ends = edges.groupBy("a").agg(F.min("b").alias("root")).withColumn("moved", F.lit(True))
+        while True:
+            ends = stage(ends)
+            if ends.filter("moved").isEmpty():
+                break
+            top = ends.select(F.col("a").alias("root"), F.col("root").alias("top"))
+            ends = ends.join(top, "root", "left").select("a", F.coalesce("top", "root").alias("root"), F.col("top").isNotNull().alias("moved"))
+        end = lambda c: ends.select(F.col("a").alias(c), F.col("root").alias(f"_{c}"))
+        roots = stage(roots.join(end("root"), "root", "left").select("node", F.coalesce("_root", "root").alias("root")))
+        a, b = F.coalesce("_a", "a"), F.coalesce("_b", "b")
+        moved = edges.join(end("a"), "a", "left").join(end("b"), "b", "left").select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
+        edges = stage(moved.filter("a != b").distinct())
     return roots
