@@ -5,7 +5,8 @@ Equal vectors are one node.  A neighbour graph starts from random projections
 that order) and is refined in rounds: at each node the neighbours of its
 neighbours are compared, every node keeps its ``K`` best.  Refinement goes on,
 with fresh projections, until an audit against brute force finds enough of the
-links of a bounded sample.  A node whose whole list passes the threshold is
+links of a bounded sample, node by node, as they are counted; a search that gains
+nothing any more fails.  A node whose whole list passes the threshold is
 saturated: components that links between saturated nodes join are united, and
 its list is enlarged to all of its component, compared in blocks.
 """
@@ -13,6 +14,7 @@ its list is enlarged to all of its component, compared in blocks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ K, RUN = 10, 128
 TABLES, SIGNS = 8, 30
 #: A round that changes less than this share of all list entries is the last.
 SETTLED, ROUNDS = 0.02, 4
-#: Nodes of the audit, the recall it asks for, and attempts.
+#: Nodes of each kind in the audit, the recall it asks for, and attempts after which one without gain fails.
 AUDIT, RECALL, ATTEMPTS = 400, 0.97, 4
 #: Nodes of a component that are compared with as many others at once.
 BLOCK = 256
@@ -130,10 +132,14 @@ def refined(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     return lists(old.unionByName(found.filter("u != v").withColumn("new", F.lit(True))))
 
 
-def audit(nodes: DataFrame, roots: DataFrame, threshold: float) -> float:
-    """Share of the true links of ``AUDIT`` nodes (brute force against all, in
-    blocks) whose ends have the same root."""
-    chosen = nodes.orderBy(F.xxhash64("node"), "node").limit(AUDIT).select("node", "vec", "dim").toArrow()
+def audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
+    """Mean share of a node's true links (brute force against all, in blocks) that
+    ``counts`` (node, far, hot) holds: the lesser of two means, of up to ``AUDIT``
+    nodes in components with saturated nodes (hot) and as many of the others.
+    Nodes without a link don't count; other members of a node don't either."""
+    order = (F.xxhash64("node"), "node")
+    some = counts.filter("hot").orderBy(*order).limit(AUDIT).unionByName(counts.filter("not hot").orderBy(*order).limit(AUDIT))
+    chosen = nodes.select("node", "vec", "dim").join(F.broadcast(some), "node").toArrow()
     ids, dims = chosen.column("node").to_numpy(), chosen.column("dim").to_numpy()
     sets = {int(d): (ids[dims == d], matrix(chosen.filter(pa.array(dims == d)).column("vec"))) for d in np.unique(dims)}
 
@@ -143,13 +149,14 @@ def audit(nodes: DataFrame, roots: DataFrame, threshold: float) -> float:
             for dim, (qid, q) in sets.items():
                 part = batch.filter(pa.array(here == dim))
                 if part.num_rows:
-                    i, j = np.nonzero(matrix(part.column(1)) @ q.T >= threshold)
-                    yield pa.RecordBatch.from_arrays([pa.array(qid[j]), pa.array(part.column(0).to_numpy()[i])], names=["a", "b"])
+                    near = matrix(part.column(1)) @ q.T >= threshold
+                    near &= part.column(0).to_numpy()[:, None] != qid[None, :]
+                    n = part.column(3).to_numpy() @ near
+                    yield pa.RecordBatch.from_arrays([pa.array(qid[n > 0]), pa.array(n[n > 0])], names=["node", "n"])
 
-    true = nodes.select("node", "vec", "dim").mapInArrow(run, "a bigint, b bigint").filter("a != b")
-    r = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
-    n, hit = true.join(r("a"), "a", "left").join(r("b"), "b", "left").agg(F.count(F.lit(1)), F.count_if(F.col("ra") == F.col("rb"))).first()
-    return hit / n if n else 1.0
+    true = nodes.select("node", "vec", "dim", "members").mapInArrow(run, "node bigint, n bigint").groupBy("node").agg(F.sum("n").alias("n"))
+    shares = true.join(F.broadcast(some), "node").groupBy("hot").agg(F.avg(F.least(F.col("far") / F.col("n"), F.lit(1.0))).alias("share")).collect()
+    return min((r["share"] for r in shares), default=1.0)
 
 
 def balls(ids: np.ndarray, x: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
@@ -233,7 +240,7 @@ def enlarged(nodes: DataFrame, roots: DataFrame, saturated: DataFrame, threshold
     asks = rows.filter("sat").select("root", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "node", "vec", "members", F.lit(True).alias("asks"))
     gives = rows.select("root", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("mine"), F.col("mine").alias("other"), "node", "vec", "members", F.lit(False).alias("asks"))
 
-    def count(cell: pa.Table) -> pa.Table:
+    def near_members(cell: pa.Table) -> pa.Table:
         asks = cell.column("asks").to_numpy(zero_copy_only=False)
         q, t = cell.filter(pa.array(asks)), cell.filter(pa.array(~asks))
         n = np.zeros(q.num_rows, np.int64)
@@ -243,7 +250,7 @@ def enlarged(nodes: DataFrame, roots: DataFrame, saturated: DataFrame, threshold
             n = near @ t.column("members").to_numpy()
         return pa.table({"node": q.column("node"), "n": pa.array(n)})
 
-    cells = asks.unionByName(gives).groupBy("root", "mine", "other").applyInArrow(count, "node bigint, n bigint")
+    cells = asks.unionByName(gives).groupBy("root", "mine", "other").applyInArrow(near_members, "node bigint, n bigint")
     return cells.groupBy("node").agg(F.sum("n").alias("far"))
 
 
@@ -263,8 +270,9 @@ def linked(vectors: DataFrame, threshold: float = 0.95, vec_id: str = "vec_id",
     nodes = stage(classes.withColumns({"dim": F.size("vec"), "node": F.monotonically_increasing_id()}))
     n = nodes.count()
 
-    graph = None
-    for attempt in range(ATTEMPTS):
+    size = nodes.select("node", "members")
+    graph, best = None, 0.0
+    for attempt in count():
         start = first_graph(nodes, range(attempt * TABLES, (attempt + 1) * TABLES)).withColumn("new", F.lit(True))
         graph = stage(lists(start if graph is None else start.unionByName(graph.withColumn("new", F.lit(False)))))
         for _ in range(ROUNDS):
@@ -275,14 +283,20 @@ def linked(vectors: DataFrame, threshold: float = 0.95, vec_id: str = "vec_id",
         per = near.groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("_n"))
         saturated = stage(per.filter(F.col("_n") >= K))
         roots = joined(nodes, components(near.select(F.col("u").alias("a"), F.col("v").alias("b"))), saturated, threshold)
-        if audit(nodes, roots, threshold) >= RECALL:
+        links = near.select("u", "v").unionByName(near.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
+        plain = links.join(size, F.col("v") == F.col("node")).groupBy(F.col("u").alias("node")).agg(F.sum("members").alias("close"))
+        hot = roots.join(saturated.select("node"), "node", "left_semi").select("root", F.lit(True).alias("hot")).distinct()
+        linked_to = nodes.select("node").join(plain, "node", "left").join(enlarged(nodes, roots, saturated, threshold), "node", "left").join(roots, "node", "left").join(hot, "root", "left")
+        linked_to = stage(linked_to.select("node", "root", F.coalesce("far", "close", F.lit(0)).cast("long").alias("far"), F.coalesce("hot", F.lit(False)).alias("hot")))
+        recall = audit(nodes, linked_to.select("node", "far", "hot"), threshold)
+        if recall >= RECALL:
             break
+        if attempt + 1 >= ATTEMPTS and recall <= best:
+            raise RuntimeError(f"{attempt + 1} attempts found {recall:.3f} of the audited links, less than {RECALL}")
+        best = max(best, recall)
 
-    size = nodes.select("node", "members")
-    links = near.select("u", "v").unionByName(near.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-    plain = links.join(size, F.col("v") == F.col("node")).groupBy(F.col("u").alias("node")).agg(F.sum("members").alias("close"))
-    counts = nodes.select("node", "h1", "h2", "least", "members").join(plain, "node", "left").join(enlarged(nodes, roots, saturated, threshold), "node", "left").join(roots, "node", "left")
-    counts = counts.select("h1", "h2", "least", F.coalesce("root", "node").alias("root"), (F.col("members") - 1 + F.coalesce("far", "close", F.lit(0))).alias("n_links"))
+    counts = nodes.select("node", "h1", "h2", "least", "members").join(linked_to, "node")
+    counts = counts.select("h1", "h2", "least", F.coalesce("root", "node").alias("root"), (F.col("members") - 1 + F.col("far")).alias("n_links"))
     counts = stage(counts)
     lowest = counts.groupBy("root").agg(F.min("least").alias("component_id"))
     counts = counts.join(lowest, "root").select("h1", "h2", "n_links", "component_id", F.lit(True).alias("good"))

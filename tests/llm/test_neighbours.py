@@ -93,3 +93,32 @@ def test_variants_of_one_group_are_joined(spark, monkeypatch, centres):
     got, want = sorted((tuple(r) for r in neighbours.linked(df).collect()), key=str), brute(rows)
     assert [w[1] for w in want if w[0] < 200] != [19] * 200
     assert got == want
+
+
+def hot_and_pairs(dim=16, seed=5):
+    """A hot group of 300 and 150 lone pairs at cosine 0.955."""
+    rng = np.random.default_rng(seed)
+    centre = rng.standard_normal(dim)
+    rows = [centre + rng.standard_normal(dim) * 0.02 * np.linalg.norm(centre) / 4 for _ in range(300)]
+    for _ in range(150):
+        a, b = np.linalg.qr(rng.standard_normal((dim, 2)))[0].T
+        rows += [a, 0.955 * a + (1 - 0.955**2) ** 0.5 * b]
+    return [(i, v.tolist()) for i, v in enumerate(rows)]
+
+
+def test_a_hot_group_does_not_hide_lost_pairs(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "TABLES", 1)
+    monkeypatch.setattr(neighbours, "RUN", 8)
+    monkeypatch.setattr(neighbours, "ROUNDS", 1)
+    rows = hot_and_pairs()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got, want = ({r[0]: r[1] for r in x if r[0] >= 300} for x in (neighbours.linked(df).collect(), brute(rows)))
+    assert sum(got[i] == want[i] for i in want) >= 0.95 * len(want)
+
+
+def test_a_search_without_gain_fails(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "ATTEMPTS", 1)
+    monkeypatch.setattr(neighbours, "audit", lambda *_: 0.0)
+    df = spark.createDataFrame(variants(1), "vec_id long, embedding array<double>")
+    with pytest.raises(RuntimeError):
+        neighbours.linked(df)
