@@ -53,11 +53,11 @@ class Term(NamedTuple):
 class Automaton:
     """The lexicon's trie intersected with one-edit Levenshtein automata.
 
-    A state is a set of (trie node, edits so far); the first letter must agree.
-    Reading a word gives its best term and the edits, or None."""
+    A state is a set of (trie node, edits so far); the first letter must agree
+    unless ``any_first``.  Reading a word gives its best term and the edits, or None."""
 
-    def __init__(self, terms: list[Term]):
-        self.terms = terms
+    def __init__(self, terms: list[Term], any_first: bool = False):
+        self.terms, self.any_first = terms, any_first
         self.children: list[dict[str, int]] = [{}]
         self.ends: dict[int, int] = {}
         self.reach = [False]  # does a term of FUZZY letters or more lie below?
@@ -70,6 +70,7 @@ class Automaton:
                     self.reach.append(False)
                 node = self.children[node][c]
                 self.reach[node] |= len(term.text) >= FUZZY
+            self.reach[0] |= len(term.text) >= FUZZY
             self.ends[node] = number
         self.clear()
 
@@ -108,7 +109,7 @@ class Automaton:
             children = self.children[node]
             if c in children:
                 put(children[c], edits)
-            if node and not edits:
+            if (node or self.any_first) and not edits:
                 if self.reach[node]:
                     put(node, 1)  # a letter too many
                 for letter, child in children.items():
@@ -131,7 +132,7 @@ class Automaton:
                 best = best or stop
             if not self.sets[state]:
                 return best
-        missing = {(child, 1) for node, edits in self.sets[state] if node and not edits for child in self.children[node].values()}
+        missing = {(child, 1) for node, edits in self.sets[state] if (node or self.any_first) and not edits for child in self.children[node].values()}
         last = self.accepted(self.sets[state] | missing, False)
         return last if last is not None and (best is None or last[1] < best[1]) else best
 
@@ -285,7 +286,7 @@ def learned(train: DataFrame) -> Model:
     terms = lexicon(train)
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(terms)
+        automaton = Automaton(terms, any_first=True)
         for part in slices(batches, "text"):
             words: dict[str, list[int]] = defaultdict(lambda: [0, 0])
             for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
@@ -299,7 +300,7 @@ def learned(train: DataFrame) -> Model:
     cues = {r["word"]: math.log((r["toxic"] + 1) / (total[0] + 1)) - math.log((r["clean"] + 1) / (total[1] + 1)) for r in rows}
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(terms)
+        automaton = Automaton(terms, any_first=True)
         for part in slices(batches, "text"):
             x = [features(hits(t or "", automaton), cues) for t in part.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), part.column(1)], names=["x", "toxic"])
@@ -316,7 +317,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     terms, cues, weights = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(terms)
+        automaton = Automaton(terms, any_first=True)
         for part in slices(batches, "text"):
             found = [hits(t or "", automaton) for t in part.column(1).to_pylist()]
             x = np.array([features(f, cues) for f in found])

@@ -118,3 +118,36 @@ def test_quoted(bad):
     assert hit.quoted
     (bare,) = toxicity.hits('"x" idiot', Automaton([Term("idiot", False, 1.0)]))
     assert not bare.quoted
+
+
+def plain(word, terms):
+    """Least edits over all terms (an open stem: over all prefixes of the word), the first letter like any other."""
+    ends = lambda t: range(len(word) + 1) if t.open else [len(word)]
+    found = [(distance(word[:end], t.text), t) for t in terms for end in ends(t)]
+    return min((d for d, t in found if d == 0 or (d == 1 and len(t.text) >= FUZZY)), default=None)
+
+
+def test_edits_at_the_first_letter():
+    rnd = random.Random(4)
+    terms = [Term(w, o, 5.0) for w, o in (("idiot", False), ("scum", False), ("lowei", True), ("pathetic", False), ("chll", True), ("trash", False), ("idle", False))]
+    automaton = Automaton(terms, any_first=True)
+    words = ["ldiot", "xdiot", "diot", "xidiot", "didiot", "diott", "oweixyz", "xloweixyz", "zoweia", "cum", "ycum", "hll", "", "i"]
+    for t in terms:
+        for _ in range(200):
+            w = list(t.text + "".join(rnd.choice("abi") for _ in range(rnd.randint(0, 2))))
+            for _ in range(rnd.randint(0, 2)):
+                at = rnd.choice([0, 0, rnd.randrange(len(w))])
+                w[at : at + rnd.randint(0, 1)] = [rnd.choice("aeilostcrh")] * rnd.randint(0, 1)
+                w = w or ["x"]
+            words.append("".join(w))
+    for w in words:
+        got = automaton.find(w)
+        assert (got[1] if got else None) == plain(w, terms), w
+
+
+def test_judged_finds_terms_misspelled_at_the_first_letter(spark):
+    docs, labels = corpus(random.Random(2), 3000)
+    extra = [(10_000 + i, " ".join(text(random.Random(i), 40)) + f" {w}") for i, w in enumerate(["xorthless", "orthless", "zworthless"])]
+    df = spark.createDataFrame(docs + extra, "doc_id long, text string")
+    rows = toxicity.judged(df, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert all(r["terms"] for r in rows if r["doc_id"] >= 10_000)
