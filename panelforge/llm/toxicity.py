@@ -41,6 +41,9 @@ WINDOW = 8
 TERMS, CUES, STATES, MEMO = 4000, 2000, 200_000, 1_000_000
 
 WORD = re.compile(r"[^\W\d_]+")
+#: Marks that open a quotation, with those that close it; it ends with its line.
+CLOSING = {'"': '"', "“": "”", "„": "“”", "«": "»", "»": "«"}
+MARK, CITED = re.compile(r'["“”„«»\n]'), re.compile(r"[^\S\n]*>")
 FEATURES = 7
 
 
@@ -159,6 +162,27 @@ class Model(NamedTuple):
     weights: np.ndarray
 
 
+def in_quotes(text: str, places: list[int]) -> list[bool]:
+    """Whether each of the rising ``places`` is in a quotation or in a line that
+    begins with '>', from one pass over the text's marks."""
+    out: list[bool] = []
+    cited, opened = CITED.match(text) is not None, ""
+    marks = MARK.finditer(text)
+    mark = next(marks, None)
+    for place in places:
+        while mark is not None and mark.start() < place:
+            c = mark.group()
+            if c == "\n":
+                cited, opened = CITED.match(text, mark.end()) is not None, ""
+            elif not opened:
+                opened = c if c in CLOSING else ""
+            elif c in CLOSING[opened]:
+                opened = ""
+            mark = next(marks, None)
+        out.append(cited or bool(opened))
+    return out
+
+
 def hits(text: str, automaton: Automaton) -> list[Hit]:
     lower = text.lower()
     words = WORD.findall(lower)
@@ -167,12 +191,11 @@ def hits(text: str, automaton: Automaton) -> list[Hit]:
     if not at:
         return []
     places = [m.start() for m in WORD.finditer(lower)]
+    quoted = in_quotes(lower, [places[i] for i in at])
     out = []
-    for i in at:
+    for i, inside in zip(at, quoted, strict=True):
         number, edits = automaton.find(words[i])
-        before = lower[max(0, places[i] - 400) : places[i]].rsplit("\n", 1)[-1]
-        quoted = before.count('"') % 2 == 1 or any(before.rfind(a) > before.rfind(b) for a, b in ("“”", "„“", "«»", "»«")) or before.lstrip().startswith(">")
-        out.append(Hit(automaton.terms[number], edits, quoted, words[max(0, i - WINDOW) : i] + words[i + 1 : i + 1 + WINDOW]))
+        out.append(Hit(automaton.terms[number], edits, inside, words[max(0, i - WINDOW) : i] + words[i + 1 : i + 1 + WINDOW]))
     return out
 
 

@@ -151,3 +151,24 @@ def test_judged_finds_terms_misspelled_at_the_first_letter(spark):
     df = spark.createDataFrame(docs + extra, "doc_id long, text string")
     rows = toxicity.judged(df, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
     assert all(r["terms"] for r in rows if r["doc_id"] >= 10_000)
+
+
+FAR = "word " * 100
+
+
+@pytest.mark.parametrize(
+    ("line", "quoted"),
+    [
+        (f'he wrote "{FAR} idiot', True),
+        (f"> {FAR} idiot", True),
+        (f"  > {FAR} idiot", True),
+        (f"“{FAR} idiot", True),
+        (f'"{FAR[:300]}" {FAR[:300]} idiot', False),
+        (f'"x {FAR}" idiot', False),
+        (f"«{FAR}» {FAR} idiot", False),
+        (f"„{FAR}“ {FAR} idiot", False),
+        (f'> "{FAR}\n{FAR} idiot', False),
+    ],
+)
+def test_quotation_that_begins_far_before(line, quoted):
+    assert [h.quoted for h in toxicity.hits(line, Automaton([Term("idiot", False, 1.0)]))] == [quoted]
