@@ -97,3 +97,18 @@ n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(lo, vec_id)) AS component_id,
        vec_id = least(vec_id, coalesce(lo, vec_id)) AS kept
 FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN least ON least.a = vec_id"""
+
+TERMS = r"regexp_extract_all(translate(coalesce(text, ''), '" + UPPER + "', '" + LOWER + r"'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL = f"""WITH t AS (SELECT doc_id, unnest({TERMS}) AS term FROM documents),
+d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+all_docs AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM d),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT item_id, unnest({TERMS}) AS term FROM benchmark),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM df, all_docs),
+m AS (SELECT doc_id, 25 + (75 * n * n_docs) // n_terms AS m FROM d, all_docs),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10"""

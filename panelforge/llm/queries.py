@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import bpe, jaccard, mixing, neighbours, oracles, pii, quality, substrings, suffixes, toxicity, urls
+from panelforge.llm import bpe, jaccard, lexical, mixing, neighbours, oracles, pii, quality, substrings, suffixes, toxicity, urls
 from panelforge.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -64,6 +64,10 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.linked(table(spark, sf_dir, "embeddings"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
@@ -75,6 +79,7 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_mixing": op9_mixing,
     "op10_neighbours": op10_neighbours,
+    "op11_lexical": op11_lexical,
 }
 
 ORACLE: dict[str, str] = {
@@ -82,4 +87,5 @@ ORACLE: dict[str, str] = {
     "op7_quality": oracles.QUALITY,
     "op8_jaccard": oracles.JACCARD,
     "op10_neighbours": oracles.NEIGHBOURS,
+    "op11_lexical": oracles.LEXICAL,
 }
