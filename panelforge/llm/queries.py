@@ -7,7 +7,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelforge.llm import bpe, jaccard, lexical, mixing, neighbours, oracles, pii, quality, substrings, suffixes, toxicity, urls
+from panelforge.llm import bpe, jaccard, lexical, lm, mixing, neighbours, oracles, pii, quality, substrings, suffixes, toxicity, urls, whitening
 from panelforge.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -68,6 +68,14 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_pii": op2_pii,
@@ -80,6 +88,8 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_neighbours": op10_neighbours,
     "op11_lexical": op11_lexical,
+    "op12_whitening": op12_whitening,
+    "op13_lm": op13_lm,
 }
 
 ORACLE: dict[str, str] = {
