@@ -5,13 +5,19 @@ encodings of its two parts.  Only a window around the seam is encoded again;
 it grows until its first and last token fit their outer neighbours.  Two
 neighbouring tokens fit when encoding their joint bytes gives just these two,
 and a token list is the encoding of its bytes exactly when all neighbours fit,
-so nothing outside the window can change.  ``encode_piece`` reduces a piece as
-a balanced tree of such joins, ``decode`` concatenates up the same kind of tree.
+so nothing outside the window can change.  ``encode_piece`` reduces a piece as a
+tree of such joins, ``decode`` concatenates up the same kind of tree.
+
+The work on a match of n bytes stays near n.  A window is merged by rounds over
+arrays, one for each rank, or from a heap where the rounds are many.  In a
+periodic match, where windows grow to the whole, halves are alike: a left part
+is a power of two long, and of two equal halves one is encoded.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 from collections.abc import Iterator
 from itertools import islice
 
@@ -24,6 +30,9 @@ from panelforge.llm.common import slices
 
 #: Bytes of a piece that are merged directly; longer ones are halved.
 LEAF = 24
+#: Bytes from which a window is merged by rounds, and rounds after which a heap goes on.
+LARGE, ROUNDS = 2048, 48
+NONE = 1 << 60
 #: Pieces, and pairs of neighbours, whose answers a worker remembers.
 MEMO = 500_000
 #: Matches handled at once, and token ids concatenated at a leaf.
@@ -45,18 +54,79 @@ class Codec:
 
     def leaf(self, data: bytes) -> list[int]:
         """Merge the neighbours of lowest rank, leftmost first, until none is left."""
-        rank, none = self.ranks.get, 1 << 60
+        if len(data) >= LARGE:
+            return self.rounds(data)
+        rank = self.ranks.get
         starts = list(range(len(data) + 1))
-        merges = [rank(data[i : i + 2], none) for i in range(len(data) - 1)]
-        while merges and (least := min(merges)) < none:
+        merges = [rank(data[i : i + 2], NONE) for i in range(len(data) - 1)]
+        while merges and (least := min(merges)) < NONE:
             at = merges.index(least)
             del starts[at + 1], merges[at]
             if at < len(merges):
-                merges[at] = rank(data[starts[at] : starts[at + 2]], none)
+                merges[at] = rank(data[starts[at] : starts[at + 2]], NONE)
             if at:
-                merges[at - 1] = rank(data[starts[at - 1] : starts[at + 1]], none)
+                merges[at - 1] = rank(data[starts[at - 1] : starts[at + 1]], NONE)
         return [self.ranks[data[i:j]] for i, j in zip(starts, starts[1:], strict=False)]
 
+    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of the tokens that neighbours (by their numbers) would merge into."""
+        pairs, at = np.unique(left * len(self.tokens) + right, return_inverse=True)
+        rank, token = self.ranks.get, self.tokens
+        found = [rank(token[p // len(token)] + token[p % len(token)], NONE) for p in pairs.tolist()]
+        return np.array(found, np.int64)[at]
+
+    def rounds(self, data: bytes) -> list[int]:
+        """``leaf`` by whole arrays: all places of the lowest rank merge at once, which
+        is what one by one would do as long as no token that a merge makes (before or
+        after its neighbours' merges) joins a neighbour at a still lower rank."""
+        tokens = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)[np.frombuffer(data, np.uint8)]
+        merges = self.pair_ranks(tokens[:-1], tokens[1:])
+        for _ in range(ROUNDS):
+            least = int(merges.min(initial=NONE))
+            if least == NONE:
+                return tokens.tolist()
+            at = np.flatnonzero(merges == least)
+            # of places that overlap, every second one from the left
+            first = np.concatenate(([True], np.diff(at) > 1))
+            at = at[(np.arange(len(at)) - np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))) % 2 == 0]
+            merged = tokens.copy()
+            merged[at] = least
+            after = at[at + 2 < len(tokens)] + 2
+            before = at[at > 0] - 1
+            gone = np.zeros(len(tokens), bool)
+            gone[at + 1] = True
+            left = np.where(gone[before], merged[before - 1], merged[before])
+            made = np.concatenate((self.pair_ranks(np.full(len(after), least), tokens[after]), self.pair_ranks(left, np.full(len(before), least))))
+            if made.min(initial=NONE) < least:
+                break
+            tokens = merged[~gone]
+            merges = np.delete(merges, at)  # a merged place's rank goes, its neighbours' change
+            spot = at - np.arange(len(at))
+            for changed in (spot[spot < len(merges)], spot[spot > 0] - 1):
+                merges[changed] = self.pair_ranks(tokens[changed], tokens[changed + 1])
+        return self.heaped(tokens.tolist())
+
+    def heaped(self, tokens: list[int]) -> list[int]:
+        """``leaf`` from a state of it, with the next merges on a heap."""
+        rank, token = self.ranks.get, self.tokens
+        n = len(tokens)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i in range(n - 1) if (r := rank(token[tokens[i]] + token[tokens[i + 1]], NONE)) < NONE]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            j = after[i]
+            if tokens[i] < 0 or j >= n or rank(token[tokens[i]] + token[tokens[j]], NONE) != r:
+                continue
+            tokens[i], tokens[j], after[i] = r, -1, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                if (s := rank(token[r] + token[tokens[after[i]]], NONE)) < NONE:
+                    heapq.heappush(heap, (s, i))
+            if (h := before[i]) >= 0 and (s := rank(token[tokens[h]] + token[r], NONE)) < NONE:
+                heapq.heappush(heap, (s, h))
+        return [t for t in tokens if t >= 0]
+
     def fit(self, left: int, right: int) -> bool:
         known = self.pairs.get((left, right))
         if known is None:
@@ -84,8 +154,9 @@ class Codec:
             return [rank]
         if len(data) <= LEAF:
             return self.leaf(data)
-        half = len(data) // 2
-        return self.join(self.encode_piece(data[:half]), self.encode_piece(data[half:]))
+        half = 1 << (len(data) - 1).bit_length() - 1
+        left = self.encode_piece(data[:half])
+        return self.join(left, left if data[half:] == data[:half] else self.encode_piece(data[half:]))
 
     def packed(self, piece: str) -> bytes:
         if len(self.pieces) >= MEMO:

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers as P
@@ -38,6 +39,35 @@ def test_tree_equals_direct_merging():
         assert codec.encode_piece(data) == codec.leaf(data)
 
 
+LONG = {
+    "one letter": "a", "a rule": "=", "a dash": "-", "two": "ab", "three": "abc", "a word": "theand", "wide": "é", "line": "=-+",
+}
+
+
+@pytest.mark.parametrize("kind", LONG)
+def test_long_matches(library, kind):
+    codec, unit = bpe.codec(RANKS, PATTERN), LONG[kind]
+    for n in (2049, 5000, 40_013):
+        text = (unit * n)[:n]
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == library.encode_ordinary(text)
+    text, began = unit * (1_000_000 // len(unit)), time.process_time()
+    packed = codec.encode(text)
+    assert time.process_time() - began < 20 and codec.decode(packed) == text.encode()
+
+
+def test_rounds_and_heap_equal_direct_merging(monkeypatch):
+    codec, rnd = bpe.codec(RANKS, PATTERN), random.Random(9)
+    for k in range(120):
+        alphabet = rnd.choice(["ab", "the", "aaab", "=-", "etaoinshrdlu", "\x00é"])
+        data = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 300))).encode()
+        direct = codec.leaf(data)
+        assert codec.rounds(data) == direct
+        assert codec.heaped([codec.ranks[bytes([b])] for b in data]) == direct
+        monkeypatch.setattr(bpe, "ROUNDS", k % 4)
+        assert codec.rounds(data) == direct
+        monkeypatch.undo()
+
+
 def test_every_token_encodes_to_itself():
     codec = bpe.codec(RANKS, PATTERN)
     assert all(codec.leaf(token) == [rank] for token, rank in codec.ranks.items())
