@@ -20,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Cut the lineage: a parquet table in the session's shared folder, read back."""
     return reliable_checkpoint(df)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from panelforge.llm.common import unused
 from panelforge.llm.quality import let
 
 #: Rounds of the network.
@@ -23,8 +24,10 @@ KEY = "panelforge"
 EPOCH, DAYS = "1800-01-01", (189, 773)
 
 #: What may be personal data, as Java's regular expressions; earlier ones win at a place.
+#: Repeated groups recurse in Java's matcher, so all are bounded, as are the values: an
+#: address has 64 characters before its @ and 127 labels behind it at most.
 KINDS = {
-    "email": r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,126}\.[A-Za-z]{2,}",
     "date": r"(?<![\d.+/-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4})(?![\d/-]|\.\d)",
     "ip": r"(?<![\w.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![\w]|\.\d)",
     "ssn": r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])",
@@ -201,7 +204,8 @@ def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFr
 
     Null texts stay null with nothing replaced, empty ones empty.  Values that
     fail their check stay.  Rows are judged one by one: repeated rows, ties and
-    all other columns pass through, an empty table gives an empty result."""
+    all other columns pass through (whatever their names), an empty table gives an
+    empty result."""
 
     def masked(ms: Column) -> Column:
         gaps = F.split(F.col(text), FOUND, -1)
@@ -217,5 +221,6 @@ def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFr
     untouched = F.struct(F.col(text).alias("text"), F.lit(0).cast("long").alias("n"))
     found = F.when(F.col(text).rlike("[0-9@]"), let(F.regexp_extract_all(text, F.lit(FOUND), F.lit(0)), masked)).otherwise(untouched)
     order = [c for c in docs.columns if c != "n_replaced"]
-    out = docs.withColumn("_found", found)
-    return out.select(*(F.col("_found.text").alias(text) if c == text else F.col(f"`{c}`") for c in order), F.col("_found.n").alias("n_replaced"))
+    name = unused(docs.columns, "_found")
+    out = docs.withColumn(name, found)
+    return out.select(*(F.col(f"{name}.text").alias(text) if c == text else F.col(f"`{c}`") for c in order), F.col(f"{name}.n").alias("n_replaced"))
