@@ -1,6 +1,6 @@
 """Operator 4: substring dedup by Rabin-Karp hashes of word windows, counted in Spark.
 
-Every window of ``WINDOW`` words has a 128-bit hash.  Counting all of them would
+Every window of ``WINDOW`` words has two hashes modulo the prime 2^61 - 1.  Counting all of them would
 move many times the input, and most of them occur once.  So each window first
 names an anchor: the least hash among its ``GRAM``-word grams, a function of the
 window's words alone.  Equal windows name equal anchors, hence a window can only

@@ -4,11 +4,14 @@ Where strings of ``LENGTH`` bytes repeat is read from suffix arrays of bounded
 buckets.  Each such string names an anchor, the least hash among its
 ``GRAM``-byte grams, so equal strings meet in the bucket of their anchor.  A
 segment is the stretch of text that holds all strings of one anchor's place.
-Equal segments are one; a bucket with different segments is read as cells of
-``CELL`` bytes counted from the anchor (equal strings have equal cells), and the
-suffix array of the cells, by linear grouping, brings together the starts that
-share all whole cells of a string; the broken cells at its two ends are compared
-exactly.  A bucket with very many segments is split by the strings themselves.
+Segments that are equal (by a 128-bit digest of their bytes) are one, and so are
+equal texts: every string of theirs repeats, which needs no array.  A bucket with
+different segments is read as cells of ``CELL`` bytes counted from the anchor (equal
+strings have equal cells), and the suffix array of the cells, by linear grouping,
+brings together the starts that share all whole cells of a string; a cell is eight
+bytes as one number, as are the broken cells at a string's two ends together, so
+nothing in an array is compared by a hash.  A bucket with very many segments is
+split by the strings themselves, which are counted by two hashes modulo 2^61 - 1.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from panelforge.llm.gsaca import suffix_array
 from panelforge.llm.substrings import covered
 
 #: Bytes of a string, of the grams that anchor it, and of a cell.
-LENGTH, GRAM, CELL = 200, 40, 10
+LENGTH, GRAM, CELL = 200, 40, 8
 #: Cells of one suffix array, and segments of a bucket that is not split.
 SYMBOLS, SEGMENTS = 100_000, 8_000
 #: Bytes of a text that are anchored at once; positions within fit in PLACE bits.
@@ -42,7 +45,7 @@ class Windows:
         self.count = max(0, len(raw) - LENGTH + 1)
         places, hashes = [], []
         for at in range(0, self.count, PIECE):
-            grams = H.windows(H.byte_values(raw[at : at + PIECE + LENGTH - 1]), GRAM, 0)
+            grams = H.grams(raw[at : at + PIECE + LENGTH - 1], GRAM)
             ranked = (grams >> H.U64(PLACE) << H.U64(PLACE)) | np.arange(len(grams), dtype=H.U64)
             least = (H.sliding_min(ranked, SPAN) & H.U64((1 << PLACE) - 1)).astype(np.int64)
             places.append(least + at)
@@ -101,10 +104,11 @@ def segments(texts: DataFrame) -> DataFrame:
                 first, n, place, a = Windows(raw).segments()
                 met = np.isin(a, part.column(2)[i].values.to_numpy().view(H.U64))
                 first, n, place, a = first[met], n[met], place[met], a[met]
-                ends = first + n + LENGTH - 1
-                shape = H.mixed(((place - first) * (1 << 20) + n).astype(H.U64))
-                ids = [H.mixed(H.ranges(H.prefix(H.byte_values(raw, w), w), first, ends, w) ^ shape).view(np.int64) for w in (0, 1)]
-                out.append((a.view(np.int64), *ids, np.full(len(a), part.column(0)[i].as_py(), np.int64), first, n))
+                cuts = zip(first.tolist(), (first + n + LENGTH - 1).tolist(), (place - first).tolist(), strict=True)
+                data = memoryview(raw)
+                ids = b"".join([hashlib.blake2b(data[b:e], digest_size=16, salt=at.to_bytes(4, "little")).digest() for b, e, at in cuts])
+                s1, s2 = np.frombuffer(ids, "<i8").reshape(-1, 2).T
+                out.append((a.view(np.int64), s1, s2, np.full(len(a), part.column(0)[i].as_py(), np.int64), first, n))
             yield _rows(out, ["a", "s1", "s2", "t1", "first", "n"], [pa.int64()] * 5 + [pa.int32()])
 
     return texts.select("t1", "text", "anchors").mapInArrow(run, "a bigint, s1 bigint, s2 bigint, t1 bigint, first bigint, n int")
@@ -135,7 +139,7 @@ def repeated_starts(data: list[bytes], anchor: np.ndarray, n: np.ndarray) -> np.
     there found at another start of these segments?"""
     raw = np.frombuffer(b"".join(data), np.uint8)
     offset = np.cumsum([0, *map(len, data)])
-    sums = H.prefix(H.byte_values(raw), 0)
+    lane = H.lanes(raw)
     begin, end = offset[:-1], offset[1:]
     lead = anchor % CELL  # bytes before the first whole cell
     cells = (end - begin - lead) // CELL
@@ -143,7 +147,7 @@ def repeated_starts(data: list[bytes], anchor: np.ndarray, n: np.ndarray) -> np.
     seg = np.repeat(np.arange(len(data)), cells)
     nth = np.arange(len(seg)) - np.repeat(np.cumsum(cells) - cells, cells)
     at = begin[seg] + lead[seg] + nth * CELL
-    _, value = np.unique(H.ranges(sums, at, at + CELL, 0), return_inverse=True)
+    _, value = np.unique(lane[at], return_inverse=True)
     symbols = np.zeros(cell_of[-1], np.int64)  # separators are the smallest symbol
     spots = cell_of[seg] + nth
     symbols[spots] = value + 1
@@ -165,9 +169,10 @@ def repeated_starts(data: list[bytes], anchor: np.ndarray, n: np.ndarray) -> np.
     cell = -(-(start - begin[who] - lead[who]) // CELL)
     cell = np.maximum(cell, 0)
     cell_at = begin[who] + lead[who] + cell * CELL
-    head = H.ranges(sums, start, cell_at, 0)
-    tail = H.ranges(sums, cell_at + whole * CELL, start + LENGTH, 0)
-    key = np.stack((shared[cell_of[who] + cell].astype(H.U64), (cell_at - start).astype(H.U64), head, tail))
+    # head and tail of a string have CELL bytes together
+    ahead = cell_at - start
+    head, tail = H.first_bytes(lane[start], ahead), H.first_bytes(lane[cell_at + whole * CELL], CELL - ahead)
+    key = np.stack((shared[cell_of[who] + cell].astype(H.U64), ahead.astype(H.U64), head, tail))
     by = np.lexsort(key)
     equal = (key[:, by[1:]] == key[:, by[:-1]]).all(axis=0)
     found = np.zeros(len(who), bool)
@@ -221,7 +226,7 @@ def by_string(cut: DataFrame) -> DataFrame:
             out = []
             for i in range(part.num_rows):
                 raw = np.frombuffer(part.column(part.schema.get_field_index("data"))[i].as_py(), np.uint8)
-                h1, h2 = (H.windows(H.byte_values(raw, w), LENGTH, w).view(np.int64) for w in (0, 1))
+                h1, h2 = (H.windows(raw.astype(H.U64) + H.U64(1), LENGTH, w).view(np.int64) for w in (0, 1))
                 fixed = [np.full(len(h1), part.column(part.schema.get_field_index(c))[i].as_py(), np.int64) for c in ("t1", "open")]
                 out.append((h1, h2, fixed[0], fixed[1], part.column(part.schema.get_field_index("first"))[i].as_py() + np.arange(len(h1))))
             yield _rows(out, ["h1", "h2", "t1", "open", "b"], [pa.int64()] * 5)

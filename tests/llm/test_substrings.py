@@ -47,6 +47,11 @@ def fixture():
         rows.append((100 + k, " ".join(copy)))
     rows += [(19, None), (20, ""), (21, "   \n"), (None, passage), (5, passage[:-1]), (12, passage), (11, passage), (22, text(30_000))]
     rows += [(k, passage) for k in range(200, 230)]
+    # words that differ in every letter, by the pattern on which polynomials modulo 2^64 agree
+    for k, n in enumerate((256, 2048, 4096)):
+        word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+        rest = text(60).split()
+        rows += [(300 + 2 * k, " ".join(rest[:25] + [word] + rest[25:49])), (301 + 2 * k, " ".join(rest[:25] + [word.translate({97: 98, 98: 97})] + rest[25:49]))]
     return rows
 
 

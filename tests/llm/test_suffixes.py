@@ -49,6 +49,9 @@ def fixture(seed):
         copy[rnd.randrange(900)] = "#"
         rows.append((100 + k, "".join(copy)))
     rows += [(200, "a" * 199), (201, "a" * 200), (202, "b" * 201), (203, "ab" * 400), (204, None), (205, ""), (None, shared[0] + "x" * 250)]
+    for k, n in enumerate((300, 2048)):  # polynomials modulo 2^64 agree on these
+        word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+        rows += [(400 + 2 * k, "<" + word + ">" + text(200)), (401 + 2 * k, text(200) + "<" + word.translate({97: 98, 98: 97}) + ">")]
     rows += [(300, base)] * 3 + [(301, "short")] * 2 + [(302, text(60_000) + base[:400])]
     return rows
 
