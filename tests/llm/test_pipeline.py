@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelforge.llm import bpe, pii, quality
@@ -59,23 +60,53 @@ def test_quality(stages):
     assert not left & {2000, 2001, 2002, 2003} and set(range(120)) <= left
 
 
-def test_near_duplicates(stages):
-    _, before, after = stages[1]
-    sets = {r["doc_id"]: shingles(r["text"]) for r in before.collect() if r["doc_id"] is not None}
-    root = {d: d for d in sets}
+def groups(texts):
+    sets = list(map(shingles, texts))
+    root = list(range(len(sets)))
 
     def find(d):
         while root[d] != d:
             d = root[d]
         return d
 
-    for a, x in sets.items():
-        for b, y in sets.items():
-            if a < b and 100 * len(x & y) >= 75 * len(x | y):
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets[:a]):
+            if x and y and 100 * len(x & y) >= 75 * len(x | y):
                 p, q = sorted((find(a), find(b)))
                 root[q] = p
-    ids = [r["doc_id"] for r in after.collect()]
-    assert sorted(d for d in ids if d is not None) == sorted(d for d in sets if find(d) == d) and ids.count(None) == 1
+    return list(map(find, range(len(sets))))
+
+
+def one_of_each(rows):
+    least = {}
+    for r, g in zip(rows, groups([r["text"] for r in rows]), strict=True):
+        least[g] = min(least.get(g, (True, 0)), (r["doc_id"] is None, r["doc_id"] or 0))
+    return Counter(None if none else i for none, i in least.values())
+
+
+def test_near_duplicates(stages):
+    _, before, after = stages[1]
+    assert Counter(r["doc_id"] for r in after.collect()) == one_of_each(before.collect())
+
+
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    rnd = random.Random(2)
+    text = lambda: " ".join(rnd.choice("abcdefghijklmn") * rnd.randint(1, 4) for _ in range(40))
+    a, b, c = text(), text(), text()
+    rows = [(1, a, 0), (1, b, 1), (1, c, 2), (2, a, 3), (None, b, 4), (None, c + " x", 5), (None, text(), 6), (3, a, 7), (1, a, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _key int")
+    out = corpus_pipeline.near_duplicates(spark, df, "").collect()
+    assert Counter(r["doc_id"] for r in out) == one_of_each(df.collect()) == Counter({1: 3, None: 1})
+    assert {r["text"] for r in out} >= {a, b, c}
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame(rows(), SCHEMA).withColumns({c: F.lit(7) for c in ("_key", "_n", "_i", "_row", "_found", "_W")})
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.stage(step(spark, docs, ""))
+        assert docs.columns[-6:] == ["_key", "_n", "_i", "_row", "_found", "_W"]
+    got = docs.select("_key", "_n", "_i", "_row", "_found", "_W").distinct().collect()
+    assert [tuple(r) for r in got] == [(7,) * 6] and docs.count() > 50
 
 
 def test_personal_data(stages):
