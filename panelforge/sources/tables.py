@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,13 +139,36 @@ class Table:
         years = rows.select(F.year(self.spec.date_col).alias("year")).distinct()
         return old.join(years, "year", "left_semi").drop("year")
 
+    def _counted(self, rows: DataFrame, on: Sequence[str]) -> DataFrame:
+        """``rows`` with ``_same``, how many of them share their key; the exchange and
+        sort are those of the merge that follows."""
+        return rows.withColumn("_same", F.count(F.lit(1)).over(Window.partitionBy(*on)))
+
+    def _sole(self, rows: DataFrame, on: Sequence[str]) -> DataFrame:
+        """A row whose key others share raises while the plan that writes runs."""
+        refused = F.raise_error(F.lit(self._refusal(on))).cast("boolean")
+        return rows.filter(F.when(F.col("_same") > 1, refused).otherwise(F.lit(True))).drop("_same")
+
+    def _refusal(self, on: Sequence[str]) -> str:
+        return f"{self.spec.name}: new rows are not unique on {', '.join(on)}"
+
+    def _staged(self, rows: DataFrame, on: Sequence[str]) -> DataFrame:
+        try:
+            return _checkpointed(rows)
+        except Exception as e:
+            if self._refusal(on) in str(e):
+                raise ValueError(self._refusal(on)) from e
+            raise
+
     def _merge(self, rows: DataFrame, on: Sequence[str], how: str) -> DataFrame:
         target = [f.name for f in self.spec.schema.fields]
         fixed = {self.spec.date_col} - set(on) if self.spec.yearly else set()  # a row stays in its year
-        new = rows.select(*[c for c in rows.columns if c in target and c not in fixed])
+        new = rows.select(*[c for c in rows.columns if (c in target and c not in fixed) or c == "_same"])
         old = self._touched(rows, on)
-        n = new.select(*[F.col(c).alias(f"_n_{c}") if c not in on else F.col(c) for c in new.columns])
+        n = new.select(*[F.col(c).alias(f"_n_{c}") if c not in on and c != "_same" else F.col(c) for c in new.columns])
         j = old.join(n, list(on), "full_outer" if how == "full" else "left")
+        if "_same" in new.columns:
+            j = self._sole(j, on)
         out = []
         for c in target:
             if c in on:
@@ -160,17 +183,17 @@ class Table:
         """Full outer merge on the ids; non-null new values win, NULLs in
         the new rows keep the old value, unmatched new rows are appended, new
         columns outside the schema are dropped.  Only touched years are
-        rewritten; rows that are not unique on the ids are refused."""
+        rewritten; rows that are not unique on the ids are refused by the job that
+        merges, before the table is touched."""
+        ids = self.spec.ids
         if not self.exists():  # first write: nothing to merge with, nothing read back
             target = [f.name for f in self.spec.schema.fields]
-            first = _checkpointed(self._conform(rows.select(*[c for c in rows.columns if c in target])))
-            self._unique(first, self.spec.ids)
-            self._write(first)
+            first = self._conform(rows.select(*[c for c in rows.columns if c in target]))
+            self._write(self._staged(self._sole(self._counted(first, ids), ids), ids))
             return
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read for the check, the year list and the merge
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read for the year list and the merge
         try:
-            self._unique(rows, self.spec.ids)
-            self._write(_checkpointed(self._conform(self._merge(rows, self.spec.ids, "full"))))
+            self._write(self._staged(self._conform(self._merge(self._counted(rows, ids), ids, "full")), ids))
         finally:
             rows.unpersist()
 

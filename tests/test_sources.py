@@ -5,6 +5,7 @@ import datetime as dt
 import os
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,6 +74,56 @@ def test_stream_ingest_is_idempotent_and_incremental(spark):
         (dt.date(2024, 1, 2), "a", 1.0), (dt.date(2024, 1, 3), "b", 2.0), (dt.date(2024, 1, 4), "c", 3.0)]
 
 
+STREAM = "date date, id string, v double, w string"
+
+
+def _dropped(spark, files):
+    """A folder with a file for each list of rows, in this order of time."""
+    drop = shared_dir(spark, "t_drop")
+    for n, rows in enumerate(files):
+        spark.createDataFrame(rows, STREAM).coalesce(1).write.parquet(f"{drop}/{n} x")
+    return drop + "/*"
+
+
+def _streamed(spark, drop, files_at_once, calendar=None, sessions=None):
+    base = shared_dir(spark, "t_stream")
+    schema = spark.createDataFrame([], STREAM).schema
+    t = TB.Table(spark, base + "/table", TB.TableSpec("s", schema, ("date", "id")))
+    ingest_folder(spark, drop, schema, t, base + "/_cp", files_at_once, calendar, sessions)
+    return sorted(map(tuple, t.read().collect()))
+
+
+def test_a_stream_is_the_same_however_it_is_cut(spark):
+    d = lambda n: dt.date(2024, 1, n)
+    files = [
+        [(d(2), "a", 1.0, "x"), (d(3), "a", 1.0, "x")],
+        [(d(9), "a", 2.0, None), (d(3), "a", None, "y")],    # mark Jan 9: Jan 3 is too old from here on
+        [(d(2), "a", 9.0, "z"), (d(8), "b", 3.0, "x")],
+        [(d(5), "a", 4.0, "x"), (d(9), "a", None, "w"), (d(9), "a", None, "w")],  # the same row twice is one
+        [(d(4), "a", 5.0, "x")],                              # too old by the mark, though its file holds nothing newer
+    ]
+    cal = spark.createDataFrame([(d(n),) for n in (2, 3, 4, 5, 8, 9)], "date date")
+    drop = _dropped(spark, files)
+    want = [(d(2), "a", 1.0, "x"), (d(3), "a", 1.0, "x"), (d(5), "a", 4.0, "x"), (d(8), "b", 3.0, "x"), (d(9), "a", 2.0, "w")]
+    for k in (1, 2, 3, 9):
+        assert _streamed(spark, drop, k, cal, 3) == want
+    every = [(d(2), "a", 9.0, "z"), (d(3), "a", 1.0, "y"), (d(4), "a", 5.0, "x"), *want[2:]]
+    for k in (1, 3):
+        assert _streamed(spark, drop, k) == every
+
+
+def test_conflicting_rows_raise(spark):
+    rows = [(dt.date(2024, 1, 2), "a", 1.0, "x"), (dt.date(2024, 1, 2), "a", 1.0, "y")]
+    with pytest.raises(Exception, match="conflicting rows"):
+        _streamed(spark, _dropped(spark, [rows]), 1)
+    t = TB.Table(spark, shared_dir(spark, "t_dup"), TB.TableSpec("s", spark.createDataFrame([], STREAM).schema, ("date", "id")))
+    for _ in range(2):  # the first write, and a merge
+        with pytest.raises(ValueError, match="not unique"):
+            t.upsert(spark.createDataFrame(rows, STREAM))
+        t.upsert(spark.createDataFrame(rows[:1], STREAM))
+        assert t.read().count() == 1
+
+
 def test_accept_recent(spark):
     cal = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (2, 3, 4, 5, 8, 9)], "date date")
     batch = spark.createDataFrame([(dt.date(2024, 1, d), float(d)) for d in (2, 4, 8, 9)], "date date, v double")
