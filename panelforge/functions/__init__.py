@@ -10,8 +10,10 @@ from panelforge.functions.rolling import (
     rolling_sum,
 )
 from panelforge.functions.ewm import ewm_mean
+from panelforge.functions.windows import Rolled, rolling_columns
 
 __all__ = [
+    "Rolled",
     "asset_window",
     "clip_keep_null",
     "ewm_mean",
@@ -21,6 +23,7 @@ __all__ = [
     "lead",
     "log1p_or_null",
     "rolling",
+    "rolling_columns",
     "rolling_mean",
     "rolling_std",
     "rolling_sum",

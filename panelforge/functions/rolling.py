@@ -53,7 +53,8 @@ def rolling(
     order="date",
     min_samples: int | None = None,
 ) -> Column:
-    """Aggregate over the last ``n`` rows (current row included) of each series.
+    """Aggregate over the last ``n`` rows (current row included) of each series; long
+    windows are the business of ``functions.windows.rolling_columns``.
 
     A sliding frame at every ``n``: each window is summed on its own rows, so a
     value leaves no trace (no cancellation, no poisoning by a non-finite value)
@@ -79,9 +80,10 @@ def rolling_std(x, n: int, by="barrid", order="date", min_samples: int | None =
     """Sample standard deviation (ddof = 1, contract T1); exactly 0 over a flat
     window (all values equal), whatever rounding the running update leaves."""
     frame = asset_window(by, order).rowsBetween(-(n - 1), Window.currentRow)
-    flat = (F.min(_c(x)).over(frame) == F.max(_c(x)).over(frame)) & (F.count(_c(x)).over(frame) >= 2)
-    return F.when(flat & (F.count(_c(x)).over(frame) >= (n if min_samples is None else min_samples)), F.lit(0.0)).otherwise(
-        rolling("std", x, n, by, order, min_samples))
+    flat = F.min(_c(x)).over(frame) == F.max(_c(x)).over(frame)
+    value = F.stddev_samp(_c(x)).over(frame)
+    need = n if min_samples is None else min_samples
+    return F.when(F.count(_c(x)).over(frame) >= need, F.when(flat & value.isNotNull(), F.lit(0.0)).otherwise(value))
 
 
 def lag(x, k: int = 1, by="barrid", order="date") -> Column:

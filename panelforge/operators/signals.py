@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from panelforge.functions.ewm import ewm_mean
 from panelforge.functions.numeric import clip_keep_null, finite_or_null, log1p_or_null, safe_div
-from panelforge.functions.rolling import lag, rolling_mean, rolling_std, rolling_sum
+from panelforge.functions.rolling import lag, rolling_sum
+from panelforge.functions.windows import Rolled, rolling_columns
 from panelforge.operators.crosssection import attach_stats
 
 ASSET = "barrid"
@@ -47,11 +48,25 @@ def _col_signal(name: str, expr: Callable[..., Column]) -> Callable[..., DataFra
     return lambda df, by=None, **_: df.withColumn(name, expr(by=by))
 
 
-def momentum_expr(window: int = 230, skip: int = 22, by=None) -> Column:
+def _window_column(agg: str, x: str, log: bool, n: int) -> dict[str, Rolled]:
+    """A rolling column by a name that says what it is, so that signals can share it."""
+    return {f"_{agg}{n}_{'log_' if log else ''}{x}": Rolled(agg, log1p_or_null(x) if log else F.col(x))}
+
+
+def add_windows(df: DataFrame, n: int, rolled: dict[str, Rolled], by=None) -> DataFrame:
+    """The rolling columns that ``df`` does not have yet, in one pass."""
+    missing = {name: r for name, r in rolled.items() if name not in df.columns}
+    return rolling_columns(df, n, missing, by=list(by or [ASSET]), order=DATE) if missing else df
+
+
+def momentum_windows(window: int = 230) -> dict[str, Rolled]:
+    return _window_column("sum", "return", True, window)
+
+
+def momentum(df: DataFrame, window: int = 230, skip: int = 22, name: str = "momentum", by=None, **_) -> DataFrame:
     """H1: lag_skip( rolling_sum_window( log1p(return) ) )."""
-    by = list(by or [ASSET])
-    r = rolling_sum(log1p_or_null("return"), window, by=by)
-    return F.lag(r, skip).over(Window.partitionBy(*by).orderBy(DATE))
+    (total,) = rolled = momentum_windows(window)
+    return add_windows(df, window, rolled, by).withColumn(name, lag(total, skip, by=list(by or [ASSET])))
 
 
 def reversal_expr(window: int = 22, by=None) -> Column:
@@ -73,15 +88,17 @@ def barra_reversal(df: DataFrame, span: int = 5, min_samples: int = 5, name: str
     return df.withColumn(name, lag(-F.col("_ewm_sr"), 1, by=by)).drop("_ewm_sr")
 
 
+def barra_momentum_windows(window: int = 230) -> dict[str, Rolled]:
+    return _window_column("sum", "specific_return", True, window) | _window_column("std", "specific_return", False, window)
+
+
 def barra_momentum(df: DataFrame, window: int = 230, skip: int = 21, name: str = "barra_momentum",
                    by=None, **_) -> DataFrame:
     """H5: lag_skip( rolling_sum(log1p(sr)) / rolling_std(sr) ), both over
     ``window`` rows with the full-window rule."""
-    by = list(by or [ASSET])
-    df = df.withColumn("_bm_sd", rolling_std("specific_return", window, by=by, order=DATE))
-    ratio = safe_div(rolling_sum(log1p_or_null("specific_return"), window, by=by), F.col("_bm_sd"))
-    df = df.withColumn("_bm_ratio", ratio)
-    return df.withColumn(name, lag("_bm_ratio", skip, by=by)).drop("_bm_sd", "_bm_ratio")
+    total, deviation = rolled = barra_momentum_windows(window)
+    df = add_windows(df, window, rolled, by).withColumn("_bm_ratio", safe_div(F.col(total), F.col(deviation)))
+    return df.withColumn(name, lag("_bm_ratio", skip, by=list(by or [ASSET]))).drop("_bm_ratio")
 
 
 def ivol_expr(by=None) -> Column:
@@ -118,9 +135,8 @@ def win_zscore(df: DataFrame, value: str = "signal_value", by: Sequence[str] = (
             raise ValueError("halo must cover the rolling window")
         df = block_series(df, part, DATE, block_rows, halo)
         part = part + ["_tgt"]
-    mean = rolling_mean("dollar_volume", window, by=part, order=DATE, min_samples=1)
-    df = df.withColumn("dollar_volume_mean", mean)
-    df = df.withColumn("dollar_volume_std", rolling_std("dollar_volume", window, by=part, order=DATE, min_samples=2))
+    rolled = {"dollar_volume_mean": Rolled("mean", "dollar_volume", 1), "dollar_volume_std": Rolled("std", "dollar_volume", 2)}
+    df = rolling_columns(df, window, rolled, by=part, order=DATE)
     if block_rows is not None:
         df = df.filter(F.col("_blk") == F.col("_tgt")).select(*cols, "dollar_volume_mean", "dollar_volume_std")
     denom = F.greatest(F.coalesce(F.col("dollar_volume_std"), F.lit(1.0)), F.lit(0.0001))
@@ -154,16 +170,17 @@ class SignalSpec:
     alphatizer: Callable[..., DataFrame]
     constraints: Sequence[str] = field(default_factory=tuple)
     lookback: int = 0  # earlier rows of the asset that a value depends on
+    windows: dict[int, Callable[[], dict[str, Rolled]]] = field(default_factory=dict)  # long windows that ``compute`` reads, by their rows
 
 
 def default_signals() -> dict[str, SignalSpec]:
     both = ("ZeroBeta", "ZeroInvestment")
     return {
-        "momentum": SignalSpec("momentum", _col_signal("momentum", momentum_expr), zscore, alpha_ic, both, 251),
+        "momentum": SignalSpec("momentum", momentum, zscore, alpha_ic, both, 251, {230: momentum_windows}),
         "reversal": SignalSpec("reversal", _col_signal("reversal", reversal_expr), zscore, alpha_ic, both, 21),
         "beta": SignalSpec("beta", _col_signal("beta", beta_expr), zscore, alpha_ic, ("ZeroInvestment",)),
         "barra_reversal": SignalSpec("barra_reversal", barra_reversal, win_zscore, alpha_gated, both, EWM_LOOKBACK),
-        "barra_momentum": SignalSpec("barra_momentum", barra_momentum, zscore, alpha_ic, both, 250),
+        "barra_momentum": SignalSpec("barra_momentum", barra_momentum, zscore, alpha_ic, both, 250, {230: barra_momentum_windows}),
         "ivol": SignalSpec("ivol", _col_signal("ivol", ivol_expr), zscore, alpha_ic, both, 1),
     }
 
@@ -182,11 +199,17 @@ def signal_columns(inp: DataFrame, names: Sequence[str] | None = None,
     refused, and the EWM keeps its exact sample count, so results are unchanged."""
     reg = registry or SIGNALS
     names = list(names or reg)
+    windows: dict[int, dict[str, Rolled]] = {}  # of one length together, for all signals
+    for n in names:
+        for rows, rolled in reg[n].windows.items():
+            windows.setdefault(rows, {}).update(rolled())
     if block_rows is None:
         out = inp
+        for rows, rolled in windows.items():
+            out = add_windows(out, rows, rolled)
         for n in names:
             out = reg[n].compute(out)
-        return out
+        return out.drop(*[c for rolled in windows.values() for c in rolled])
     from panelforge.functions.blocks import block_series
 
     far = {n: reg[n].lookback for n in names if reg[n].lookback > halo}
@@ -194,6 +217,8 @@ def signal_columns(inp: DataFrame, names: Sequence[str] | None = None,
         raise ValueError(f"signals look back further than the halo of {halo} rows: {far}")
     cols = inp.columns
     out = block_series(inp, [ASSET], DATE, block_rows, halo, running_counts=["specific_return"])
+    for rows, rolled in windows.items():
+        out = add_windows(out, rows, rolled, [ASSET, "_tgt"])
     for n in names:
         out = reg[n].compute(out, by=[ASSET, "_tgt"], count_col="_nn_specific_return")
     return out.filter(F.col("_blk") == F.col("_tgt")).select(*cols, *names)

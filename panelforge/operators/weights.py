@@ -1,12 +1,10 @@
 """Bayesian signal weights (P2), smoothing (P3) and rolling moments.
 
 Rolling moments of the K signal-return series over the previous ``N`` rows
-(current row excluded) are computed natively.  The series has one row per
-trading date; to keep the N-row frames parallel, rows are grouped in year
-blocks and each block receives a "halo" of exactly the rows its first row
-needs (derived from per-year row counts, so gaps in the calendar are handled);
-windows then run per block.  The K x K solve per date runs in ``mapInPandas``
-as one batched ``numpy.linalg.solve`` per Arrow batch.
+(current row excluded) are computed natively, from mergeable states of blocks of
+N rows (row numbers come from per-year counts, so gaps in the calendar are
+handled).  The K x K solve per date runs in ``mapInPandas`` as one batched
+``numpy.linalg.solve`` per Arrow batch.
 
     weights_raw = N0 Sigma0^-1 mu0 + N Sigma^-1 x_bar      (= Sigma_n^-1 mu_n)
     w_norm      = weights_raw / sum |weights_raw|
@@ -25,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelforge.functions.ewm import ewm_mean
+from panelforge.functions.windows import merged_moments
 from panelforge.operators.reshape import pivot_wide, unpivot_long
 
 # Fixed configuration values of the combination step (signals, prior Sharpe
@@ -37,63 +36,54 @@ DAILY_VAR = 1e-5
 SMOOTH_SPAN = 252
 
 
-def halo_blocks(df: DataFrame, n: int, order: str = "date") -> DataFrame:
-    """Assign rows of a single ordered series to year blocks with an ``n``-row
-    halo.  Adds ``_blk`` (block year), ``_own`` (row belongs to the block) and
-    ``_grn`` (0-based global row number, from per-year counts)."""
+def row_numbers(df: DataFrame, order: str = "date") -> DataFrame:
+    """Adds ``_grn``, the 0-based number of each row of a single ordered series, from
+    per-year counts: no window holds more than a year, but for one over the years."""
     yr = F.year(order)
-    counts = df.groupBy(yr.alias("_y")).agg(F.count(F.lit(1)).alias("_c"))
-    # per-year table: one row per calendar year, so this window is tiny
-    wy = Window.orderBy("_y").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_c").over(wy), F.lit(0)))
-    # Block Y needs rows [before(Y) - n, before(Y)): they start in the latest
-    # year Z with before(Z) <= before(Y) - n (range frame on the running count).
-    wz = Window.orderBy("_before").rangeBetween(Window.unboundedPreceding, -n)
-    first = F.min("_y").over(Window.orderBy("_y").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    counts = counts.withColumn("_z", F.coalesce(F.max("_y").over(wz), first))
-    need = counts.select(F.explode(F.sequence("_z", "_y")).alias("_src"), F.col("_y").alias("_blk"))
-    starts = counts.select(F.col("_y").alias("_src"), F.col("_before").alias("_sstart"))
-    need = need.join(starts, "_src", "inner")
-    rows = df.withColumn("_src", yr).withColumn(
-        "_lrn", F.row_number().over(Window.partitionBy("_src").orderBy(order)) - 1)
-    out = rows.join(need, "_src", "inner")
-    out = out.withColumn("_grn", F.col("_sstart") + F.col("_lrn")).withColumn("_own", F.col("_src") == F.col("_blk"))
-    return out.drop("_lrn", "_sstart")
+    counts = df.groupBy(yr.alias("_src")).agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.orderBy("_src").rowsBetween(Window.unboundedPreceding, -1)  # one row per calendar year
+    counts = counts.select("_src", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"))
+    rows = df.withColumn("_src", yr).withColumn("_lrn", F.row_number().over(Window.partitionBy("_src").orderBy(order)) - 1)
+    return rows.join(counts, "_src").withColumn("_grn", F.col("_before") + F.col("_lrn")).drop("_src", "_lrn", "_before")
 
 
 def rolling_moments(wide: DataFrame, names: Sequence[str], n: int) -> DataFrame:
     """For each date from row ``n`` on, the mean of each series and the
     sample covariance of each pair over the previous ``n`` rows.  A window
-    with a missing value leaves the moments NULL (NumPy gives NaN).
-
-    Linear time: running sums (an incremental frame) of the block-centred
-    values and their products, differenced ``n`` rows apart with ``lag``; the
-    centring (block mean) keeps the cross-product sums free of cancellation."""
-    hb = halo_blocks(wide, n)
-    blk = Window.partitionBy("_blk")
-    run = Window.partitionBy("_blk").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ordw = Window.partitionBy("_blk").orderBy("date")
-    hb = hb.withColumns({f"_c_{a}": F.avg(a).over(blk) for a in names})
-    hb = hb.withColumns({f"_x_{a}": F.coalesce(F.col(a) - F.col(f"_c_{a}"), F.lit(0.0)) for a in names})
-    any_null = F.greatest(*[F.col(a).isNull() for a in names]) if len(names) > 1 else F.col(names[0]).isNull()
-    sums = {f"_s_{a}": F.sum(f"_x_{a}").over(run) for a in names}
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    sums.update({f"_s_{a}__{b}": F.sum(F.col(f"_x_{a}") * F.col(f"_x_{b}")).over(run) for a, b in pairs})
-    sums["_s_bad"] = F.sum(F.when(any_null, 1).otherwise(0)).over(run)
-    hb = hb.withColumns(sums)
-
-    def prev_n(c: str):  # sum over rows t-n .. t-1
-        return F.lag(c, 1).over(ordw) - F.coalesce(F.lag(c, n + 1).over(ordw), F.lit(0))
+    with a missing or NaN value leaves the moments NULL (NumPy gives NaN).
 
-    hb = hb.withColumns({f"_w{c[2:]}": prev_n(c) for c in sums})
-    cols = {}
-    for a in names:
-        cols[f"m_{a}"] = F.col(f"_w_{a}") / n + F.col(f"_c_{a}")
+    Linear time, without differences: the series is cut into blocks of ``n`` rows, so
+    a window is the end of one block and the beginning of the next.  Both have running
+    states (count, means, centred sums of products; one runs backwards), which are
+    merged; what has left the window, a spike or a NaN, leaves no trace.  Blocks run in
+    parallel; a row sends its two states to the rows that they are for."""
+    names = list(names)
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    d = row_numbers(wide.select("date", *names)).withColumn("_blk", F.floor(F.col("_grn") / n))
+    missing = [F.col(a).isNull() | F.isnan(a) for a in names]
+    states = {"k": F.count(F.lit(1)), "bad": F.sum(F.greatest(*missing, F.lit(False)).cast("int"))}
+    states |= {f"m_{a}": F.avg(a) for a in names}
+    states |= {f"c_{a}__{b}": F.covar_pop(a, b) for a, b in pairs}
+    block = Window.partitionBy("_blk")
+    back = block.orderBy(F.col("_grn").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fore = block.orderBy("_grn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumns({f"_s_{k}": a.over(back) for k, a in states.items()}).withColumns({f"_p_{k}": a.over(fore) for k, a in states.items()})
+    # to the next row the state of the block's beginning, to the n-th next that of its end
+    sent = d.withColumn("_to", F.explode(F.array(F.lit(0), F.lit(1), F.lit(n))))
+    only = lambda to, c: F.max(F.when(F.col("_to") == to, F.col(c)))
+    met = sent.groupBy((F.col("_grn") + F.col("_to")).alias("_grn")).agg(
+        only(0, "date").alias("date"), *[only(1, f"_p_{k}").alias(f"p_{k}") for k in states], *[only(n, f"_s_{k}").alias(f"s_{k}") for k in states])
+    met = met.filter((F.col("_grn") >= n) & F.col("date").isNotNull())
+
+    whole = F.col("_grn") % n == 0  # the window is a block
+    n1, n2 = F.col("s_k"), F.when(whole, F.lit(0)).otherwise(F.col("p_k"))
+    gap = {a: F.col(f"p_m_{a}") - F.col(f"s_m_{a}") for a in names}
+    cols = {f"m_{a}": F.when(whole, F.col(f"s_m_{a}")).otherwise(F.col(f"s_m_{a}") + gap[a] * (n2 / n)) for a in names}
     for a, b in pairs:
-        cols[f"c_{a}__{b}"] = (F.col(f"_w_{a}__{b}") - F.col(f"_w_{a}") * F.col(f"_w_{b}") / n) / (n - 1)
-    out = hb.filter(F.col("_own") & (F.col("_grn") >= n))
-    ok = F.col("_w_bad") == 0
-    return out.select("date", *[F.when(ok, e).alias(c) for c, e in cols.items()])
+        total = merged_moments(n1, gap[a], F.col(f"s_c_{a}__{b}") * n1, n2, gap[b], F.col(f"p_c_{a}__{b}") * n2)
+        cols[f"c_{a}__{b}"] = total / (n - 1)
+    ok = F.col("s_bad") + F.when(whole, F.lit(0)).otherwise(F.col("p_bad")) == 0
+    return met.select("date", *[F.when(ok, e).alias(c) for c, e in cols.items()])
 
 
 #: Largest condition number of a correlation matrix that is solved.

@@ -354,6 +354,28 @@ def q_rolling_covariance(spark, sf_dir):
     return round_all(Wt.rolling_moments(wide, names, Wt.N), bits=40)
 
 
+# a spike, a NaN and a gap in two daily series, by rule from the panel
+_SPIKY = """SELECT date, CASE WHEN month(date) = 5 AND day(date) = 13 AND year(date) = 1993 THEN 1e9 WHEN month(date) = 9 AND day(date) = 21 AND
+       year(date) = 1994 THEN CAST('nan' AS DOUBLE) WHEN month(date) = 3 AND day(date) = 5 AND year(date) = 1996 THEN NULL ELSE avg("return") END AS a,
+       avg(specific_return) AS b FROM panel GROUP BY date"""
+
+
+@query("rolling_covariance_spike", with_ctes(
+    "SELECT date, " + ", ".join(f"CASE WHEN nbad = 0 AND abs(m1) < 1e5 THEN {R(e)} END AS {n}" for e, n in
+                                [("m1", "m_a"), ("m2", "m_b"), ("aa", "c_a__a"), ("ab", "c_a__b"), ("bb", "c_b__b")])
+    + " FROM (SELECT date, row_number() OVER (ORDER BY date) AS rn, avg(a) OVER w AS m1, avg(b) OVER w AS m2, covar_samp(a, a) OVER w AS aa, "
+    "covar_samp(a, b) OVER w AS ab, covar_samp(b, b) OVER w AS bb, sum(CASE WHEN a IS NULL OR isnan(a) OR b IS NULL THEN 1 ELSE 0 END) OVER w AS nbad "
+    "FROM spiky WINDOW w AS (ORDER BY date ROWS BETWEEN 250 PRECEDING AND 1 PRECEDING)) t WHERE rn > 250", "panel", extra=[("spiky", _SPIKY)]))
+def q_rolling_covariance_spike(spark, sf_dir):
+    """Moments of 250 rows around a spike, a NaN and a gap, which leave no trace."""
+    on = lambda y, m, d: F.col("date") == F.lit(f"{y}-{m:02}-{d:02}").cast("date")
+    a = F.when(on(1993, 5, 13), 1e9).when(on(1994, 9, 21), float("nan")).when(on(1996, 3, 5), F.lit(None)).otherwise(F.col("a"))
+    p = _panel(spark, sf_dir).groupBy("date").agg(F.avg("return").alias("a"), F.avg("specific_return").alias("b")).withColumn("a", a)
+    m = Wt.rolling_moments(p, ["a", "b"], 250)
+    calm = F.abs("m_a") < 1e5
+    return m.select("date", *[rnd(F.when(calm, F.col(c))).alias(c) for c in m.columns[1:]])
+
+
 @query("signal_weights_raw", chain_sql(
     f"SELECT date, {RR('r1')} AS w_raw_beta, {RR('r2')} AS w_raw_barra_reversal, {RR('r3')} AS w_raw_ivol, "
     f"{R('n1', 16)} AS w_norm_beta, {R('n2', 16)} AS w_norm_barra_reversal, {R('n3', 16)} AS w_norm_ivol, "
@@ -424,7 +446,7 @@ def q_performance_summary(spark, sf_dir):
 
 
 # ================================================================ windows, joins, reshape, quality
-from panelforge.functions import ewm_mean, forward_fill, lag, lead, rolling, rolling_mean, rolling_std, rolling_sum  # noqa: E402
+from panelforge.functions import Rolled, ewm_mean, forward_fill, lag, lead, rolling, rolling_columns, rolling_std, rolling_sum  # noqa: E402
 from panelforge.operators import cleaning as C  # noqa: E402
 from panelforge.operators import joins as J  # noqa: E402
 from panelforge.operators import quality as Q  # noqa: E402
@@ -469,9 +491,22 @@ def _rough(p):
     "panel", extra=[("rough", _ROUGH)]))
 def q_rolling_sum_long(spark, sf_dir):
     """230 rows over gaps and outliers: an outlier leaves no trace once it is out of the window."""
-    r = _rough(_panel(spark, sf_dir))
-    big = rolling("max", "x", 230, min_samples=1) < 1e9
-    return r.select("date", "barrid", rnd(F.when(big, rolling_sum("x", 230, min_samples=200))).alias("rolling_sum"))
+    r = rolling_columns(_rough(_panel(spark, sf_dir)), 230, {"s": Rolled("sum", "x", 200), "big": Rolled("max", "x", 1)})
+    return r.select("date", "barrid", rnd(F.when(F.col("big") < 1e9, F.col("s"))).alias("rolling_sum"))
+
+
+@query("rolling_all_long", with_ctes(
+    "SELECT date, barrid, CASE WHEN n >= 40 THEN lo END AS lo, CASE WHEN n >= 40 THEN hi END AS hi, CASE WHEN n >= 40 THEN n END AS n, "
+    + R("CASE WHEN n >= 40 AND hi < 1e9 THEN m END") + " AS mean, CASE WHEN n >= 40 AND hi < 1e9 THEN CASE WHEN lo = hi THEN 0.0 ELSE "
+    + R("d") + " END END AS std FROM (SELECT date, barrid, min(x) OVER w AS lo, max(x) OVER w AS hi, count(x) OVER w AS n, avg(x) OVER w AS m, "
+    "stddev_samp(x) OVER w AS d FROM rough WINDOW w AS (PARTITION BY barrid ORDER BY date ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)) t",
+    "panel", extra=[("rough", _ROUGH)]))
+def q_rolling_all_long(spark, sf_dir):
+    """Every aggregate of 60 rows in one pass, over flat stretches, gaps and outliers."""
+    wanted = {"lo": "min", "hi": "max", "n": "count", "m": "mean", "d": "std"}
+    r = rolling_columns(_rough(_panel(spark, sf_dir)), 60, {c: Rolled(a, "x", 40) for c, a in wanted.items()})
+    calm = lambda c: F.when(F.col("hi") < 1e9, F.col(c))
+    return r.select("date", "barrid", "lo", "hi", "n", rnd(calm("m")).alias("mean"), rnd(calm("d")).alias("std"))
 
 
 @query("rolling_std_flat", with_ctes(
@@ -497,10 +532,10 @@ def q_rolling_std_flat(spark, sf_dir):
     "w230 AS (PARTITION BY barrid ORDER BY date ROWS BETWEEN 229 PRECEDING AND CURRENT ROW)", "panel"))
 def q_rolling_mean_std(spark, sf_dir):
     p = _panel(spark, sf_dir)
-    return p.select("date", "barrid",
-                    rnd(rolling_mean("daily_volume", 252, min_samples=1)).alias("mean_252"),
-                    rnd(rolling_std("daily_volume", 252, min_samples=2)).alias("std_252"),
-                    rnd(rolling_std("return", 230)).alias("std_230"))
+    r = rolling_columns(p.select("date", "barrid", "daily_volume", "return"), 252,
+                        {"mean_252": Rolled("mean", "daily_volume", 1), "std_252": Rolled("std", "daily_volume", 2)})
+    r = rolling_columns(r, 230, {"std_230": Rolled("std", "return")})
+    return r.select("date", "barrid", *[rnd(c).alias(c) for c in ("mean_252", "std_252", "std_230")])
 
 
 @query("lag_lead", with_ctes(
@@ -1399,6 +1434,34 @@ def q_stream_late_corrections(spark, sf_dir):
     return t.read()
 
 
+_RECENT_BY = """SELECT date, 1998 AS y FROM (SELECT date FROM sessions WHERE date <= (SELECT max(date) FROM panel WHERE year(date) = 1998)
+ORDER BY date DESC LIMIT 60) a UNION ALL SELECT date, 1999 AS y FROM (SELECT date FROM sessions WHERE date <= (SELECT max(date) FROM panel
+WHERE year(date) = 1999) ORDER BY date DESC LIMIT 60) b"""
+
+
+@query("stream_late_splits", with_ctes(
+    "SELECT s.files, p.date, p.barrid, CASE WHEN r.date IS NULL THEN p.price WHEN r.y = 1998 THEN p.price * 2 WHEN day(p.date) <= 15 THEN p.price * 7 "
+    "ELSE p.price * 3 END AS price, p.\"return\" FROM panel p CROSS JOIN (SELECT unnest([1, 2, 9]) AS files) s "
+    "LEFT JOIN recent r ON p.date = r.date AND year(p.date) = r.y", "panel", "sessions", extra=[("recent", _RECENT_BY)]))
+def q_stream_late_splits(spark, sf_dir):
+    """L2 whatever the batches: four files arrive, the third an old correction that the
+    mark of the second refuses; the stream takes one, two or all files at a time."""
+    p = checkpoint(_panel(spark, sf_dir))
+    drop, schema = shared_dir(spark, "late_splits"), p.schema
+    year, day = F.year("date"), F.dayofmonth("date")
+    files = [(year == 1998, 2), (year == 1999, 3), (year == 1998, 5), ((year == 1999) & (day <= 15), 7)]
+    for n, (some, times) in enumerate(files):
+        p.filter(some).withColumns({"price": F.col("price") * times, "return": F.lit(None).cast("double")}).coalesce(1).write.parquet(f"{drop}/in/{n}")
+    sessions, out = checkpoint(fx.sessions(spark, sf_dir)), None
+    for k in (1, 2, 9):
+        t = TB.Table(spark, f"{drop}/store{k}", TB.TableSpec("panel", schema, ("date", "barrid")))
+        t.overwrite(p)
+        ingest_folder(spark, drop + "/in/*", schema, t, f"{drop}/_checkpoint{k}", k, sessions, 60)
+        rows = t.read().select(F.lit(k).alias("files"), "date", "barrid", "price", "return")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # ---------------------------------------------------------------- F9 by day
 _DAY = "1999-06-15"
 

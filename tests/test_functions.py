@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelforge.functions import clip_keep_null, ewm_mean, finite_or_null, rolling_mean, rolling_std, rolling_sum
+from panelforge.functions import Rolled, clip_keep_null, ewm_mean, finite_or_null, rolling_columns, rolling_mean, rolling_std, rolling_sum
 
 
 def _series(spark, values, key="A"):
@@ -82,6 +82,41 @@ def test_windows_keep_no_trace(spark):
             assert r.d == pytest.approx(float(np.std(w, ddof=1)), rel=1e-6)
 
 
+@pytest.mark.parametrize("n", [5, 33, 64, 230])
+def test_long_windows(spark, n):
+    rng = np.random.default_rng(n)
+    rows = []
+    for key, size in (("a", 400), ("b", n), ("c", n - 1), ("d", 1), ("e", 3 * n)):
+        vals = [None if rng.random() < 0.1 else float(rng.normal(50, 2)) for _ in range(size)]
+        if size > 300:
+            vals[37], vals[90], vals[180:230] = 1e15, float("nan"), [0.1] * 50
+        rows += [(key, i, v) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "k string, t int, x double").repartition(4)
+    aggs = {"c": "count", "s": "sum", "m": "mean", "lo": "min", "hi": "max", "v": "var", "d": "std"}
+    out = rolling_columns(df, n, {o: Rolled(a, "x", 3) for o, a in aggs.items()} | {"full": Rolled("sum", F.col("x") * 2)}, by="k", order="t")
+    assert out.columns == ["k", "t", "x", *aggs, "full"]
+    got, series = {(r.k, r.t): r for r in out.collect()}, {}
+    for k, _, v in rows:
+        series.setdefault(k, []).append(v)
+    assert len(got) == len(rows)
+    for (k, t), r in got.items():
+        every = series[k][max(0, t - n + 1): t + 1]
+        w = [v for v in every if v is not None]
+        if len(w) < 3:
+            assert r.c is None and r.s is None and r.d is None and r.lo is None
+            continue
+        assert r.c == len(w) and (r.full is None) == (len(w) < n)
+        if any(v != v for v in w):
+            assert r.s != r.s and r.d != r.d
+            continue
+        assert (r.lo, r.hi) == (min(w), max(w))
+        assert (r.s, r.m) == pytest.approx((sum(w), sum(w) / len(w)), rel=1e-12)
+        if max(w) == min(w):
+            assert r.d == 0.0 == r.v
+        else:
+            assert (r.v, r.d) == pytest.approx((np.var(w, ddof=1), np.std(w, ddof=1)), rel=1e-9)
+
+
 def test_flat_windows_after_an_outlier(spark):
     out = _series(spark, [1e9, 0.1, 0.1, 0.1, 0.1, 3.0, 3.0, 3.0]).select("date", rolling_std("x", 3).alias("s")).orderBy("date").collect()
     assert [r.s == 0 for r in out] == [False, False, False, True, True, False, False, True]

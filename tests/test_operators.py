@@ -2,13 +2,14 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from panelforge.operators import joins as J
 from panelforge.operators import portfolio as P
 from panelforge.operators import signals as S
-from panelforge.operators.weights import halo_blocks
+from panelforge.operators.weights import rolling_moments, row_numbers
 from panelforge.session import shared_dir
 from panelforge.sources import tables as TB
 
@@ -107,20 +108,31 @@ def test_active_weights_constraints(spark):
     assert [r.weight for r in P.active_weights(tiny).collect()] == [0.0, 0.0]
 
 
-def test_halo_blocks_cover_previous_rows(spark):
+def test_row_numbers(spark):
     rows = [(D(2000, 1, 1) + dt.timedelta(days=3 * i), float(i)) for i in range(800)]
-    df = spark.createDataFrame(rows, "date date, x double")
-    hb = halo_blocks(df, 50)
-    own = hb.filter("_own").select("_grn", "x").collect()
-    assert sorted(int(r.x) for r in own) == list(range(800))
-    assert all(int(r.x) == r._grn for r in own)
-    # each block holds the 50 rows before its first own row
-    from pyspark.sql import Window
-    firsts = hb.filter("_own").groupBy("_blk").agg(F.min("_grn").alias("f"))
-    cover = hb.join(firsts, "_blk").filter((F.col("_grn") < F.col("f")) & (F.col("_grn") >= F.col("f") - 50))
-    counts = {r._blk: r.n for r in cover.groupBy("_blk").agg(F.count("*").alias("n")).collect()}
-    for r in firsts.collect():
-        assert counts.get(r._blk, 0) == min(50, r.f)
+    df = spark.createDataFrame(rows, "date date, x double").repartition(5)
+    assert all(int(r.x) == r._grn for r in row_numbers(df).collect())
+
+
+def test_moments_keep_no_trace(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(100.0, 1e-3, (330, 2))
+    x[31, 0], x[90, 1], x[150, 0], x[230, 1] = 1e9, np.nan, np.inf, np.nan
+    rows = [(D(1999, 6, 1) + dt.timedelta(days=2 * i), *map(float, r)) for i, r in enumerate(x)]
+    rows[230] = (rows[230][0], rows[230][1], None)
+    got = {r.date: r for r in rolling_moments(spark.createDataFrame(rows, "date date, a double, b double").repartition(3), ["a", "b"], 20).collect()}
+    assert len(got) == 310
+    for i in range(20, 330):
+        r, w = got[rows[i][0]], x[i - 20: i]
+        if not np.isfinite(w).all():
+            assert np.isnan(w).any() == (r.m_a is None) or np.isinf(w).any()
+            continue
+        c = np.cov(w.T)
+        spiked = 1e9 in w
+        assert (r.m_a, r.m_b) == pytest.approx(tuple(w.mean(axis=0)), rel=1e-12)
+        assert (r.c_a__a, r.c_b__b) == pytest.approx((c[0, 0], c[1, 1]), rel=1e-6)
+        if not spiked:
+            assert r.c_a__b == pytest.approx(c[0, 1], rel=1e-5, abs=1e-12)
 
 
 @pytest.mark.parametrize("strategy", ["backward", "forward"])
