@@ -220,6 +220,7 @@ def universe_fill(
     asset: str = "barrid",
     out: str = "in_universe",
     bucket=None,
+    carry: DataFrame | None = None,
 ) -> DataFrame:
     """Rebalance-aware constituency.
 
@@ -227,7 +228,8 @@ def universe_fill(
     present in ``membership``) a missing flag means False, on other dates NULL;
     then forward-fill per asset; ``out`` = flag1 OR flag2 (three-valued).
     The rebalance calendar has one row per rebalance day.  ``bucket`` (e.g. ``F.year``) runs the fill per (asset, time
-    bucket) for assets too long for one task."""
+    bucket) for assets too long for one task.  ``carry``: (asset, flags) that hold
+    before the panel's first row of an asset, where its series began earlier."""
     flags = list(flags)
     rebal = membership.select("date").distinct().withColumn("_rebalance", F.lit(True))
     j = panel.join(membership.select("date", key, *flags), ["date", key], "left").join(rebal, "date", "left")
@@ -246,6 +248,9 @@ def universe_fill(
             *[c for c in j.columns if c not in flags],
             *[F.last(f, ignorenulls=True).over(w).alias(f) for f in flags],
         )
+    if carry is not None:
+        held = carry.select(asset, *[F.col(f).alias(f"_held_{f}") for f in flags])
+        j = j.join(held, asset, "left").select(*[c for c in j.columns if c not in flags], *[F.coalesce(f, f"_held_{f}").alias(f) for f in flags])
     u = F.col(flags[0])
     for f in flags[1:]:
         u = u | F.col(f)

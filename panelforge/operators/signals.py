@@ -190,9 +190,12 @@ SIGNALS = default_signals()
 
 def signal_columns(inp: DataFrame, names: Sequence[str] | None = None,
                    registry: dict[str, SignalSpec] | None = None,
-                   block_rows: int | None = None, halo: int = 512) -> DataFrame:
+                   block_rows: int | None = None, halo: int = 512, count_col: str | None = None) -> DataFrame:
     """Wide frame: one column per signal (one shared per-asset partitioning).
 
+    ``count_col``: the specific returns that a series holds up to each row, where it
+    began before ``inp`` (it then needs the rows that the signals look back to).
+
     ``block_rows``: for assets whose series is too long for one task, run the
     windows per (asset, block of rows) with a ``halo``-row look-back (see
     ``functions.blocks``).  A signal that looks back further than the halo is
@@ -208,7 +211,7 @@ def signal_columns(inp: DataFrame, names: Sequence[str] | None = None,
         for rows, rolled in windows.items():
             out = add_windows(out, rows, rolled)
         for n in names:
-            out = reg[n].compute(out)
+            out = reg[n].compute(out, count_col=count_col) if count_col else reg[n].compute(out)
         return out.drop(*[c for rolled in windows.values() for c in rolled])
     from panelforge.functions.blocks import block_series
 
@@ -233,6 +236,25 @@ def signals_long(wide: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
+def scored_long(long: DataFrame, names: Sequence[str], reg: dict[str, SignalSpec], block_rows: int | None = None,
+                halo: int = 256, earlier: DataFrame | None = None) -> DataFrame:
+    """Scores and alphas of the long signal table, one pass for signals that share a
+    (scorer, alphatizer) pair.  ``earlier``: rows of the assets before these, for
+    scorers that look back along an asset; they are scored with them."""
+    groups: dict[tuple, list[str]] = {}
+    for n in names:
+        groups.setdefault((reg[n].scorer, reg[n].alphatizer), []).append(n)
+    scored = None
+    for (scorer, alphatizer), members in groups.items():
+        part = long.filter(F.col("signal_name").isin(members)) if len(groups) > 1 else long
+        if earlier is not None:
+            part = part.unionByName(earlier.filter(F.col("signal_name").isin(members)))
+        scored_part = scorer(part, block_rows=block_rows, halo=halo) if block_rows is not None else scorer(part)
+        part = alphatizer(scored_part).select(DATE, ASSET, "signal_name", "signal_value", "score", "alpha")
+        scored = part if scored is None else scored.unionByName(part)
+    return scored
+
+
 def compute_signals(assets: DataFrame, names: Sequence[str] | None = None,
                     registry: dict[str, SignalSpec] | None = None,
                     materialize: Callable[[DataFrame], DataFrame] | None = None,
@@ -252,15 +274,7 @@ def compute_signals(assets: DataFrame, names: Sequence[str] | None = None,
     long = signals_long(signal_columns(inp, names, reg, block_rows=block_rows, halo=halo), names)
     if materialize is not None:
         long = materialize(long)
-    groups: dict[tuple, list[str]] = {}
-    for n in names:
-        groups.setdefault((reg[n].scorer, reg[n].alphatizer), []).append(n)
-    scored = None
-    for (scorer, alphatizer), members in groups.items():
-        part = long.filter(F.col("signal_name").isin(members)) if len(groups) > 1 else long
-        scored_part = scorer(part, block_rows=block_rows, halo=halo) if block_rows is not None else scorer(part)
-        part = alphatizer(scored_part).select(DATE, ASSET, "signal_name", "signal_value", "score", "alpha")
-        scored = part if scored is None else scored.unionByName(part)
+    scored = scored_long(long, names, reg, block_rows, halo)
     if materialize is not None:
         scored = materialize(scored)
     signals = long.select(DATE, ASSET, "signal_name", "signal_value")

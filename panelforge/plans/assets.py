@@ -28,11 +28,14 @@ def build_assets(
     start=None,
     end=None,
     fill_bucket=None,
+    carry: DataFrame | None = None,
 ) -> DataFrame:
     """All columns that the vendor tables supply, in the catalogue's order.
     ``membership`` is the raw index file (date, cusip, russell1000,
     russell2000 as "Y"/"N").  ``fill_bucket`` (e.g. ``F.year``) runs the
-    constituency fill per (asset, time bucket) for very long series."""
+    constituency fill per (asset, time bucket) for very long series.
+    ``carry``: the flags (barrid, russell_1000, russell_2000) that hold before
+    ``start``, for a panel that continues an earlier one."""
     rng = lambda d: date_range(d, start, end)
     combined = left_chain(rng(returns), [rng(specific_returns), rng(risk), rng(volume)])
 
@@ -50,7 +53,7 @@ def build_assets(
     )
     flags = decode_flags(membership, {"russell1000": "russell_1000", "russell2000": "russell_2000"})
     out = universe_fill(combined, flags.select("date", "cusip", "russell_1000", "russell_2000"),
-                        bucket=fill_bucket)
+                        bucket=fill_bucket, carry=carry)
     declared = [f.name for f in table_spec("assets").schema.fields]
     return out.select(*[c for c in declared if c in out.columns], *[c for c in out.columns if c not in declared])
 

@@ -1466,23 +1466,21 @@ def q_stream_late_splits(spark, sf_dir):
 _DAY = "1999-06-15"
 
 
-def _daily_panel_sql(body: str) -> str:
-    """``body`` over the assets of what the store holds after the day's run: all
+def _daily_panel_sql(sql: str, days: int = 60) -> str:
+    """``sql`` over the assets of what the store holds after the day's run: all
     rows before 1999 and those of the look-back's sessions."""
-    sql = with_ctes(body, "assets")
     head, rest = sql.split("panel AS (", 1)
     inner, rest = rest.split("),\nids AS (", 1)
     kept = f"SELECT * FROM all_rows WHERE date < DATE '1999-01-01' OR date IN (SELECT date FROM lb)"
-    return (f"{head}all_rows AS ({inner}),\nlb AS (SELECT DISTINCT date FROM all_rows WHERE date < DATE '{_DAY}' ORDER BY date DESC LIMIT 60),"
+    return (f"{head}all_rows AS ({inner}),\nlb AS (SELECT DISTINCT date FROM all_rows WHERE date < DATE '{_DAY}' ORDER BY date DESC LIMIT {days}),"
             f"\npanel AS ({kept}),\nids AS ({rest}")
 
 
-@query("flow_daily_all", _daily_panel_sql("SELECT * FROM assets"))
-def q_flow_daily_all(spark, sf_dir):
-    """The daily pipeline over stored history: the four datasets' archives of the
-    look-back come in, twice, and the panel and signals are built anew."""
+def _daily_store(spark, sf_dir, days: int):
+    """Stored vendor history before 1999, archives of the last ``days`` sessions before
+    _DAY, those sessions, and all rows of both."""
     p = checkpoint(_panel(spark, sf_dir))
-    sessions = sorted(r[0] for r in C.last_n_sessions(fx.sessions(spark, sf_dir), _DAY, 60).collect())
+    sessions = sorted(r[0] for r in C.last_n_sessions(fx.sessions(spark, sf_dir), _DAY, days).collect())
     recent, old = F.col("date").isin(sessions), F.col("date") < F.lit("1999-01-01").cast("date")
     frames = {"returns": fx.vendor_returns(p), "specific_returns": fx.vendor_specific_returns(p), "risk": fx.vendor_risk(p),
               "volume": fx.vendor_volume(p)}
@@ -1500,11 +1498,48 @@ def q_flow_daily_all(spark, sf_dir):
                               lambda k, place=place, prefix=prefix: f"{place}/{prefix}_{k[2:]}.zip",
                               lambda k, spec=spec: f"{spec.daily_member}.{k}", list(raw.values()),
                               [f"!line {i}" for i in range(spec.skip)]).count()
-    held = p.filter(old | recent)
+    return root, lambda name: f"{folder}/{name}", sessions, p.filter(old | recent)
+
+
+def _stored_assets(tables):
+    return tables["assets"].read().select(*[f.name for f in tables["assets"].spec.schema.fields if f.name not in ("isin", "cisn")])
+
+
+@query("flow_daily_all", _daily_panel_sql(with_ctes("SELECT * FROM assets", "assets")))
+def q_flow_daily_all(spark, sf_dir):
+    """The daily pipeline over stored history: the four datasets' archives of the
+    look-back come in, twice, and the panel and signals are built anew."""
+    root, archives, sessions, held = _daily_store(spark, sf_dir, 60)
     for _ in range(2):
-        tables = FL.daily_all(spark, root, lambda name: f"{folder}/{name}", sessions, fx.membership(held),
+        tables = FL.daily_all(spark, root, archives, sessions, fx.membership(held),
                               fx.asset_ids(spark, sf_dir), fx.barra_ids(held), ["reversal"])
-    return tables["assets"].read().select(*[f.name for f in tables["assets"].spec.schema.fields if f.name not in ("isin", "cisn")])
+    return _stored_assets(tables)
+
+
+def _daily_continued(spark, sf_dir, names=None):
+    """Two daily runs three sessions apart: the first builds, the second continues."""
+    from panelforge.plans.daily import daily_incremental
+
+    root, archives, sessions, held = _daily_store(spark, sf_dir, 63)
+    for lookback in (sessions[:60], sessions[3:]):
+        tables = daily_incremental(spark, root, archives, lookback, fx.membership(held), fx.asset_ids(spark, sf_dir), fx.barra_ids(held), names)
+    return tables
+
+
+@query("flow_daily_incremental", _daily_panel_sql(with_ctes("SELECT * FROM assets", "assets"), 63))
+def q_flow_daily_incremental(spark, sf_dir):
+    """The panel that a daily run continues from stored state is that of a rebuild."""
+    return _stored_assets(_daily_continued(spark, sf_dir, ["reversal"]))
+
+
+@query("flow_daily_incremental_alphas", _daily_panel_sql(sig_sql(
+    f"SELECT date, barrid, signal_name, {R('signal_value')} AS signal_value, {R('score')} AS score, {R('alpha')} AS alpha FROM alphas", "alphas"), 63))
+def q_flow_daily_incremental_alphas(spark, sf_dir):
+    """All signals, scores and alphas after two continued days are those of a rebuild."""
+    t = _daily_continued(spark, sf_dir)
+    keys = ["date", "barrid", "signal_name"]
+    out = t["signals"].read().join(t["scores"].read(), keys, "left").join(t["alphas"].read(), keys, "left")
+    return out.select(*keys, *[rnd(c).alias(c) for c in ("signal_value", "score", "alpha")])
 
 
 # ---------------------------------------------------------------- catalogue
