@@ -107,6 +107,16 @@ def warehouse_backfill_flow(src: DataFrame, columns, date_col: str, table: Table
     table.upsert(df)
 
 
+def warehouse_flow(src: DataFrame, name: str, table: Table, start=None, end=None) -> None:
+    """F5 for any warehouse extract of the catalogue by its name: its column map, date
+    column and source-side predicate; "Y"/"N" membership flags become booleans."""
+    from panelforge.sources.catalog import EXTRACTS
+
+    columns, date_col, where = EXTRACTS[name]
+    flags = {c: f"russell_{c.removeprefix('russell')}" for c in columns.values() if c.startswith("russell")}
+    warehouse_backfill_flow(src, columns, date_col, table, start, end, None if where is None else F.expr(where), flags)
+
+
 def factor_file_flow(spark: SparkSession, path: str, schema: T.StructType, table: Table) -> None:
     """sectioned text file -> daily block -> snapshot overwrite."""
     table.overwrite(A.read_sectioned_csv(spark, path, schema))

@@ -1024,6 +1024,7 @@ FROM (SELECT l.*, b.asset_id AS ba, b.end_date AS be, f.asset_id AS fa, f.end_da
 from panelforge.plans import flows as FL  # noqa: E402
 from panelforge.sources import archives as AR  # noqa: E402
 from panelforge.sources import extracts as EX  # noqa: E402
+from panelforge.sources.catalog import EXTRACTS  # noqa: E402
 from panelforge.streaming.ingest import ingest_folder  # noqa: E402
 
 RET_SPEC = AR.ArchiveSpec("RET_HIST", "RET_", "RET_DAILY", "RET", skip=1)
@@ -1329,6 +1330,54 @@ def q_flow_warehouse_backfill(spark, sf_dir):
     return t.read()
 
 
+# warehouse source columns by rule from the panel, for all extracts of the catalogue (both engines read these)
+_WAREHOUSE = {
+    "date": "date", "dlycaldt": "date", "mthcaldt": "date", "permno": "CAST(substring(barrid, 3, 100) AS INT)",
+    "cusip": "concat('C', substring(barrid, 3, 100))", "ticker": "concat('T', substring(barrid, 3, 100))",
+    "event": "CASE WHEN day(date) = 2 THEN 'NAMES' ELSE 'DIV' END", "shrcd": "10 + month(date)", "exchcd": "1 + month(date) % 3",
+    "shrout": "CAST(floor(market_cap) AS BIGINT)", "primaryexch": "CASE WHEN month(date) < 6 THEN 'N' ELSE 'Q' END", "securitytype": "'EQTY'",
+    "russell1000": "CASE WHEN specific_risk > 35 THEN 'Y' ELSE 'N' END", "russell2000": "CASE WHEN specific_risk BETWEEN 25 AND 35 THEN 'Y' ELSE 'N' END",
+    **{f"{p}{c}": e for p in ("", "dly", "mth") for c, e in (("ret", "`return` / 100"), ("retx", "specific_return / 100"), ("prc", "price"),
+                                                             ("vol", "CAST(floor(daily_volume) AS BIGINT)"))},
+    "openprc": "price / 2", "askhi": "price * 2", "bidlo": "price / 4", "dlyopen": "price / 2", "dlyhigh": "price * 2", "dlylow": "price / 4", "dlyclose": "price",
+}
+_WAREHOUSE_RANGE = ("1994-01-01", "1997-12-31")
+
+
+def _warehouse_sql(name: str) -> str:
+    columns, date_col, where = EXTRACTS[name]
+    shown = [f"{_WAREHOUSE[c]} = 'Y' AS russell_{o.removeprefix('russell')}" if o.startswith("russell") else f'{_WAREHOUSE[c]} AS "{o}"' for c, o in columns.items()]
+    only = " AND day(date) = 1" if name.endswith("_monthly") else " AND day(date) = 2" if where else ""
+    lo, hi = _WAREHOUSE_RANGE
+    return with_ctes(f"SELECT {', '.join(shown)} FROM panel WHERE date BETWEEN DATE '{lo}' AND DATE '{hi}'{only}".replace("`", '"'), "panel")
+
+
+def _warehouse_query(name: str):
+    def build(spark, sf_dir):
+        columns, _, where = EXTRACTS[name]
+        p = _panel(spark, sf_dir)
+        p = p.filter(F.dayofmonth("date") == 1) if name.endswith("_monthly") else p
+        src = p.select(*[F.expr(_WAREHOUSE[c]).alias(c) for c in (*columns, *(["event"] if where else []))])
+        t = TB.Table(spark, shared_dir(spark, "store"), table_spec(name))
+        FL.warehouse_flow(src, name, t, *_WAREHOUSE_RANGE)
+        return t.read()
+
+    return build
+
+
+for _n in EXTRACTS:
+    query(f"warehouse_{_n}", _warehouse_sql(_n))(_warehouse_query(_n))
+
+
+@query("csv_listing", with_ctes("SELECT DISTINCT CAST(year(date) AS INTEGER) AS year, true AS found FROM panel", "panel"))
+def q_csv_listing(spark, sf_dir):
+    """The files of a folder of yearly CSV files, listed without being read."""
+    root = shared_dir(spark, "csv_years")
+    _panel(spark, sf_dir).select("date", "barrid", "price", F.year("date").alias("year")).write.mode("overwrite").option("header", True).partitionBy("year").csv(root)
+    files = EX.list_files(spark, root, "*.csv")
+    return files.groupBy(F.regexp_extract("path", "/year=([0-9]+)/", 1).cast("int").alias("year")).agg((F.sum("length") > 0).alias("found"))
+
+
 @query("flow_factor_file", with_ctes(
     "SELECT date, CAST(mkt_rf AS DOUBLE) / 100 AS mkt_rf, CAST(smb AS DOUBLE) / 100 AS smb, "
     "CAST(hml AS DOUBLE) / 100 AS hml, CAST(rmw AS DOUBLE) / 100 AS rmw, CAST(cma AS DOUBLE) / 100 AS cma, "

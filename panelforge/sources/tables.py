@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelforge.operators.cleaning import distinct_years
 from panelforge.operators.joins import asof_join
 from panelforge.session import reliable_checkpoint
 
@@ -136,7 +137,7 @@ class Table:
         if not self.spec.yearly or not self.exists() or self.spec.date_col not in on:
             return self.read()
         old = self.read(keep_year=True)
-        years = rows.select(F.year(self.spec.date_col).alias("year")).distinct()
+        years = distinct_years(rows, self.spec.date_col)
         return old.join(years, "year", "left_semi").drop("year")
 
     def _counted(self, rows: DataFrame, on: Sequence[str]) -> DataFrame:
