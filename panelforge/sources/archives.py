@@ -1,27 +1,34 @@
 """Vendor archive and text-file sources.
 
-Archives are read with Spark's ``binaryFile`` source; unzipping runs on the
-executors in ``mapInPandas``: one archive per row, its members streamed line by
-line and handed on in chunks, fields put in order by each member's own header,
-so members whose column order differs are read by name; then typed with
-``try_cast``.  The driver only lists file names.
+Archives are read by a Spark data source (``ZipLines``): it looks up each archive's
+directory of members and makes partitions of them, a large member being one of its
+own, so an archive of many members is read by many tasks.  A task opens the archive
+where it lies, reads its members' ranges only, and streams them line by line in
+chunks: neither an archive nor a member is ever held whole.  Fields are put in order
+by each member's own header, so members whose column order differs are read by name;
+then typed with ``try_cast``.  The driver only lists files and members.
 """
 
 from __future__ import annotations
 
 import io
 import itertools
+import json
 import uuid
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from panelforge.functions.numeric import finite_or_null
 from panelforge.operators.cleaning import TRAILER
@@ -62,42 +69,88 @@ class ArchiveSpec:
         return f"{self.daily_member}.{d:%Y%m%d}"
 
 
-# lines that a task holds before it hands them on
-CHUNK = 20_000
+# lines that a task holds before it hands them on, and compressed bytes of members that share a partition
+CHUNK, PACKED = 20_000, 16_000_000
 
 
-def _unzip(member_prefix: str | None, skip: int, sep: str, members: dict | None, raw_columns: Sequence[str]):
-    """mapInPandas body: every wanted member line by line, its fields put in the
-    order of ``raw_columns`` by the member's own header (short lines are padded,
-    the end-of-file line is dropped wherever the key column stands)."""
+def _lines(zf: zipfile.ZipFile, name: str, skip: int, sep: str, columns: Sequence[str]) -> Iterator[list]:
+    """A member's data lines, fields in the order of ``columns`` by its own header (short
+    lines are padded, the end-of-file line is dropped wherever the key column stands)."""
+    with zf.open(name) as fh:
+        places = None
+        for i, raw in enumerate(io.TextIOWrapper(fh, encoding="utf-8")):
+            line = raw.rstrip("\r\n")
+            if i < skip or not line:
+                continue
+            fields = line.split(sep)
+            if places is None:
+                at = {c: k for k, c in enumerate(fields)}
+                places = [at.get(c, len(fields) + 1) for c in columns]
+            elif len(fields) > 1 or fields[0].strip() != TRAILER:
+                yield [fields[k] if k < len(fields) and fields[k] != "" else None for k in places]
 
-    def lines(zf: zipfile.ZipFile, name: str):
-        with zf.open(name) as fh:
-            places = None
-            for i, raw in enumerate(io.TextIOWrapper(fh, encoding="utf-8")):
-                line = raw.rstrip("\r\n")
-                if i < skip or not line:
-                    continue
-                fields = line.split(sep)
-                if places is None:
-                    at = {c: k for k, c in enumerate(fields)}
-                    places = [at.get(c, len(fields) + 1) for c in raw_columns]
-                elif len(fields) > 1 or fields[0].strip() != TRAILER:
-                    yield [fields[k] if k < len(fields) and fields[k] != "" else None for k in places]
 
-    def run(batches):
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                with zipfile.ZipFile(io.BytesIO(bytes(content))) as zf:
-                    if members is not None:
-                        wanted = [n for n in zf.namelist() if n == members.get(path.rsplit("/", 1)[-1])]
-                    else:
-                        wanted = [n for n in sorted(zf.namelist()) if n.startswith(member_prefix or "")]
-                    rows = itertools.chain.from_iterable(lines(zf, n) for n in wanted)
-                    while chunk := list(itertools.islice(rows, CHUNK)):
-                        yield pd.DataFrame({"values": chunk})
+@contextmanager
+def _archive(path: str):
+    store, target = _store(path)
+    with store.open_input_file(target) as fh, zipfile.ZipFile(fh) as zf:
+        yield zf
 
-    return run
+
+@dataclass
+class Members(InputPartition):
+    """Members (archive, name) that one task reads."""
+
+    found: list[tuple[str, str]]
+
+
+class ZipReader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.paths, self.columns, self.names = (json.loads(options[k]) for k in ("paths", "columns", "names"))
+        self.prefix, self.skip, self.sep = options["prefix"], int(options["skip"]), options["sep"]
+
+    def listed(self, path: str) -> list[tuple[str, str, int]]:
+        """(archive, member, compressed bytes) of the members to read, from the directory
+        at the archive's end."""
+        with _archive(path) as zf:
+            infos = sorted(zf.infolist(), key=lambda i: i.filename)
+        if self.names is not None:
+            infos = [i for i in infos if i.filename == self.names.get(path.rsplit("/", 1)[-1])]
+        return [(path, i.filename, i.compress_size) for i in infos if i.filename.startswith(self.prefix)]
+
+    def partitions(self) -> list[Members]:
+        with ThreadPoolExecutor(16) as pool:
+            every = list(itertools.chain.from_iterable(pool.map(self.listed, self.paths)))
+        out, room = [], 0
+        for path, name, size in every:
+            if not out or size > room:
+                out.append(Members([]))
+                room = PACKED
+            out[-1].found.append((path, name))
+            room -= size
+        return out or [Members([])]
+
+    def read(self, partition: Members) -> Iterator[pa.RecordBatch]:
+        for path, members in itertools.groupby(partition.found, key=lambda m: m[0]):
+            with _archive(path) as zf:
+                rows = itertools.chain.from_iterable(_lines(zf, name, self.skip, self.sep, self.columns) for _, name in members)
+                while chunk := list(itertools.islice(rows, CHUNK)):
+                    yield pa.RecordBatch.from_arrays([pa.array(chunk, pa.list_(pa.string()))], ["values"])
+
+
+class ZipLines(DataSource):
+    """Spark data source of the data lines of zip archives; options ``paths``, ``columns``
+    and ``names`` (member by archive, or null) as JSON, ``prefix``, ``skip``, ``sep``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "zip_lines"
+
+    def schema(self) -> str:
+        return "values array<string>"
+
+    def reader(self, schema: T.StructType) -> ZipReader:
+        return ZipReader(self.options)
 
 
 def read_lines(spark: SparkSession, paths: Sequence[str] | str, member_prefix: str | None, skip: int,
@@ -108,8 +161,9 @@ def read_lines(spark: SparkSession, paths: Sequence[str] | str, member_prefix: s
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         return spark.createDataFrame([], "values array<string>")
-    bf = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return bf.mapInPandas(_unzip(member_prefix, skip, sep, members, list(raw_columns)), "values array<string>")
+    spark.dataSource.register(ZipLines)
+    options = {"paths": json.dumps(paths), "columns": json.dumps(list(raw_columns)), "names": json.dumps(members)}
+    return spark.read.format(ZipLines.name()).options(**options, prefix=member_prefix or "", skip=str(skip), sep=sep).load()
 
 
 def typed(lines: DataFrame, raw_columns: Sequence[str], numeric: Sequence[str] | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 name, trailers dropped, sectioned text, idempotent streaming replay."""
 
 import datetime as dt
+import json
 import os
 import zipfile
 
@@ -74,6 +75,31 @@ def test_stream_ingest_is_idempotent_and_incremental(spark):
         (dt.date(2024, 1, 2), "a", 1.0), (dt.date(2024, 1, 3), "b", 2.0), (dt.date(2024, 1, 4), "c", 3.0)]
 
 
+def test_an_archive_of_many_members_is_read_by_many_tasks(spark, monkeypatch):
+    root = _local(shared_dir(spark, "t_zip"))
+    rows = {f"m{k}.txt": [(f"a{k}_{i}", i * 1.5) for i in range(k * 30)] for k in range(9)}
+    with zipfile.ZipFile(os.path.join(root, "big file_1.zip"), "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("other.txt", "!\n!x|v\nno|1\n")
+        for k, (name, lines) in enumerate(rows.items()):
+            head = ("!id|v", "{0}|{1}") if k % 2 else ("v|unknown|!id", "{1}|?|{0}")  # columns in either order
+            z.writestr(name, "\n".join(["!generated", head[0], *(head[1].format(*r) for r in lines), "[End of File]", ""]))
+    spec = AR.ArchiveSpec("big file", "m", "d", "d")
+    monkeypatch.setattr(AR, "CHUNK", 7)
+    every = sorted(r for lines in rows.values() for r in lines)
+    for packed, tasks in ((1, 9), (10**9, 1)):
+        options = {"paths": json.dumps([f"{root}/big file_1.zip"]), "columns": '["!id", "v"]', "names": "null", "prefix": "m", "skip": "1", "sep": "|"}
+        monkeypatch.setattr(AR, "PACKED", packed)
+        reader = AR.ZipReader(options)
+        assert len(reader.partitions()) == tasks
+        batches = [b for p in reader.partitions() for b in reader.read(p)]
+        assert max(b.num_rows for b in batches) <= 7 and sum(b.num_rows for b in batches) == len(every)
+    lines = AR.read_lines(spark, f"{root}/big file_1.zip", "m", 1, ["!id", "v"])
+    got = AR.typed(lines, ["!id", "v"], ["v"])
+    assert sorted(map(tuple, got.collect())) == every
+    assert "BatchScan" in got._jdf.queryExecution().executedPlan().toString()
+    assert AR.read_history(spark, root, spec, ["!id", "v"], [2]).count() == 0
+
+
 STREAM = "date date, id string, v double, w string"
 
 
