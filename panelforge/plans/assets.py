@@ -1,9 +1,10 @@
 """Flow F1: the daily asset panel.
 
-returns LEFT JOIN specific returns LEFT JOIN risk LEFT JOIN volume on
-(date, barrid) -> one multi-table backward as-of pass per asset (identity
-history, tickers, cusips) -> membership flags joined on (date, cusip) ->
-rebalance-aware forward fill -> ``in_universe``.
+returns with the specific returns, risk and volume of their (date, barrid), the
+rows of the identity history, tickers and cusips that hold there (backward as-of),
+the membership flags of (date, cusip), forward filled between rebalance days ->
+``in_universe``.  All of it is one sweep along each asset's time axis, so the panel
+is exchanged once (``operators.sweep``).
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from panelforge.operators.cleaning import date_range, decode_flags, split_ids
 from panelforge.operators.joins import AsofSide, asof_join_many, left_chain, universe_fill
+from panelforge.operators.sweep import panel_sweep
 from panelforge.sources.catalog import table_spec
 
 IDENTITY_COLUMNS = ["rootid", "issuerid", "instrument", "name", "iso_country_code", "iso_currency_code"]
@@ -32,28 +34,26 @@ def build_assets(
 ) -> DataFrame:
     """All columns that the vendor tables supply, in the catalogue's order.
     ``membership`` is the raw index file (date, cusip, russell1000,
-    russell2000 as "Y"/"N").  ``fill_bucket`` (e.g. ``F.year``) runs the
-    constituency fill per (asset, time bucket) for very long series.
+    russell2000 as "Y"/"N").  ``fill_bucket`` (e.g. ``F.year``) joins step by
+    step and runs the constituency fill per (asset, time bucket), for very long series.
     ``carry``: the flags (barrid, russell_1000, russell_2000) that hold before
     ``start``, for a panel that continues an earlier one."""
     rng = lambda d: date_range(d, start, end)
-    combined = left_chain(rng(returns), [rng(specific_returns), rng(risk), rng(volume)])
-
     tickers = split_ids(barra_ids, "LOCALID", "ticker", strip_us=True)
     cusips = split_ids(barra_ids, "CUSIP", "cusip")
-    combined = asof_join_many(
-        combined,
-        [
-            AsofSide(asset_ids, "start_date", ("end_date", "rootid"), columns=IDENTITY_COLUMNS),
-            AsofSide(tickers, "start_date", ("end_date",), columns=["ticker"]),
-            AsofSide(cusips, "start_date", ("end_date",), columns=["cusip"]),
-        ],
-        left_on="date",
-        by="barrid",
-    )
+    histories = [
+        AsofSide(asset_ids, "start_date", ("end_date", "rootid"), columns=IDENTITY_COLUMNS),
+        AsofSide(tickers, "start_date", ("end_date",), columns=["ticker"]),
+        AsofSide(cusips, "start_date", ("end_date",), columns=["cusip"]),
+    ]
     flags = decode_flags(membership, {"russell1000": "russell_1000", "russell2000": "russell_2000"})
-    out = universe_fill(combined, flags.select("date", "cusip", "russell_1000", "russell_2000"),
-                        bucket=fill_bucket, carry=carry)
+    flags = flags.select("date", "cusip", "russell_1000", "russell_2000")
+    if fill_bucket is None:
+        out = panel_sweep(rng(returns), [rng(specific_returns), rng(risk), rng(volume)], histories, flags, carry=carry)
+    else:  # step by step, each split by time bucket
+        combined = left_chain(rng(returns), [rng(specific_returns), rng(risk), rng(volume)])
+        combined = asof_join_many(combined, histories, left_on="date", by="barrid")
+        out = universe_fill(combined, flags, bucket=fill_bucket, carry=carry)
     declared = [f.name for f in table_spec("assets").schema.fields]
     return out.select(*[c for c in declared if c in out.columns], *[c for c in out.columns if c not in declared])
 

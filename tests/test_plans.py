@@ -48,7 +48,8 @@ def test_no_nested_loop_or_python(spark, name, monkeypatch):
         assert "BroadcastNestedLoopJoin" not in plan
         assert "CartesianProduct" not in plan
         assert "BatchEvalPython" not in plan  # no row-at-a-time Python UDF
-    in_python = [p for p in plans if "MapInPandas" in p or "FlatMapGroupsInPandas" in p]
+    python = ("MapInPandas", "MapInArrow", "FlatMapGroupsInPandas", "FlatMapGroupsInArrow", "FlatMapCoGroups", "ArrowEvalPython")
+    in_python = [p for p in plans if any(k in p for k in python)]
     assert len(in_python) <= (1 if name in PYTHON_OK else 0)
     if name in STAGED:
         assert len(plans) > 2
