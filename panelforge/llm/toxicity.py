@@ -19,12 +19,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from panelforge.llm.common import slices, stage
 
-#: Labelled rows that the model is fitted on, at most (those of least hash).
-SAMPLE = 20_000
+#: Labelled rows that the model is fitted on, at most (those of least hash), and the bytes
+#: of their texts together (whole texts of least hash, as many as fit).  A term needs SUPPORT documents of these, which bounds the lexicon.
+SAMPLE, SAMPLE_BYTES = 20_000, 128_000_000
 #: Lengths of stems; other lengths are whole words only.
 STEMS = range(4, 9)
 #: Toxic documents, and different words before it there, that a term needs; share of toxic documents among its own.
@@ -37,8 +38,8 @@ FAMILY, FUZZY = 3, 5
 PART = 0.7
 #: Words on each side of a hit that are its context.
 WINDOW = 8
-#: Terms of the lexicon, words with a context weight, states and words that a worker remembers.
-TERMS, CUES, STATES, MEMO = 4000, 2000, 200_000, 1_000_000
+#: States and words that a worker remembers.
+STATES, MEMO = 200_000, 1_000_000
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Marks that open a quotation, with those that close it; it ends with its line.
@@ -56,8 +57,9 @@ class Term(NamedTuple):
 class Automaton:
     """The lexicon's trie intersected with one-edit Levenshtein automata.
 
-    A state is a set of (trie node, edits so far); the first letter must agree
-    unless ``any_first``.  Reading a word gives its best term and the edits, or None."""
+    A state is a set of (trie node, edits so far); an edit may fall on the first
+    letter only where ``any_first`` says so, as the operator does.  Reading a word
+    gives its best term and the edits, or None."""
 
     def __init__(self, terms: list[Term], any_first: bool = False):
         self.terms, self.any_first = terms, any_first
@@ -265,7 +267,7 @@ def lexicon(train: DataFrame) -> list[Term]:
     docs = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.col("toxic") / (F.col("toxic") + F.col("clean"))
     rows = _counted(train).filter((F.col("toxic") >= SUPPORT) & (share >= PRECISION))
-    found = {(r["key"], r["stem"]): (r["toxic"], r["clean"]) for r in rows.collect()}  # at most SAMPLE * words / SUPPORT
+    found = {(r["key"], r["stem"]): (r["toxic"], r["clean"]) for r in rows.collect()}  # at most 1 / SUPPORT of the words and stems in SAMPLE_BYTES
     around = {(r["key"], r["stem"]): (r["before"], r["words"]) for r in _surroundings(train, set(found)).collect()}
     known = {k: v for k, v in found.items() if around.get(k, (0, 0))[0] >= SURROUNDINGS}
 
@@ -286,7 +288,7 @@ def lexicon(train: DataFrame) -> list[Term]:
     for key in (k for k in known if not k[1]):
         if not key[0].startswith(tuple(taken)):
             terms[key[0]] = Term(key[0], False, weight(key))
-    return sorted(terms.values(), key=lambda t: (-t.weight, t.text))[:TERMS]
+    return sorted(terms.values(), key=lambda t: (-t.weight, t.text))
 
 
 def fit(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 1e-2) -> np.ndarray:
@@ -305,7 +307,7 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 1e-2) ->
 
 
 def learned(train: DataFrame) -> Model:
-    """The model of rows (text, toxic 0 or 1), at most ``SAMPLE`` of them."""
+    """The model of rows (text, toxic 0 or 1), as ``sampled`` gives them."""
     terms = lexicon(train)
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,7 +320,7 @@ def learned(train: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([v[1] for v in words.values()], pa.int64()), pa.array([v[0] for v in words.values()], pa.int64())], names=["word", "toxic", "clean"])
 
     some = train.select("text", "toxic").mapInArrow(contexts, "word string, toxic bigint, clean bigint").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    rows = some.filter(F.col("clean") >= SUPPORT).orderBy(F.desc("clean"), "word").limit(CUES).collect()
+    rows = some.filter(F.col("clean") >= SUPPORT).orderBy(F.desc("clean"), "word").collect()
     total = [max(1, sum(r[c] for r in rows)) for c in ("toxic", "clean")]
     cues = {r["word"]: math.log((r["toxic"] + 1) / (total[0] + 1)) - math.log((r["clean"] + 1) / (total[1] + 1)) for r in rows}
 
@@ -351,6 +353,17 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, score double, terms array<string>")
 
 
+def sampled(docs: DataFrame, usable: DataFrame) -> DataFrame:
+    """(text, toxic) of at most ``SAMPLE`` rows and ``SAMPLE_BYTES`` of labelled texts."""
+    ids = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    rows = stage(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"))  # SAMPLE rows of two numbers
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    sizes = rows.groupBy("doc_id").agg(F.sum(size).alias("_bytes")).filter(F.col("_bytes") <= SAMPLE_BYTES)  # a row each
+    so_far = F.sum("_bytes").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    fits = sizes.withColumn("_so_far", so_far).filter(F.col("_so_far") <= SAMPLE_BYTES).select("doc_id")
+    return rows.join(fits, "doc_id", "left_semi").select("text", "toxic")
+
+
 def held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
@@ -365,7 +378,5 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scores are 0.5.  Repeated rows get equal scores, an empty table an empty
     result; further columns are ignored."""
     usable = labels.filter(~held_out()).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_m")).filter("toxic = _m and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    ids = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    train = stage(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "toxic"))  # SAMPLE rows of two numbers
-    out = scored(docs, learned(train))
+    out = scored(docs, learned(stage(sampled(docs, usable))))
     return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "terms")

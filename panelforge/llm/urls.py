@@ -36,7 +36,6 @@ DAMPING = 0.85
 THRESHOLD = 0.5
 #: Propagation ends when a round moves less than this share of all seed mass.
 TOLERANCE = 1e-3
-ROUNDS = 40
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
@@ -87,15 +86,14 @@ def pagerank(hosts: DataFrame, edges: DataFrame, seed: str) -> DataFrame:
     fixed = stage(fixed)
     rank = fixed.select("host", "seed", "linked", F.col("seed").alias("rank"))
     mass = fixed.agg(F.sum("seed")).first()[0] or 0.0
-    for _ in range(ROUNDS):
+    while True:  # each round shrinks the change by the damping at least
         moved = rank.filter("linked").join(flows, F.col("host") == F.col("src")).groupBy(F.col("dst").alias("host")).agg(F.sum(F.col("rank") * F.col("share")).alias("into"))
         kept = F.when(F.col("linked"), 0.0).otherwise(F.col("rank"))
         new = (1 - DAMPING) * F.col("seed") + DAMPING * (F.coalesce("into", F.lit(0.0)) + kept)
         step = stage(rank.join(moved, "host", "left").select("host", "seed", "linked", new.alias("rank"), F.abs(new - F.col("rank")).alias("change")))
         rank = step.select("host", "seed", "linked", "rank")
         if (step.agg(F.sum("change")).first()[0] or 0.0) <= TOLERANCE * mass:
-            break
-    return rank.select("host", "rank")
+            return rank.select("host", "rank")
 
 
 def judged(pages: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -172,3 +172,14 @@ FAR = "word " * 100
 )
 def test_quotation_that_begins_far_before(line, quoted):
     assert [h.quoted for h in toxicity.hits(line, Automaton([Term("idiot", False, 1.0)]))] == [quoted]
+
+
+def test_the_sample_is_bounded_by_rows_and_bytes(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "word " * (i + 1)) for i in range(30)] + [(30, None), (31, "x" * 5000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(32)], "doc_id long, toxic int")
+    assert toxicity.sampled(docs, labels).count() == 32
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 1000)
+    some = toxicity.sampled(docs, labels).collect()
+    assert 5 < len(some) < 32 and sum(len(r["text"] or "") for r in some) <= 1000
+    monkeypatch.setattr(toxicity, "SAMPLE", 7)
+    assert toxicity.sampled(docs, labels).count() <= 7

@@ -49,7 +49,7 @@ def brute(pages):
         total = w.sum(axis=1)
         share = np.divide(w, total[:, None], out=np.zeros_like(w), where=total[:, None] > 0)
         r = seed
-        for _ in range(urls.ROUNDS):
+        for _ in range(60):
             new = (1 - urls.DAMPING) * seed + urls.DAMPING * (r @ share + np.where(total > 0, 0, r))
             change, r = np.abs(new - r).sum(), new
             if change <= urls.TOLERANCE * seed.sum():
