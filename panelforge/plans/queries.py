@@ -1429,6 +1429,33 @@ query("asof_forward_bucketed", REGISTRY["asof_forward"].sql)(_asof_bucketed_quer
 
 
 # ---------------------------------------------------------------- A10, B11, L2
+_FACTOR_ROWS = """SELECT date, barrid, "return" / 100 AS a, specific_risk / 100 AS s, predicted_beta - 0.5 AS x,
+       0.0001 * (1 + day(date) % 5) AS f FROM panel WHERE specific_risk > 0"""
+_FACTOR_SUMS = """SELECT date, any_value(f) AS f, count(*) AS n, sum(x * x / (s * s)) AS xx, sum(x / (s * s)) AS x1, sum(x * a / (s * s)) AS xa,
+       sum(1 / (s * s)) AS oo, sum(a / (s * s)) AS oa, sum(a * a / (s * s)) AS aa FROM frows GROUP BY date"""
+_FACTOR_SOLVED = """SELECT date, n, f * x1 / (1 + f * xx) AS g1, f * xa / (1 + f * xx) AS ga, oo - x1 * (f * x1 / (1 + f * xx)) AS q11,
+       oa - x1 * (f * xa / (1 + f * xx)) AS q1a, aa - xa * (f * xa / (1 + f * xx)) AS qaa FROM fsums"""
+
+
+@query("factor_active_weights", with_ctes(
+    "SELECT r.date, r.barrid, CASE WHEN n <= 1 THEN 0.0 ELSE "
+    + R("(a - q1a / q11 - x * (ga - q1a / q11 * g1)) / (s * s) * 0.05 / sqrt(qaa - q1a * q1a / q11)", 16)
+    + " END AS weight FROM frows r JOIN fsolved q ON r.date = q.date WHERE n <> 2",
+    "panel", extra=[("frows", _FACTOR_ROWS), ("fsums", _FACTOR_SUMS), ("fsolved", _FACTOR_SOLVED)]))
+def q_factor_active_weights(spark, sf_dir):
+    """P6 under a one-factor risk model and the ZeroInvestment constraint (days of two
+    assets, whose weights are fixed up to rounding, are left to the tests)."""
+    from panelforge.operators.factor_weights import factor_active_weights
+
+    p = _panel(spark, sf_dir).filter("specific_risk > 0")
+    panel = p.select("date", "barrid", (F.col("return") / 100).alias("alpha"), (F.col("specific_risk") / 100).alias("specific_risk"), "predicted_beta")
+    exposures = p.select("date", "barrid", (F.col("predicted_beta") - 0.5).alias("market"))
+    cov = p.select("date").distinct().select("date", F.lit("market").alias("factor"), (0.0001 * (1 + F.dayofmonth("date") % 5)).alias("market"))
+    w = factor_active_weights(panel, exposures, cov, ["market"], zero_beta=False)
+    many = w.groupBy("date").agg(F.count(F.lit(1)).alias("n")).filter("n <> 2").select("date")
+    return w.join(many, "date").select("date", "barrid", rnd("weight", 16).alias("weight"))
+
+
 @query("weights_glob_scan", chain_sql(f"SELECT date, signal_name, {R('forward_return')} AS forward_return FROM sr", "sr"))
 def q_weights_glob_scan(spark, sf_dir):
     """Signal returns computed from optimiser weight files laid out per
