@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from panelforge.session import shared_dir
 from panelforge.sources import archives as AR
+from panelforge.sources import extracts as EX
 from panelforge.sources import tables as TB
 from panelforge.sources import vendor as V
 from panelforge.streaming.ingest import accept_recent, ingest_folder
@@ -155,3 +156,17 @@ def test_accept_recent(spark):
     batch = spark.createDataFrame([(dt.date(2024, 1, d), float(d)) for d in (2, 4, 8, 9)], "date date, v double")
     kept = sorted(r.date.day for r in accept_recent(batch, cal, 3).collect())
     assert kept == [8, 9]           # the last 3 sessions up to Jan 9 are Jan 5, 8, 9
+
+
+def test_year_predicates_part_the_rows(spark):
+    rows = [(dt.date(y, m, d),) for y in (2019, 2020, 2021) for m, d in ((1, 1), (2, 28), (12, 31))]
+    df = spark.createDataFrame(rows, "day date")
+    parts = [sorted(r["day"] for r in df.filter(p).collect()) for p in EX.jdbc_year_predicates("day", [2019, 2020, 2021])]
+    assert parts == [[r[0] for r in rows if r[0].year == y] for y in (2019, 2020, 2021)]
+
+
+def test_files_are_listed(spark):
+    root = shared_dir(spark, "t_list")
+    EX.write_csv(spark.range(3).coalesce(1), root + "/a")
+    files = EX.list_files(spark, root + "/a", "*.csv").collect()
+    assert len(files) == 1 and files[0]["length"] > 0 and files[0]["path"].endswith(".csv")
