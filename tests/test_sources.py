@@ -170,3 +170,42 @@ def test_files_are_listed(spark):
     EX.write_csv(spark.range(3).coalesce(1), root + "/a")
     files = EX.list_files(spark, root + "/a", "*.csv").collect()
     assert len(files) == 1 and files[0]["length"] > 0 and files[0]["path"].endswith(".csv")
+
+
+def test_an_archive_is_written_as_its_rows_come(spark, monkeypatch):
+    import pandas as pd
+
+    root = _local(shared_dir(spark, "t_zip_out"))
+    opened, plain = [], zipfile.ZipFile.open
+
+    def spy(self, name, mode="r", **kwargs):
+        if mode == "w":
+            opened.append(name if isinstance(name, str) else name.filename)
+        return plain(self, name, mode, **kwargs)
+
+    monkeypatch.setattr(zipfile.ZipFile, "open", spy)
+    taken = []
+
+    def batches():  # the archive is open before its second batch is asked for, and closed before the next one's
+        for k, rows in enumerate([[("a", 1.5), ("a", None)], [("a", 2.0), ("b", 0.1)], [("b", 3.0)]]):
+            taken.append(list(opened))
+            yield pd.DataFrame({"_archive": [r[0] for r in rows], "!id": [f"i{k}"] * len(rows), "v": [r[1] for r in rows]})
+
+    run = AR._zip_writer(root, lambda k: f"H_{k}.zip", lambda k: f"m{k}", ["!generated"], ["!id", "v"], "|")
+    got = [r for pdf in run(batches()) for r in pdf.itertuples(index=False)]
+    assert taken == [[], ["ma"], ["ma", "mb"]]
+    assert [(p.rsplit("/", 1)[-1], n) for p, n in got] == [("H_a.zip", 3), ("H_b.zip", 2)]
+    with zipfile.ZipFile(f"{root}/H_a.zip") as zf:
+        assert zf.namelist() == ["ma"] and zf.read("ma").decode() == "!generated\n!id|v\ni0|1.5\ni0|\ni1|2.0\n[End of File]\n"
+    with zipfile.ZipFile(f"{root}/H_b.zip") as zf:
+        assert zf.read("mb").decode().splitlines()[2:-1] == ["i1|0.1", "i2|3.0"]
+    assert sorted(os.listdir(root)) == ["H_a.zip", "H_b.zip"]
+
+
+def test_rows_without_an_archive_key_are_kept(spark):
+    root = shared_dir(spark, "t_zip_null")
+    df = spark.createDataFrame([(None, "x", 1.0), ("2024", "y", 2.0), (None, "z", 3.0)], "k string, `!id` string, v double")
+    AR.write_archives(df.repartition(3), root, F.col("k"), lambda k: f"H_{k}.zip", lambda k: f"m{k}", ["!id", "v"]).count()
+    spec = AR.ArchiveSpec("H", "m", "d", "d")
+    lines = AR.read_lines(spark, sorted(TB.glob_paths(spark, spec.history_glob(root))), "m", 1, ["!id", "v"])
+    assert sorted(map(tuple, AR.typed(lines, ["!id", "v"], ["v"]).collect())) == [("x", 1.0), ("y", 2.0), ("z", 3.0)]
