@@ -37,19 +37,29 @@ def optimizer_panel(assets: DataFrame, alphas: DataFrame, signals: Sequence[str]
     """Universe rows with benchmark weight, predicted beta and alpha (missing
     alpha -> 0).  ``alphas``: (date, barrid, alpha), or with ``signals`` given,
     (date, barrid, signal_name, alpha) and one panel per listed signal (the
-    universe rows are repeated per name with a narrow ``explode``)."""
+    alphas of an asset and day meet its universe row as a list, and the rows are
+    repeated per name after that, so each universe row moves once)."""
     base = assets.filter(F.col("in_universe") == F.lit(True)).select(
         "date", "barrid", "predicted_beta", "market_cap",
         *[(F.col(k) / 100).alias(k) if k == "specific_risk" else F.col(k) for k in keep],
     )
     base = benchmark_weights(base).drop("market_cap")
     keys = ["date", "barrid"]
+    found = alphas.dropna(subset=keys)  # an alpha without asset or day matches nothing
     if signals is not None:
-        base = base.withColumn("signal_name", F.explode(F.array(*[F.lit(n) for n in signals])))
-        keys.append("signal_name")
-        alphas = alphas.filter(F.col("signal_name").isin(list(signals)))
-    j = base.join(alphas.select(*keys, "alpha"), keys, "left")
-    return j.withColumn("alpha", F.coalesce(F.col("alpha"), F.lit(0.0)))
+        found = found.filter(F.col("signal_name").isin(list(signals)))
+    of = ["signal_name"] if signals is not None else []
+    # stacked and dealt out by asset once: the sort by asset and day is shared by all signals
+    stacked = base.withColumn("_base", F.lit(True)).unionByName(found.select(*keys, F.struct(*of, "alpha").alias("_a")), allowMissingColumns=True)
+    held = F.collect_list("_a").over(Window.partitionBy("barrid", "date"))
+    j = stacked.repartition("barrid").withColumn("_held", held).filter("_base")
+    own = F.col("_held")
+    if signals is not None:
+        j = j.withColumn("signal_name", F.explode(F.array(*[F.lit(n) for n in signals])))
+        own = F.filter("_held", lambda a: a["signal_name"] == F.col("signal_name"))
+    # a row for each alpha, one where there is none
+    j = j.withColumn("_own", F.explode_outer(own))
+    return j.select(*keys, *of, *base.drop(*keys).columns, F.coalesce("_own.alpha", F.lit(0.0)).alias("alpha"))
 
 
 # ------------------------------------------------------------------ P6
@@ -68,7 +78,7 @@ def active_weights(panel: DataFrame, by: Sequence[str] = ("date",), zero_beta=Tr
     ZeroBeta constraints, target active risk); it is not that solver's output.
 
     ``method="stats"`` (default): the per-cross-section sums are partial
-    aggregates attached with a size-checked broadcast - the panel is never
+    aggregates attached with a broadcast - the panel is never
     shuffled and a crowded cross-section cannot overload a task; the panel is
     read twice, so pass a materialised one.  ``method="window"``: one windowed
     pass (one shuffle by cross-section)."""
@@ -103,14 +113,18 @@ def active_weights(panel: DataFrame, by: Sequence[str] = ("date",), zero_beta=Tr
 def signal_returns(weights: DataFrame, assets: DataFrame, by: Sequence[str] = ("signal_name",),
                    out: str = "forward_return") -> DataFrame:
     """Weight lagged one row per (signal, asset), joined to the same-day return
-    (decimal), summed per (signal, date); an all-null sum is 0."""
+    (decimal), summed per (signal, date); an all-null sum is 0.
+
+    Weights and returns are stacked and dealt out by asset once; lag and match are
+    both windows inside the asset (returns that share a key add up, as they would in
+    a join; a return without asset or day matches nothing)."""
     by = _list(by)
-    wl = weights.withColumn(
-        "weight", F.lag("weight", 1).over(Window.partitionBy(*by, "barrid").orderBy("date")))
-    rets = assets.select("date", "barrid", (F.col("return") / 100).alias("return"))
-    j = wl.join(rets, ["date", "barrid"], "left")
-    return j.groupBy(*by, "date").agg(
-        F.coalesce(F.sum(F.col("return") * F.col("weight")), F.lit(0.0)).alias(out))
+    rets = assets.select("date", "barrid", (F.col("return") / 100).alias("_ret")).dropna(subset=["date", "barrid"])
+    stacked = weights.select(*by, "date", "barrid", "weight", F.lit(True).alias("_held")).unionByName(rets, allowMissingColumns=True)
+    dealt = stacked.repartition("barrid")
+    lagged = dealt.withColumn("_lag", F.lag("weight", 1).over(Window.partitionBy("barrid", "_held", *by).orderBy("date")))
+    met = lagged.withColumn("_same", F.sum("_ret").over(Window.partitionBy("barrid", "date"))).filter("_held")
+    return met.groupBy(*by, "date").agg(F.coalesce(F.sum(F.col("_same") * F.col("_lag")), F.lit(0.0)).alias(out))
 
 
 # ------------------------------------------------------------------ P7 / P8 / E1
@@ -191,7 +205,7 @@ def composite_alphas(alphas: DataFrame, weights: DataFrame, names: Sequence[str]
     if names is not None:
         wt = wt.filter(F.col("signal_name").isin(list(names)))
         al = al.filter(F.col("signal_name").isin(list(names)))
-    # one weight per (date, signal): broadcast after a size check
-    j = al.join(wt.select("date", "signal_name", "weight"), ["date", "signal_name"], "inner")
+    # one weight per (date, signal): broadcast, so the alphas do not move to meet it
+    j = al.join(F.broadcast(wt.select("date", "signal_name", "weight")), ["date", "signal_name"], "inner")
     return j.groupBy("date", "barrid").agg(
         F.coalesce(F.sum(F.col("alpha") * F.col("weight")), F.lit(0.0)).alias("alpha"))
