@@ -71,3 +71,21 @@ def test_chain_writes_only_what_is_read_again(spark):
     chain = Chain(assets, spark.createDataFrame([(D[0], "a", "beta", 5.0)], "date date, barrid string, signal_name string, alpha double"))
     chain.signal_returns()
     assert set(chain._memo) == {"signal_returns"}
+
+
+def test_late_split_files_are_written_from_their_year(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    import __spark_entry__ as E
+
+    seen, plain = [], DataFrame.coalesce
+
+    def noted(df, n):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, n)
+
+    monkeypatch.setattr(DataFrame, "coalesce", noted)
+    E.queries()["stream_late_splits"](spark, "/root/testdata/sf0.001")
+    assert len(seen) == 4
+    for plan in seen:  # the one task that writes a file
+        assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
