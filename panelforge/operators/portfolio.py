@@ -33,33 +33,52 @@ def benchmark_weights(df: DataFrame, cap: str = "market_cap", by: Sequence[str]
 
 # ------------------------------------------------------------------ P5 / D6
 def optimizer_panel(assets: DataFrame, alphas: DataFrame, signals: Sequence[str] | None = None,
-                    keep=("specific_risk",)) -> DataFrame:
+                    keep=("specific_risk",), held: bool = False) -> DataFrame:
     """Universe rows with benchmark weight, predicted beta and alpha (missing
     alpha -> 0).  ``alphas``: (date, barrid, alpha), or with ``signals`` given,
     (date, barrid, signal_name, alpha) and one panel per listed signal (the
     alphas of an asset and day meet its universe row as a list, and the rows are
-    repeated per name after that, so each universe row moves once)."""
-    base = assets.filter(F.col("in_universe") == F.lit(True)).select(
+    repeated per name after that, so each universe row moves once).
+
+    ``held`` adds what a position taken here earns: ``held_until``, the day of the
+    asset's next panel row, and ``held_return``, the asset's returns (decimal) of that
+    day added up.  Both come from the same pass along the asset."""
+    keys = ["date", "barrid"]
+    universe = F.col("in_universe") == F.lit(True)
+    earned = F.when(F.col("date").isNotNull() & F.col("barrid").isNotNull(), F.col("return") / 100).alias("_ret")
+    base = assets.filter(universe).select(
         "date", "barrid", "predicted_beta", "market_cap",
         *[(F.col(k) / 100).alias(k) if k == "specific_risk" else F.col(k) for k in keep],
+        *([earned] if held else []),
     )
     base = benchmark_weights(base).drop("market_cap")
-    keys = ["date", "barrid"]
     found = alphas.dropna(subset=keys)  # an alpha without asset or day matches nothing
     if signals is not None:
         found = found.filter(F.col("signal_name").isin(list(signals)))
     of = ["signal_name"] if signals is not None else []
     # stacked and dealt out by asset once: the sort by asset and day is shared by all signals
     stacked = base.withColumn("_base", F.lit(True)).unionByName(found.select(*keys, F.struct(*of, "alpha").alias("_a")), allowMissingColumns=True)
-    held = F.collect_list("_a").over(Window.partitionBy("barrid", "date"))
-    j = stacked.repartition("barrid").withColumn("_held", held).filter("_base")
+    if held:  # returns of days on which the asset is outside the universe
+        outside = assets.filter(~F.coalesce(universe, F.lit(False))).select(*keys, earned).dropna(subset=keys)
+        stacked = stacked.unionByName(outside, allowMissingColumns=True)
+    day, along = Window.partitionBy("barrid", "date"), Window.partitionBy("barrid").orderBy("date")
+    met = {"_held": F.collect_list("_a").over(day)} | ({"_same": F.sum("_ret").over(day)} if held else {})
+    j = stacked.repartition("barrid").withColumns(met).filter("_base")
+    if held:
+        j = j.withColumns({"_next": F.lead("date").over(along), "_next_same": F.lead("_same").over(along)})
     own = F.col("_held")
     if signals is not None:
         j = j.withColumn("signal_name", F.explode(F.array(*[F.lit(n) for n in signals])))
         own = F.filter("_held", lambda a: a["signal_name"] == F.col("signal_name"))
     # a row for each alpha, one where there is none
-    j = j.withColumn("_own", F.explode_outer(own))
-    return j.select(*keys, *of, *base.drop(*keys).columns, F.coalesce("_own.alpha", F.lit(0.0)).alias("alpha"))
+    j = j.withColumn("_mine", own).select("*", F.posexplode_outer("_mine").alias("_pos", "_own"))
+    out = j.select("*", F.coalesce("_own.alpha", F.lit(0.0)).alias("alpha"))
+    shown = [*keys, *of, *base.drop(*keys, "_ret").columns, "alpha"]
+    if not held:
+        return out.select(*shown)
+    again = F.col("_pos") < F.size("_mine") - 1  # the next of several rows of the asset and day follows
+    return out.select(*shown, F.when(again, F.col("date")).otherwise(F.col("_next")).alias("held_until"),
+                      F.when(again, F.col("_same")).otherwise(F.col("_next_same")).alias("held_return"))
 
 
 # ------------------------------------------------------------------ P6
@@ -117,8 +136,16 @@ def signal_returns(weights: DataFrame, assets: DataFrame, by: Sequence[str] = ("
 
     Weights and returns are stacked and dealt out by asset once; lag and match are
     both windows inside the asset (returns that share a key add up, as they would in
-    a join; a return without asset or day matches nothing)."""
+    a join; a return without asset or day matches nothing).  Weights of a panel that
+    carries ``held_until`` and ``held_return`` (see ``optimizer_panel``) have met their
+    return already: they are summed where they lie."""
     by = _list(by)
+    if {"held_until", "held_return"} <= set(weights.columns):
+        opened = F.struct("date", F.lit(None).cast("double").alias("_earned"))  # a day has its row, if it earns nothing
+        closed = F.struct(F.col("held_until").alias("date"), (F.col("held_return") * F.col("weight")).alias("_earned"))
+        moves = weights.select(*by, F.explode(F.array(opened, F.when(F.col("held_until").isNotNull(), closed))).alias("_m"))
+        days = moves.filter(F.col("_m").isNotNull()).select(*by, "_m.*").groupBy(*by, "date")
+        return days.agg(F.coalesce(F.sum("_earned"), F.lit(0.0)).alias(out))
     rets = assets.select("date", "barrid", (F.col("return") / 100).alias("_ret")).dropna(subset=["date", "barrid"])
     stacked = weights.select(*by, "date", "barrid", "weight", F.lit(True).alias("_held")).unionByName(rets, allowMissingColumns=True)
     dealt = stacked.repartition("barrid")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from panelforge.operators import portfolio as P
 from panelforge.operators.crosssection import attach_stats
-from panelforge.plans.combination import Chain
+from panelforge.plans.combination import Chain, signal_active_weights
 
 D = [dt.date(2020, 1, k) for k in range(1, 5)]
 
@@ -48,6 +48,36 @@ def test_signal_returns_deal_rows_out_by_asset_once(spark, tmp_path):
         ("s", D[0]): 0.0, ("s", D[1]): round(1.0 * 0.3 + 8.0, 12), ("s", D[2]): 0.0, (None, D[0]): 0.0, (None, D[1]): 0.3}
 
 
+def test_signal_returns_of_a_held_panel_move_no_rows_by_asset(spark, tmp_path):
+    rows = [(D[0], "a", 0.8, 3.0, 1.0, 200.0, True), (D[1], "a", 0.9, 2.0, 10.0, 250.0, True), (D[1], "a", 0.9, 2.0, 20.0, 250.0, False),
+            (D[2], "a", 1.1, 2.0, 40.0, 250.0, False), (D[3], "a", 1.2, 3.0, None, 200.0, True), (D[0], "b", 0.5, 1.0, 3.0, 100.0, True),
+            (D[1], "b", 0.4, 1.0, 5.0, 100.0, True), (D[3], "b", 0.7, 1.0, -7.0, 150.0, True), (D[0], "c", 1.5, 2.0, 1.0, 300.0, True),
+            (D[1], "c", 1.6, 2.0, 4.0, 100.0, True), (D[2], "c", 1.4, 2.0, 4.0, 100.0, True), (D[3], "c", 1.3, 5.0, 6.0, 100.0, True),
+            (D[0], None, 1.0, 1.0, 9.0, 100.0, True), (D[1], None, 1.0, 2.0, 9.0, 120.0, True), (D[1], "d", 1.0, 2.0, 9.0, 100.0, None),
+            (None, "c", 1.1, 2.0, 9.0, 100.0, True)]
+    assets = _stored(spark, tmp_path, rows, "date date, barrid string, predicted_beta double, market_cap double, return double, specific_risk double, in_universe boolean", "assets")
+    alphas = _stored(spark, tmp_path, [(d, b, s, x) for k, s in enumerate(("beta", "ivol")) for i, (d, b, x) in enumerate([
+        (D[0], "a", 1.0), (D[0], "b", -2.0), (D[0], "c", 0.5), (D[1], "a", 3.0 + k), (D[1], "b", 4.0), (D[2], "c", 2.0), (D[3], "b", 1.0)]) if i != k],
+        "date date, barrid string, signal_name string, alpha double", "alphas")
+    weights = signal_active_weights(assets, alphas, ["beta", "ivol"], held=True)
+    out = P.signal_returns(weights, assets)
+    assert "Window" not in _plan(out) and "REPARTITION" not in _plan(out)
+    got = {(r["signal_name"], r["date"]): r["forward_return"] for r in out.collect()}
+    plain = P.signal_returns(weights.drop("held_until", "held_return"), assets)
+    want = {(r["signal_name"], r["date"]): r["forward_return"] for r in plain.collect()}
+    assert set(got) == set(want) and any(want.values())
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_held_rows_of_one_asset_and_day_follow_each_other(spark, tmp_path):
+    assets = _stored(spark, tmp_path, [(D[0], "a", 1.0, 3.0, 10.0, 200.0, True), (D[2], "a", 1.0, 3.0, 30.0, 200.0, True)],
+                     "date date, barrid string, predicted_beta double, market_cap double, return double, specific_risk double, in_universe boolean", "assets")
+    alphas = _stored(spark, tmp_path, [(D[0], "a", "s", 5.0), (D[0], "a", "s", 6.0)], "date date, barrid string, signal_name string, alpha double", "alphas")
+    out = P.optimizer_panel(assets, alphas, signals=["s"], held=True)
+    assert sorted((r["date"], str(r["held_until"]), r["held_return"]) for r in out.collect()) == [
+        (D[0], str(D[0]), 0.1), (D[0], str(D[2]), 0.3), (D[2], "None", None)]
+
+
 def test_optimizer_panel_moves_universe_rows_once(spark, tmp_path):
     assets = _stored(spark, tmp_path, [(D[0], "a", 1.0, 3.0, 200.0, True), (D[0], "b", 2.0, 1.0, 100.0, True), (D[0], None, 1.0, 4.0, 100.0, True),
                                        (D[1], "a", 1.0, 3.0, 200.0, False)],
