@@ -280,6 +280,25 @@ def test_store_refuses_duplicates_and_writes_few_files(spark):
     assert t.read().count() == 200
 
 
+@pytest.mark.parametrize("yearly", [True, False])
+def test_first_rows_of_a_table_are_written_once(spark, yearly):
+    import glob
+    import os
+    from panelforge.session import checkpoint_root, shared_dir
+    from panelforge.sources.tables import Table, TableSpec
+    df = spark.createDataFrame([(D(2000 + k % 2, 1, 1 + k), f"A{k}", float(k)) for k in range(9)], "date date, id string, v double")
+    t = Table(spark, shared_dir(spark, "t_once"), TableSpec("t", df.schema, ("date", "id"), yearly=yearly))
+    staged = lambda: set(glob.glob(checkpoint_root(spark).removeprefix("file:") + "/panelforge/stage-*"))
+    before = staged()
+    with pytest.raises(ValueError, match="not unique"):
+        t.upsert(df.unionByName(df.limit(1)))
+    assert not t.exists() and not os.path.exists(t.path.removeprefix("file:"))
+    t.upsert(df)
+    assert staged() == before
+    t.upsert(df.withColumn("v", F.col("v") + 1))
+    assert sorted(map(tuple, t.read().collect())) == sorted(map(tuple, df.withColumn("v", F.col("v") + 1).collect()))
+
+
 def test_weights_of_many_quiet_signals():
     import numpy as np
     import pandas as pd
