@@ -129,3 +129,25 @@ def test_empty(spark):
 def test_clashing_columns(spark, name):
     df = spark.createDataFrame([(1, "a b", 3), (2, None, None)], f"doc_id long, text string, {name} int")
     same(sorted(map(tuple, lm.scored(df).collect()), key=str), [Brute([(1, "a b"), (2, None)]).row(*r) for r in [(1, "a b"), (2, None)]])
+
+
+def test_no_share_is_asked_for(spark):
+    """Nine occurrences are enough in a corpus of more than nine times 2^20 tokens, as in a small one."""
+    i = next(i for i in range(100) if not held(i))
+    few = [(j, "pqr stu vwx") for j in range(1000, 2000) if not held(j)][:9]
+    mine = got(spark, [(i, "a " * 9_600_000), *few])
+    n, base = 9_600_001 + 36, math.log10(10 / (9_600_001 + 36 + 5 + 1))
+    for r in mine:
+        if r[0] != i:
+            assert r[4] == n and r[6] > r[5] + 5  # "stu" nearly always follows "pqr"
+            assert abs(r[5] - (3 * base + math.log10(11 / (n + 6)))) < 1e-9
+
+
+def test_words_without_a_number(spark, monkeypatch):
+    """Few words have numbers, texts lie in many slices, and the bit tables let much pass."""
+    for name, value in (("NUMBERED", 0.02), ("TOKENS", 50), ("BUCKET", 300), ("BITS", 4)):
+        monkeypatch.setattr(lm, name, value, raising=False)
+    rows = corpus(200) + [(500, None), (None, "the cat sat on the mat")]
+    brute = Brute(rows)
+    assert {len(s) for s in brute.states} == {1, 2}
+    same(got(spark, rows), [brute.row(*r) for r in rows])
