@@ -119,3 +119,58 @@ def test_late_split_files_are_written_from_their_year(spark, monkeypatch):
     assert len(seen) == 4
     for plan in seen:  # the one task that writes a file
         assert "PartitionFilters: [" in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+ASSETS = "date date, barrid string, price double, return double, specific_return double, specific_risk double, predicted_beta double, daily_volume double, in_universe boolean"
+
+
+def _days(asset, n=8):
+    return [(dt.date(2020 + k // 6, 1, 1 + k), asset, 10.0 + k, 1.0 + k, 0.5 * k, 20.0 + k, 0.5 + ord(asset) / 100, 100.0 + k, True) for k in range(n)]
+
+
+def test_signal_tables_are_written_where_their_rows_lie(spark, tmp_path, monkeypatch):
+    from panelforge.plans.flows import signals_flow
+    from panelforge.sources.tables import Table
+
+    plans, first = {}, Table._first
+
+    def noted(table, rows, on):
+        plans[table.spec.name] = _plan(rows)
+        return first(table, rows, on)
+
+    monkeypatch.setattr(Table, "_first", noted)
+    assets = spark.createDataFrame(_days("a") + _days("b") + _days("c", 3), ASSETS)
+    tables = signals_flow(spark, assets, str(tmp_path / "store"))
+    assert set(plans) == {"signals", "scores", "alphas"}
+    assert "Exchange" not in plans["signals"] and not any("Window" in p for p in plans.values())  # else the keys' count moves the rows
+    rows = {name: t.read().collect() for name, t in tables.items()}
+    assert {len(r) for r in rows.values()} == {len({(r["date"], r["barrid"], r["signal_name"]) for r in rows["signals"]})} and len(rows["signals"]) > 30
+    assert all(len(r) == 4 for some in rows.values() for r in some)  # the count is not stored
+
+
+def test_signal_rows_that_share_a_key_are_refused(spark, tmp_path):
+    import pytest
+
+    from panelforge.plans.flows import signals_flow
+
+    rows = _days("a") + _days("b")
+    none = (*rows[3][:5], None, *rows[3][6:])  # without a specific risk it gives no signal row, so it shares no key
+    fine = signals_flow(spark, spark.createDataFrame([*rows, none], ASSETS), str(tmp_path / "fine"), ["beta", "ivol"])
+    assert fine["signals"].read().count() == 2 * (8 + 7) - 1  # the row before it is its next one's
+    with pytest.raises(ValueError, match="not unique"):
+        signals_flow(spark, spark.createDataFrame([*rows, rows[3]], ASSETS), str(tmp_path / "twice"), ["beta"])
+    assert not (tmp_path / "twice" / "signals").exists()
+
+
+def test_first_rows_overwrite_without_moving(spark, tmp_path):
+    from panelforge.sources.tables import Table, TableSpec
+
+    rows = [(dt.date(2020 + k % 3, 1, 1), f"a{k}", float(k)) for k in range(30)]
+    df = spark.createDataFrame(rows, "date date, barrid string, v double").repartition(2, "barrid")
+    t = Table(spark, str(tmp_path), TableSpec("t", df.schema, ("date", "barrid")))
+    for _ in range(2):  # the second time from rows written aside
+        t.overwrite(df)
+        files = list((tmp_path / "t").glob("year=*/part-*"))
+        assert len({f.parent for f in files}) == 3 and sorted(map(tuple, t.read().collect())) == sorted(rows)
+        if _ == 0:
+            assert len(files) == 6  # of both partitions, each year: dealt out by asset still
