@@ -174,3 +174,38 @@ def test_first_rows_overwrite_without_moving(spark, tmp_path):
         assert len({f.parent for f in files}) == 3 and sorted(map(tuple, t.read().collect())) == sorted(rows)
         if _ == 0:
             assert len(files) == 6  # of both partitions, each year: dealt out by asset still
+
+
+def test_upsert_reads_and_moves_only_the_years_it_touches(spark, tmp_path, monkeypatch):
+    from panelforge.sources.tables import Table, TableSpec
+
+    plans, staged = [], Table._staged
+
+    def noted(table, rows, on):
+        plans.append(_plan(rows))
+        return staged(table, rows, on)
+
+    monkeypatch.setattr(Table, "_staged", noted)
+    rows = [(dt.date(2018 + k % 4, 1, 1 + k), f"a{k}", float(k)) for k in range(20)]
+    df = spark.createDataFrame(rows, "date date, barrid string, v double")
+    t = Table(spark, str(tmp_path), TableSpec("t", df.schema, ("date", "barrid")))
+    t.upsert(df)
+    t.upsert(spark.createDataFrame([(rows[3][0], "a3", 9.0), (rows[3][0], "new", None)], df.schema))
+    (plan,) = plans
+    assert "LeftSemi" not in plan and "year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted(map(tuple, t.read().collect())) == sorted([*rows[:3], (rows[3][0], "a3", 9.0), (rows[3][0], "new", None), *rows[4:]], key=lambda r: (r[0], r[1]))
+
+
+def test_rows_of_other_tables_are_not_staged(spark, tmp_path):
+    import glob
+
+    from panelforge.session import checkpoint_root
+    from panelforge.sources.tables import Table, TableSpec
+
+    df = spark.createDataFrame([(D[0], "a", 1.0), (D[1], "b", 2.0)], "date date, barrid string, v double")
+    t = Table(spark, str(tmp_path), TableSpec("t", df.schema, ("date", "barrid")))
+    before = set(glob.glob(checkpoint_root(spark).removeprefix("file:") + "/panelforge/stage-*"))
+    for k in (1, 2):
+        t.overwrite(df.withColumn("v", F.col("v") * k), apart=True)
+    assert set(glob.glob(checkpoint_root(spark).removeprefix("file:") + "/panelforge/stage-*")) == before
+    assert sorted(map(tuple, t.read().collect())) == [(D[0], "a", 2.0), (D[1], "b", 4.0)]
